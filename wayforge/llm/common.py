@@ -48,6 +48,9 @@ class Staging:
         for t in tables:
             delete(self.spark, t._staged_at)
 
+    def clear(self) -> None:
+        delete(self.spark, self.root)
+
 
 def delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
@@ -114,9 +117,9 @@ def _piece(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)), starts
 
 
-def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes and byte offsets of the words (runs without ASCII white space) of data, A-Z taken as a-z."""
-    data = data.translate(LOWER)
+def word_hashes(data: bytes, table: bytes = LOWER) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes and byte offsets of the words (runs without ASCII white space) of data, its bytes mapped by table first."""
+    data = data.translate(table)
     hashes, starts, at = [], [], 0
     while at < len(data):
         end = min(at + CHUNK, len(data))
@@ -152,11 +155,11 @@ def batches(texts: list[bytes], limit: int = CHUNK):
         yield first, len(texts)
 
 
-def hashed_texts(texts: list[bytes]):
+def hashed_texts(texts: list[bytes], table: bytes = LOWER):
     """Yields, per text, the hashes of its words."""
     for a, b in batches(texts):
         data = b"\n".join(texts[a:b])
-        h, s = word_hashes(data)
+        h, s = word_hashes(data, table)
         bounds = np.cumsum([0, *(len(t) + 1 for t in texts[a:b])])
         cuts = np.searchsorted(s, bounds)
         for i in range(b - a):
