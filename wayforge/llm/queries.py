@@ -2,10 +2,36 @@
 
 from __future__ import annotations
 
+from wayforge.llm.decontamination import op1_decontamination
 from wayforge.llm.language_id import op6_language_id
+from wayforge.llm.license_scan import op4_license_scan
+from wayforge.llm.mixing import op3_mixing
+from wayforge.llm.ngram_join import op10_ngram_jaccard
+from wayforge.llm.quality import op8_quality
+from wayforge.llm.resharding import op2_resharding
+from wayforge.llm.warc import op7_warc
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
+    "op2_resharding": op2_resharding,
+    "op3_mixing": op3_mixing,
+    "op4_license_scan": op4_license_scan,
     "op6_language_id": op6_language_id,
+    "op7_warc": op7_warc,
+    "op8_quality": op8_quality,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_warc": """
+        WITH made AS (
+            SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), seen AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM made)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+        FROM seen
+    """,
+}
