@@ -88,7 +88,7 @@ def test_cells_hold_each_linked_pair():
     docs = [(i, t) for i, t in corpus(4, 120) if len(shingles(t, 3)) > 3]
     sets = {i: np.unique(np.asarray([hash(s) & (1 << 63) - 1 for s in shingles(t, 3)], np.uint64)) for i, t in docs}
     members = pd.DataFrame([(1, i, s.tobytes()) for i, s in sets.items()], columns=["region", "rep", "blob"])
-    pivots = pd.DataFrame([(i, sets[i].tobytes()) for i in list(sets)[::17]], columns=["pivot", "blob"])
+    pivots = pd.DataFrame([(i, sets[i].tobytes()) for i in list(sets)[::17]], columns=["pivot", "centre"])
     cells = ngram_join._cells(members, pivots, 90, 100).groupby("rep")["pivot"].apply(set)
     ids = list(sets)
     for k, i in enumerate(ids):

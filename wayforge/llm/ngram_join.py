@@ -151,7 +151,7 @@ def join_region(names: list, sets: list[np.ndarray], comps: list, num: int, den:
 def _cells(members: pd.DataFrame, pivots: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
     """For the members of a region: the distance to each pivot of whose cell it is part, at home or as a boundary copy."""
     eps, rows = 1 - num / den, []
-    centres = sorted(((int(p), _set(b)) for p, b in zip(pivots["pivot"], pivots["blob"])), key=lambda x: x[0])
+    centres = sorted(((int(p), _set(b)) for p, b in zip(pivots["pivot"], pivots["centre"])), key=lambda x: x[0])
     for region, rep, blob in zip(members["region"], members["rep"], members["blob"]):
         s = _set(blob)
         shared = [overlap(s, c) for _, c in centres]
@@ -170,8 +170,8 @@ def _cut(members: DataFrame, blobs: DataFrame, num: int, den: int, turn: int) ->
     centre = F.pmod(F.xxhash64("rep", F.lit(turn)), F.col("size")) < F.least(F.lit(PIVOTS), F.col("size") / 64)
     first = members.groupBy("region").agg(F.min("rep").alias("_first"))
     chosen = members.join(first, "region").where(centre | (F.col("rep") == F.col("_first"))).select("region", "rep", "size").distinct()
-    chosen = chosen.join(blobs, "rep").select("region", F.col("rep").alias("pivot"), "blob", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
-    return spread.groupBy("region", "salt").cogroup(chosen.groupBy("region", "salt")).applyInPandas(lambda m, p: _cells(m, p, num, den), "region long, rep long, pivot long, link boolean")
+    chosen = chosen.join(blobs, "rep").select(F.col("region").alias("of"), F.col("rep").alias("pivot"), F.col("blob").alias("centre"), F.explode(F.sequence(F.lit(0), salts - 1)).alias("part"))
+    return spread.groupBy("region", "salt").cogroup(chosen.groupBy("of", "part")).applyInPandas(lambda m, p: _cells(m, p, num, den), "region long, rep long, pivot long, link boolean")
 
 
 def _blocks(members: DataFrame, blobs: DataFrame, num: int, den: int) -> DataFrame:
