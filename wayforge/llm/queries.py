@@ -5,6 +5,7 @@ from __future__ import annotations
 from wayforge.llm.decontamination import op1_decontamination
 from wayforge.llm.language_id import op6_language_id
 from wayforge.llm.license_scan import op4_license_scan
+from wayforge.llm.lm_scoring import op5_lm_scores
 from wayforge.llm.mixing import op3_mixing
 from wayforge.llm.ngram_join import op10_ngram_jaccard
 from wayforge.llm.quality import op8_quality
@@ -16,6 +17,7 @@ QUERIES = {
     "op2_resharding": op2_resharding,
     "op3_mixing": op3_mixing,
     "op4_license_scan": op4_license_scan,
+    "op5_lm_scores": op5_lm_scores,
     "op6_language_id": op6_language_id,
     "op7_warc": op7_warc,
     "op8_quality": op8_quality,
