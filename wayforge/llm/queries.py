@@ -6,6 +6,7 @@ from wayforge.llm.decontamination import op1_decontamination
 from wayforge.llm.language_id import op6_language_id
 from wayforge.llm.license_scan import op4_license_scan
 from wayforge.llm.lm_scoring import op5_lm_scores
+from wayforge.llm.local_descriptors import op9_local_descriptors
 from wayforge.llm.mixing import op3_mixing
 from wayforge.llm.ngram_join import op10_ngram_jaccard
 from wayforge.llm.quality import op8_quality
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op7_warc": op7_warc,
     "op8_quality": op8_quality,
+    "op9_local_descriptors": op9_local_descriptors,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
