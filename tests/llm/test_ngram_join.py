@@ -60,9 +60,10 @@ def test_large_regions_are_cut_and_stay_exact(spark, monkeypatch, cut):
     for _ in range(150):
         texts.append(edits(rng.choice(texts[-6:]), 1, rng, vocabulary))
     docs = list(enumerate(texts))
-    monkeypatch.setattr(ngram_join, "SMALL", 8)
-    if not cut:
-        monkeypatch.setattr(ngram_join, "_cut", lambda m, b, n, d, t: m.select("region", "rep", m["rep"].alias("pivot")).withColumn("link", m["rep"] < 0).withColumn("pivot", m["region"]))
+    monkeypatch.setattr(ngram_join, "SMALL", 6)
+    monkeypatch.setattr(ngram_join, "FAMILY", 0)
+    if not cut:  # no pivot cuts anything, so blocks are joined
+        monkeypatch.setattr(ngram_join, "_cut", lambda m, b, n, d, t: m.selectExpr("region", "rep", "region as pivot", "false as link"))
     got = jaccard_components(spark.createDataFrame(docs, "doc_id long, text string"), width=3, num=90, den=100).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(docs, 3, 90, 100)
 

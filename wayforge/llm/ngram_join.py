@@ -2,10 +2,11 @@
 
 Texts that share little are all at distance 1 from each other, so no document can serve as a pivot that tells them
 apart. The first regions are therefore cut by the same metric on parts of the shingle universe: two sets within the
-threshold differ in at most t shingles, so of t + 3 parts at least three hold equal subsets, and every set is
-replicated to the regions of its parts. Inside these regions documents are pivots: distances to them link, prune by the
-triangle inequality, and cut large regions into Voronoi cells with replicated boundaries, again and again, until a
-region is one component or small enough for an exact join in one task.
+threshold differ in at most t shingles, so of t + 5 parts at least five hold equal subsets, and every set is
+replicated to the regions of its parts. Inside these regions documents are pivots: distances to them link and prune by
+the triangle inequality. A region that is one component is done; small regions are joined in one task; large ones are
+divided again, first by a second part that linked sets must share too, then into Voronoi cells of pivots with
+replicated boundaries, until they are small.
 """
 
 from __future__ import annotations
@@ -21,8 +22,10 @@ from pyspark.sql import functions as F
 from wayforge.llm.common import Staging, as_bytes, hashed_texts, mix, ngrams
 from wayforge.llm.graph import connected_components, may_hold, membership_filter
 
-#: Parts beyond the most that may differ; so many empty parts need no signature.
-SLACK = 2
+#: Parts beyond the most that may differ, and empty parts that need no signature: linked sets share three others or more.
+SLACK, EMPTY = 4, 2
+#: Regions that overlap are joined as one up to this size.
+FAMILY = 400
 #: Regions up to this size are joined in one task; larger ones are cut.
 SMALL = 200
 #: Pivots that cut a region, at most.
@@ -56,7 +59,7 @@ def signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
         part = part[order]
         first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
         sums, parts = np.add.reduceat(value[order], first), part[first]
-        if k - len(first) > SLACK:
+        if k - len(first) > EMPTY:
             gone = np.setdiff1d(np.arange(k, dtype=np.uint64), parts)
             sums, parts = np.r_[sums, np.zeros(len(gone), np.uint64)], np.r_[parts, gone]
         out.append(mix(sums + mix(parts + np.uint64(cls * 1_000_003 + 17))))
@@ -189,6 +192,22 @@ def _joined(members: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
     return pd.DataFrame(join_region(members["rep"].tolist(), [_set(b) for b in members["blob"]], members["comp"].tolist(), num, den), columns=["u", "v"])
 
 
+def _still_open(members: DataFrame, found: DataFrame, staging: Staging) -> DataFrame:
+    """The rows of regions that hold more than one component, with ``comp``."""
+    named = members.join(found, members["rep"] == found["node"], "left").withColumn("comp", F.coalesce("component", "rep")).drop("node", "component")
+    state = named.groupBy("region").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("region")
+    return staging.keep(named.join(state, "region", "left_semi"), "open")
+
+
+def _second(large: DataFrame, unique: DataFrame) -> DataFrame:
+    """Regions of those members of a region that share another part too, each set of members once."""
+    spots = unique.select("rep", F.explode("sigs").alias("sig"))
+    shared = large.select("region", "rep").distinct().join(spots, "rep").where("sig <> region").select(F.xxhash64("region", "sig").alias("region"), "rep")
+    groups = shared.groupBy("region").agg(F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("_same"), F.count("*").alias("size")).where("size > 1")
+    groups = groups.groupBy("_same", "size").agg(F.min("region").alias("region")).select("region", "size")
+    return shared.join(groups, "region")
+
+
 def jaccard_components(docs: DataFrame, text: str = "text", width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of docs: links are den * intersection >= num * union.
 
@@ -228,30 +247,36 @@ def jaccard_components(docs: DataFrame, text: str = "text", width: int = 5, num:
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
     links = staging.keep(pairs.select("rep", "pivot", "blob", "other").mapInArrow(verify, "u long, v long"), "links")
+    local = lambda rows: rows.select("region", "rep", "comp").distinct().join(blobs, "rep").groupBy("region").applyInPandas(lambda m: _joined(m, num, den), "u long, v long")
     found = connected_components(links, staging)
-    todo, last, turn = members.select("region", "rep", "size"), None, 0
-    while True:
-        todo = todo.join(found, todo["rep"] == found["node"], "left").select("region", "rep", "size", F.coalesce("component", "rep").alias("comp"))
-        state = todo.groupBy("region").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("region")
-        todo = staging.keep(todo.where("size > 2").join(state, "region", "left_semi"), "open")
-        n = todo.agg(F.count("*"), F.count_if(F.col("size") > SMALL)).first()
-        if not n[0]:
-            break
-        more = [todo.where(F.col("size") <= SMALL).join(blobs, "rep").groupBy("region").applyInPandas(lambda m: _joined(m, num, den), "u long, v long")]
-        large, cells = todo.where(F.col("size") > SMALL), None
-        if n[1] and (last is None or n[1] < 0.5 * last):
-            cells = staging.keep(_cut(large, blobs, num, den, turn), "cells")
+    todo, level, last = _still_open(members.where("size > 2"), found, staging), 0, None
+    while n := todo.count():
+        more = []
+        if level == 0:  # most open regions are parts of a few texts' edited copies: those are joined once, not part by part
+            family = connected_components(todo.select(F.col("rep").alias("u"), F.col("pivot").alias("v")), staging)
+            sizes = family.groupBy("component").agg(F.count("*").alias("members")).where(F.col("members") <= FAMILY)
+            family = staging.keep(family.join(sizes, "component").select("node", F.col("component").alias("family")), "families")
+            whole = todo.join(family, todo["rep"] == family["node"])
+            more.append(local(whole.select(F.col("family").alias("region"), "rep", "comp")))
+            todo = staging.keep(todo.join(family.select(F.col("node").alias("rep")), "rep", "left_anti"), "rest")
+        more.append(local(todo.where(F.col("size") <= SMALL)))
+        large, then = todo.where(F.col("size") > SMALL), None
+        n = large.count()
+        if n and level == 0:
+            then = _second(large, unique)
+        elif n and (last is None or n < 0.7 * last):
+            last, cells = n, staging.keep(_cut(large, blobs, num, den, level), "cells")
             more.append(cells.where("link").select(F.col("rep").alias("u"), F.col("pivot").alias("v")))
-        elif n[1]:
+            if cells.count() <= 3 * n:
+                named = cells.select(F.xxhash64("region", "pivot").alias("region"), "rep").distinct()
+                then = named.join(named.groupBy("region").agg(F.count("*").alias("size")), "region")
+        if n and then is None:
             more.append(_blocks(large, blobs, num, den))
-        last, turn = n[1], turn + 1
         links = staging.keep(functools.reduce(DataFrame.union, more, links), "links")
         found = connected_components(links, staging)
-        if cells is None:
+        if then is None:
             break
-        named = cells.select(F.xxhash64("region", "pivot").alias("region"), "rep").distinct()
-        sizes = named.groupBy("region").agg(F.count("*").alias("size"))
-        todo = named.join(sizes, "region")
+        todo, level = _still_open(then, found, staging), level + 1
     groups = unique.select("a", "b", "rep").join(found, F.col("rep") == F.col("node"), "left").select("a", "b", F.coalesce("component", "rep").alias("component"))
     rows = every.select("doc_id", "n", "a", "b").join(groups, ["a", "b"], "left")
     out = rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))).alias("component_id"))
