@@ -1,4 +1,4 @@
-"""Registry of the catalog queries and their DuckDB SQL."""
+"""All catalog queries."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from wayforge.plans import join_queries, listing_queries  # noqa: F401
+from wayforge.plans.registry import ORACLE_SQL, QUERIES  # noqa: F401
