@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,27 +12,47 @@ from wayforge.llm.common import Staging
 FILTER_BITS = 1 << 21
 
 
+def _contract(batches):
+    """Each node of a partition's edges with the smallest node that they connect it to; memory is that of the partition."""
+    parent: dict[int, int] = {}
+
+    def root(x):
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            a, b = root(u), root(v)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    nodes = [x for x in parent if root(x) != x]
+    for i in range(0, len(nodes), 100_000):
+        part = nodes[i : i + 100_000]
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([root(x) for x in part], pa.int64())], ["u", "v"])
+
+
 def connected_components(edges: DataFrame, staging: Staging) -> DataFrame:
-    """(node, component) for every node with an edge; edges: (u, v). The component is its smallest node.
+    """(node, component) for every node with an edge but the roots; edges: (u, v). The component is its smallest node.
 
-    Alternates large-star and small-star steps until no edge changes; what a step reads was written, so that both
-    sides of its join are shuffled by it and a hub's edges can be split."""
-    up = lambda df: df.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
-    now, last = staging.keep(up(edges), "edges"), None
+    In turn, the edges of a node meet in one partition, whose edges are contracted there, and every edge jumps to its
+    parent's smallest parent, until each node has one parent and no parent has one. What a join reads was written, so
+    that it shuffles both sides itself and a hub's edges can be split."""
+    up = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
+    now = staging.keep(up.distinct(), "edges")
     while True:
-        mark = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v") % (1 << 31)).alias("h")).first()
-        if mark == last:
-            break
-        last = mark
-        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = staging.keep(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-        large = staging.keep(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large")
-        lower = staging.keep(large.groupBy("u").agg(F.min("v").alias("m")), "lower")
-        small = large.join(lower, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(lower.select("u", F.col("m").alias("v")))
-        then = staging.keep(up(small), "edges")
-        staging.drop(now, least, large, lower)
+        own = staging.keep(now.repartition("u").mapInArrow(_contract, "u long, v long"), "contracted")
+        parents = staging.keep(own.groupBy("u").agg(F.min("v").alias("p"), F.count("*").alias("n")), "parents")
+        jumped = own.join(parents.select(F.col("u").alias("v"), "p"), "v", "left").select("u", F.coalesce("p", "v").alias("v"), F.col("p").isNotNull().alias("moved"))
+        # a node with several parents keeps them connected: each larger one gets an edge to the smallest
+        several = own.join(parents.where("n > 1").select("u", "p"), "u").where("v <> p").select(F.col("v").alias("u"), F.col("p").alias("v"), F.lit(True).alias("moved"))
+        then = staging.keep(jumped.union(several), "jumped")
+        staging.drop(now, own, parents)
         now = then
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        if not now.where("moved").limit(1).count():
+            return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        now = now.select("u", "v")
+        now._staged_at = then._staged_at
 
 
 def _bit(key: Column) -> Column:

@@ -1,12 +1,13 @@
 """Exact Jaccard self-join of shingle sets as a metric-space join.
 
 Texts that share little are all at distance 1 from each other, so no document can serve as a pivot that tells them
-apart. The first regions are therefore cut by the same metric on parts of the shingle universe: two sets within the
-threshold differ in at most t shingles, so of t + 5 parts at least five hold equal subsets, and every set is
-replicated to the regions of its parts. Inside these regions documents are pivots: distances to them link and prune by
-the triangle inequality. A region that is one component is done; small regions are joined in one task; large ones are
-divided again, first by a second part that linked sets must share too, then into Voronoi cells of pivots with
-replicated boundaries, until they are small.
+apart. A set therefore first leaves the join unless it shares a shingle of its prefix (the smallest hashes, one more
+than may be missing from a linked set) with another set's prefix. The first regions of the others are cut by the same metric on parts of the shingle universe: two sets within the
+threshold differ in at most t shingles, so of K parts of the universe at least K - t hold equal subsets. A set is
+replicated to the regions of its parts, and as K - t of them are shared, to those alone that remain when its K - t - 1
+most crowded ones are left out. Inside these regions documents are pivots: distances to them link and prune by the
+triangle inequality. A region that is one component is done; small regions are joined in one task; large ones are cut
+into Voronoi cells of pivots with replicated boundaries, again and again, until they are small.
 """
 
 from __future__ import annotations
@@ -16,14 +17,12 @@ import functools
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayforge.llm.common import Staging, as_bytes, hashed_texts, mix, ngrams
 from wayforge.llm.graph import connected_components, may_hold, membership_filter
 
-#: Parts beyond the most that may differ, and empty parts that need no signature: linked sets share three others or more.
-SLACK, EMPTY = 4, 2
 #: Regions that overlap are joined as one up to this size.
 FAMILY = 400
 #: Regions up to this size are joined in one task; larger ones are cut.
@@ -41,29 +40,32 @@ def size_classes(num: int, den: int, most: int = 1 << 40) -> np.ndarray:
     return np.asarray(bounds, np.int64)
 
 
-def part_count(cls: int, num: int, den: int) -> int:
-    """Parts for pairs whose smaller set is in the class: more than can differ, and SLACK."""
+def most_different(cls: int, num: int, den: int) -> int:
+    """Shingles in which two linked sets differ at most, if the smaller one is in the class."""
     largest = int(size_classes(num, den)[cls + 1]) - 1
-    return (largest + largest * den // num) * (den - num) // (den + num) + 1 + SLACK
+    return (largest + largest * den // num) * (den - num) // (den + num)
 
 
-def signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
-    """The regions of a sorted set of shingle hashes: one hash for each part of each class that a partner may use."""
+def signatures(s: np.ndarray, num: int, den: int) -> list[tuple[int, np.ndarray]]:
+    """The regions of a sorted set of shingle hashes: for each class that a partner may use, (spare, one hash for each
+    part), where linked sets share more than ``spare`` hashes. Classes whose linked sets are equal have none."""
     bounds, out = size_classes(num, den), []
     low, high = (int(np.searchsorted(bounds, k, "right")) - 1 for k in (-(-len(s) * num // den), len(s)))
     spread, value = mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)), mix(s + np.uint64(0x1234567))
     for cls in range(low, high + 1):
-        k = part_count(cls, num, den)
+        t = most_different(cls, num, den)
+        if not t:
+            continue
+        spare = max(2, t // 2)
+        k = t + 1 + spare
         part = spread % np.uint64(k)
         order = np.argsort(part)
         part = part[order]
         first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-        sums, parts = np.add.reduceat(value[order], first), part[first]
-        if k - len(first) > EMPTY:
-            gone = np.setdiff1d(np.arange(k, dtype=np.uint64), parts)
-            sums, parts = np.r_[sums, np.zeros(len(gone), np.uint64)], np.r_[parts, gone]
-        out.append(mix(sums + mix(parts + np.uint64(cls * 1_000_003 + 17))))
-    return np.concatenate(out)
+        sums = np.zeros(k, np.uint64)
+        sums[part[first].astype(np.int64)] = np.add.reduceat(value[order], first)
+        out.append((spare, mix(sums + mix(np.arange(k, dtype=np.uint64) + np.uint64(cls * 1_000_003 + 17)))))
+    return out
 
 
 def shingle_set(h: np.ndarray, width: int) -> np.ndarray:
@@ -71,24 +73,37 @@ def shingle_set(h: np.ndarray, width: int) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """(doc_id, n, a, b, sigs): set size, two halves of the set's digest, regions."""
+    """(doc_id, n, a, b, prefix): set size, two halves of the set's digest, and the hashes of which linked sets share one."""
 
     def run(batches):
         for batch in batches:
-            n, a, b, sigs, ends = [], [], [], [], [0]
+            n, a, b, flat, ends = [], [], [], [], [0]
             for h in hashed_texts(as_bytes(batch.column(1))):
                 s = shingle_set(h, width)
                 n.append(len(s))
                 a.append(mix(s).sum(dtype=np.uint64))
                 b.append(mix(s ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64))
-                own = signatures(s, num, den) if len(s) else s
-                sigs.append(own)
+                own = s[: len(s) + (len(s) > 0) - -(-len(s) * num // den)]
+                flat.append(own)
                 ends.append(ends[-1] + len(own))
             longs = lambda x: pa.array(np.asarray(x, np.uint64).view(np.int64))
-            flat = longs(np.concatenate(sigs) if sigs else [])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), longs(a), longs(b), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], ["doc_id", "n", "a", "b", "sigs"])
+            prefix = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), longs(np.concatenate(flat) if flat else []))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), longs(a), longs(b), prefix], ["doc_id", "n", "a", "b", "prefix"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, a long, b long, sigs array<long>")
+    return docs.mapInArrow(run, "doc_id long, n long, a long, b long, prefix array<long>")
+
+
+def _spots(blobs: DataFrame, num: int, den: int) -> DataFrame:
+    """(rep, k, sig): the regions of each set; k numbers the class of partners and holds its spare count in eighths."""
+
+    def run(batches):
+        for batch in batches:
+            for rep, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                for c, (spare, own) in enumerate(signatures(_set(blob.as_py()), num, den)):
+                    n = len(own)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, rep, np.int64)), pa.array(np.full(n, spare * 8 + c, np.int32)), pa.array(own.view(np.int64))], ["rep", "k", "sig"])
+
+    return blobs.mapInArrow(run, "rep long, k int, sig long")
 
 
 def _blobs(docs: DataFrame, width: int) -> DataFrame:
@@ -199,15 +214,6 @@ def _still_open(members: DataFrame, found: DataFrame, staging: Staging) -> DataF
     return staging.keep(named.join(state, "region", "left_semi"), "open")
 
 
-def _second(large: DataFrame, unique: DataFrame) -> DataFrame:
-    """Regions of those members of a region that share another part too, each set of members once."""
-    spots = unique.select("rep", F.explode("sigs").alias("sig"))
-    shared = large.select("region", "rep").distinct().join(spots, "rep").where("sig <> region").select(F.xxhash64("region", "sig").alias("region"), "rep")
-    groups = shared.groupBy("region").agg(F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("_same"), F.count("*").alias("size")).where("size > 1")
-    groups = groups.groupBy("_same", "size").agg(F.min("region").alias("region")).select("region", "size")
-    return shared.join(groups, "region")
-
-
 def jaccard_components(docs: DataFrame, text: str = "text", width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of docs: links are den * intersection >= num * union.
 
@@ -219,20 +225,24 @@ def jaccard_components(docs: DataFrame, text: str = "text", width: int = 5, num:
     docs = docs.select("doc_id", F.col(text).alias("text"))
     every = staging.keep(_sets(docs, width, num, den), "sets")
     some = every.where("n > 0 and doc_id is not null")
-    unique = staging.keep(some.groupBy("a", "b").agg(F.min("doc_id").alias("rep"), F.first("sigs").alias("sigs")), "unique")
-    spots = unique.select(F.explode("sigs").alias("sig"), "rep")
+    unique = staging.keep(some.groupBy("a", "b").agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix")), "unique")
+    first = unique.select("rep", F.explode("prefix").alias("sig"))
+    met = staging.keep(first.groupBy("sig").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where("x < y").select("sig"), "met")
+    wanted = staging.keep(first.join(met, "sig", "left_semi").select("rep").distinct(), "wanted")
+    near = may_hold(docs, "doc_id", membership_filter(wanted, "rep")).where("_maybe").select("doc_id", "text")
+    blobs = staging.keep(_blobs(near, width).join(wanted, "rep", "left_semi"), "blobs")
+    spots = staging.keep(_spots(blobs, num, den), "spots")
     shared = staging.keep(spots.groupBy("sig").agg(F.min("rep").alias("x"), F.max("rep").alias("y"), F.count("*").alias("size")).where("x < y").select("sig", "size"), "shared")
-    held = staging.keep(spots.join(shared, "sig").select("sig", "rep", "size"), "held")
+    mine = Window.partitionBy("rep", "k")
+    held = spots.join(shared, "sig").withColumns({"_h": F.count("*").over(mine), "degree": F.sum("size").over(mine)}).where("_h > k div 8")
+    held = held.withColumn("_rn", F.row_number().over(mine.orderBy("size", "sig"))).where("_rn <= _h - k div 8")
+    held = staging.keep(held.select("sig", "rep", "degree"), "held")
     # the member that meets most others is a region's first pivot: of edited copies, the text they were made from
-    degree = staging.keep(held.groupBy("rep").agg(F.sum("size").alias("degree")), "degree")
-    ranked = held.join(degree, "rep")
-    regions = ranked.groupBy("sig").agg(F.max(F.struct("degree", (-F.col("rep")).alias("rep"))).alias("top"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("_same"), F.count("*").alias("size"))
-    regions = staging.keep(regions.groupBy("_same", "size").agg(F.min("sig").alias("sig"), F.min((-F.col("top.rep"))).alias("pivot")).select("sig", "pivot", "size"), "regions")
+    top = F.max(F.struct("degree", (-F.col("rep")).alias("rep"))).alias("top")
+    regions = held.groupBy("sig").agg(top, F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("_same"), F.count("*").alias("size")).where("size > 1")
+    regions = staging.keep(regions.groupBy("_same", "size").agg(F.min("sig").alias("sig"), F.min(-F.col("top.rep")).alias("pivot")).select("sig", "pivot", "size"), "regions")
     members = staging.keep(held.select("sig", "rep").join(regions, "sig").select(F.col("sig").alias("region"), "rep", "pivot", "size"), "members")
-    staging.drop(shared, held, degree)
-    wanted = members.select("rep").distinct()
-    near = may_hold(docs, "doc_id", membership_filter(wanted, "rep")).where("_maybe").select("doc_id", "text")
-    blobs = staging.keep(_blobs(near, width).join(wanted, "rep", "left_semi"), "blobs")
+    staging.drop(met, spots, shared, held)
     pairs = members.where("rep <> pivot").select("rep", "pivot").distinct()
     pairs = pairs.join(blobs, "rep").join(blobs.select(F.col("rep").alias("pivot"), F.col("blob").alias("other")), "pivot")
 
@@ -262,9 +272,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", width: int = 5, num:
         more.append(local(todo.where(F.col("size") <= SMALL)))
         large, then = todo.where(F.col("size") > SMALL), None
         n = large.count()
-        if n and level == 0:
-            then = _second(large, unique)
-        elif n and (last is None or n < 0.7 * last):
+        if n and (last is None or n < 0.7 * last):
             last, cells = n, staging.keep(_cut(large, blobs, num, den, level), "cells")
             more.append(cells.where("link").select(F.col("rep").alias("u"), F.col("pivot").alias("v")))
             if cells.count() <= 3 * n:
