@@ -68,6 +68,21 @@ def test_large_regions_are_cut_and_stay_exact(spark, monkeypatch, cut):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(docs, 3, 90, 100)
 
 
+def test_prefixes_of_linked_sets_share_enough():
+    rng = random.Random(2)
+    for num in (80, 90):
+        for _ in range(4000):
+            x = set(rng.sample(range(400), rng.randrange(1, 60)))
+            y = set(x)
+            for _ in range(rng.randrange(0, 6)):
+                y.discard(rng.choice(sorted(x)))
+                if rng.random() < 0.6:
+                    y.add(rng.randrange(400))
+            if y and 100 * len(x & y) >= num * len(x | y):
+                (m, k), (o, j) = ngram_join.prefix_length(len(x), num, 100), ngram_join.prefix_length(len(y), num, 100)
+                assert len(set(sorted(x)[:m]) & set(sorted(y)[:o])) >= max(k, j)
+
+
 def test_join_region_is_exact():
     docs = [(i, t) for i, t in corpus(3, 80) if shingles(t, 3)]
     import numpy as np

@@ -184,3 +184,39 @@ def as_bytes(column) -> list[bytes]:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+
+
+# -- numbers in compressed blocks ------------------------------------------------------------------------------------
+
+
+def _zstd(level: int | None = None):
+    import zstandard
+
+    return zstandard.ZstdDecompressor() if level is None else zstandard.ZstdCompressor(level=level)
+
+
+def encode(values: np.ndarray) -> bytes:
+    """Unsigned integers byte plane by byte plane, compressed."""
+    values = np.ascontiguousarray(values)
+    return _zstd(1).compress(values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()) if len(values) else b""
+
+
+def decode(data: bytes, kind) -> np.ndarray:
+    if not data:
+        return np.zeros(0, kind)
+    raw = np.frombuffer(_zstd().decompress(data), np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def encode_keys(keys: np.ndarray) -> bytes:
+    """Sorted 64-bit keys as their differences."""
+    return encode(np.diff(keys, prepend=np.uint64(0)))
+
+
+def decode_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(decode(data, np.uint64), dtype=np.uint64)
+
+
+def block_edges(blocks: int, bits: int = 64) -> np.ndarray:
+    """Lower bounds of equal ranges of keys."""
+    return np.asarray([(k << bits) // blocks for k in range(blocks)], dtype=np.uint64)

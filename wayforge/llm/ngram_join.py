@@ -1,8 +1,9 @@
 """Exact Jaccard self-join of shingle sets as a metric-space join.
 
 Texts that share little are all at distance 1 from each other, so no document can serve as a pivot that tells them
-apart. A set therefore first leaves the join unless it shares a shingle of its prefix (the smallest hashes, one more
-than may be missing from a linked set) with another set's prefix. The first regions of the others are cut by the same metric on parts of the shingle universe: two sets within the
+apart. A set therefore first leaves the join unless it shares so much of its prefix (its smallest hashes, twice as many
+as may be missing from a linked set) with the prefixes of other sets as linked sets must. The first regions of the
+others are cut by the same metric on parts of the shingle universe: two sets within the
 threshold differ in at most t shingles, so of K parts of the universe at least K - t hold equal subsets. A set is
 replicated to the regions of its parts, and as K - t of them are shared, to those alone that remain when its K - t - 1
 most crowded ones are left out. Inside these regions documents are pivots: distances to them link and prune by the
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayforge.llm.common import Staging, as_bytes, hashed_texts, mix, ngrams
+from wayforge.llm.common import Staging, as_bytes, block_edges, decode, decode_keys, encode, encode_keys, hashed_texts, mix, ngrams
 from wayforge.llm.graph import connected_components, may_hold, membership_filter
 
 #: Regions that overlap are joined as one up to this size.
@@ -72,25 +73,98 @@ def shingle_set(h: np.ndarray, width: int) -> np.ndarray:
     return np.unique(ngrams(h, width))
 
 
-def _sets(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """(doc_id, n, a, b, prefix): set size, two halves of the set's digest, and the hashes of which linked sets share one."""
+#: Prefix elements that a task sorts at once, and bytes of text (about) for each range of hashes.
+CHUNK_ELEMENTS, BLOCK_BYTES = 1_500_000, 24 << 20
+#: Stands for several sets.
+MANY = np.uint64(0)
+
+
+def prefix_length(n: int, num: int, den: int) -> tuple[int, int]:
+    """(m, least): of the m smallest hashes of a set of n, at least ``least`` are among those of each set linked with it.
+
+    With o = ceil(n * num / den), n - o + 1 would be enough to share one; twice as many share n - o + 2, less at most
+    two where rounding differs between the two sets."""
+    p = n + 1 - -(-n * num // den)
+    m = min(n, 2 * p)
+    return m, max(1, m - p - 1)
+
+
+def _sets(docs: DataFrame, width: int, num: int, den: int, blocks: int) -> DataFrame:
+    """Rows of two kinds: of each document (doc_id, n, a, b) with its set's size and two halves of its digest; of each chunk
+    and range of hashes (block, keys, ids), the prefix elements with the one set (by a) that has them in the chunk, or MANY.
+
+    block -1 holds sets and how many of their elements were found in other sets of the same chunk; so a hash that
+    many documents share leaves each chunk once."""
+    out = "doc_id long, n long, a long, b long, block int, keys binary, ids binary"
+    names = [x.split()[0] for x in out.split(", ")]
+    kinds = [pa.int64()] * 4 + [pa.int32(), pa.binary(), pa.binary()]
 
     def run(batches):
+        edges, held, size = block_edges(blocks), [], 0
+
+        def flush():
+            if not held:
+                return
+            key, own = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            order = np.lexsort((own, key))
+            key, own = key[order], own[order]
+            once = np.r_[True, (key[1:] != key[:-1]) | (own[1:] != own[:-1])]
+            key, own = key[once], own[once]
+            new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            times = np.diff(np.r_[new, len(key)])
+            sets, found = np.unique(own[np.repeat(times > 1, times)], return_counts=True)
+            keys, ids = key[new], np.where(times > 1, MANY, own[new])
+            cuts = np.r_[np.searchsorted(keys, edges), len(keys)]
+            rows = [(b, encode_keys(keys[x:y]), encode(ids[x:y])) for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if x < y]
+            if len(sets):
+                rows.append((-1, encode_keys(sets), encode(found.astype(np.uint32))))
+            b, k, i = zip(*rows)
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(len(b), t) for t in kinds[:4]), pa.array(b, kinds[4]), pa.array(k, kinds[5]), pa.array(i, kinds[6])], names)
+
         for batch in batches:
-            n, a, b, flat, ends = [], [], [], [], [0]
+            n, a, b = [], [], []
             for h in hashed_texts(as_bytes(batch.column(1))):
                 s = shingle_set(h, width)
                 n.append(len(s))
-                a.append(mix(s).sum(dtype=np.uint64))
+                a.append(mix(s).sum(dtype=np.uint64) | np.uint64(1))
                 b.append(mix(s ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64))
-                own = s[: len(s) + (len(s) > 0) - -(-len(s) * num // den)]
-                flat.append(own)
-                ends.append(ends[-1] + len(own))
+                if len(s):
+                    m, _ = prefix_length(len(s), num, den)
+                    held.append((s[:m], np.full(m, a[-1])))
+                    size += m
+                if size >= CHUNK_ELEMENTS:
+                    size = 0
+                    yield from flush()
             longs = lambda x: pa.array(np.asarray(x, np.uint64).view(np.int64))
-            prefix = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), longs(np.concatenate(flat) if flat else []))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), longs(a), longs(b), prefix], ["doc_id", "n", "a", "b", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), longs(a), longs(b), *(pa.nulls(len(n), t) for t in kinds[4:])], names)
+        yield from flush()
+
+    return docs.mapInArrow(run, out)
+
+
+def _count_range(group: pd.DataFrame) -> pd.DataFrame:
+    """(a, h): how many of the range's elements a set shares with other sets."""
+    keys = [decode_keys(k) for k in group["keys"]]
+    key, own = np.concatenate(keys), np.concatenate([decode(i, np.uint64) for i in group["ids"]])
+    order = np.lexsort((own, key))
+    key, own = key[order], own[order]
+    once = np.r_[True, (key[1:] != key[:-1]) | (own[1:] != own[:-1])]
+    key, own = key[once], own[once]
+    new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    times = np.diff(np.r_[new, len(key)])
+    shared = np.repeat((times > 1) | (own[new] == MANY), times) & (own != MANY)
+    sets, found = np.unique(own[shared], return_counts=True)
+    return pd.DataFrame({"a": sets.view(np.int64), "h": found})
+
+
+def _found_in_chunks(rows: DataFrame) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            for keys, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                yield pa.RecordBatch.from_arrays([pa.array(decode_keys(keys).view(np.int64)), pa.array(decode(ids, np.uint32).astype(np.int64))], ["a", "h"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, a long, b long, prefix array<long>")
+    return rows.select("keys", "ids").mapInArrow(run, "a long, h long")
 
 
 def _spots(blobs: DataFrame, num: int, den: int) -> DataFrame:
@@ -223,12 +297,15 @@ def jaccard_components(docs: DataFrame, text: str = "text", width: int = 5, num:
     spark = docs.sparkSession
     staging = Staging(spark, "jaccard")
     docs = docs.select("doc_id", F.col(text).alias("text"))
-    every = staging.keep(_sets(docs, width, num, den), "sets")
-    some = every.where("n > 0 and doc_id is not null")
-    unique = staging.keep(some.groupBy("a", "b").agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix")), "unique")
-    first = unique.select("rep", F.explode("prefix").alias("sig"))
-    met = staging.keep(first.groupBy("sig").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where("x < y").select("sig"), "met")
-    wanted = staging.keep(first.join(met, "sig", "left_semi").select("rep").distinct(), "wanted")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    every = staging.keep(_sets(docs, width, num, den, int(size // BLOCK_BYTES + 1)), "sets")
+    rows = every.where("a is not null").select("doc_id", "n", "a", "b")
+    unique = staging.keep(rows.where("n > 0 and doc_id is not null").groupBy("a", "b").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")), "unique")
+    found = every.where("block >= 0").groupBy("block").applyInPandas(_count_range, "a long, h long").union(_found_in_chunks(every.where("block = -1")))
+    met = staging.keep(found.groupBy("a").agg(F.sum("h").alias("h")), "met")
+    missing = F.col("n") + 1 - F.ceil(F.col("n") * num / F.lit(den))
+    least = F.greatest(F.lit(1), F.least("n", 2 * missing) - missing - 1)
+    wanted = staging.keep(unique.join(met, "a").where(F.col("h") >= least).select("rep").distinct(), "wanted")
     near = may_hold(docs, "doc_id", membership_filter(wanted, "rep")).where("_maybe").select("doc_id", "text")
     blobs = staging.keep(_blobs(near, width).join(wanted, "rep", "left_semi"), "blobs")
     spots = staging.keep(_spots(blobs, num, den), "spots")
@@ -286,7 +363,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", width: int = 5, num:
             break
         todo, level = _still_open(then, found, staging), level + 1
     groups = unique.select("a", "b", "rep").join(found, F.col("rep") == F.col("node"), "left").select("a", "b", F.coalesce("component", "rep").alias("component"))
-    rows = every.select("doc_id", "n", "a", "b").join(groups, ["a", "b"], "left")
+    rows = rows.join(groups, ["a", "b"], "left")
     out = rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))).alias("component_id"))
     own = Staging(spark, "jaccard-result")
     kept = own.keep(out, "result")
