@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -25,3 +28,12 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def work_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share: spark.checkpoint.dir, or a local one where it is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        root = tempfile.mkdtemp(prefix="spark-")
+        spark.sparkContext.setCheckpointDir(root)
+    return f"{root.rstrip('/')}/wayforge/{name}-{uuid.uuid4().hex[:12]}"

@@ -145,10 +145,10 @@ def cards(pages: DataFrame, key: str, html: str, marker: str) -> DataFrame:
     return out.where("name <> '' and link <> ''")
 
 
-def strict_json(spark: SparkSession, path: str, schema: str, key: str) -> tuple[DataFrame, DataFrame]:
-    """(rows, issues) of a JSON list: records that do not fit the schema, lack a string key or repeat one are issues."""
+def strict_json(spark: SparkSession, path: str, schema: str, key: str, one_list: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(rows, issues) of a JSON list (or of one record a line): records that do not fit the schema, lack a string key or repeat one are issues."""
     full = T.StructType([*T.StructType.fromDDL(schema).fields, T.StructField("_corrupt", T.StringType())])
-    rows = spark.read.schema(full).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path).cache()
+    rows = spark.read.schema(full).option("multiLine", one_list).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path).cache()
     counts = rows.where(F.col(key).isNotNull() & F.col("_corrupt").isNull()).groupBy(key).agg(F.count("*").alias("n"))
     repeated = counts.where("n > 1").select(key, F.lit("duplicate-key").alias("code"))
     broken = rows.where(F.col("_corrupt").isNotNull() | F.col(key).isNull()).select(key, F.when(F.col("_corrupt").isNotNull(), "schema").otherwise("no-key").alias("code"))
