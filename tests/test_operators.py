@@ -1,0 +1,152 @@
+"""Small cases of the operators' exact rules."""
+
+from decimal import Decimal
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from wayforge.functions import text as T
+from wayforge.operators import feeds, geo, matching, pricing, publish, ranking, worksets
+from wayforge.sources import pages as P
+from wayforge.streaming import picks
+
+
+def amounts(spark, tokens):
+    return [(r.c, r.a) for r in spark.createDataFrame([(t,) for t in tokens], "t string").select(T.currency(F.col("t")).alias("c"), T.amount(F.col("t")).alias("a")).collect()]
+
+
+def test_money(spark):
+    assert amounts(spark, ["€34,97", "1.234,56 €", "A$ 42.50", "€1.23.4", "CA$ 5", "¥1,200", "Ft 20.000", "20 500 Ft"]) == [
+        ("EUR", Decimal("34.97")), ("EUR", Decimal("1234.56")), ("AUD", Decimal("42.50")), ("EUR", None), ("CAD", Decimal("5.00")), ("JPY", Decimal("1200.00")), ("HUF", Decimal("20000.00")), ("HUF", Decimal("20500.00")),
+    ]
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.integers(0, 10**7), min_size=1, max_size=30))
+def test_money_round_trip(cents):
+    from wayforge.session import local_session
+
+    tokens = [f"€{c // 100:,}.{c % 100:02d}" for c in cents]
+    assert [a for _, a in amounts(local_session("4", 4), tokens)] == [Decimal(c) / 100 for c in cents]
+
+
+def test_clip_at_sentence_word_or_not_at_all(spark):
+    df = spark.createDataFrame([("Short one.",), ("First sentence is here. " + "x" * 30,), ("word " * 20,), ("a\x00b   c",)], "t string")
+    assert [r.c for r in df.select(T.clipped(F.col("t"), 40).alias("c")).collect()] == ["Short one.", "First sentence is here.", "word word word word word word word…", "a b c"]
+
+
+def test_depth_decision_order(spark):
+    rows = [("a", 0, 60, 60, 0), ("a", 1, 0, 60, 5), ("b", 0, 95, 95, 1), ("b", 1, 9, 104, 2), ("c", 0, 90, 90, 2), ("c", 1, 5, 95, 2), ("c", 2, 1, 96, 0)]
+    df = spark.createDataFrame(rows, "feed string, page long, new long, unique_so_far long, strong long")
+    got = {(r.feed, r.page): r.decision for r in feeds.depth_decision(df, "feed").collect()}
+    assert got[("a", 0)] == "go: too few" and got[("a", 1)] == "stop: last page" and got[("b", 0)] == "stop: weak tail" and got[("c", 0)] == "go: strong tail"
+    assert {r.feed: r.stop_page for r in feeds.stop_pages(feeds.depth_decision(df, "feed"), "feed").collect()} == {"a": 1, "b": 0, "c": 2}
+
+
+def test_score_without_rating_or_reviews(spark):
+    df = spark.createDataFrame([(None, 10), (4.5, None), (5.0, 50)], "r double, n long")
+    assert [round(r.s, 3) for r in df.select(ranking.bayes_score(F.col("r"), F.col("n")).alias("s")).collect()] == [0.0, 4.0, 4.5]
+
+
+def test_aliases(spark):
+    old = spark.createDataFrame([("x", "one", 1), ("x", "two", 2), ("x", "two", 3), ("x", "gone", 9)], "city string, name string, id long")
+    new = spark.createDataFrame([("x", "one", 5), ("x", "two", 7), ("x", "two", 8)], "city string, name string, id long")
+    assert {r.alias: (r.owner, r.how) for r in matching.alias_owners(old, new).collect()} == {1: (5, "name"), 2: (7, "order"), 3: (8, "order"), 9: (9, "self")}
+
+
+def test_containment_guards(spark):
+    new = spark.createDataFrame([(1, "museum of fine arts tour", "venue"), (2, "museum of fine arts tour", "experience"), (3, "fine arts", "venue"), (4, "old castle", "venue")], "id long, norm string, kind string")
+    old = spark.createDataFrame([("Museum of Fine Arts", "museum of fine arts", 1, "venue", False), ("Castle", "castle", 2, "venue", False), ("Old castle", "old castle", 3, "experience", True)], "orig string, norm string, ordinal int, kind string, is_generic boolean")
+    assert {r.id: r.orig for r in matching.guarded_containment(new, old).collect()} == {1: "Museum of Fine Arts", 4: "Old castle"}
+
+
+def test_upsert_keeps_places(spark):
+    old = spark.createDataFrame([("a", 1, 1), ("b", 2, 2)], "key string, v int, ordinal long")
+    new = spark.createDataFrame([("c", 9, 1), ("a", 7, 2), ("c", 8, 3)], "key string, v int, ordinal long")
+    assert sorted((r.ordinal, r.key, r.v) for r in worksets.upsert_in_order(old, new, "key").collect()) == [(1, "a", 7), (2, "b", 2), (3, "c", 8)]
+
+
+def test_partition_replace_on_disk(spark, tmp_path):
+    path = str(tmp_path / "t")
+    worksets.write_partitions(spark.createDataFrame([(1, "x"), (2, "y")], "v int, city string"), path, "city")
+    worksets.write_partitions(spark.createDataFrame([(3, "y")], "v int, city string"), path, "city")
+    assert sorted((r.v, r.city) for r in spark.read.parquet(path).collect()) == [(1, "x"), (3, "y")]
+
+
+def test_price_floor_outcomes(spark):
+    rows = [("a", "numeric", 34.97, "adult", "available"), ("a", "numeric", 24.5, "adult", None), ("b", "numeric", 20.0, "adult", None), ("b", "numeric", 80.0, "group", None), ("c", "free", None, None, "sold-out"), ("d", "free", None, None, None), ("e", "free", None, None, None), ("e", "numeric", 3.0, "adult", None)]
+    df = spark.createDataFrame(rows, "key string, kind string, amount double, unit string, availability string").withColumns({"currency": F.lit("EUR"), "scope": F.lit("s")})
+    assert {r.key: (r.outcome, r.floor) for r in pricing.price_floor(df, "key").collect()} == {"a": ("From", 34.97), "b": ("Prices vary", None), "c": ("No selectable options", None), "d": ("Free", None), "e": ("Free and paid options", None)}
+
+
+def test_gate_and_publish(spark, tmp_path):
+    keys = spark.createDataFrame([("a",), ("b",)], "key string")
+    none = keys.limit(0)
+    assert not publish.publish({"x": keys}, publish.gate(keys, {"x": keys.limit(1)}, none, "key"), str(tmp_path), "r1")
+    assert publish.publish({"x": keys}, publish.gate(keys, {"x": keys}, none, "key"), str(tmp_path), "r2")
+    assert {r.revision for r in spark.read.parquet(str(tmp_path / "r2/x")).collect()} == {"r2"} and not (tmp_path / "r1").exists()
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.permutations(list(range(8))))
+def test_fingerprint_ignores_order(order):
+    from wayforge.session import local_session
+
+    spark = local_session("4", 4)
+    one = lambda ids: publish.fingerprint(spark.createDataFrame([(i,) for i in ids], "id int"), [], F.col("id")).first().digest
+    assert one(order) == one(range(8)) != one(range(7))
+
+
+def test_nested_keys_any_depth(spark):
+    df = spark.createDataFrame([(1, '{"a": [{"User_Name": 1}], "email": {"x": {"phone": 2}}}'), (2, "{"), (3, None)], "id long, doc string")
+    got = {(r.id, r.path) for r in publish.nested_keys(df, "id", "doc", ["username", "email", "phone"]).collect()}
+    assert got == {(1, "$.a[0].User_Name"), (1, "$.email"), (1, "$.email.x.phone"), (2, "invalid")}
+
+
+def test_details_layouts(spark):
+    texts = ["4.5(1,234) · Museum", "4,1(7) · €10–20 · Cafe", "Ft 20.000+", "47.5, 19.04", "Main street 5", "", None]
+    got = P.parse_details(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, Details string")).orderBy("n").collect()
+    assert [r.layout for r in got] == ["rated", "rated", "priced", "coordinates", "address", "empty", "empty"]
+    assert (got[0].reviews, got[0].category) == (1234, "Museum") and (got[1].low, got[1].high, got[1].currency, got[1].category) == (10, 20, "EUR", "Cafe")
+    assert (got[2].low, got[2].high, got[2].currency) == (20000, None, "HUF") and got[3].lat == 47.5
+
+
+def test_strict_json_list(spark, tmp_path):
+    (tmp_path / "x.json").write_text('[{"key": "a", "n": 1}, {"key": "b", "n": 2}, {"key": "b", "n": 3}, {"n": 4}, {"key": "c", "n": "z"}]')
+    good, bad = P.strict_json(spark, str(tmp_path / "x.json"), "key string, n int", "key")
+    assert [r.key for r in good.collect()] == ["a"] and sorted((r.key or "", r.code) for r in bad.collect()) == [("", "no-key"), ("b", "duplicate-key"), ("c", "schema")]
+
+
+def test_page_features(spark):
+    html = '<html><head><title>T &amp; x</title><meta name="description" content="d"><link rel="canonical" href="/c"><script>var a="<p>no";</script></head><body><h1>Head <b>one</b></h1><p>a<br>b<a href="/l">l</a></body>'
+    r = P.features(spark.createDataFrame([(1, html), (2, None)], "id long, html string"), "id").orderBy("id").collect()
+    assert (r[0].title, r[0].canonical, r[0].description, r[0].headings, r[0].links, r[0].text) == ("T & x", "/c", "d", ["Head one"], ["/l"], "Head one a bl") and r[1].text == ""
+
+
+def test_scan_files(spark, tmp_path):
+    (tmp_path / "a.html").write_text("<html>é")
+    r = P.scan_files(spark, str(tmp_path)).first()
+    assert r.html == "<html>é" and r.length == 8
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.permutations([(1, 10), (1, 20), (1, 30), (2, 5), (2, 15)]))
+def test_last_write_wins_in_any_order(changes):
+    from wayforge.session import local_session
+
+    df = local_session("4", 4).createDataFrame([(k, t, f"v{t}") for k, t in changes], "k int, t int, v string")
+    assert {r.k: r.v for r in picks.last_write_wins(df, ["k"], ["t"]).collect()} == {1: "v30", 2: "v15"}
+
+
+def test_votes_toggle(spark):
+    rows = [("u", 1, 4, 1), ("u", 1, 4, 2), ("u", 2, 3, 1), ("u", 2, 5, 2), ("u", 3, 0, 1)]
+    got = picks.votes_kept(spark.createDataFrame(rows, "user_id string, place long, rating long, ts long").withColumn("event_id", F.col("ts"))).collect()
+    assert [(r.place, r.rating) for r in got] == [(2, 5)]
+
+
+def test_circular_and_haversine(spark):
+    ring = geo.circular_neighbours(spark.createDataFrame([("g", i) for i in (1, 2, 3)], "g string, n int"), "g", "n", "n")
+    assert {r.n: (r.previous, r.next) for r in ring.collect()} == {1: (3, 2), 2: (1, 3), 3: (2, 1)}
+    km = spark.range(1).select(geo.haversine(F.lit(47.4979), F.lit(19.0402), F.lit(51.5074), F.lit(-0.1278)).alias("km")).first().km
+    assert 1440 < km < 1460
