@@ -189,7 +189,8 @@ def as_bytes(column) -> list[bytes]:
 # -- numbers in compressed blocks ------------------------------------------------------------------------------------
 
 
-def _zstd(level: int | None = None):
+def packer(level: int | None = None):
+    """A Zstandard compressor of the level, or without one a decompressor."""
     import zstandard
 
     return zstandard.ZstdDecompressor() if level is None else zstandard.ZstdCompressor(level=level)
@@ -198,13 +199,13 @@ def _zstd(level: int | None = None):
 def encode(values: np.ndarray) -> bytes:
     """Unsigned integers byte plane by byte plane, compressed."""
     values = np.ascontiguousarray(values)
-    return _zstd(1).compress(values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()) if len(values) else b""
+    return packer(1).compress(values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()) if len(values) else b""
 
 
 def decode(data: bytes, kind) -> np.ndarray:
     if not data:
         return np.zeros(0, kind)
-    raw = np.frombuffer(_zstd().decompress(data), np.uint8)
+    raw = np.frombuffer(packer().decompress(data), np.uint8)
     return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayforge.llm.common import Staging, as_bytes, fold, hashed_texts, mix
+from wayforge.llm.common import Staging, as_bytes, block_edges, decode, decode_keys, encode, encode_keys, fold, hashed_texts, mix, packer
 
 #: Bytes of text in a pack, and distinct n-grams (about) in a block.
 PACK_BYTES = 6 << 20
@@ -28,33 +28,6 @@ BOS, END = np.uint64(0x0B05), np.uint64(0x0E2D)
 HELD_OUT, COUNTED, DELETED = 0, 1, 2
 
 
-def _zstd(level: int | None = None):
-    import zstandard
-
-    return zstandard.ZstdDecompressor() if level is None else zstandard.ZstdCompressor(level=level)
-
-
-def encode(values: np.ndarray) -> bytes:
-    """Unsigned integers byte plane by byte plane, compressed."""
-    values = np.ascontiguousarray(values)
-    return _zstd(1).compress(values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()) if len(values) else b""
-
-
-def decode(data: bytes, kind) -> np.ndarray:
-    if not data:
-        return np.zeros(0, kind)
-    raw = np.frombuffer(_zstd().decompress(data), np.uint8)
-    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
-
-
-def encode_keys(keys: np.ndarray) -> bytes:
-    return encode(np.diff(keys, prepend=np.uint64(0)))
-
-
-def decode_keys(data: bytes) -> np.ndarray:
-    return np.cumsum(decode(data, np.uint64), dtype=np.uint64)
-
-
 def pack_texts(docs: DataFrame) -> DataFrame:
     """(pack, role, ids, ends, blob): runs of texts of one role, compressed. docs: doc_id, text, role."""
 
@@ -67,7 +40,7 @@ def pack_texts(docs: DataFrame) -> DataFrame:
             ids, texts = held.pop(role)
             made += 1
             ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
-            row = [pa.array([(task << 24) + made], pa.int64()), pa.array([role], pa.int32()), pa.array([ids], pa.list_(pa.int64())), pa.array([ends.tolist()], pa.list_(pa.int64())), pa.array([_zstd(3).compress(b"".join(texts))], pa.binary())]
+            row = [pa.array([(task << 24) + made], pa.int64()), pa.array([role], pa.int32()), pa.array([ids], pa.list_(pa.int64())), pa.array([ends.tolist()], pa.list_(pa.int64())), pa.array([packer(3).compress(b"".join(texts))], pa.binary())]
             return pa.RecordBatch.from_arrays(row, ["pack", "role", "ids", "ends", "blob"])
 
         size: dict[int, int] = {}
@@ -89,7 +62,7 @@ def pack_texts(docs: DataFrame) -> DataFrame:
 def sequence(ends, blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tokens of all texts of a pack, each after two begin marks and before one end mark; positions of those that are
     scored (words and end marks), and each text's number of them."""
-    data = _zstd().decompress(blob) if blob else b""
+    data = packer().decompress(blob) if blob else b""
     starts = [0, *list(ends)[:-1]]
     parts, sizes = [], []
     for h in hashed_texts([data[a:b] for a, b in zip(starts, ends)]):
@@ -132,11 +105,6 @@ def _counts(g: Grams, at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ..
     return np.r_[g.one[at], np.full(len(sizes), BOS)], np.r_[g.two[at], g.two[first - 1]], g.three[at]
 
 
-def _edges(blocks: int, bits: int) -> np.ndarray:
-    """Lower bounds of equal ranges of keys."""
-    return np.asarray([(k << bits) // blocks for k in range(blocks)], dtype=np.uint64)
-
-
 BITS = (64, KEY_BITS, KEY_BITS)
 
 
@@ -144,7 +112,7 @@ def requests(packs: DataFrame, blocks: int) -> DataFrame:
     """(block, pack, k1, k2, k3, n1, n2, n3, role): a pack's distinct keys in a block and how often it has them."""
 
     def run(batches):
-        edges = [_edges(blocks, b) for b in BITS]
+        edges = [block_edges(blocks, b) for b in BITS]
         for batch in batches:
             for pack, role, _, ends, blob in zip(*(c.to_pylist() for c in batch.columns)):
                 seq, at, sizes = sequence(ends, blob)
