@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import re
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -12,69 +9,45 @@ from pyspark.sql import functions as F
 
 from wayforge.llm.common import fold
 
-#: Letters only; digits and marks say nothing about the language.
-WORD = re.compile(r"[^\W\d_]+")
-#: Words whose n-grams a worker keeps; beyond it starts anew. It changes speed alone.
-CACHE = 200_000
-
-
-class Grams:
-    """Packed codes of the n-grams (1 to max_n letters) of words padded by one blank on either side."""
-
-    def __init__(self, max_n: int):
-        self.max_n, self.of, self.ids, self.codes, self._made = max_n, {}, {}, [], -1
-
-    def word(self, word: str) -> np.ndarray:
-        got = self.of.get(word)
-        if got is None:
-            if len(self.of) >= CACHE:
-                self.of, self.ids, self.codes, self._made = {}, {}, [], -1
-            ids, text = self.ids, f" {word} "
-            out = []
-            for n in range(1, self.max_n + 1):
-                for i in range(len(text) - n + 1):
-                    gram = text[i : i + n]
-                    if gram != " ":
-                        k = ids.get(gram)
-                        if k is None:
-                            k = ids[gram] = len(ids)
-                            self.codes.append(pack(gram))
-                        out.append(k)
-            got = self.of[word] = np.asarray(out, np.int64)
-        return got
-
-    def count(self, words: Counter) -> tuple[np.ndarray, np.ndarray]:
-        """Codes and counts of all n-grams of the words."""
-        if len(self.of) + len(words) >= CACHE:  # no id may change between two words of one text
-            self.of, self.ids, self.codes, self._made = {}, {}, [], -1
-        if len(words) >= CACHE:
-            total: Counter = Counter()
-            small = Grams(self.max_n)
-            items = list(words.items())
-            for i in range(0, len(items), CACHE // 2):
-                codes, counts = small.count(Counter(dict(items[i : i + CACHE // 2])))
-                for c, n in zip(codes.tolist(), counts.tolist()):
-                    total[c] += n
-            return np.fromiter(total.keys(), np.int64, len(total)), np.fromiter(total.values(), np.int64, len(total))
-        grams = [self.word(w) for w in words]
-        sizes = np.fromiter(map(len, grams), np.int64, len(grams))
-        counts = np.bincount(np.concatenate(grams), np.repeat(np.fromiter(words.values(), np.float64, len(words)), sizes))
-        have = np.flatnonzero(counts)
-        if len(self.codes) != self._made:
-            self._made, self._array = len(self.codes), np.asarray(self.codes, np.int64)
-        return self._array[have], counts[have].astype(np.int64)
-
-
-def pack(gram: str) -> int:
-    """Up to three characters in 63 bits, the first one highest."""
-    code = 0
-    for c in gram:
-        code = code << 21 | ord(c)
-    return code
-
-
-def words_of(text: str) -> Counter:
-    return Counter(WORD.findall(text.lower()))
+#: Whether a character of the basic plane is a letter: no digit, no mark.
+_LETTER = np.fromiter((chr(i).isalnum() and not chr(i).isdecimal() for i in range(1 << 16)), bool, 1 << 16)
+BLANK = 32
+
+
+def letters(text: str) -> np.ndarray:
+    """Characters of a text in small letters, each run of anything but letters as one blank, with a blank at either end."""
+    a = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    known = _LETTER[np.minimum(a, (1 << 16) - 1)]
+    for i in np.flatnonzero(a >= 1 << 16):
+        known[i] = chr(a[i]).isalnum() and not chr(a[i]).isdecimal()
+    a = np.where(known, a, BLANK)
+    a = a[known | np.r_[False, known[:-1]]] if len(a) else a
+    return np.r_[BLANK, a, BLANK] if len(a) and a[-1] != BLANK else np.r_[BLANK, a]
+
+
+def grams_of(text: str, max_n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and counts of the n-grams (1 to max_n characters) of a text's words, each padded by one blank on either side.
+
+    A code packs up to three characters in 63 bits, the first one highest."""
+    a = letters(text)
+    codes = [a[a != BLANK]]
+    if max_n > 1:
+        codes.append(a[:-1] << 21 | a[1:])
+    if max_n > 2:
+        codes.append((a[:-2] << 42 | a[1:-1] << 21 | a[2:])[a[1:-1] != BLANK])
+    return counted(np.concatenate(codes) if len(a) > 1 else a[:0])
+
+
+def counted(codes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes and how often they occur, or the sums of their counts."""
+    if counts is None:
+        codes = np.sort(codes)
+        first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else codes
+        return codes[first], np.diff(np.r_[first, len(codes)])
+    order = np.argsort(codes, kind="stable")
+    codes = codes[order]
+    first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else codes
+    return codes[first], np.add.reduceat(counts[order], first) if len(codes) else counts
 
 
 def top(codes: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
@@ -95,32 +68,31 @@ def language_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang
         raise ValueError("max_n must be 1, 2 or 3")
 
     def count(batches):
-        grams, sums = Grams(max_n), {}
+        held: dict[str, list[str]] = {}
+        sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
-        def flush():
-            for k, own in sums.items():
-                codes = np.fromiter(own.keys(), np.int64, len(own))
-                yield pa.RecordBatch.from_arrays([pa.array([k] * len(own), pa.string()), pa.array(codes), pa.array(np.fromiter(own.values(), np.int64, len(own)))], ["lang", "gram", "n"])
+        def add(k):
+            codes, n = grams_of(" ".join(held.pop(k)), max_n)
+            if k in sums:
+                codes, n = counted(np.r_[sums[k][0], codes], np.r_[sums[k][1], n])
+            sums[k] = codes, n
 
-        held: dict[str, Counter] = {}
+        size: dict[str, int] = {}
         for batch in batches:
             for t, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = held.setdefault(k, Counter())
-                own.update(WORD.findall(t.lower()))
-                if len(own) > CACHE // 2:
-                    codes, n = grams.count(own)
-                    into = sums.setdefault(k, Counter())
-                    into.update(dict(zip(codes.tolist(), n.tolist())))
-                    own.clear()
-        for k, own in held.items():
-            if own:
-                codes, n = grams.count(own)
-                sums.setdefault(k, Counter()).update(dict(zip(codes.tolist(), n.tolist())))
-        yield from flush()
-
-    counted = labelled.select(F.col(text).alias("t"), F.col(lang).alias("k")).where("t is not null and k is not null").mapInArrow(count, "lang string, gram long, n long")
+                held.setdefault(k, []).append(t)
+                size[k] = size.get(k, 0) + len(t)
+                if size[k] > 1 << 20:
+                    size[k] = 0
+                    add(k)
+        for k in list(held):
+            add(k)
+        for k, (codes, n) in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k] * len(codes), pa.string()), pa.array(codes, pa.int64()), pa.array(n, pa.int64())], ["lang", "gram", "n"])
+
+    sums = labelled.select(F.col(text).alias("t"), F.col(lang).alias("k")).where("t is not null and k is not null").mapInArrow(count, "lang string, gram long, n long")
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < size).select("lang", "gram", "rank")
+    return sums.groupBy("lang", "gram").agg(F.sum("n").alias("n")).withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < size).select("lang", "gram", "rank")
 
 
 def identify_language(docs: DataFrame, profiles: DataFrame, text: str = "text", size: int = 400, max_n: int = 3, max_languages: int = 2000) -> DataFrame:
@@ -142,20 +114,19 @@ def identify_language(docs: DataFrame, profiles: DataFrame, text: str = "text",
         ranks[i, at] = [g["rank"] for g in r["grams"]]
         missing[i, at] = False
     schema = docs.drop("lang_pred", "score")
-    columns = schema.columns
+    columns, at_text = schema.columns, schema.columns.index(text)
     out_schema = schema.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
 
     def predict(batches):
-        grams = Grams(max_n)
         for batch in batches:
             langs, scores = [], []
-            for t in batch.column(columns.index(text)).to_pylist():
-                words = words_of(t) if t and names else None
-                if not words:
+            for t in batch.column(at_text).to_pylist():
+                codes, n = grams_of(t, max_n) if t and names else (known[:0], known[:0])
+                if not len(codes):
                     langs.append("und")
                     scores.append(0.0)
                     continue
-                best = top(*grams.count(words), size)
+                best = top(codes, n, size)
                 at = np.searchsorted(known, best)
                 at[at == len(known)] = 0
                 at = np.where(known[at] == best, at, len(known))
