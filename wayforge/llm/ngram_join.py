@@ -74,7 +74,7 @@ def shingle_set(h: np.ndarray, width: int) -> np.ndarray:
 
 
 #: Prefix elements that a task sorts at once, and bytes of text (about) for each range of hashes.
-CHUNK_ELEMENTS, BLOCK_BYTES = 1_500_000, 24 << 20
+CHUNK_ELEMENTS, BLOCK_BYTES = 500_000, 16 << 20
 #: Stands for several sets.
 MANY = np.uint64(0)
 
