@@ -73,7 +73,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Bytes hashed at once; longer texts are cut between words.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 _powers: list[np.ndarray] = []
 
 
