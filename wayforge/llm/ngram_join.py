@@ -18,6 +18,7 @@ import functools
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,8 +76,8 @@ def shingle_set(h: np.ndarray, width: int) -> np.ndarray:
 
 #: Prefix elements that a task sorts at once, and bytes of text (about) for each range of hashes.
 CHUNK_ELEMENTS, BLOCK_BYTES = 500_000, 16 << 20
-#: Stands for several sets.
-MANY = np.uint64(0)
+#: Stands for several sets; those of a chunk count from 1.
+MANY = 0
 
 
 def prefix_length(n: int, num: int, den: int) -> tuple[int, int]:
@@ -90,51 +91,54 @@ def prefix_length(n: int, num: int, den: int) -> tuple[int, int]:
 
 
 def _sets(docs: DataFrame, width: int, num: int, den: int, blocks: int) -> DataFrame:
-    """Rows of two kinds: of each document (doc_id, n, a, b) with its set's size and two halves of its digest; of each chunk
-    and range of hashes (block, keys, ids), the prefix elements with the one set (by a) that has them in the chunk, or MANY.
+    """Rows of three kinds: of each document (doc_id, n, a, b), its set's size and two halves of its digest; of each chunk of
+    documents and range of hashes (block, chunk, keys, ids), the prefix elements with the one set of the chunk that
+    has them, or MANY; of each chunk (block -1), its sets by a, and what they need: least * 2 ** 32 + found.
 
-    block -1 holds sets and how many of their elements were found in other sets of the same chunk; so a hash that
-    many documents share leaves each chunk once."""
-    out = "doc_id long, n long, a long, b long, block int, keys binary, ids binary"
+    found counts a set's elements that other sets of the chunk have; so a hash that many share leaves a chunk once."""
+    out = "doc_id long, n long, a long, b long, block int, chunk long, keys binary, ids binary"
     names = [x.split()[0] for x in out.split(", ")]
-    kinds = [pa.int64()] * 4 + [pa.int32(), pa.binary(), pa.binary()]
+    kinds = [pa.int64()] * 4 + [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
 
     def run(batches):
-        edges, held, size = block_edges(blocks), [], 0
+        edges, sets, elements, size, made = block_edges(blocks), {}, [], 0, 0
 
         def flush():
-            if not held:
+            nonlocal made, size
+            if not sets:
                 return
-            key, own = (np.concatenate(x) for x in zip(*held))
-            held.clear()
-            order = np.lexsort((own, key))
+            made += 1
+            key = np.concatenate(elements)
+            own = np.repeat(np.arange(1, len(elements) + 1), [len(e) for e in elements]).astype(np.uint32)
+            order = np.argsort(key, kind="stable")
             key, own = key[order], own[order]
-            once = np.r_[True, (key[1:] != key[:-1]) | (own[1:] != own[:-1])]
-            key, own = key[once], own[once]
             new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             times = np.diff(np.r_[new, len(key)])
-            sets, found = np.unique(own[np.repeat(times > 1, times)], return_counts=True)
-            keys, ids = key[new], np.where(times > 1, MANY, own[new])
+            found = np.bincount(own[np.repeat(times > 1, times)], minlength=len(elements) + 1)[1:]
+            keys, ids = key[new], np.where(times > 1, MANY, own[new]).astype(np.uint32)
             cuts = np.r_[np.searchsorted(keys, edges), len(keys)]
             rows = [(b, encode_keys(keys[x:y]), encode(ids[x:y])) for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if x < y]
-            if len(sets):
-                rows.append((-1, encode_keys(sets), encode(found.astype(np.uint32))))
+            needs = (np.fromiter(sets.values(), np.uint64, len(sets)) << np.uint64(32)) + found.astype(np.uint64)
+            rows.append((-1, np.fromiter(sets, np.uint64, len(sets)).tobytes(), needs.tobytes()))
             b, k, i = zip(*rows)
-            yield pa.RecordBatch.from_arrays([*(pa.nulls(len(b), t) for t in kinds[:4]), pa.array(b, kinds[4]), pa.array(k, kinds[5]), pa.array(i, kinds[6])], names)
+            chunk = (TaskContext.get().partitionId() << 24) + made
+            sets.clear()
+            elements.clear()
+            size = 0
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(len(b), t) for t in kinds[:4]), pa.array(b, kinds[4]), pa.array([chunk] * len(b), kinds[5]), pa.array(k, kinds[6]), pa.array(i, kinds[7])], names)
 
         for batch in batches:
             n, a, b = [], [], []
             for h in hashed_texts(as_bytes(batch.column(1))):
                 s = shingle_set(h, width)
                 n.append(len(s))
-                a.append(mix(s).sum(dtype=np.uint64) | np.uint64(1))
-                b.append(mix(s ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64))
-                if len(s):
-                    m, _ = prefix_length(len(s), num, den)
-                    held.append((s[:m], np.full(m, a[-1])))
+                a.append(int(mix(s).sum(dtype=np.uint64)))
+                b.append(int(mix(s ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64)))
+                if len(s) and a[-1] not in sets:
+                    m, sets[a[-1]] = prefix_length(len(s), num, den)
+                    elements.append(s[:m])
                     size += m
                 if size >= CHUNK_ELEMENTS:
-                    size = 0
                     yield from flush()
             longs = lambda x: pa.array(np.asarray(x, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), longs(a), longs(b), *(pa.nulls(len(n), t) for t in kinds[4:])], names)
@@ -144,27 +148,36 @@ def _sets(docs: DataFrame, width: int, num: int, den: int, blocks: int) -> DataF
 
 
 def _count_range(group: pd.DataFrame) -> pd.DataFrame:
-    """(a, h): how many of the range's elements a set shares with other sets."""
-    keys = [decode_keys(k) for k in group["keys"]]
-    key, own = np.concatenate(keys), np.concatenate([decode(i, np.uint64) for i in group["ids"]])
-    order = np.lexsort((own, key))
-    key, own = key[order], own[order]
-    once = np.r_[True, (key[1:] != key[:-1]) | (own[1:] != own[:-1])]
-    key, own = key[once], own[once]
-    new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    times = np.diff(np.r_[new, len(key)])
-    shared = np.repeat((times > 1) | (own[new] == MANY), times) & (own != MANY)
-    sets, found = np.unique(own[shared], return_counts=True)
-    return pd.DataFrame({"a": sets.view(np.int64), "h": found})
-
-
-def _found_in_chunks(rows: DataFrame) -> DataFrame:
-    def run(batches):
-        for batch in batches:
-            for keys, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                yield pa.RecordBatch.from_arrays([pa.array(decode_keys(keys).view(np.int64)), pa.array(decode(ids, np.uint32).astype(np.int64))], ["a", "h"])
-
-    return rows.select("keys", "ids").mapInArrow(run, "a long, h long")
+    """(chunk, keys, ids) for each chunk: how many of the range's elements each of its sets shares with other chunks' sets."""
+    keys, ids = [decode_keys(k) for k in group["keys"]], [decode(i, np.uint32) for i in group["ids"]]
+    sizes = [len(k) for k in keys]
+    every, own = np.concatenate(keys), np.concatenate(ids)
+    order = np.argsort(every, kind="stable")
+    ranked = every[order]
+    new = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
+    times = np.diff(np.r_[new, len(ranked)])
+    shared = np.zeros(len(every), bool)
+    shared[order] = np.repeat(times > 1, times)
+    cuts, out = np.cumsum([0, *sizes]), []
+    for x, y in zip(cuts[:-1], cuts[1:]):
+        mine = own[x:y]
+        hit = shared[x:y] & (mine != MANY)
+        out.append(encode(np.bincount(mine[hit]).astype(np.uint32)))
+    return pd.DataFrame({"chunk": group["chunk"], "keys": None, "ids": out})
+
+
+def _near_sets(group: pd.DataFrame) -> pd.DataFrame:
+    """(a) of a chunk's sets that share enough with other sets.
+
+    Elements that are shared within the chunk were counted there; a set may be counted twice for equal sets elsewhere, which only keeps it
+    in the join."""
+    table = group[group["keys"].notna()].iloc[0]
+    sets, needs = np.frombuffer(table["keys"], np.uint64), np.frombuffer(table["ids"], np.uint64)
+    total = (needs & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    for data in group.loc[group["keys"].isna(), "ids"]:
+        found = decode(data, np.uint32)
+        total[: max(len(found) - 1, 0)] += found[1:]
+    return pd.DataFrame({"a": sets[total >= (needs >> np.uint64(32)).astype(np.int64)].view(np.int64)})
 
 
 def _spots(blobs: DataFrame, num: int, den: int) -> DataFrame:
@@ -300,12 +313,11 @@ def jaccard_components(docs: DataFrame, text: str = "text", width: int = 5, num:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     every = staging.keep(_sets(docs, width, num, den, int(size // BLOCK_BYTES + 1)), "sets")
     rows = every.where("a is not null").select("doc_id", "n", "a", "b")
-    unique = staging.keep(rows.where("n > 0 and doc_id is not null").groupBy("a", "b").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")), "unique")
-    found = every.where("block >= 0").groupBy("block").applyInPandas(_count_range, "a long, h long").union(_found_in_chunks(every.where("block = -1")))
-    met = staging.keep(found.groupBy("a").agg(F.sum("h").alias("h")), "met")
-    missing = F.col("n") + 1 - F.ceil(F.col("n") * num / F.lit(den))
-    least = F.greatest(F.lit(1), F.least("n", 2 * missing) - missing - 1)
-    wanted = staging.keep(unique.join(met, "a").where(F.col("h") >= least).select("rep").distinct(), "wanted")
+    unique = staging.keep(rows.where("n > 0 and doc_id is not null").groupBy("a", "b").agg(F.min("doc_id").alias("rep")), "unique")
+    found = every.where("block >= 0").select("block", "chunk", "keys", "ids").groupBy("block").applyInPandas(_count_range, "chunk long, keys binary, ids binary")
+    met = found.union(every.where("block = -1").select("chunk", "keys", "ids")).groupBy("chunk").applyInPandas(_near_sets, "a long")
+    met = staging.keep(met, "met")
+    wanted = staging.keep(unique.join(met.distinct(), "a", "left_semi").select("rep").distinct(), "wanted")
     near = may_hold(docs, "doc_id", membership_filter(wanted, "rep")).where("_maybe").select("doc_id", "text")
     blobs = staging.keep(_blobs(near, width).join(wanted, "rep", "left_semi"), "blobs")
     spots = staging.keep(_spots(blobs, num, den), "spots")
