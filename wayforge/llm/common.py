@@ -177,6 +177,13 @@ def ngrams(h: np.ndarray, n: int) -> np.ndarray:
     return mix(out + np.uint64(n))
 
 
+def small(batches, rows: int = 1000):
+    """Arrow batches cut into slices, so that a worker holds few texts as Python objects."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def as_bytes(column) -> list[bytes]:
     """An Arrow string column as bytes; nulls as empty."""
     import pyarrow as pa

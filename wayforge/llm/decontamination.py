@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayforge.llm.common import hashed_texts, ngrams
+from wayforge.llm.common import hashed_texts, ngrams, small
 
 #: Blanks for ASCII that is neither letter nor digit; texts are made small before.
 PLAIN = bytes(b if chr(b).isalnum() or b > 127 else 32 for b in range(256))
@@ -174,7 +174,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int
 
         def count(batches, passages=passages):
             total = np.zeros(len(passages.hashes), np.int64)
-            for batch in batches:
+            for batch in small(batches):
                 for h in hashed_texts(normal(batch.column(0).to_pylist()), PLAIN):
                     grams = ngrams(h, n) if len(h) >= n else h[:0]
                     np.add.at(total, np.searchsorted(passages.hashes, grams[passages.find(grams)]), 1)
@@ -186,7 +186,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int
         shared = spark.sparkContext.broadcast(rare)  # bounded by BLOCK_BYTES
 
         def search(batches, shared=shared):
-            for batch in batches:
+            for batch in small(batches):
                 leaks = [[*x, *({"item_id": i, "score": s, "hits": k, "first_word": a, "last_word": b} for i, s, k, a, b in leaks_of(h, shared.value, n, least, min_hits))] for x, h in zip(batch.column(len(batch.columns) - 1).to_pylist(), hashed_texts(normal(batch.column(at).to_pylist()), PLAIN))]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(leaks, kind)], schema.names)
 

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayforge.llm.common import fold
+from wayforge.llm.common import fold, small
 
 #: Whether a character of the basic plane is a letter: no digit, no mark.
 _LETTER = np.fromiter((chr(i).isalnum() and not chr(i).isdecimal() for i in range(1 << 16)), bool, 1 << 16)
@@ -78,7 +78,7 @@ def language_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang
             sums[k] = codes, n
 
         size: dict[str, int] = {}
-        for batch in batches:
+        for batch in small(batches):
             for t, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 held.setdefault(k, []).append(t)
                 size[k] = size.get(k, 0) + len(t)
@@ -118,7 +118,7 @@ def identify_language(docs: DataFrame, profiles: DataFrame, text: str = "text",
     out_schema = schema.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
 
     def predict(batches):
-        for batch in batches:
+        for batch in small(batches):
             langs, scores = [], []
             for t in batch.column(at_text).to_pylist():
                 codes, n = grams_of(t, max_n) if t and names else (known[:0], known[:0])

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayforge.llm.common import Staging, as_bytes, block_edges, decode, decode_keys, encode, encode_keys, hashed_texts, mix, ngrams
+from wayforge.llm.common import Staging, as_bytes, block_edges, decode, decode_keys, encode, encode_keys, hashed_texts, mix, ngrams, small
 from wayforge.llm.graph import connected_components, may_hold, membership_filter
 
 #: Regions that overlap are joined as one up to this size.
@@ -127,7 +127,7 @@ def _sets(docs: DataFrame, width: int, num: int, den: int, blocks: int) -> DataF
             size = 0
             yield pa.RecordBatch.from_arrays([*(pa.nulls(len(b), t) for t in kinds[:4]), pa.array(b, kinds[4]), pa.array([chunk] * len(b), kinds[5]), pa.array(k, kinds[6]), pa.array(i, kinds[7])], names)
 
-        for batch in batches:
+        for batch in small(batches):
             n, a, b = [], [], []
             for h in hashed_texts(as_bytes(batch.column(1))):
                 s = shingle_set(h, width)
@@ -197,7 +197,7 @@ def _blobs(docs: DataFrame, width: int) -> DataFrame:
     """(rep, blob): the sorted shingle hashes as bytes."""
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             sets = [shingle_set(h, width).tobytes() for h in hashed_texts(as_bytes(batch.column(1)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["rep", "blob"])
 
@@ -312,11 +312,12 @@ def jaccard_components(docs: DataFrame, text: str = "text", width: int = 5, num:
     docs = docs.select("doc_id", F.col(text).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     every = staging.keep(_sets(docs, width, num, den, int(size // BLOCK_BYTES + 1)), "sets")
-    rows = every.where("a is not null").select("doc_id", "n", "a", "b")
+    rows = staging.keep(every.where("a is not null").select("doc_id", "n", "a", "b"), "rows")
     unique = staging.keep(rows.where("n > 0 and doc_id is not null").groupBy("a", "b").agg(F.min("doc_id").alias("rep")), "unique")
     found = every.where("block >= 0").select("block", "chunk", "keys", "ids").groupBy("block").applyInPandas(_count_range, "chunk long, keys binary, ids binary")
     met = found.union(every.where("block = -1").select("chunk", "keys", "ids")).groupBy("chunk").applyInPandas(_near_sets, "a long")
     met = staging.keep(met, "met")
+    staging.drop(every)
     wanted = staging.keep(unique.join(met.distinct(), "a", "left_semi").select("rep").distinct(), "wanted")
     near = may_hold(docs, "doc_id", membership_filter(wanted, "rep")).where("_maybe").select("doc_id", "text")
     blobs = staging.keep(_blobs(near, width).join(wanted, "rep", "left_semi"), "blobs")
