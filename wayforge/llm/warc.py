@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayforge.llm.common import Staging
+from wayforge.llm.graph import may_hold, membership_filter
 
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 START = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
@@ -103,17 +104,21 @@ def gzip_member(record: bytes) -> bytes:
 def mark_revisits(pages: DataFrame, least: int = 100) -> DataFrame:
     """pages (page_id, url, html) with payload_bytes, payload_digest, record_type and refers_to.
 
-    Only ids and digests are grouped; the pages themselves move once, by page_id and digest. Rows that repeat the
-    smallest id are responses too. A null page_id counts as larger than any other."""
+    Only ids and digests are grouped; of the pages themselves, those that a bounded filter holds for revisits move, once. Rows
+    that repeat the smallest id are responses too. A null page_id counts as larger than any other."""
+    staging = Staging(pages.sparkSession, "revisits")
     data = F.coalesce(F.encode("html", "UTF-8"), F.lit(b""))
     made = pages.select("page_id", "url", "html", F.octet_length(data).cast("long").alias("payload_bytes"), F.sha2(data, 256).alias("payload_digest"))
-    keys = made.select("page_id", "payload_digest", "payload_bytes").distinct()
-    firsts = keys.where(F.col("payload_bytes") >= least).groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    keys = staging.keep(made.select("page_id", "payload_digest", "payload_bytes").distinct(), "keys").where(F.col("payload_bytes") >= least)
+    firsts = keys.groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     revisits = keys.join(firsts, "payload_digest").where("not (page_id <=> first)").select(F.col("page_id").alias("_id"), F.col("payload_digest").alias("_digest"), "first")
-    same = made["page_id"].eqNullSafe(revisits["_id"]) & (made["payload_digest"] == revisits["_digest"])
-    out = made.join(revisits, same, "left")
-    kind = F.when(F.col("_digest").isNotNull(), "revisit").otherwise("response")
-    return out.withColumn("record_type", kind).withColumnRenamed("first", "refers_to").drop("_id", "_digest")
+    revisits = staging.keep(revisits, "revisits")
+    marked = may_hold(made, "page_id", membership_filter(revisits, "_id"))
+    doubtful, plain = marked.where("_maybe").drop("_maybe"), marked.where("not _maybe").drop("_maybe")
+    same = doubtful["page_id"].eqNullSafe(revisits["_id"]) & (doubtful["payload_digest"] == revisits["_digest"])
+    joined = doubtful.join(revisits, same, "left")
+    joined = joined.withColumn("record_type", F.when(F.col("_digest").isNotNull(), "revisit").otherwise("response")).withColumnRenamed("first", "refers_to").drop("_id", "_digest")
+    return joined.unionByName(plain.withColumns({"record_type": F.lit("response"), "refers_to": F.lit(None).cast(joined.schema["refers_to"].dataType)}))
 
 
 def write_warc(marked: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z") -> None:
