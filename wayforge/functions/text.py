@@ -7,17 +7,18 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType
 
 #: Words that do not tell places apart.
 STOP_WORDS = ("the", "a", "an", "in", "of")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkd_ascii(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode())
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def is_nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.is_normalized("NFC", x))
 
