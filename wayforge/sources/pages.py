@@ -146,7 +146,9 @@ def cards(pages: DataFrame, key: str, html: str, marker: str) -> DataFrame:
 
 
 def strict_json(spark: SparkSession, path: str, schema: str, key: str, one_list: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(rows, issues) of a JSON list (or of one record a line): records that do not fit the schema, lack a string key or repeat one are issues."""
+    """(rows, issues) of a JSON list (or of one record a line): records that do not fit the schema, lack a string key or repeat one are issues.
+
+    In a list, one record that does not fit spoils its whole file."""
     full = T.StructType([*T.StructType.fromDDL(schema).fields, T.StructField("_corrupt", T.StringType())])
     rows = spark.read.schema(full).option("multiLine", one_list).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path).cache()
     counts = rows.where(F.col(key).isNotNull() & F.col("_corrupt").isNull()).groupBy(key).agg(F.count("*").alias("n"))
