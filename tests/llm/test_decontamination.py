@@ -1,5 +1,6 @@
 import random
 
+from wayforge.llm import decontamination
 from wayforge.llm.decontamination import GAP, MATCH, MISMATCH, PLAIN, align, find_leaks, keep_uncontaminated, normal
 from wayforge.llm.common import hashed_texts
 
@@ -52,6 +53,35 @@ def test_common_passage_is_still_found(spark):
     assert find_leaks(docs, bench).where("leaks[0].item_id = 0").count() == 300
 
 
+def test_edited_copies_are_found_as_by_alignment_of_all_pairs(spark):
+    """Items of 15 to 59 words, a copy with a substitution every 5 to 8 words each; every second one stands whole, too."""
+    pick = random.Random(12)
+    items = [words(pick.randrange(15, 60), 1000 + i) for i in range(80)]
+    docs = []
+    for i, item in enumerate(items):
+        step, start = 5 + i % 4, pick.randrange(5)
+        copy = [f"x{i}y{k}" if k % step == start else w for k, w in enumerate(item)]
+        docs.append((i, words(30, 2000 + i) + copy + words(20, 3000 + i)))
+        docs += [(1000 + i, words(9, 4000 + i) + item)] * (i % 2 * 3)
+    hashed = [list(hashed_texts(normal([" ".join(t) for t in x]), PLAIN)) for x in (items, [t for _, t in docs])]
+    want = {(d[0], i) for i, x in enumerate(hashed[0]) for d, s in zip(docs, align([x] * len(docs), hashed[1])[0]) if s / (MATCH * len(x)) >= 0.5}
+    assert {(i, i) for i in range(80)} <= want
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in docs], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    assert {(r.doc_id, x.item_id) for r in find_leaks(docs, bench).collect() for x in r.leaks} == want
+
+
+def test_hits_in_parts_are_the_same(monkeypatch):
+    import numpy as np
+
+    items = [words(40, i % 7) for i in range(50)]
+    p = decontamination.cut_items(list(range(50)), [" ".join(x) for x in items], 3, 8)
+    (text,) = hashed_texts(normal([" ".join(words(50, 99) + items[3] + items[5][:30] + words(9, 98))]), PLAIN)
+    whole = decontamination.leaks_of(text, decontamination.keep_held(p, np.unique(p.hashes)), 3, 0.5, 2)
+    monkeypatch.setattr(decontamination, "HITS", 20)
+    assert len(whole) > 7 and decontamination.leaks_of(text, p, 3, 0.5, 2) == whole
+
+
 def test_long_items_and_empty_tables(spark):
     long_item = " ".join(words(1500, 77))
     bench = spark.createDataFrame([(1, long_item)], "item_id long, text string")

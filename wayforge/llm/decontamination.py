@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds pair passages with test items, Smith-Waterman alignment scores the pairs."""
+"""Benchmark decontamination: shared n-gram seeds pair passages with test items, Smith-Waterman alignment scores the pairs."""
 
 from __future__ import annotations
 
@@ -15,6 +15,8 @@ from wayforge.llm.common import hashed_texts, ngrams, small
 PLAIN = bytes(b if chr(b).isalnum() or b > 127 else 32 for b in range(256))
 #: Items are taken in blocks of about so many bytes of text, each against all documents.
 BLOCK_BYTES = 64 << 20
+#: Hits of a text are compared with so many at once, a range of passages after the other.
+HITS = 1 << 21
 #: Longer items are cut into passages of so many words, each beginning STRIDE words after the last.
 PASSAGE, STRIDE = 400, 300
 MATCH, MISMATCH, GAP = 2, -1, 1
@@ -30,7 +32,6 @@ class Passages:
     owner: np.ndarray
     place: np.ndarray
     seeds: np.ndarray  # of each passage
-    rarity: np.ndarray | None = None
 
     def find(self, grams: np.ndarray) -> np.ndarray:
         """Positions in grams of those that are seeds."""
@@ -43,6 +44,13 @@ class Passages:
         k = np.searchsorted(self.hashes, grams[at])
         return at[self.hashes[np.minimum(k, len(self.hashes) - 1)] == grams[at]]
 
+    def first_of(self, grams: np.ndarray, k: int) -> np.ndarray:
+        """For each of grams, which are seeds, the place of its first seed of passage k or a later one."""
+        if not hasattr(self, "_ranks"):
+            new = np.r_[True, self.hashes[1:] != self.hashes[:-1]]
+            self._distinct, self._ranks = self.hashes[new], (np.cumsum(new) - 1) * (len(self.items) + 1) + self.owner
+        return np.searchsorted(self._ranks, np.searchsorted(self._distinct, grams) * (len(self.items) + 1) + k)
+
 
 def normal(texts: list) -> list[bytes]:
     return [(t or "").lower().encode() for t in texts]
@@ -65,14 +73,10 @@ def cut_items(ids: list, texts: list, n: int, min_words: int) -> Passages:
     return Passages(items, words, hashes[order], owner[order], place[order], np.asarray(sizes, int))
 
 
-def keep_rare(p: Passages, counts: dict[int, int], window: int = 4) -> Passages:
-    """Of every ``window`` neighbouring n-grams of a passage, the rarest in the documents stays: common phrases find
-    nothing, yet every part of a passage keeps a seed, however often it was copied."""
-    seen = np.asarray([counts.get(int(h), 0) for h in p.hashes.view(np.int64)], np.int64)
-    group = p.owner * (1 << 20) + p.place // window
-    order = np.lexsort((p.place, seen, group))
-    first = np.r_[True, group[order][1:] != group[order][:-1]] if len(order) else np.zeros(0, bool)
-    chosen = np.sort(order[first])
+def keep_held(p: Passages, held: np.ndarray) -> Passages:
+    """The passages with those seeds alone whose hash is among ``held``, the n-grams that documents hold: all of them,
+    for an edited copy may hold any, and the rarest are the ones that its edits have destroyed."""
+    chosen = np.flatnonzero(np.isin(p.hashes, held))
     owner = p.owner[chosen]
     return Passages(p.items, p.words, p.hashes[chosen], owner, p.place[chosen], np.bincount(owner, minlength=len(p.items)))
 
@@ -106,27 +110,41 @@ def leaks_of(h: np.ndarray, p: Passages, n: int, least: float, min_hits: int) ->
     at = p.find(grams)
     if not len(at):
         return []
+    found: dict = {}
     low, high = np.searchsorted(p.hashes, grams[at], "left"), np.searchsorted(p.hashes, grams[at], "right")
+    parts = int((high - low).sum()) // HITS + 1
+    bounds = np.linspace(0, len(p.items), parts + 1).astype(int)
+    for first, last in zip(bounds[:-1], bounds[1:]):
+        if parts > 1:  # the seeds of a hash are in the order of their passages
+            low, high = (p.first_of(grams[at], k) for k in (first, last))
+        _align_hits(h, p, at, low, high, least, min_hits, found)
+    return sorted(((i, *v) for i, v in found.items()), key=lambda r: (r[0] is None, r[0]))
+
+
+def _align_hits(h: np.ndarray, p: Passages, at: np.ndarray, low: np.ndarray, high: np.ndarray, least: float, min_hits: int, found: dict) -> None:
+    """Puts into found what alignment finds of the passages whose seeds low to high stand at the places ``at`` of a text."""
     times = high - low
     seed = np.repeat(low - np.r_[0, np.cumsum(times)[:-1]], times) + np.arange(times.sum())
     where, owner = np.repeat(at, times), p.owner[seed]
+    enough = np.bincount(owner, minlength=len(p.items))[owner] >= np.minimum(min_hits, p.seeds[owner])
+    where, owner, seed = where[enough], owner[enough], seed[enough]
     shift = where - p.place[seed]
     order = np.lexsort((shift, owner))
-    where, owner, shift, seed = where[order], owner[order], shift[order], seed[order]
-    found: dict = {}
-    cuts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True])
+    owner, shift, seed = owner[order], shift[order], seed[order]
+    cuts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True]) if len(owner) else [0]
     jobs = []
     for s, e in zip(cuts[:-1], cuts[1:]):
         k = int(owner[s])
         m = len(p.words[k])
         slack = max(6, m // 3)
-        starts, own = s, shift[s:e]
-        # runs of hits on neighbouring diagonals, each one possible copy
-        for a, b in _runs(own, slack):
-            hits = len(np.unique(seed[starts + a : starts + b]))
-            if hits >= min(min_hits, int(p.seeds[k])):
-                first = max(0, int(own[a]) - slack)
-                jobs.append((k, hits, first, h[first : int(own[b - 1]) + m + slack]))
+        own = shift[s:e]
+        # runs of hits on neighbouring diagonals, each with all copies that have a hit in it
+        for a, b, hits in _runs(own, seed[s:e], slack, min(min_hits, int(p.seeds[k]))):
+            first = max(0, int(own[a]) - 2 * slack)
+            text = h[first : int(own[b - 1]) + m + 2 * slack]
+            # an alignment has no more matches than words that the text holds
+            if np.isin(p.words[k], text).sum() >= least * m:
+                jobs.append((k, hits, first, text))
     for i in range(0, len(jobs), 64):
         part = sorted(jobs[i : i + 64], key=lambda j: len(j[3]))
         score, end = align([p.words[j[0]] for j in part], [j[3] for j in part])
@@ -134,16 +152,22 @@ def leaks_of(h: np.ndarray, p: Passages, n: int, least: float, min_hits: int) ->
             share = value / (MATCH * len(p.words[k]))
             if share >= least and share > found.get(p.items[k], (0,))[0]:
                 found[p.items[k]] = (share, hits, first, first + stop)
-    return sorted(((i, *v) for i, v in found.items()), key=lambda r: (r[0] is None, r[0]))
 
 
-def _runs(shift: np.ndarray, slack: int):
-    """Bounds of runs of sorted diagonals that span at most twice the slack."""
+def _runs(shift: np.ndarray, seed: np.ndarray, slack: int, need: int):
+    """Bounds of runs of sorted diagonals that span at most twice the slack, and their numbers of seeds, of which there
+    are ``need`` at least. A run begins at the first diagonal with so many, so two hits of a copy are never parted by a
+    stray one before them, unless one of them is in a run."""
+    ends = np.searchsorted(shift, shift + 2 * slack, "right")
     a = 0
     while a < len(shift):
-        b = int(np.searchsorted(shift, shift[a] + 2 * slack, "right"))
-        yield a, b
-        a = b
+        b = int(ends[a])
+        hits = len(np.unique(seed[a:b])) if b - a >= need else 0
+        if hits >= need:
+            yield a, b, hits
+            a = b
+        else:
+            a += 1
 
 
 LEAKS = "array<struct<item_id: long, score: double, hits: long, first_word: long, last_word: long>>"
@@ -152,9 +176,10 @@ LEAKS = "array<struct<item_id: long, score: double, hits: long, first_word: long
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int = 3, least: float = 0.5, min_hits: int = 2, min_words: int = 8) -> DataFrame:
     """docs with ``leaks``: the benchmark items (item_id, text) whose wording a document holds, whole or edited.
 
-    Words are runs of letters and digits, in small letters. An item's seeds are the rarest n-grams by their counts in
-    all documents; a document with min_hits seeds of a passage near one diagonal is aligned with it, and the score is
-    the alignment's share of the perfect one. An item with fewer seeds needs all of them. Items of under min_words words
+    Words are runs of letters and digits, in small letters. An item's seeds are its n-grams, as far as
+    documents hold them; a document with min_hits seeds of a passage near one diagonal is aligned with it, and the score
+    is the alignment's share of the perfect one. An item with fewer seeds needs all of them; a copy whose edits leave
+    fewer than min_hits n-grams whole is not found. Items of under min_words words
     and null texts leak nowhere; items longer than PASSAGE words leak if one of their passages does. Items are taken in
     blocks of bounded bytes, so the benchmark may grow; documents are never shuffled. A column named leaks is replaced."""
     spark = docs.sparkSession
@@ -172,18 +197,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int
         if not passages.items:
             continue
 
-        def count(batches, passages=passages):
-            total = np.zeros(len(passages.hashes), np.int64)
+        def held(batches, passages=passages):
+            have = np.zeros(len(passages.hashes), bool)
             for batch in small(batches):
                 for h in hashed_texts(normal(batch.column(0).to_pylist()), PLAIN):
                     grams = ngrams(h, n) if len(h) >= n else h[:0]
-                    np.add.at(total, np.searchsorted(passages.hashes, grams[passages.find(grams)]), 1)
-            have = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(passages.hashes[have].view(np.int64)), pa.array(total[have])], ["gram", "n"])
+                    have[np.searchsorted(passages.hashes, grams[passages.find(grams)])] = True
+            yield pa.RecordBatch.from_arrays([pa.array(passages.hashes[have].view(np.int64))], ["gram"])
 
-        seen = docs.select(text).mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
-        rare = keep_rare(passages, {r["gram"]: r["n"] for r in seen})
-        shared = spark.sparkContext.broadcast(rare)  # bounded by BLOCK_BYTES
+        seen = docs.select(text).mapInArrow(held, "gram long").distinct().collect()
+        kept = keep_held(passages, np.asarray([r["gram"] for r in seen], np.int64).view(np.uint64))
+        shared = spark.sparkContext.broadcast(kept)  # bounded by BLOCK_BYTES
 
         def search(batches, shared=shared):
             for batch in small(batches):
