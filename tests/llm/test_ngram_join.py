@@ -68,6 +68,22 @@ def test_large_regions_are_cut_and_stay_exact(spark, monkeypatch, cut):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(docs, 3, 90, 100)
 
 
+def test_chains_of_short_texts_with_families_equal_brute_force(spark):
+    """Windows that slide over a text by a word: each is linked with its neighbours alone, in any order of ids."""
+    rng = random.Random(4)
+    texts = []
+    for _ in range(150):
+        long = [f"w{rng.randrange(100_000)}" for _ in range(60)]
+        n, at = rng.randrange(14, 25), 0
+        for _ in range(8):
+            texts.append(" ".join(long[at : at + n + rng.randrange(2)]))
+            at += rng.choice([1, 1, 2])
+    rng.shuffle(texts)
+    docs = list(enumerate(texts))
+    got = jaccard_components(spark.createDataFrame(docs, "doc_id long, text string"), width=3, num=90, den=100).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(docs, 3, 90, 100)
+
+
 def test_prefixes_of_linked_sets_share_enough():
     rng = random.Random(2)
     for num in (80, 90):

@@ -354,6 +354,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", width: int = 5, num:
         more = []
         if level == 0:  # most open regions are parts of a few texts' edited copies: those are joined once, not part by part
             family = connected_components(todo.select(F.col("rep").alias("u"), F.col("pivot").alias("v")), staging)
+            family = family.union(family.select(F.col("component").alias("node"), "component")).distinct()  # with its roots
             sizes = family.groupBy("component").agg(F.count("*").alias("members")).where(F.col("members") <= FAMILY)
             family = staging.keep(family.join(sizes, "component").select("node", F.col("component").alias("family")), "families")
             whole = todo.join(family, todo["rep"] == family["node"])
