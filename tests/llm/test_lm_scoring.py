@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pytest
 
 from wayforge.llm import lm_scoring
 from wayforge.llm.lm_scoring import decode, decode_keys, encode, encode_keys, fit_weights, op5_lm_scores, score_texts
@@ -48,8 +49,13 @@ def test_base_is_exact_and_model_is_a_distribution(spark, monkeypatch):
     assert all(r.score < 0 and math.isfinite(r.score) for r in got)
 
 
-def test_brute_force_model(spark):
-    """The model's score from plain dictionaries, with the learnt weights read back."""
+@pytest.mark.parametrize("fan", [4096, 3])
+def test_brute_force_model(spark, monkeypatch, fan):
+    """The model's score from plain dictionaries, with the learnt weights read back; also in three levels of ranges."""
+    if fan == 3:
+        monkeypatch.setattr(lm_scoring, "PACK_BYTES", 1500)
+        monkeypatch.setattr(lm_scoring, "BLOCK_KEYS", 300)
+        monkeypatch.setattr(lm_scoring, "FAN", fan)
     seen = {}
     real = lm_scoring.fit_weights
     lm_scoring.fit_weights = lambda *a, **k: seen.setdefault("w", real(*a, **k))
@@ -81,6 +87,23 @@ def test_brute_force_model(spark):
         assert math.isclose(total, got[i], rel_tol=1e-9)
 
 
+def test_rows_of_a_pack_do_not_grow(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "PACK_BYTES", 400)
+    for copies in (20, 80):
+        rows = [(i, f"a b c d{i} e{i % 7}", 1) for i in range(copies * 20)]
+        packs = lm_scoring.pack_texts(spark.createDataFrame(rows, "doc_id long, text string, role int"))
+        fan = lm_scoring.levels(copies * 4, 8)
+        assert fan <= 8 and lm_scoring.requests(packs, fan).groupBy("unit").count().agg({"count": "max"}).first()[0] == fan
+    assert [lm_scoring.levels(b, 4096) for b in (1, 57, 4096, 4097, 1 << 24)] == [1, 57, 4096, 65, 4096]
+
+
+def test_places():
+    keys = lm_scoring.distinct(np.random.default_rng(2).integers(0, 1 << 52, 3000).astype(np.uint64))
+    want = np.random.default_rng(3).permutation(np.r_[keys, keys])
+    assert (keys[lm_scoring.places(keys, want, 52)] == want).all()
+    assert len(lm_scoring.places(keys, want[:0], 52)) == 0 and lm_scoring.places(keys[:1], keys[:1], 52).tolist() == [0]
+
+
 def test_model_beats_base_on_held_out_and_empty(spark, sf_dir):
     got = op5_lm_scores(spark, sf_dir).where("held_out").groupBy().sum("score", "base_score").first()
     assert got[0] > got[1]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -196,6 +197,27 @@ def as_bytes(column) -> list[bytes]:
 # -- numbers in compressed blocks ------------------------------------------------------------------------------------
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; sorting beats the hash table of np.unique on 64-bit hashes."""
+    x = np.sort(x)
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
+def places(keys: np.ndarray, want: np.ndarray, bits: int = 64) -> np.ndarray:
+    """Places of ``want`` in sorted distinct keys that hold all of them; keys are hashes of so many bits, spread evenly."""
+    if not len(want):
+        return np.zeros(0, np.int64)
+    width = len(keys).bit_length()
+    shift = np.uint64(bits - width)
+    at = np.searchsorted(keys >> shift, np.arange((1 << width) + 1, dtype=np.uint64))[(want >> shift).astype(np.int64)]
+    todo = np.flatnonzero(keys[at] != want)
+    while len(todo):
+        at[todo] += 1
+        todo = todo[keys[at[todo]] != want[todo]]
+    return at
+
+
+@functools.cache
 def packer(level: int | None = None):
     """A Zstandard compressor of the level, or without one a decompressor."""
     import zstandard
@@ -225,6 +247,6 @@ def decode_keys(data: bytes) -> np.ndarray:
     return np.cumsum(decode(data, np.uint64), dtype=np.uint64)
 
 
-def block_edges(blocks: int, bits: int = 64) -> np.ndarray:
-    """Lower bounds of equal ranges of keys."""
-    return np.asarray([(k << bits) // blocks for k in range(blocks)], dtype=np.uint64)
+def block_edges(blocks: int, bits: int = 64, first: int = 0, last: int | None = None) -> np.ndarray:
+    """Lower bounds of equal ranges of keys, or of those from ``first`` to before ``last``."""
+    return np.asarray([(k << bits) // blocks for k in range(first, blocks if last is None else last)], dtype=np.uint64)

@@ -1,7 +1,9 @@
 """Language-model scores by deleted interpolation of trigrams, bigrams, unigrams and a uniform distribution.
 
 Counts of n-grams are shuffled, never the texts: texts are packed, every pack sends each of its distinct n-grams once, as
-sorted hashes in compressed blocks, to the task that counts the block, and gets its counts back in the same order.
+sorted hashes in compressed blocks, to the task that counts the block, and gets its counts back in the same order. A
+pack has FAN rows at most; where a corpus needs more blocks, packs are merged range by range and cut again. (One row for
+each n-gram of a pack, counted by groupBy and joined back, would shuffle about twelve times the input.)
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayforge.llm.common import Staging, as_bytes, block_edges, decode, decode_keys, encode, encode_keys, fold, hashed_texts, mix, packer
+from wayforge.llm.common import Staging, as_bytes, block_edges, decode, decode_keys, distinct, encode, encode_keys, fold, hashed_texts, mix, packer, places
 
 #: Bytes of text in a pack, and distinct n-grams (about) in a block.
 PACK_BYTES = 6 << 20
@@ -106,67 +108,123 @@ def _counts(g: Grams, at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ..
 
 
 BITS = (64, KEY_BITS, KEY_BITS)
+#: Ranges of keys that a row of counts is cut into, at most; more blocks are reached in several levels.
+FAN = 4096
+#: Of one unit in one range of keys: distinct keys, how often the model counts them, and, of words, the base.
+PARTS = "block int, unit long, k1 binary, k2 binary, k3 binary, n1 binary, n2 binary, n3 binary, d1 binary"
+
+
+def _sliced(unit: int, first: int, keys: list, counts: list, base: np.ndarray | None, edges: list) -> pd.DataFrame:
+    """PARTS rows of a unit: its sorted keys cut at the edges of the blocks that begin with ``first``; counts of None are 0."""
+    rows: dict[str, list] = {}
+    for i, (own, n, edge) in enumerate(zip(keys, counts, edges), 1):
+        cuts = np.r_[np.searchsorted(own, edge), len(own)]
+        spans = list(zip(cuts[:-1], cuts[1:]))
+        rows[f"k{i}"] = [encode_keys(own[x:y]) for x, y in spans]
+        rows[f"n{i}"] = [b"" if n is None else encode(n[x:y]) for x, y in spans]
+        if i == 1:
+            rows["d1"] = [b"" if base is None else encode(base[x:y]) for x, y in spans]
+    names = [x.split()[0] for x in PARTS.split(", ")]
+    return pd.DataFrame({"block": np.arange(first, first + len(edges[0]), dtype=np.int32), "unit": unit, **rows})[names]
 
 
-def requests(packs: DataFrame, blocks: int) -> DataFrame:
-    """(block, pack, k1, k2, k3, n1, n2, n3, role): a pack's distinct keys in a block and how often it has them."""
+def requests(packs: DataFrame, fan: int) -> DataFrame:
+    """PARTS rows of each pack: its distinct keys in each of ``fan`` ranges and how often it has them."""
 
     def run(batches):
-        edges = [block_edges(blocks, b) for b in BITS]
+        edges = [block_edges(fan, b) for b in BITS]
         for batch in batches:
             for pack, role, _, ends, blob in zip(*(c.to_pylist() for c in batch.columns)):
                 seq, at, sizes = sequence(ends, blob)
                 g = Grams.of(seq)
-                slices = []
-                for want, own, edge in zip(_wanted(g, at), _counts(g, at, sizes), edges):
-                    keys = np.unique(want)
-                    n = np.zeros(len(keys), np.uint32)
-                    if role != HELD_OUT:
-                        u, c = np.unique(own, return_counts=True)
-                        n[np.searchsorted(keys, u)] = c
-                    cuts = np.r_[np.searchsorted(keys, edge), len(keys)]
-                    slices.append((keys, n, cuts))
-                rows: dict[str, list] = {x: [] for x in ("block", "k1", "k2", "k3", "n1", "n2", "n3")}
-                for b in range(blocks):
-                    rows["block"].append(b)
-                    for i, (keys, n, cuts) in enumerate(slices, 1):
-                        rows[f"k{i}"].append(encode_keys(keys[cuts[b] : cuts[b + 1]]))
-                        rows[f"n{i}"].append(encode(n[cuts[b] : cuts[b + 1]]) if role != HELD_OUT else b"")
-                blobs = [pa.array(rows[x], pa.binary()) for x in ("k1", "k2", "k3", "n1", "n2", "n3")]
-                yield pa.RecordBatch.from_arrays([pa.array(rows["block"], pa.int32()), pa.array([pack] * blocks, pa.int64()), pa.array([role] * blocks, pa.int32()), *blobs], ["block", "pack", "role", "k1", "k2", "k3", "n1", "n2", "n3"])
-
-    return packs.mapInArrow(run, "block int, pack long, role int, k1 binary, k2 binary, k3 binary, n1 binary, n2 binary, n3 binary")
+                every, counts = [distinct(x) for x in _wanted(g, at)], []
+                for keys, own, bits in zip(every, _counts(g, at, sizes), BITS):
+                    counts.append(None if role == HELD_OUT else np.bincount(places(keys, own, bits), minlength=len(keys)).astype(np.uint32))
+                yield pa.RecordBatch.from_pandas(_sliced(pack, 0, every, counts if role == COUNTED else [None] * 3, counts[0], edges), preserve_index=False)
+
+    return packs.mapInArrow(run, PARTS)
+
+
+def _summed(group: pd.DataFrame, i: int) -> tuple:
+    """Of the i-th keys of PARTS rows of one range: the distinct keys, each row's places in them, and their counts."""
+    keys = [decode_keys(k) for k in group[f"k{i}"]]
+    sizes = [len(k) for k in keys]
+    every = np.concatenate(keys)
+    order = np.argsort(every)
+    ranked = every[order]
+    new = np.r_[True, ranked[1:] != ranked[:-1]] if len(ranked) else np.zeros(0, bool)
+    place = np.empty(len(every), np.int64)
+    place[order] = np.cumsum(new) - 1
+    total = lambda blobs: np.bincount(place, np.concatenate([decode(n, np.uint32) if n else np.zeros(s, np.uint32) for n, s in zip(blobs, sizes)]).astype(float), minlength=int(new.sum()))
+    cuts = np.cumsum([0, *sizes])
+    return ranked[new], [place[x:y] for x, y in zip(cuts[:-1], cuts[1:])], total(group[f"n{i}"]), total(group["d1"]) if i == 1 else None
+
+
+REPLY = "unit long, block int, base binary, r1 binary, r2 binary, r3 binary, tokens long, distinct long, model_tokens long"
+
+
+def _replies(group: pd.DataFrame, found: list, totals: list[dict]) -> pd.DataFrame:
+    """A reply for each of group's PARTS rows: the counts of its keys in their order; and rows (unit null) of totals.
+
+    found: of each kind of keys, each row's places in its distinct keys, and the counts of those; of words, also the base's."""
+    own = {f"r{i}": [encode(n[x].astype(np.uint32)) for x in at] for i, (at, n, _) in enumerate(found, 1)}
+    own["base"] = [encode(found[0][2][x].astype(np.uint32)) for x in found[0][0]]
+    names, more = [x.split()[0] for x in REPLY.split(", ")], len(totals)
+    out = {"unit": pd.array([*group["unit"], *[None] * more], dtype="Int64"), "block": [*group["block"], *[-1] * more]}
+    out |= {k: [*v, *[b""] * more] for k, v in own.items()}
+    out |= {k: [*[0] * len(group), *(t[k] for t in totals)] for k in ("tokens", "distinct", "model_tokens")}
+    return pd.DataFrame(out)[names]
 
 
 def _count_block(group: pd.DataFrame) -> pd.DataFrame:
-    """Sums a block's keys over all packs; one reply a pack, and one row (pack null) with the block's totals."""
-    block, replies, total = int(group["block"].iloc[0]), {"base": [], "r1": [], "r2": [], "r3": []}, {}
-    trained = group["role"].to_numpy()
-    for i in (1, 2, 3):
-        keys = [decode_keys(k) for k in group[f"k{i}"]]
-        sizes = [len(k) for k in keys]
-        own = [decode(n, np.uint32) if n else np.zeros(s, np.uint32) for n, s in zip(group[f"n{i}"], sizes)]
-        every = np.concatenate(keys)
-        order = np.argsort(every, kind="stable")
-        ranked = every[order]
-        new = np.r_[True, ranked[1:] != ranked[:-1]] if len(ranked) else np.zeros(0, bool)
-        place = np.empty(len(every), np.int64)
-        place[order] = np.cumsum(new) - 1
-        model = np.repeat(trained == COUNTED, sizes)
-        weight = np.concatenate(own).astype(float)
-        count = np.bincount(place, weight * model, minlength=int(new.sum()))
-        cuts = np.cumsum([0, *sizes])
-        replies[f"r{i}"] = [encode(count[place[a:b]].astype(np.uint32)) for a, b in zip(cuts[:-1], cuts[1:])]
-        if i == 1:
-            base = np.bincount(place, weight, minlength=int(new.sum()))
-            replies["base"] = [encode(base[place[a:b]].astype(np.uint32)) for a, b in zip(cuts[:-1], cuts[1:])]
-            word = ranked[new] != BOS
-            total = {"tokens": int(base[word].sum()), "distinct": int((base[word] > 0).sum()), "model_tokens": int(count[word].sum())}
-    out = pd.DataFrame({"pack": group["pack"].astype("Int64"), "block": block, **replies, "tokens": 0, "distinct": 0, "model_tokens": 0})
-    return pd.concat([out, pd.DataFrame([{"pack": pd.NA, "block": block, "base": b"", "r1": b"", "r2": b"", "r3": b"", **total}])], ignore_index=True)
+    """Sums a block's keys over all units; one reply a unit, and one row (unit null) with the block's totals."""
+    sums = [_summed(group, i) for i in (1, 2, 3)]
+    keys, _, count, base = sums[0]
+    word = keys != BOS
+    totals = {"tokens": int(base[word].sum()), "distinct": int((base[word] > 0).sum()), "model_tokens": int(count[word].sum())}
+    return _replies(group, [s[1:] for s in sums], [totals])
 
 
-REPLY = "pack long, block int, base binary, r1 binary, r2 binary, r3 binary, tokens long, distinct long, model_tokens long"
+def _merge(group: pd.DataFrame, fan: int, depth: int) -> pd.DataFrame:
+    """Units of one range as one unit, cut into the ranges of the next level."""
+    keys, _, counts, base = zip(*(_summed(group, i) for i in (1, 2, 3)))
+    first = int(group["block"].iloc[0]) * fan
+    edges = [block_edges(fan**depth, b, first, first + fan) for b in BITS]
+    return _sliced(int(group["merged"].iloc[0]), first, list(keys), [c.astype(np.uint32) for c in counts], base[0].astype(np.uint32), edges)
+
+
+def _pass_back(group: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
+    """Replies for the units of a merged one, of its own."""
+    places_ = [_summed(group, i)[1] for i in (1, 2, 3)]
+    replies = replies.sort_values("block")
+    got = {x: np.concatenate([decode(r, np.uint32) for r in replies[x]]) for x in ("base", "r1", "r2", "r3")}
+    return _replies(group, [(at, got[f"r{i}"], got["base"]) for i, at in enumerate(places_, 1)], [])
+
+
+def levels(blocks: int, most: int) -> int:
+    """The least fan-out that reaches so many blocks in as few levels as one of ``most`` does."""
+    depth = 1
+    while most**depth < blocks:
+        depth += 1
+    fan = max(1, round(blocks ** (1 / depth)))
+    return fan if fan**depth >= blocks else fan + 1
+
+
+def answer(rows: DataFrame, blocks: int, fan: int, staging: Staging, depth: int = 1) -> DataFrame:
+    """REPLY rows for PARTS rows cut into fan ** depth ranges, counted in ``blocks`` blocks or a few more.
+
+    While the ranges are fewer than the blocks, the units that meet in a range are merged, so many that they make up a
+    block's keys, and cut again: a unit has ``fan`` rows at every level, however large the corpus."""
+    if fan**depth >= blocks:
+        return staging.keep(rows.groupBy("block").applyInPandas(_count_block, REPLY), "replies")
+    groups = -(-blocks // fan**depth)
+    rows = staging.keep(rows.withColumn("merged", F.col("block") * F.lit(groups).cast("long") + F.pmod(F.xxhash64("unit"), F.lit(groups))), "parts")
+    merged = rows.groupBy("merged").applyInPandas(functools.partial(_merge, fan=fan, depth=depth + 1), PARTS)
+    found = answer(merged, blocks, fan, staging, depth + 1)
+    back = rows.groupBy("merged").cogroup(found.where("unit is not null").groupBy("unit")).applyInPandas(_pass_back, REPLY)
+    out = staging.keep(back.union(found.where("unit is null")), "replies")
+    staging.drop(rows, found)
+    return out
 
 
 def _looked_up(pack: pd.Series, replies: pd.DataFrame) -> tuple[np.ndarray, ...]:
@@ -175,10 +233,14 @@ def _looked_up(pack: pd.Series, replies: pd.DataFrame) -> tuple[np.ndarray, ...]
     g = Grams.of(seq)
     replies = replies.sort_values("block")
     got = {x: np.concatenate([decode(r, np.uint32) for r in replies[x]]).astype(np.int64) for x in ("base", "r1", "r2", "r3")}
-    one, two, three = (np.unique(k) for k in _wanted(g, at))
-    find = lambda keys, want: np.searchsorted(keys, want)
-    w, v = find(one, g.one[at]), find(one, g.one[at - 1])
-    return got["base"][w], got["r1"][w], got["r1"][v], got["r2"][find(two, g.two[at])], got["r2"][find(two, g.two[at - 1])], got["r3"][find(three, g.three[at])], sizes
+    one, two, three = (distinct(k) for k in _wanted(g, at))
+    follows = np.ones(len(seq), bool)  # all but the first begin mark of each text
+    follows[at[np.cumsum(sizes) - sizes] - 2] = False
+    pair = np.zeros(len(seq), np.int64)
+    pair[follows] = places(two, g.two[follows], KEY_BITS)
+    word = places(one, g.one)
+    w, v = word[at], word[at - 1]
+    return got["base"][w], got["r1"][w], got["r1"][v], got["r2"][pair[at]], got["r2"][pair[at - 1]], got["r3"][places(three, g.three[at], KEY_BITS)], sizes
 
 
 def buckets(c2: np.ndarray, c1: np.ndarray) -> np.ndarray:
@@ -252,7 +314,9 @@ def score_texts(docs: DataFrame, text: str = "text", deleted_share: int = 10) ->
     as a-z, and one end mark a text; null texts are empty. Of the rows not held out, about one in deleted_share is
     left out of the model's counts and teaches the mixture weights instead; the base counts them all. Rows may repeat.
     Without training rows every count is 0. Hashes of 52 bits stand for pairs and triples, so a count may rarely be too
-    large; words have 64."""
+    large; words have 64. The weights are learnt on estimates summed by powers of two (a cell has its tokens' mean).
+
+    Columns other than doc_id, the text and held_out are not read; a null doc_id is scored like any other."""
     spark = docs.sparkSession
     staging = Staging(spark, "lm")
     held = F.coalesce(F.col("held_out"), F.lit(False))
@@ -260,10 +324,11 @@ def score_texts(docs: DataFrame, text: str = "text", deleted_share: int = 10) ->
     packs = staging.keep(pack_texts(docs.select("doc_id", F.col(text).alias("text"), role.cast("int").alias("role"))), "packs")
     size = packs.agg(F.sum(F.element_at("ends", -1))).first()[0] or 0
     blocks = int(size // (3 * BLOCK_KEYS) + 1)
-    replies = staging.keep(requests(packs, blocks).groupBy("block").applyInPandas(_count_block, REPLY), "replies")
-    totals = replies.where("pack is null").agg(F.sum("tokens"), F.sum("distinct"), F.sum("model_tokens")).first()
+    fan = levels(blocks, FAN)
+    replies = answer(requests(packs, fan), blocks, fan, staging)
+    totals = replies.where("unit is null").agg(F.sum("tokens"), F.sum("distinct"), F.sum("model_tokens")).first()
     tokens, distinct, model_tokens = (x or 0 for x in totals)
-    answers = replies.where("pack is not null").select("pack", "block", "base", "r1", "r2", "r3")
+    answers = replies.where("unit is not null").select(F.col("unit").alias("pack"), "block", "base", "r1", "r2", "r3")
     deleted = packs.where(F.col("role") == DELETED)
     own = answers.join(F.broadcast(deleted.select("pack")), "pack", "left_semi") if deleted.limit(100_001).count() <= 100_000 else answers.join(deleted.select("pack"), "pack", "left_semi")
     cells = deleted.groupBy("pack").cogroup(own.groupBy("pack")).applyInPandas(functools.partial(_cells, tokens=model_tokens, distinct=distinct), "cell long, n double, p3 double, p2 double, p1 double")
