@@ -33,12 +33,23 @@ def match_name(c: Column, places: tuple[str, ...] = (), ascii_only: bool = False
     return F.trim(F.regexp_replace(plain, " +", " "))
 
 
-#: Currency marks and their codes; marks with a letter come before the bare ones.
-CURRENCIES = {"CA$": "CAD", "A$": "AUD", "NZ$": "NZD", "$": "USD", "€": "EUR", "£": "GBP", "¥": "JPY", "Ft": "HUF"}
-_MARK = r"(?:CA\$|NZ\$|A\$|\$|€|£|¥)"
-_AMOUNT = r"[0-9](?:[0-9.,]*[0-9])?"
-#: A mark before the amount, or a mark or Ft after it.
-MONEY = rf"({_MARK} ?{_AMOUNT}|{_AMOUNT} ?(?:€|£|Ft))"
+#: Currencies and the marks, codes or words that name them, in the order in which they are tried.
+CURRENCIES = {
+    "NZD": r"\bNZD\b|NZ\$",
+    "CAD": r"\bCAD\b|CA\$|(?<![A-Za-z])C\$",
+    "AUD": r"\bAUD\b|A\$",
+    "USD": r"\bUSD\b|\$",
+    "EUR": r"€|\b(?:EUR|euros?)\b",
+    "GBP": r"£|\bGBP\b",
+    "JPY": r"¥",
+    "HUF": r"\b(?:HUF|Ft|forints?)\b",
+}
+#: What may stand before or after an amount. Codes never touch a letter.
+_MARK = r"(?:US\$|CA\$|NZ\$|A\$|C\$|\$|€|£|¥|(?<![A-Za-z])(?:USD|EUR|GBP|HUF|NZD|AUD|CAD|Ft)(?![A-Za-z]))"
+#: Groups of three after blanks, or digits with any dots and commas inside.
+_NUMBER = r"(?:[0-9]{1,3}(?:[ \u00a0][0-9]{3})+(?:[.,][0-9]{1,2})?(?![0-9])|[0-9](?:[0-9.,]*[0-9])?)"
+#: A mark before an amount, or after one that is not the end of a longer number.
+MONEY = rf"(?i)({_MARK}[ \u00a0]*{_NUMBER}|(?<![0-9.,]){_NUMBER}[ \u00a0]*{_MARK})"
 
 
 def money_mentions(c: Column) -> Column:
@@ -48,13 +59,13 @@ def money_mentions(c: Column) -> Column:
 
 def currency(token: Column) -> Column:
     out = F.lit(None).cast("string")
-    for mark, code in reversed(CURRENCIES.items()):
-        out = F.when(F.contains(token, F.lit(mark)), code).otherwise(out)
+    for code, pattern in reversed(CURRENCIES.items()):
+        out = F.when(token.rlike(f"(?i){pattern}"), code).otherwise(out)
     return out
 
 
 def amount(token: Column) -> Column:
-    """The number of a money token, by the place of its marks; null where they make no number."""
+    """The number of a money token, by the place of its marks; null where they make no number, or one of over 16 digits."""
     raw = F.regexp_replace(token, "[^0-9.,]", "")
     dot, comma = F.length(raw) - F.length(F.replace(raw, F.lit("."), F.lit(""))), F.length(raw) - F.length(F.replace(raw, F.lit(","), F.lit("")))
     decimal_comma = F.replace(F.replace(raw, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
@@ -66,23 +77,98 @@ def amount(token: Column) -> Column:
         .when(raw.rlike(r"^[0-9]{1,3}([.,][0-9]{3})+$"), no_marks)
         .when(dot + comma == 0, raw)
     )
-    return F.when(text.rlike(r"^[0-9]+(\.[0-9]{1,2})?$"), text.cast("decimal(18,2)"))
+    return F.when(text.rlike(r"^[0-9]+(\.[0-9]{1,2})?$"), text.try_cast("decimal(18,2)"))
 
 
-def sentences(c: Column) -> Column:
+#: Words that make a charge an additional one.
+ADDITIONAL = r"(?i)\b(?:additional|extra)\s+(?:cost|charge|fee)s?\b|\bsurcharges?\b|\bsupplements?\b|\b(?:cost|charge|fee)s?\s+(?:is|are)?\s+not\s+included\b|\bpay(?:able)?\s+separately\b"
+#: Units of a charge and how a sentence names them.
+UNITS = {"person": r"(?:/|\bper\s+)(?:person|people)\b|\bfejenk[eé]nt\b|/fő\b"} | {u: rf"(?:/|\bper\s+){u}\b" for u in ("adult", "child", "group", "ticket", "vehicle", "family")}
+
+
+def charge_unit(sentence: Column) -> Column:
+    """The unit that a sentence names, '' without any."""
+    return F.coalesce(*(F.when(sentence.rlike(f"(?iU){pattern}"), unit) for unit, pattern in UNITS.items()), F.lit(""))
+
+
+#: Phrases of free admission; groups that alone enjoy it; what may follow as a condition, or stand before.
+FREE = r"(?:\bfree admission\b|\badmission (?:is|'s) free\b|\bfree entry\b|\bentry (?:is|'s) free\b|\bno (?:admission|entry) fees?\b|\bfree to enter\b|\bentrance (?:is|'s) free(?: of charge)?\b|\bvisit\b[^.!?]{0,120}\bexhibitions?\s+for\s+free\b)"
+FREE_GROUPS = r"(?i)\b(?:children?|kids?|infants?|youths?|students?|seniors?|members?|residents?|locals?|citizens?|cardholders?|disabled|teachers?|educators?|under\s+\d+|aged?\s+\d+|ages?\s+\d+|city\s+card)\b"
+FREE_TAIL = r"\s*(?:only\b|except\b|unless\b|if\b|when\b|with\b|on\b|during\b|before\b|after\b|for\s+(?!all\b))"
+FREE_BEFORE = r"\b(?:only|except|unless)\b"
+
+
+def free_admission(c: Column, groups: str = FREE_GROUPS) -> Column:
+    """Whether some sentence calls admission free for all: it names no group, and of its phrases one has no condition
+    after it and no only, except or unless before it. Null texts do not."""
+    free = rf"(?is)^(?:(?!{FREE_BEFORE}).)*?{FREE}(?!{FREE_TAIL})"
+    return F.coalesce(F.exists(F.split(c, "[.!?]"), lambda s: s.rlike(free) & ~s.rlike(groups)), F.lit(False))
+
+
+#: Wording of tours that are free or paid by tips, and the most that a booking fee of one may be.
+TIP_TOUR = (
+    r"(?i)\bfree(?:\s+of\s+charge)?[-\s]+(?:(?:guided|city|sightseeing|historical|essential)\s+)*(?:walking\s+)?tour\b|\bpay[-\s]+what[-\s]+you[-\s]+(?:like|want|wish|think)\b|\bfreedom\s+to\s+pay\s+what\s+you\s+(?:like|want|wish|think)\b"
+    r"|\bdecide\s+how\s+much\s+to\s+pay\s+(?:the\s+)?guide\b|\btip\s+(?:the\s+)?guides?\s+as\s+(?:little|much)\s+or\s+(?:as\s+)?(?:little|much)\s+as\s+you\s+(?:like|want|wish)\b"
+)
+BOOKING_FEE_LIMITS = {"USD": 20, "EUR": 20, "GBP": 20, "AUD": 30, "CAD": 30, "HUF": 7500}
+
+
+def named_scope(c: Column) -> Column:
+    """The scope that a text names itself: booking-fee or deposit."""
+    return F.when(c.rlike(r"(?i)\b(?:booking|reservation|service)\s+fee\b"), "booking-fee").when(c.rlike(r"(?i)\bdeposit\b"), "deposit")
+
+
+def charge_scope(package: Column, activity: Column, currency_: Column, amount_: Column) -> Column:
+    """The scope of a charge: as the package's text names it, else the activity's; else a booking fee where the tour is
+    free or paid by tips and the charge is small for its currency; else ''."""
+    most = F.create_map(*(F.lit(x) for kv in BOOKING_FEE_LIMITS.items() for x in kv))
+    both = F.concat_ws(" ", activity, package)
+    small = (amount_ > 0) & (amount_ <= F.try_element_at(most, currency_))
+    tips = both.rlike(r"(?i)\b(?:tour|walking)\b") & both.rlike(TIP_TOUR)
+    return F.coalesce(named_scope(package), named_scope(activity), F.when(tips & small, "booking-fee"), F.lit(""))
+
+
+def sentences(c: Column, marks: str = ".!?") -> Column:
     """Sentences, cut after end marks and at line ends."""
-    return F.filter(F.transform(F.split(F.regexp_replace(c, r"([.!?])\s+", "$1\n"), "\n"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.regexp_replace(c, rf"([{marks}])\s+", "$1\n"), "\n"), F.trim), lambda x: x != "")
 
 
-def availability(c: Column) -> Column:
-    """The first state whose wording a text has; "closed now" is no state."""
-    text = F.lower(c)
-    return (
-        F.when(text.rlike(r"sold[ -]?out|fully booked"), "sold-out")
-        .when(text.rlike(r"(temporarily|permanently) closed|closed until|(is|are|remains) closed"), "closed")
-        .when(text.rlike(r"unavailable|not bookable|no availability|not available"), "unavailable")
-        .when(text.rlike(r"(select|choose|pick|change) (a |your |another )?date|check availability"), "date-required")
-    )
+#: States of availability and their wording, in the order in which they are tried.
+STATES = {
+    "sold-out": r"\bsold[\s-]*out\b",
+    "closed": r"\b(?:temporarily|permanently)\s+closed\b|\bclosed\s+until\b|\b(?:is|are|remains?)\s+closed\b",
+    "unavailable": r"\bunavailable\b|\bnot\s+(?:currently\s+)?available\b|\bno\s+availability\b|\bnot\s+bookable\b|\bbookings?\s+(?:are\s+)?closed\b",
+    "date-required": r"\b(?:select|choose|pick|change)\s+(?:(?:a|the|your)\s+)?date\b|\bcheck\s+availability\b",
+}
+
+
+def availability(c: Column, with_closed: bool = True) -> Column:
+    """The first state whose wording a text has; with "closed now", a state of the day, nothing is closed."""
+    out = F.lit(None).cast("string")
+    for state, pattern in reversed(STATES.items()):
+        test = c.rlike(f"(?i){pattern}")
+        if state == "closed":
+            test = test & ~c.rlike(r"(?i)\bclosed\s+now\b") if with_closed else F.lit(False)
+        out = F.when(test, state).otherwise(out)
+    return out
+
+
+def package_availability(raw: Column, own: Column, bookable: Column) -> Column:
+    """A package's state from its whole text without its own titles and descriptions (own: array): a negative one, else
+    available if it is bookable or asks to book, else unknown."""
+    rest = F.aggregate(F.filter(own, lambda x: x != ""), raw, lambda text, x: F.replace(text, x, F.lit(" ")))
+    state = availability(rest, with_closed=False)
+    return F.when(state.isin("sold-out", "unavailable"), state).when(bookable | raw.rlike(r"(?i)\b(?:reserve|book)\s+now\b"), "available").otherwise("unknown")
+
+
+def closed_for_long(c: Column) -> Column:
+    """Only a permanent or temporary closure; "closed now" is a state of the day."""
+    return F.coalesce(c.rlike(r"(?i)\b(?:permanently|temporarily)\s+closed\b"), F.lit(False))
+
+
+def slug(c: Column) -> Column:
+    """Small ASCII letters and digits with single hyphens; accents are dropped."""
+    return F.regexp_replace(F.regexp_replace(F.lower(nfkd_ascii(c)), "[^a-z0-9]+", "-"), "^-+|-+$", "")
 
 
 def clipped(c: Column, limit: int) -> Column:

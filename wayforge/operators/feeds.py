@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wayforge.operators.ranking import positioned
+
 PAGE, MIN_UNIQUE, MAX_PAGES, TAIL, KEEPERS = 30, 90, 20, 10, 2
 
 
-def paged(df: DataFrame, feed: str, *order, size: int = PAGE, pages: int = MAX_PAGES) -> DataFrame:
-    """Rows of each feed with pos (from 1) and page (from 0), up to the page cap."""
-    w = Window.partitionBy(feed).orderBy(*order)
-    return df.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= size * pages).withColumn("page", F.floor((F.col("pos") - 1) / size).cast("long"))
+def paged(df: DataFrame, feed: str, *order, size: int = PAGE) -> DataFrame:
+    """Rows of each feed with pos (from 1) and page (from 0), all of them; no task sees a whole feed."""
+    return positioned(df, list(order), (feed,)).withColumnRenamed("position", "pos").withColumn("page", F.floor((F.col("pos") - 1) / size).cast("long"))
 
 
 def feed_rank(pages: DataFrame, feed: str, identity: str, size: int = PAGE) -> DataFrame:

@@ -7,6 +7,8 @@ import functools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wayforge.session import work_path
+
 
 def bayes_score(rating: Column, reviews: Column, prior_weight: int = 50, prior_mean: float = 4.0) -> Column:
     """Rating pulled to the prior by few reviews; 0 without a rating, and a null count is 0."""
@@ -38,16 +40,33 @@ def grouped_in_order(df: DataFrame, group: str, order: DataFrame, name: str) ->
     return df.groupBy(group).agg(F.count("*").alias("n"), F.min(name).alias("first_name")).join(F.broadcast(order), group).select(group, "ordinal", "n", "first_name")
 
 
-def batched(df: DataFrame, size: int, *order) -> DataFrame:
-    """Rows in order with batch = position div size.
+def positioned(df: DataFrame, order: list, within: tuple[str, ...] = ()) -> DataFrame:
+    """df with ``position`` (from 1) in the order, or inside each group of ``within``; the order must be a total one.
+
+    The rows are written range by range to the shared folder, each with the number of its range; positions are the
+    rank in the range plus the rows before it, so no task sees all rows, or all of a group. Writing first makes sure that
+    ranges are cut once only."""
+    spark = df.sparkSession
+    keys = [*(F.col(c) for c in within), *order]
+    path = work_path(spark, "ranges")
+    spread = df.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id())
+    spread.write.parquet(path)
+    rows = spark.read.schema(spread.schema).parquet(path)
+    group = Window.partitionBy(*within) if within else Window
+    counts = rows.groupBy("_range", *within).agg(F.count("*").alias("_n"))  # a row for each range and group in it
+    before = counts.select(F.col("_range").alias("_r"), *(F.col(c).alias(f"_w{i}") for i, c in enumerate(within)), F.coalesce(F.sum("_n").over(group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    inside = rows.withColumn("_rn", F.row_number().over(Window.partitionBy("_range", *within).orderBy(*order)))
+    same = functools.reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_w{i}")) for i, c in enumerate(within)], F.col("_range") == F.col("_r"))
+    return inside.join(before, same).select(*df.columns, (F.col("_rn") + F.col("_before")).cast("long").alias("position"))
 
-    Positions come from sums over range partitions, so no task sees all rows."""
-    spread = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
-    return _positions(spread, "_part", *order).withColumn("batch", F.floor((F.col("position") - 1) / size).cast("long"))
+
+def batched(df: DataFrame, size: int, *order) -> DataFrame:
+    """df with position (from 1) in the order and batch = (position - 1) div size."""
+    return positioned(df, list(order)).withColumn("batch", F.floor((F.col("position") - 1) / size).cast("long"))
 
 
-def _positions(spread: DataFrame, part: str, *order) -> DataFrame:
-    counts = spread.groupBy(part).agg(F.count("*").alias("_n"))
-    before = counts.select(part, F.coalesce(F.sum("_n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy(part).orderBy(*order))
-    return spread.withColumn("_rn", inside).join(F.broadcast(before), part).withColumn("position", (F.col("_rn") + F.col("_before")).cast("long")).drop("_rn", "_before", part)
+def sort_modes(df: DataFrame, group: str, modes: dict[str, list]) -> DataFrame:
+    """df with a column for each mode: the place of a row in its group in that order."""
+    for name, order in modes.items():
+        df = positioned(df, order, (group,)).withColumnRenamed("position", name)
+    return df

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -26,14 +26,19 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
     return spark
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or the context's checkpoint folder (tests).
 
-
-def work_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share: spark.checkpoint.dir, or a local one where it is unset."""
+    Where neither is set, only a local master may take a folder of its own; on a cluster executors would not see it."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/wayforge/{name}-{uuid.uuid4().hex[:12]}"
+    return root.rstrip("/")
+
+
+def work_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/wayforge/{name}-{uuid.uuid4().hex[:12]}"
