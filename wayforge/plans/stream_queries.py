@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wayforge.plans.registry import query, read
@@ -21,8 +22,9 @@ def events(spark, d, stream: bool = True):
 @query(f"SELECT user_id, {WHOLE} % 20 AS place, arg_max({WHOLE} % 6, (ts, event_id)) AS rating, max(event_id) FILTER (k = 1) AS event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, {WHOLE} % 20 ORDER BY ts DESC, event_id DESC) AS k FROM events) GROUP BY 1, 2")
 def lww_state(spark, d):
     """O-ST1."""
-    state = picks.last_write_wins(events(spark, d).select("user_id", "place", "rating", "ts", "event_id"), ["user_id", "place"], ["ts", "event_id"])
-    return picks.newest(picks.drain(state, "update", "lww"), ["user_id", "place"]).select("user_id", "place", "rating", "event_id")
+    parts = picks.arrivals(events(spark, d, stream=False).select("user_id", "place", "rating", "ts", "event_id"), "ts")
+    plan = lambda stream: picks.last_write_wins(stream, ["user_id", "place"], ["ts", "event_id"])
+    return picks.newest(picks.drain_arrivals(parts, plan, "update", "lww"), ["user_id", "place"]).select("user_id", "place", "rating", "event_id")
 
 
 @query(f"""WITH e AS (SELECT user_id, {WHOLE} % 20 AS place, {WHOLE} % 6 AS rating, CASE WHEN event_id % 4 = 0 THEN event_id ELSE -1 END AS seq, event_id FROM events),
@@ -57,14 +59,20 @@ def echo_dedupe(spark, d):
     return picks.drain(picks.without_echoes(e, "id", "ts", "60 days").select("id"), "append", "echo").select("id")
 
 
-@query(f"""WITH e AS (SELECT user_id AS key, CASE event_type WHEN 'click' THEN 'edit' WHEN 'view' THEN 'edit' WHEN 'purchase' THEN 'confirm' WHEN 'error' THEN 'fail' END AS kind, {WHOLE} AS value, ts, event_id FROM events WHERE event_type <> 'signup'),
-    n AS (SELECT *, first_value(CASE WHEN kind <> 'edit' THEN kind END IGNORE NULLS) OVER (PARTITION BY key ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next FROM e)
-    SELECT k.key, arg_max(value, (ts, event_id)) FILTER (kind = 'edit' AND next = 'confirm') AS confirmed, arg_max(value, (ts, event_id)) FILTER (kind = 'edit' AND (next = 'confirm' OR next IS NULL)) AS visible FROM (SELECT DISTINCT key FROM e) k JOIN n USING (key) GROUP BY 1""")
+@query(f"""WITH e AS (SELECT user_id AS key, event_id, ts, event_type AS t, {WHOLE} AS value, CASE WHEN event_type IN ('click', 'view') THEN event_id END AS own FROM events),
+    r AS (SELECT *, CASE WHEN own IS NOT NULL THEN own WHEN t = 'signup' THEN first_value(own IGNORE NULLS) OVER w ELSE last_value(own IGNORE NULLS) OVER w END AS ref FROM e WINDOW w AS (PARTITION BY key ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+    s AS (SELECT key, ref, arg_min(t, (ts, event_id)) AS how, min((ts, event_id)) AS settled FROM r WHERE own IS NULL AND ref IS NOT NULL GROUP BY 1, 2),
+    m AS (SELECT r.key, r.value, (r.ts, r.event_id) AS made, how, settled FROM r LEFT JOIN s ON s.key = r.key AND s.ref = r.own WHERE own IS NOT NULL),
+    a AS (SELECT key, arg_max(value, settled) FILTER (how = 'purchase') AS confirmed, arg_max(value, made) FILTER (how IS NULL) AS newest, count(*) FILTER (how IS NULL) AS waiting FROM m GROUP BY 1)
+    SELECT k.key, confirmed, coalesce(newest, confirmed) AS visible, coalesce(waiting, 0) AS waiting FROM (SELECT DISTINCT key FROM e) k LEFT JOIN a USING (key)""")
 def rollback(spark, d):
-    """O-ST5: failed writes fall back to the confirmed value."""
-    kind = F.when(F.col("event_type").isin("click", "view"), "edit").when(F.col("event_type") == "purchase", "confirm").when(F.col("event_type") == "error", "fail")
-    e = events(spark, d).where("event_type <> 'signup'").select(F.col("user_id").alias("key"), kind.alias("kind"), F.col("whole").alias("value"), "ts", "event_id")
-    return picks.newest(picks.drain(picks.rollback(e), "update", "rollback"), ["key"])
+    """O-ST5: purchases confirm the last edit, errors fail it, sign-ups fail the first one; in three batches of arrivals."""
+    own = F.when(F.col("event_type").isin("click", "view"), F.col("event_id"))
+    kind = F.when(own.isNotNull(), "edit").when(F.col("event_type") == "purchase", "confirm").otherwise("fail")
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ref = F.when(own.isNotNull(), own).when(F.col("event_type") == "signup", F.first(own, True).over(w)).otherwise(F.last(own, True).over(w))
+    e = events(spark, d, stream=False).select(F.col("user_id").alias("key"), kind.alias("kind"), ref.alias("mutation"), F.col("whole").alias("value"), "ts", "event_id")
+    return picks.newest(picks.drain_arrivals(picks.arrivals(e, "ts"), picks.rollback, "update", "rollback"), ["key"])
 
 
 @query(f"""WITH c AS (SELECT event_id AS id, user_id AS writer, CASE WHEN event_id % 3 = 0 THEN user_id ELSE {WHOLE} % 40 END AS owner, {WHOLE} % 20 AS place FROM events),
@@ -82,11 +90,11 @@ def admission(spark, d):
     return picks.drain(out, "append", "admission").drop("epoch")
 
 
-@query("SELECT user_id, max(CAST(event_id AS VARCHAR)) AS hash FROM events GROUP BY 1")
+@query("SELECT user_id, arg_max(md5(event_type), (ts, event_id)) AS hash FROM events GROUP BY 1")
 def watch_increment(spark, d):
-    """O-ST8: the incremental cycle, batch by batch, until nothing is left."""
-    e = events(spark, d).select("user_id", F.col("event_id").cast("string").alias("hash"))
-    done = picks.watch(spark, e, lambda df: df, "user_id", "hash", "watch")
+    """O-ST8: the incremental cycle over three arrivals; the newest result of each key."""
+    e = events(spark, d, stream=False).select("user_id", F.md5("event_type").alias("hash"), F.struct("ts", "event_id").alias("at_"), "ts")
+    done = picks.watch(picks.arrivals(e, "ts"), lambda df: df, "user_id", "hash", "at_", "watch")
     return done.groupBy("user_id").agg(F.max_by("hash", "at").alias("hash"))
 
 

@@ -23,15 +23,40 @@ def file_stream(spark: SparkSession, path: str, schema, files: int = 1) -> DataF
 
 def drain(stream: DataFrame, mode: str, name: str) -> DataFrame:
     """Runs a stream over what is there now; returns its batches' rows with ``epoch``."""
-    spark = stream.sparkSession
-    root = work_path(spark, name)
+    root = work_path(stream.sparkSession, name)
+    _run(stream, mode, root)
+    return _drained(stream, root)
+
 
+def _run(stream: DataFrame, mode: str, root: str) -> None:
     def write(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/rows/epoch={epoch}")
 
-    query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).foreachBatch(write).start()
-    query.awaitTermination()
-    return spark.read.schema(StructType([*stream.schema.fields, StructField("epoch", IntegerType())])).parquet(f"{root}/rows")
+    stream.writeStream.outputMode(mode).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
+
+
+def _drained(stream: DataFrame, root: str) -> DataFrame:
+    return stream.sparkSession.read.schema(StructType([*stream.schema.fields, StructField("epoch", IntegerType())])).parquet(f"{root}/rows")
+
+
+def arrivals(table: DataFrame, at: str, batches: int = 3) -> list[DataFrame]:
+    """The table in so many parts in order of time, about equally large."""
+    cuts = table.agg(F.percentile_approx(at, [i / batches for i in range(1, batches)])).first()[0] or []
+    edges = [None, *cuts, None]
+    after = lambda x: F.lit(True) if x is None else F.col(at) > x
+    until = lambda x: F.lit(True) if x is None else F.col(at) <= x
+    return [table.where(after(x) & until(y)) for x, y in zip(edges[:-1], edges[1:])]
+
+
+def drain_arrivals(parts: list[DataFrame], plan: Callable[[DataFrame], DataFrame], mode: str, name: str) -> DataFrame:
+    """Each part arrives in a folder and is then a micro-batch of plan's stream, whose state goes on; rows with ``epoch``."""
+    spark = parts[0].sparkSession
+    root = work_path(spark, name)
+    for part in parts:
+        part.write.mode("append").parquet(f"{root}/source")
+        stream = plan(spark.readStream.schema(part.schema).parquet(f"{root}/source"))
+        _run(stream, mode, root)
+    return _drained(stream, root)
 
 
 def newest(rows: DataFrame, key: list[str]) -> DataFrame:
@@ -72,30 +97,42 @@ def without_echoes(events: DataFrame, id_: str, at: str, delay: str = "1 day") -
     return events.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, delay).dropDuplicatesWithinWatermark([id_])
 
 
-STATE = "confirmed long, pending array<long>"
-VISIBLE = "key long, confirmed long, visible long"
+STATE = "confirmed long, ids array<long>, pending array<long>"
+VISIBLE = "key long, confirmed long, visible long, waiting long"
 
 
 def _edits(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    """Edits wait until a confirmation keeps the last of them or a failure drops them all."""
-    confirmed, pending = state.get if state.exists else (None, [])
-    pending = list(pending)
-    for kind, value in pd.concat(list(frames)).sort_values(["ts", "event_id"])[["kind", "value"]].itertuples(index=False):
+    """Each edit waits under its id until it is confirmed or fails, which touches it alone; an id that is not waiting (an
+    echo that comes twice, a failure after a confirmation) changes nothing."""
+    confirmed, ids, values = state.get if state.exists else (None, [], [])
+    waiting = dict(zip(ids, values))
+    for kind, mutation, value in pd.concat(list(frames)).sort_values(["ts", "event_id"])[["kind", "mutation", "value"]].itertuples(index=False):
         if kind == "edit":
-            pending.append(int(value))
-        elif kind == "confirm" and pending:
-            confirmed, pending = pending[-1], []
-        elif kind == "fail":
-            pending = []
-    state.update((confirmed, pending))
-    yield pd.DataFrame({"key": [key[0]], "confirmed": pd.array([confirmed], dtype="Int64"), "visible": pd.array([pending[-1] if pending else confirmed], dtype="Int64")})
+            waiting[int(mutation)] = int(value)
+        elif pd.notna(mutation) and int(mutation) in waiting:
+            value = waiting.pop(int(mutation))
+            if kind == "confirm":
+                confirmed = value
+    state.update((confirmed, list(waiting), list(waiting.values())))
+    visible = next(reversed(waiting.values())) if waiting else confirmed
+    yield pd.DataFrame({"key": [key[0]], "confirmed": pd.array([confirmed], dtype="Int64"), "visible": pd.array([visible], dtype="Int64"), "waiting": [len(waiting)]})
 
 
 def rollback(events: DataFrame) -> DataFrame:
-    """(key, confirmed, visible) from events (key, kind edit, confirm or fail, value, ts, event_id)."""
+    """(key, confirmed, visible, waiting) from events (key, kind edit, confirm or fail, mutation, value, ts, event_id).
+
+    A failed edit goes alone, newer ones stay visible; when none waits any more, the last confirmed value is shown. The
+    state of a key holds its waiting edits."""
     return events.groupBy("key").applyInPandasWithState(_edits, VISIBLE, STATE, "update", "NoTimeout")
 
 
+def review_states(reviews: DataFrame, now: DataFrame, group: str) -> DataFrame:
+    """reviews (a stream or a table with group and seen, the digest that was reviewed) with ``state`` against the current
+    digests (group, digest): never, reviewed or again."""
+    state = F.when(F.col("seen").isNull(), "never").when(F.col("seen") == F.col("digest"), "reviewed").otherwise("again")
+    return reviews.join(now.select(group, "digest"), group, "left").withColumn("state", state).drop("digest")
+
+
 def admitted(changes: DataFrame, members: DataFrame, admins: DataFrame, owners: DataFrame) -> DataFrame:
     """changes (id, writer, owner, place) with ``verdict``.
 
@@ -114,23 +151,34 @@ def admitted(changes: DataFrame, members: DataFrame, admins: DataFrame, owners:
     return out.select("id", "writer", "owner", "place", verdict.alias("verdict"))
 
 
-def watch(spark: SparkSession, arrivals: DataFrame, work: Callable[[DataFrame], DataFrame], key: str, hash_: str, name: str) -> DataFrame:
-    """Repeats the incremental cycle on each batch of arrivals: only keys that are new or whose hash changed are worked on.
+def watch(parts: list[DataFrame], work: Callable[[DataFrame], DataFrame], key: str, hash_: str, order: str, name: str) -> DataFrame:
+    """Repeats the incremental cycle on each part that arrives: only keys that are new, or whose newest hash (by order)
+    changed, are worked on. Results have ``at``, the batch.
 
-    Results go to one folder a batch; the stored hashes are those of earlier batches."""
+    The stored hashes are one table a batch, made of the last one's and the batch's, so a batch reads one table; the
+    one before the last is deleted."""
     from wayforge.operators.worksets import stale_keys
 
+    spark = parts[0].sparkSession
     root = work_path(spark, name)
 
     def step(batch: DataFrame, epoch: int) -> None:
-        current = batch.groupBy(key).agg(F.max(hash_).alias(hash_))
+        current = batch.groupBy(key).agg(F.max_by(hash_, order).alias(hash_))
         if epoch:
-            done = spark.read.parquet(*[f"{root}/done/epoch={e}" for e in range(epoch)]).groupBy(key).agg(F.max_by(hash_, "at").alias(hash_))
-            current = current.join(stale_keys(current, done, key, hash_).select(key), key, "left_semi")
-        work(current).withColumn("at", F.lit(epoch)).write.mode("overwrite").parquet(f"{root}/done/epoch={epoch}")
-
-    query = arrivals.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).foreachBatch(step).start()
-    query.awaitTermination()
+            stored = spark.read.parquet(f"{root}/stored/epoch={epoch - 1}")
+            todo = current.join(stale_keys(current, stored, key, hash_).select(key), key, "left_semi")
+            then = stored.join(current, key, "left_anti").unionByName(current)
+        else:
+            todo = then = current
+        work(todo).withColumn("at", F.lit(epoch)).write.mode("overwrite").parquet(f"{root}/done/epoch={epoch}")
+        then.write.mode("overwrite").parquet(f"{root}/stored/epoch={epoch}")
+        old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/stored/epoch={epoch - 2}")
+        old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+
+    for part in parts:
+        part.write.mode("append").parquet(f"{root}/source")
+        stream = spark.readStream.schema(part.schema).parquet(f"{root}/source")
+        stream.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).foreachBatch(step).start().awaitTermination()
     return spark.read.parquet(f"{root}/done")
 
 
