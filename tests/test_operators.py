@@ -1,5 +1,6 @@
 """Small cases of the operators' exact rules."""
 
+import random
 from decimal import Decimal
 
 from hypothesis import given, settings
@@ -17,11 +18,21 @@ def amounts(spark, tokens):
 
 
 def test_money(spark):
-    assert amounts(spark, ["€34,97", "1.234,56 €", "A$ 42.50", "€1.23.4", "CA$ 5", "¥1,200", "Ft 20.000", "20 500 Ft"]) == [
+    assert amounts(spark, ["€34,97", "1.234,56 €", "A$ 42.50", "€1.23.4", "CA$ 5", "¥1,200", "Ft 20.000", "20 500 Ft", "USD 45", "12 EUR", "NZD 50", "US$ 9.99", "C$7", "5\u00a0000 €", "$123456789012345678901"]) == [
         ("EUR", Decimal("34.97")), ("EUR", Decimal("1234.56")), ("AUD", Decimal("42.50")), ("EUR", None), ("CAD", Decimal("5.00")), ("JPY", Decimal("1200.00")), ("HUF", Decimal("20000.00")), ("HUF", Decimal("20500.00")),
+        ("USD", Decimal("45.00")), ("EUR", Decimal("12.00")), ("NZD", Decimal("50.00")), ("USD", Decimal("9.99")), ("CAD", Decimal("7.00")), ("EUR", Decimal("5000.00")), ("USD", None),
     ]
 
 
+def test_money_inside_sentences(spark):
+    texts = {
+        "It costs 3 500 Ft or 12 EUR.": ["3 500 Ft", "12 EUR"], "From HUF 3500, then 5 000 € more": ["HUF 3500", "5 000 €"], "In 2020 500 Ft was much": ["500 Ft"], "USD45 and A$ 42.50": ["USD45", "A$ 42.50"],
+        "Room 12 Europe, 7 softs, 3.5 stars": [], "€1.234,56 for 2": ["€1.234,56"],
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.money_mentions(F.col("t")).alias("m"))
+    assert {r.t: r.m for r in df.collect()} == texts
+
+
 @settings(max_examples=15, deadline=None)
 @given(st.lists(st.integers(0, 10**7), min_size=1, max_size=30))
 def test_money_round_trip(cents):
@@ -50,9 +61,17 @@ def test_score_without_rating_or_reviews(spark):
 
 
 def test_aliases(spark):
-    old = spark.createDataFrame([("x", "one", 1), ("x", "two", 2), ("x", "two", 3), ("x", "gone", 9)], "city string, name string, id long")
-    new = spark.createDataFrame([("x", "one", 5), ("x", "two", 7), ("x", "two", 8)], "city string, name string, id long")
-    assert {r.alias: (r.owner, r.how) for r in matching.alias_owners(old, new).collect()} == {1: (5, "name"), 2: (7, "order"), 3: (8, "order"), 9: (9, "self")}
+    """A corrected address with the same name keeps the old key; the name beats a kept identity; titles that occur twice pair
+    in order of ids; the first snapshot that claims a key keeps it; explicit targets come last."""
+    schema = "city string, name string, id long, aliases array<string>"
+    first = spark.createDataFrame([("x", "one", 1, ["old one"]), ("x", "two", 2, []), ("x", "two", 3, []), ("x", "gone", 9, None)], schema)
+    second = spark.createDataFrame([("x", "one", 4, ["old one", "later"]), ("x", "two", 7, ["kept"]), ("x", "fixed", 6, ["told", "lost"])], schema)
+    new = spark.createDataFrame([("x", "one", 5), ("x", "two", 7), ("x", "two", 8), ("x", "other", 6)], "city string, name string, id long")
+    explicit = spark.createDataFrame([("told", 8), ("lost", 404)], "alias string, target long")
+    got = {r.alias: (r.owner, r.how, r.snapshot) for r in matching.alias_owners([first, second], new, explicit).collect()}
+    assert got == {
+        "old one": (5, "name", 1), "x|one": (5, "name", 1), "x|two": (7, "order", 1), "x|two#3": (8, "order", 1), "x|gone": (9, "self", 1), "later": (5, "name", 2), "kept": (7, "identity", 2), "told": (8, "explicit", 2), "lost": (6, "self", 2), "x|fixed": (6, "self", 2),
+    }
 
 
 def test_containment_guards(spark):
@@ -61,6 +80,151 @@ def test_containment_guards(spark):
     assert {r.id: r.orig for r in matching.guarded_containment(new, old).collect()} == {1: "Museum of Fine Arts", 4: "Old castle"}
 
 
+def test_containment_equals_comparing_all(spark):
+    rng = random.Random(3)
+    words = ["old", "castle", "river", "museum", "north", "tour", "gallery", "an", "of"]
+    name = lambda: " ".join(rng.choice(words) for _ in range(rng.randrange(1, 6)))
+    new = [(i, name(), rng.choice("ve")) for i in range(150)]
+    old = [(f"o{i}", name(), i, rng.choice("ve"), i % 9 == 0) for i in range(90)]
+    old += [("part", "d castle river m", 200, "v", False)]  # begins and ends inside words
+    good = lambda x: len(x) >= 13 and len(x.split()) >= 2
+    want = {}
+    for i, a, k in new:
+        hits = [(o, orig) for orig, b, o, kb, generic in old if a == b or (not generic and k == kb and ((b in a and good(b)) or (a in b and good(a))))]
+        if hits:
+            want[i] = min(hits)
+    got = matching.guarded_containment(spark.createDataFrame(new, "id long, norm string, kind string"), spark.createDataFrame(old, "orig string, norm string, ordinal int, kind string, is_generic boolean"))
+    assert {r.id: (r.ordinal, r.orig) for r in got.collect()} == want
+
+
+def test_positions_on_many_partitions_of_wide_rows(spark):
+    """Every row comes back once, at its own place, whatever the ranges; also inside groups of which one is very large."""
+    n = 60_000
+    rows = spark.range(n).select(F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("k"), "id", F.repeat(F.lit("x"), 50).alias("wide"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7)).alias("g"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128k")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        got = ranking.batched(rows, 8, F.col("k"), F.col("id")).toPandas()
+        inside = ranking.positioned(rows, [F.desc("k"), F.col("id")], ("g",)).toPandas()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(got) == n and sorted(got["position"]) == list(range(1, n + 1)) and got.columns.tolist() == ["k", "id", "wide", "g", "position", "batch"]
+    got = got.sort_values("position")
+    assert (got["k"].diff().dropna() >= 0).all() and (got["batch"] == (got["position"] - 1) // 8).all()
+    assert len(inside) == n
+    for _, part in inside.groupby("g"):
+        part = part.sort_values("position")
+        assert part["position"].tolist() == list(range(1, len(part) + 1)) and (part["k"].diff().dropna() <= 0).all()
+
+
+def test_partitions_without_new_rows_are_replaced_too(spark):
+    old = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "v int, city string")
+    new = spark.createDataFrame([(9, "x")], "v int, city string")
+    chosen = spark.createDataFrame([("x",), ("y",)], "city string")
+    assert sorted((r.v, r.city) for r in worksets.replace_partitions(old, new, "city", chosen).collect()) == [(3, "z"), (9, "x")]
+
+
+def test_free_admission(spark):
+    cases = {
+        "Free admission.": True, "General admission is free. Bring shoes.": True, "Free entry for children.": False, "Free admission only today": False, "Only here entry is free.": False, "Entry is free with a ticket": False, "Free entry for all": True, "No entry fees!": True,
+        "Free admission on Mondays. Otherwise there are no admission fees": True, "Visit the new and old exhibitions for free": True, "Feel free to enter": True, "Seniors pay. Free to enter.": True, "Admission is free for under 6": False, None: False,
+    }
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "i int, t string").select("i", T.free_admission(F.col("t")).alias("f"))
+    assert [r.f for r in df.orderBy("i").collect()] == list(cases.values())
+
+
+def test_charge_scopes(spark):
+    rows = [("Pay a booking fee", "A deposit is due", "EUR", 50.0, "booking-fee"), (None, "A deposit is due", "EUR", 5.0, "deposit"), ("Tour", "A free walking tour of the town", "EUR", 3.0, "booking-fee"), ("Tour", "A free walking tour of the town", "EUR", 21.0, ""), ("Tour", "Pay what you like walking", "HUF", 7500.0, "booking-fee"), ("Tour", "A walking tour", "EUR", 3.0, ""), (None, None, "EUR", 3.0, ""), ("Tour", "free tour", "JPY", 3.0, "")]
+    df = spark.createDataFrame(rows, "p string, a string, c string, n double, want string").select("want", T.charge_scope(F.col("p"), F.col("a"), F.col("c"), F.col("n")).alias("got"))
+    assert all(r.want == r.got for r in df.collect())
+
+
+def test_hygiene_one_fault_one_code(spark):
+    from wayforge.operators import textjobs
+
+    cases = {"fine text.\nTwo lines\tand a tab": None, "bell \x07": "text-control", "x\ufffdy": "text-replacement", "a\ufff9b": "text-interlinear", "e\u0301": "text-nfc", "two  blanks": "text-space", " lead": "text-space", "trail\n": "text-space", None: None}
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "i int, t string")
+    got = {r.i: r.code for r in textjobs.issues(df, "i", textjobs.hygiene_rules(F.col("t"))).collect()}
+    assert got == {i: c for i, c in enumerate(cases.values()) if c}
+
+
+def test_package_words_do_not_make_it_unavailable(spark):
+    rows = [("Sold out stories tour. Reserve now", ["Sold out stories tour"], False, "available"), ("Tour. Sold out", ["Tour"], True, "sold-out"), ("Tour closed until May", ["Tour"], False, "unknown"), ("Tour", ["Tour", ""], True, "available")]
+    df = spark.createDataFrame(rows, "raw string, own array<string>, b boolean, want string").select("want", T.package_availability(F.col("raw"), F.col("own"), F.col("b")).alias("got"))
+    assert all(r.want == r.got for r in df.collect())
+
+
+FACTS = "key string, base double, status string, availability string, reason string, source string, message string, is_product boolean, free boolean"
+PACKS = "key string, ord long, name string, availability string, unit_price decimal(18,2), total_price decimal(18,2), unit string"
+
+
+def test_price_states_in_turn(spark):
+    facts = [
+        ("closed", 9.0, "unavailable", "unavailable", None, None, None, True, True), ("based", 9.0, "", "available", None, None, None, True, False), ("zero", 0.0, "", "available", None, None, None, True, False), ("failed", None, "unavailable", "unknown", "pax_failed", None, None, True, False),
+        ("floor", 9.0, "unavailable", "unavailable", None, "graphql:paxMix", None, True, False), ("packed", None, "", "available", None, None, None, False, False), ("free", None, "", "available", None, None, None, False, True), ("none", None, "", "available", None, None, None, False, False), ("said", None, "free", "available", None, None, None, True, False),
+        ("told", None, "", "unknown", None, None, "The package lookup for this day failed", False, False),
+    ]
+    packs = [("closed", 0, "a", None, None, None, None), ("closed", 1, "b", "sold-out", Decimal(5), None, "adult"), ("packed", 0, "c", "", None, Decimal(7), "adult"), ("none", 0, "d", "available", None, None, None), ("failed", 0, "e", "closed", Decimal(3), None, "adult"), ("free", 0, "f", None, None, None, None)]
+    states, shown = pricing.price_states(spark.createDataFrame(facts, FACTS), spark.createDataFrame(packs, PACKS), "key")
+    assert {r.key: (r.state, r.failed) for r in states.collect()} == {
+        "closed": ("unavailable", False), "based": ("priced", False), "zero": ("date-required", False), "failed": ("date-required", True), "floor": ("priced", True), "packed": ("priced", False), "free": ("free", False), "none": ("not-published", False), "said": ("free", False), "told": ("date-required", True),
+    }
+    got = {(r.key, r.ord, r.availability, r.kind, r.unit) for r in shown.collect()}
+    assert got == {("closed", 0, "unavailable", "date-required", None), ("closed", 1, "sold-out", "exact", "adult"), ("packed", 0, "available", "exact", "group"), ("failed", 0, "unavailable", "exact", "adult"), ("free", -1, "available", "free", None), ("free", 0, "date-required", "date-required", None), ("said", -1, "available", "free", None)}
+
+
+def test_attempted_dates_are_a_prefix(spark):
+    from wayforge.operators import audits
+
+    rows = [("a", 1, True), ("a", 2, True), ("a", 3, False), ("b", 1, False), ("b", 2, True), ("c", 1, False), ("d", 5, True)]
+    got = audits.attempted_prefix(spark.createDataFrame(rows, "key string, day int, tried boolean"), "key", "day", "tried")
+    assert {r.key: (r.k, r.is_prefix) for r in got.collect()} == {"a": (2, True), "b": (1, False), "c": (0, True), "d": (1, True)}
+
+
+EDITS = "key long, kind string, mutation long, value long, ts long, event_id long"
+
+
+def edits(*rows):
+    return [(1, kind, m, v, i, i) for i, (kind, m, v) in enumerate(rows)]
+
+
+def shown(spark, rows, batches=3):
+    df = spark.createDataFrame(rows, EDITS)
+    got = picks.newest(picks.drain_arrivals(picks.arrivals(df, "ts", batches), picks.rollback, "update", "t"), ["key"]).collect()
+    return {r.key: (r.confirmed, r.visible, r.waiting) for r in got}
+
+
+def test_a_failed_edit_goes_alone(spark):
+    """Failure A keeps the newer edit B; failure B then restores what was confirmed."""
+    base = [("edit", 1, 10), ("confirm", 1, None), ("edit", 2, 20), ("edit", 3, 30)]
+    assert shown(spark, edits(*base, ("fail", 2, None))) == {1: (10, 30, 1)}
+    assert shown(spark, edits(*base, ("fail", 2, None), ("fail", 3, None))) == {1: (10, 10, 0)}
+    assert shown(spark, edits(*base, ("confirm", 3, None), ("fail", 2, None), ("confirm", 3, None))) == {1: (30, 30, 0)}
+
+
+def test_streams_of_several_batches_equal_the_batch_result(spark):
+    rng = random.Random(9)
+    rows = [(rng.randrange(5), rng.randrange(4), rng.randrange(6), t, t) for t in range(400)]
+    df = spark.createDataFrame(rows, "user_id long, place long, rating long, ts long, event_id long")
+    key = ["user_id", "place"]
+    plan = lambda x: picks.last_write_wins(x, key, ["ts"])
+    out = picks.drain_arrivals(picks.arrivals(df, "ts", 4), plan, "update", "lww")
+    assert out.select("epoch").distinct().count() >= 3
+    assert sorted(map(tuple, picks.newest(out, key).collect())) == sorted(map(tuple, plan(df).collect()))
+    merge = lambda x: picks.merge_fields(x, ["user_id"], ["rating", "note"], "event_id")
+    touched = df.select("user_id", F.when(F.col("ts") % 3 == 0, F.col("rating")).alias("rating"), F.when(F.col("ts") % 4 == 0, F.col("place")).alias("note"), "event_id", "ts")
+    out = picks.drain_arrivals(picks.arrivals(touched, "ts", 4), merge, "update", "fields")
+    assert sorted(map(tuple, picks.newest(out, ["user_id"]).select("user_id", "rating", "note").collect())) == sorted(map(tuple, merge(touched).select("user_id", "rating", "note").collect()))
+
+
+def test_watch_works_on_new_and_changed_keys_alone(spark):
+    rows = [("a", "1", 1), ("b", "1", 2), ("a", "1", 11), ("c", "1", 12), ("b", "2", 13), ("b", "0", 21), ("a", "1", 22)]
+    df = spark.createDataFrame(rows, "key string, hash string, ts long")
+    done = picks.watch([df.where("ts < 10"), df.where("ts between 10 and 20"), df.where("ts > 20")], lambda x: x, "key", "hash", "ts", "watch")
+    assert sorted((r.at, r.key, r.hash) for r in done.collect()) == [(0, "a", "1"), (0, "b", "1"), (1, "b", "2"), (1, "c", "1"), (2, "b", "0")]
+
+
 def test_upsert_keeps_places(spark):
     old = spark.createDataFrame([("a", 1, 1), ("b", 2, 2)], "key string, v int, ordinal long")
     new = spark.createDataFrame([("c", 9, 1), ("a", 7, 2), ("c", 8, 3)], "key string, v int, ordinal long")

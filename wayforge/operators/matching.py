@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import functools
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -12,39 +14,31 @@ def exact_match(new: DataFrame, existing: DataFrame) -> DataFrame:
     return new.join(first, "norm", "left").withColumn("status", F.when(F.col("matched").isNull(), "new").otherwise("dup"))
 
 
-def contains_whole(longer: Column, shorter: Column) -> Column:
-    return F.contains(longer, shorter)
+#: Characters of the runs by which names meet.
+RUN = 5
 
 
 def guarded_containment(new: DataFrame, existing: DataFrame, least_chars: int = 13, least_words: int = 2) -> DataFrame:
     """(id, orig, ordinal): rows whose normal name holds an existing one or is held by it, or equals it; the first existing row wins.
 
     Both have norm and kind; existing has is_generic. The shorter name must be long enough and of several words, and the
-    kinds equal. Candidates meet on a whole word of the shorter name, its rarest among all names, which the longer one
-    must hold as characters of some word; names are compared only then."""
-    a = new.select("id", F.col("norm").alias("a"), F.col("kind").alias("ka"))
-    b = existing.where("not is_generic and norm <> ''").select("orig", "ordinal", F.col("norm").alias("b"), F.col("kind").alias("kb"))
+    kinds equal. Whatever holds a name holds all its runs of five characters; candidates meet on its rarest one, counted
+    among all names, and are compared only then. Equal names are one candidate, whatever their number."""
+    a = new.select(F.col("norm").alias("a"), F.col("kind").alias("ka")).distinct()
+    b = existing.where("not is_generic and norm <> ''").select(F.col("norm").alias("b"), F.col("kind").alias("kb")).distinct()
     good = lambda c: (F.length(c) >= least_chars) & (F.size(F.split(c, " ")) >= least_words)
-    words = a.select(F.col("a").alias("n")).union(b.select(F.col("b").alias("n"))).select(F.explode(F.array_distinct(F.split("n", " "))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
-    inner = lambda df, key, name: (
-        df.where(good(F.col(name))).select(*df.columns, F.explode(F.expr(f"slice(split({name}, ' '), 2, greatest(size(split({name}, ' ')) - 2, 0))")).alias("w"))
-        .join(words, "w").groupBy(*df.columns).agg(F.min_by("w", F.struct("n", "w")).alias("w"))
-    )
-    short = lambda df, name: df.where(good(F.col(name))).where(F.size(F.split(name, " ")) == 2).withColumn("w", F.lit(None).cast("string"))
-    every = lambda df, name: df.withColumn("w", F.explode(F.array_distinct(F.split(name, " "))))
-    held = inner(b, "ordinal", "b").join(every(a, "a"), "w").where(F.contains("a", "b"))
-    holds = inner(a, "id", "a").join(every(b, "b"), "w").where(F.contains("b", "a"))
-    # of two words no one is surely whole in the longer name (it may begin or end within a word), so the middle is the blank:
-    # the first word ends a word there and the second begins the next one
-    ends = lambda df, name: df.withColumn("_words", F.split(name, " ")).withColumn("_pair", F.explode(F.transform(F.sequence(F.lit(0), F.size("_words") - 2), lambda i: F.concat(F.substring(F.get("_words", i), -1, 1), F.lit(" "), F.substring(F.get("_words", i + 1), 1, 1), F.lit("")))))
-    wide = lambda df, name: ends(df.where(F.size(F.split(name, " ")) >= 2), name).drop("_words").dropDuplicates()
-    two_b, two_a = ends(short(b, "b").drop("w"), "b").drop("_words"), ends(short(a, "a").drop("w"), "a").drop("_words")
-    held2 = two_b.join(wide(a, "a"), "_pair").where(F.contains("a", "b"))
-    holds2 = two_a.join(wide(b, "b"), "_pair").where(F.contains("b", "a"))
-    pick = lambda df: df.where("ka = kb").select("id", "orig", "ordinal")
-    same = new.where("norm <> ''").select("id", F.col("norm").alias("a")).join(existing.select("orig", "ordinal", F.col("norm").alias("a")), "a").select("id", "orig", "ordinal")
-    found = pick(held).union(pick(holds)).union(pick(held2)).union(pick(holds2)).union(same)
-    return found.groupBy("id").agg(F.min(F.struct("ordinal", "orig")).alias("m")).select("id", "m.orig", "m.ordinal")
+    runs = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - RUN + 1), lambda i: F.substring(c, i, F.lit(RUN))))
+    every = lambda df, c: df.where(F.length(c) >= RUN).select("*", F.explode(runs(F.col(c))).alias("run"))
+    counts = every(a, "a").select("run").union(every(b, "b").select("run")).groupBy("run").agg(F.count("*").alias("_n"))
+    rarest = lambda df, c: every(df.where(good(F.col(c))), c).join(counts, "run").groupBy(*df.columns).agg(F.min_by("run", F.struct("_n", "run")).alias("run"))
+    held = rarest(b, "b").join(every(a, "a"), "run").where(F.contains("a", "b") & (F.col("ka") == F.col("kb")))
+    holds = rarest(a, "a").join(every(b, "b"), "run").where(F.contains("b", "a") & (F.col("ka") == F.col("kb")))
+    pairs = held.select("a", "ka", "b").union(holds.select("a", "ka", "b")).distinct()
+    named = existing.where("not is_generic").groupBy(F.col("norm").alias("b"), F.col("kind").alias("ka")).agg(F.min(F.struct("ordinal", "orig")).alias("m"))
+    best = pairs.join(named, ["b", "ka"]).groupBy("a", "ka").agg(F.min("m").alias("m"))
+    equal = existing.where("norm <> ''").groupBy(F.col("norm").alias("a")).agg(F.min(F.struct("ordinal", "orig")).alias("e"))
+    rows = new.where("norm <> ''").select("id", F.col("norm").alias("a"), F.col("kind").alias("ka")).join(best, ["a", "ka"], "left").join(equal, "a", "left")
+    return rows.select("id", F.least("m", "e").alias("m")).where("m is not null").groupBy("id").agg(F.min("m").alias("m")).select("id", "m.orig", "m.ordinal")
 
 
 def legacy_owner(df: DataFrame, city: str, name: str, id_: str) -> DataFrame:
@@ -61,20 +55,41 @@ def ordinal_pairs(old: DataFrame, new: DataFrame, group: list[str], id_: str) ->
     return a.join(b, [*group, "rn"]).where("_n = _m").select(*group, "old_id", "new_id")
 
 
-def alias_owners(old: DataFrame, new: DataFrame) -> DataFrame:
-    """(city, alias, owner, how): which row of the new snapshot owns each key of the old one.
-
-    Both have city, name, id. In turn: the only row of that name; the same id; the leftovers of a name in order of ids
-    if equally many; else the old key keeps itself."""
-    a = old.select("city", "name", F.col("id").alias("alias"))
-    singles = new.groupBy("city", "name").agg(F.count("*").alias("_n"), F.min("id").alias("single"))
-    step = a.join(singles.where("_n = 1").drop("_n"), ["city", "name"], "left")
-    mine = new.select("city", F.col("id").alias("alias"), F.lit(True).alias("same"))
-    step = step.join(mine, ["city", "alias"], "left")
-    left = step.where("single is null and same is null").select("city", "name", F.col("alias").alias("id"))
-    taken = step.where("single is null and same").select("city", F.col("alias").alias("id"))
-    free = new.join(taken, ["city", "id"], "left_anti").join(singles.where("_n > 1").select("city", "name"), ["city", "name"])
-    pairs = ordinal_pairs(left, free, ["city", "name"], "id").select("city", F.col("old_id").alias("alias"), F.col("new_id").alias("paired"))
-    out = step.join(pairs, ["city", "alias"], "left")
-    how = F.when(F.col("single").isNotNull(), "name").when(F.col("same"), "identity").when(F.col("paired").isNotNull(), "order").otherwise("self")
-    return out.select("city", "alias", F.coalesce("single", F.when(F.col("same"), F.col("alias")), "paired", "alias").alias("owner"), how.alias("how"))
+def snapshot_owners(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(city, name, id, owner, how): which row of the target snapshot owns each row of an old one; both have city, name, id.
+
+    In turn: the only target of that name; the same id among several targets of the name; the leftovers of a name in order
+    of ids, if equally many; else the row itself."""
+    a = old.select("city", "name", "id")
+    per = new.groupBy("city", "name").agg(F.count("*").alias("_n"), F.min("id").alias("_only"))
+    mine = new.select("city", "name", "id", F.lit(True).alias("_same"))
+    step = a.join(per, ["city", "name"], "left").join(mine, ["city", "name", "id"], "left").withColumn("_many", F.coalesce(F.col("_n") > 1, F.lit(False)))
+    left = step.where("_many and _same is null").select("city", "name", "id")
+    free = new.select("city", "name", "id").join(per.where("_n > 1").select("city", "name"), ["city", "name"], "left_semi").join(a, ["city", "name", "id"], "left_anti")
+    pairs = ordinal_pairs(left, free, ["city", "name"], "id").select("city", "name", F.col("old_id").alias("id"), F.col("new_id").alias("_paired"))
+    out = step.join(pairs, ["city", "name", "id"], "left")
+    single = F.when(F.col("_n") == 1, F.col("_only"))
+    same = F.col("_many") & F.coalesce("_same", F.lit(False))
+    how = F.when(single.isNotNull(), "name").when(same, "identity").when(F.col("_paired").isNotNull(), "order").otherwise("self")
+    return out.select("city", "name", "id", F.coalesce(single, F.when(same, F.col("id")), "_paired", "id").alias("owner"), how.alias("how"))
+
+
+def alias_owners(snapshots: list[DataFrame], new: DataFrame, explicit: DataFrame) -> DataFrame:
+    """(alias, owner, how, snapshot): the owner, in the target snapshot, of every key that older snapshots gave.
+
+    snapshots, the oldest first: (city, name, id, aliases array<string>); a row's keys are its aliases and its legacy key.
+    The first snapshot that claims an alias keeps it; explicit targets (alias, target) that exist override that."""
+    claims = []
+    for n, old in enumerate(snapshots, 1):
+        keys = legacy_owner(old, "city", "name", "id").select("id", F.col("key").alias("_key"))
+        rows = snapshot_owners(old, new).join(old.select("city", "name", "id", "aliases"), ["city", "name", "id"]).join(keys, "id")
+        claims.append(rows.select("id", "owner", "how", F.explode(F.array_append(F.coalesce("aliases", F.array().cast("array<string>")), F.col("_key"))).alias("alias"), F.lit(n).alias("snapshot")))
+    first = functools.reduce(DataFrame.union, claims).groupBy("alias").agg(F.min_by(F.struct("owner", "how", "snapshot"), F.struct("snapshot", "id")).alias("f")).select("alias", "f.*")
+    told = explicit.join(new.select(F.col("id").alias("target")).distinct(), "target", "left_semi")
+    out = first.join(told, "alias", "left")
+    return out.select("alias", F.coalesce("target", "owner").alias("owner"), F.when(F.col("target").isNotNull(), "explicit").otherwise(F.col("how")).alias("how"), "snapshot")
+
+
+def unowned(expected: DataFrame, emitted: DataFrame, key: list[str]) -> DataFrame:
+    """Keys that old snapshots had and that no current row owns."""
+    return expected.select(*key).distinct().join(emitted, key, "left_anti")

@@ -18,10 +18,10 @@ def charge_issues(charges: DataFrame, totals: DataFrame, key: str) -> DataFrame:
     return per.join(totals, key).select(key, code.alias("code")).where("code is not null")
 
 
-def exact_line_issues(nested: DataFrame, key: str, lines: str, total: str) -> DataFrame:
-    """(key, total, summed) where the nested lines (n, price) do not add up to the total exactly."""
-    flat = nested.select(key, total, F.explode(lines).alias("_l"))
-    return flat.groupBy(key, total).agg(F.sum(F.col("_l.n") * F.col("_l.price")).alias("summed")).where(F.col("summed") != F.col(total))
+def exact_line_issues(lines: DataFrame, totals: DataFrame, key: str) -> DataFrame:
+    """(key, total, summed) where the lines (n, price decimal) do not add up to the total exactly."""
+    summed = lines.groupBy(key).agg(F.sum(F.col("n") * F.col("price")).alias("summed"))
+    return totals.join(summed, key).where(F.col("summed") != F.col("total")).select(key, "total", "summed")
 
 
 def price_floor(packages: DataFrame, key: str) -> DataFrame:
@@ -46,47 +46,229 @@ def price_floor(packages: DataFrame, key: str) -> DataFrame:
 
 
 def starting_price(bases: DataFrame, packages: DataFrame, key: str) -> DataFrame:
-    """(key, amount, unit): the base (base, currency), or a cheaper comparable package; a group price is no rate."""
-    usable = packages.where("kind = 'numeric' and availability = 'available'").join(bases.select(key, F.col("currency").alias("_c")), key).where("currency = _c")
-    best = usable.groupBy(key).agg(F.min("amount").alias("_low"), F.min("unit").alias("_u"), F.max("unit").alias("_v"), F.count_if(F.col("unit").isNull() | F.col("unit").isin("", "group")).alias("_bad"))
-    better = (F.col("_u") == F.col("_v")) & (F.col("_bad") == 0) & (F.col("_low") < F.col("base"))
+    """(key, amount, unit, scope): the base (base, currency, scope), or a cheaper comparable package.
+
+    Comparable are the available numeric packages of the base's currency, if all have one unit that is neither empty nor
+    a group's; the cheapest brings its unit and its scope. If all numeric packages share a scope, that is the price's."""
+    numeric = packages.where("kind = 'numeric'").join(bases.select(key, F.col("currency").alias("_c")), key)
+    fit = (F.col("availability") == "available") & (F.col("currency") == F.col("_c"))
+    unit, scope = F.coalesce("unit", F.lit("")), F.coalesce("scope", F.lit(""))
+    best = numeric.groupBy(key).agg(
+        F.min(F.when(fit, F.struct("amount", unit.alias("unit"), scope.alias("scope")))).alias("_best"), F.min(F.when(fit, unit)).alias("_u"), F.max(F.when(fit, unit)).alias("_v"), F.min(scope).alias("_s"), F.max(scope).alias("_t"),
+    )
     out = bases.join(best, key, "left")
-    return out.select(key, F.when(better, F.col("_low")).otherwise(F.col("base")).alias("amount"), F.when(better, F.col("_u")).otherwise("base").alias("unit"))
+    better = F.coalesce((F.col("_u") == F.col("_v")) & ~F.col("_u").isin("", "group") & (F.col("_best.amount") < F.col("base")), F.lit(False))
+    common = F.when((F.col("_s") == F.col("_t")) & (F.col("_s") != ""), F.col("_s"))
+    own = F.when(better & (F.col("_best.scope") != ""), F.col("_best.scope")).otherwise(F.col("scope"))
+    return out.select(key, F.when(better, F.col("_best.amount")).otherwise(F.col("base")).alias("amount"), F.when(better, F.col("_u")).otherwise("").alias("unit"), F.coalesce(common, own, F.lit("")).alias("scope"))
+
+
+#: Where a page states its availability, in the order in which the places are tried.
+SCOPES = ("banner", "no-commerce", "top-commerce", "right-rail", "call-to-action", "title")
+
 
+def availability_rollup(messages: DataFrame, packages: DataFrame, key: str) -> DataFrame:
+    """(key, availability, source): of the stated messages (key, scope, text) and the packages (key, availability).
 
-def availability_rollup(packages: DataFrame, key: str) -> DataFrame:
-    """(key, availability): an explicit global state by rank, else what the packages agree on."""
-    rank = F.lit(None).cast("int")
-    for state, r in NEGATIVE_RANK.items():
-        rank = F.when(F.col("global_state") == state, r).otherwise(rank)
+    A negative message wins by rank, then by place; then what the packages agree on; then a call to book; then a message
+    that asks for a date; else unknown."""
+    from wayforge.functions import text as T
+
+    place = F.array_position(F.array(*map(F.lit, SCOPES)), F.col("scope"))
+    state = T.availability(F.col("text"))
+    rank = F.coalesce(*(F.when(state == s, r) for s, r in NEGATIVE_RANK.items()))
+    said = messages.select(key, place.alias("_place"), "scope", state.alias("_state"), rank.alias("_rank"), ((F.col("scope") == "call-to-action") & F.col("text").rlike(r"(?i)\b(?:reserve|book)\s+now\b")).alias("_book"))
+    m = said.groupBy(key).agg(
+        F.min(F.when(F.col("_rank").isNotNull(), F.struct("_rank", "_place", "_state", "scope"))).alias("_neg"), F.coalesce(F.bool_or("_book"), F.lit(False)).alias("_cta"), F.min(F.when(F.col("_state") == "date-required", F.struct("_place", "scope"))).alias("_date"),
+    )
     have = lambda s: F.coalesce(F.bool_or(F.col("availability") == s), F.lit(False))
-    agg = packages.withColumn("_rank", rank).groupBy(key).agg(
-        F.min("_rank").alias("_r"), F.min_by("global_state", "_rank").alias("_worst"), have("available").alias("_any"),
-        F.coalesce(F.bool_and(F.col("availability") == "sold-out"), F.lit(False)).alias("_out"), F.coalesce(F.bool_and(F.col("availability").isin("sold-out", "unavailable")), F.lit(False)).alias("_neg"), have("date-required").alias("_date"),
+    p = packages.groupBy(key).agg(have("available").alias("_any"), F.coalesce(F.bool_and(F.coalesce(F.col("availability") == "sold-out", F.lit(False))), F.lit(False)).alias("_out"), F.bool_and(F.coalesce(F.col("availability").isin(*NEGATIVE_RANK), F.lit(False))).alias("_all"))
+    out = m.join(p, key, "full_outer")
+    pick = lambda neg, some, none, all_, cta, date: (
+        F.when(F.col("_neg").isNotNull(), neg).when(F.col("_any"), some).when(F.col("_out"), none).when(F.col("_all"), all_).when(F.col("_cta"), cta).when(F.col("_date").isNotNull(), date)
     )
-    state = F.when(F.col("_r").isNotNull(), F.col("_worst")).when(F.col("_any"), "available").when(F.col("_out"), "sold-out").when(F.col("_neg"), "unavailable").when(F.col("_date"), "date-required").otherwise("unknown")
-    return agg.select(key, state.alias("availability"))
-
-
-def price_state(facts: DataFrame) -> Column:
-    """The state of a price from facts: base, numeric (packages with a number), availability, failed, explicit, is_product, free_text."""
-    base = F.when(F.col("base") > 0, F.col("base"))
-    return (
-        F.when(F.col("availability").isin("unavailable", "sold-out", "closed") & ~F.col("failed"), "unavailable")
-        .when(base.isNotNull() | ((F.col("numeric") > 0) & ~F.col("failed")), "priced").when(F.col("failed"), "date-required")
-        .when(F.col("explicit").isin("free", "date-required", "not-published"), F.col("explicit")).when(F.col("is_product"), "date-required")
-        .when(F.col("free_text"), "free").otherwise("not-published")
+    packages_ = F.lit("packages")
+    return out.select(
+        key, F.coalesce(pick(F.col("_neg._state"), F.lit("available"), F.lit("sold-out"), F.lit("unavailable"), F.lit("available"), F.lit("date-required")), F.lit("unknown")).alias("availability"),
+        F.coalesce(pick(F.col("_neg.scope"), packages_, packages_, packages_, F.lit("call-to-action"), F.col("_date.scope")), F.lit("")).alias("source"),
+    )
+
+
+#: Reasons, sources and wording of a failed lookup of packages.
+LOOKUP_REASONS = ("pax_failed", "tour_grades_failed", "package_options_failed", "package_options_unavailable")
+LOOKUP_SOURCE = r"^graphql:(?:paxmix|tourgrades)"
+LOOKUP_MESSAGE = r"(?is)\b(?:package|travell?er)\b.{0,80}\b(?:lookup|option|availability|mix)\b.{0,80}\b(?:failed|unavailable|not returned|no packages?)\b"
+
+
+def lookup_failed() -> Column:
+    """Whether the lookup of packages failed, which is not a closed activity: from availability, reason, source, message, status."""
+    low = lambda c: F.lower(F.trim(F.coalesce(F.col(c), F.lit(""))))
+    why = low("reason").isin(*LOOKUP_REASONS) | low("source").rlike(LOOKUP_SOURCE) | F.coalesce(F.col("message"), F.lit("")).rlike(LOOKUP_MESSAGE) | (low("status") == "priced")
+    return low("availability").isin("unknown", "unavailable") & why
+
+
+def normal_packages(packages: DataFrame) -> DataFrame:
+    """packages (availability, unit_price, total_price, unit) with amount, unit and kind: the unit price, else the total as
+    a group's price; without any, the price depends on the date. Availability is one of available, sold-out, unavailable
+    and date-required."""
+    amount = F.coalesce("unit_price", "total_price")
+    low = F.lower(F.trim(F.coalesce("availability", F.lit(""))))
+    state = F.when(low == "sold-out", "sold-out").when(low.isin("closed", "unavailable"), "unavailable").when(low == "available", "available").when(amount.isNotNull(), "available").otherwise("date-required")
+    return packages.withColumns({"amount": amount, "kind": F.when(amount.isNotNull(), "exact").otherwise("date-required"), "unit": F.when(F.col("unit_price").isNotNull(), F.col("unit")).when(amount.isNotNull(), "group"), "availability": state})
+
+
+def price_states(facts: DataFrame, packages: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(states, packages): the state of each key's price, and its packages as that state leaves them.
+
+    facts: (key, base, status, availability, reason, source, message, is_product, free). packages as normal_packages
+    takes them, with ord and name. states: (key, state, base, failed). Zero is no price. In turn: unavailable unless the
+    lookup failed; priced by a base, or by a package with a number unless the lookup failed; date-required if it failed;
+    an explicit free, date-required or not-published; date-required for products; free by evidence; not-published.
+    Free evidence puts a general admission first; a state that is not published has no packages; if unavailable, no
+    package is available."""
+    normal = normal_packages(packages)
+    numbers = normal.groupBy(key).agg(F.bool_or(F.col("kind") == "exact").alias("_numeric"))
+    base, status = F.when(F.col("base") > 0, F.col("base")), F.lower(F.trim(F.coalesce("status", F.lit(""))))
+    failed, free = lookup_failed(), (status == "free") | (~F.col("is_product") & F.col("free"))
+    state = (
+        F.when((status == "unavailable") & ~failed, "unavailable").when(base.isNotNull() | (F.coalesce("_numeric", F.lit(False)) & ~failed), "priced").when(failed, "date-required")
+        .when(status.isin("free", "date-required", "not-published"), status).when(F.col("is_product"), "date-required").when(free, "free").otherwise("not-published")
     )
+    states = facts.join(numbers, key, "left").select(key, state.alias("state"), base.alias("base"), failed.alias("failed"), free.alias("_free"))
+    shown = normal.join(states.select(key, "state"), key).where("state <> 'not-published'")
+    shown = shown.withColumn("availability", F.when((F.col("state") == "unavailable") & ~F.col("availability").isin("sold-out", "unavailable"), "unavailable").otherwise(F.col("availability")))
+    admission = states.where("_free and state <> 'unavailable'").select(key, F.lit(-1).cast("long").alias("ord"), F.lit("General admission").alias("name"), F.lit("available").alias("availability"), F.lit("free").alias("kind"), F.lit(None).cast("decimal(18,2)").alias("amount"), F.lit(None).cast("string").alias("unit"))
+    shown = shown.select(key, F.col("ord").cast("long").alias("ord"), "name", "availability", "kind", F.col("amount").cast("decimal(18,2)").alias("amount"), "unit").unionByName(admission)
+    return states.drop("_free"), shown
+
 
+#: Names under which evidence gives an amount, in the order in which they are tried.
+AMOUNT_NAMES = ("amount", "value", "total", "price", "totalPrice", "displayPrice", "pricing")
 
-def package_issues(packages: DataFrame, key: str) -> DataFrame:
-    """(key, code): invariants that each package keeps, one row a broken one."""
+
+def price_parts(v: Column, fallback: Column) -> tuple[Column, Column]:
+    """(amount, currency) of a price given as a VARIANT: a number, or an object with one under the first of the names
+    that has one, itself or an object's; the currency is the inner object's, else the outer one's, else the fallback."""
+    number = lambda path: F.try_variant_get(v, path, "decimal(18,2)")
+    code = lambda path: F.coalesce(F.try_variant_get(v, f"{path}.currency", "string"), F.try_variant_get(v, f"{path}.currencyCode", "string"))
+    outer = F.coalesce(code("$"), fallback)
+    found = [F.when(number("$").isNotNull(), F.struct(number("$").alias("a"), fallback.alias("c")))]
+    for x in AMOUNT_NAMES:
+        found.append(F.when(number(f"$.{x}").isNotNull(), F.struct(number(f"$.{x}").alias("a"), outer.alias("c"))))
+        inner = F.coalesce(*(number(f"$.{x}.{y}") for y in AMOUNT_NAMES))
+        found.append(F.when(inner.isNotNull(), F.struct(inner.alias("a"), F.coalesce(code(f"$.{x}"), outer).alias("c"))))
+    first = F.coalesce(*found)
+    return first["a"], F.upper(first["c"])
+
+
+EVIDENCE = "travelDate string, calendar array<struct<date: string, price: variant>>, grades array<struct<title: string, status: string, price: variant, totalPrice: variant, pricing: variant>>"
+
+
+def price_projection(documents: DataFrame, key: str, document: str) -> tuple[DataFrame, DataFrame]:
+    """(prices, packages) of evidence documents in JSON (EVIDENCE).
+
+    prices: (key, base, currency, packages, state): the base price of the chosen date's calendar row; state is
+    date-required without a date, unknown without packages, else unavailable, free (all amounts zero), not-published (no
+    amount) or available. packages: (key, at, title, amount, currency, availability), the currency inherited from the base."""
+    e = documents.select(key, F.from_json(document, EVIDENCE).alias("e")).select(key, "e.*")
+    row = F.get(F.filter("calendar", lambda r: r["date"] == F.col("travelDate")), F.lit(0))
+    amount, currency = price_parts(row["price"], F.lit("USD"))
+    e = e.select(key, "travelDate", amount.alias("base"), F.coalesce(currency, F.lit("USD")).alias("base_currency"), "grades")
+    g = e.select(key, "base_currency", F.posexplode("grades").alias("at", "g"))
+    given = F.coalesce("g.price", "g.totalPrice", "g.pricing")
+    a, c = price_parts(given, F.col("base_currency"))
+    text = F.coalesce("g.status", F.lit(""))
+    state = F.when(text.rlike("(?i)sold[ -]?out"), "sold-out").when(text.rlike("(?i)unavailable|not available|failed"), "unavailable").when(text.rlike("(?i)closed"), "closed").otherwise("available")
+    packages = g.select(key, "at", "g.title", a.alias("amount"), c.alias("currency"), state.alias("availability"))
+    per = packages.groupBy(key).agg(F.count("*").alias("packages"), F.bool_and(F.col("availability") != "available").alias("_neg"), F.max("amount").alias("_most"))
+    out = e.join(per, key, "left")
+    overall = F.when(F.col("travelDate").isNull(), "date-required").when(F.col("packages").isNull(), "unknown").when(F.col("_neg"), "unavailable").when(F.col("_most") == 0, "free").when(F.col("_most").isNull(), "not-published").otherwise("available")
+    return out.select(key, "base", F.when(F.col("base").isNotNull(), F.col("base_currency")).alias("currency"), F.coalesce("packages", F.lit(0)).alias("packages"), overall.alias("state")), packages
+
+
+#: States of availability, the negative ones, and what a price's status is for each.
+ALLOWED = ("available", "date-required", "sold-out", "closed", "unavailable", "free", "not-published", "unknown")
+STATUS_OF = {"available": "available", "date-required": "date-required", "sold-out": "unavailable", "closed": "unavailable", "unavailable": "unavailable", "free": "free", "not-published": "not-published"}
+KEPT_BASE_REASONS = ("pax_failed", "tour_grades_failed", "tour_grades_empty")
+
+
+def pricing_issues(prices: DataFrame, packages: DataFrame, key: str) -> DataFrame:
+    """(key, code): broken invariants of prices and of their packages, each code once a price or a package.
+
+    prices: (key, status, availability, message, source, reason, base_price, booking_date, travelers) and an optional
+    provenance (kind, same_identity, checked_at, failure). packages: (key, name, description, total_price, party,
+    unit_price, unit, availability, availability_message, extras array<struct<amount, source_text, unit>>); texts."""
+    empty = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) == ""
+    negative = F.col("availability").isin(*NEGATIVE_RANK)
+    expected = F.when(negative & ~empty("base_price") & F.coalesce(F.col("reason").isin(*KEPT_BASE_REASONS), F.lit(False)), None).otherwise(F.try_element_at(F.create_map(*(F.lit(x) for kv in STATUS_OF.items() for x in kv)), F.col("availability")))
+    nan = lambda *cs: F.concat_ws(" ", *cs).rlike(r"(?i)\b(?:nan|undefined)\b")
     rules = {
-        "package-unit": F.col("unit").isNull() != F.col("unit_price").isNull(),
-        "standalone-total": F.col("total").isNotNull() & F.col("unit_price").isNotNull() & (F.col("n") == 1),
-        "package-availability-message": F.col("availability").isin("sold-out", "unavailable") & F.coalesce(F.trim("message") == "", F.lit(True)),
-        "package-global-contradiction": (F.col("availability") == "available") & F.col("global_state").isin("closed", "sold-out", "unavailable"),
-        "pricing-nan": F.coalesce(F.concat_ws(" ", "unit", "message").rlike("NaN|undefined"), F.lit(False)),
-    }
-    found = F.array_compact(F.array(*(F.when(F.coalesce(test, F.lit(False)), F.lit(code)) for code, test in rules.items())))
-    return packages.select(key, F.explode(found).alias("code"))
+        "pricing-field": F.col("base_price").isNull() | F.col("booking_date").isNull() | F.col("travelers").isNull(),
+        "availability-type": F.col("availability").isNull(), "availability-status": ~F.col("availability").isin(*ALLOWED),
+        "availability-field": (F.col("availability") != "unknown") & (empty("message") | empty("source")), "pricing-status": ~F.col("status").eqNullSafe(expected),
+        "pricing-nan": nan("base_price", "booking_date", "travelers", "message", "source", "reason", "status"),
+    }
+    if "provenance" in prices.columns:
+        p, has = (lambda f: F.col(f"provenance.{f}")), F.col("provenance").isNotNull()
+        rules |= {
+            "pricing-provenance-fields": has & F.coalesce(p("kind").isNull() | p("same_identity").isNull() | p("checked_at").isNull() | p("failure").isNull(), F.lit(True)), "pricing-provenance-kind": has & ~p("kind").eqNullSafe(F.lit("rendered-fallback")),
+            "pricing-provenance-identity": has & ~F.coalesce(p("same_identity"), F.lit(False)), "pricing-provenance-date": has & F.try_to_date(p("checked_at"), "yyyy-MM-dd").isNull(),
+            "pricing-provenance-reason": has & ~F.coalesce(p("failure").isin(*LOOKUP_REASONS), F.lit(False)),
+        }
+    package_rules = {
+        "package-field": F.col("name").isNull() | F.col("description").isNull() | F.col("total_price").isNull() | F.col("party").isNull() | F.col("unit_price").isNull() | F.col("unit").isNull(),
+        "package-availability": ~F.coalesce(F.col("availability").isin(*ALLOWED), F.lit(False)), "package-availability-message": negative & empty("availability_message"),
+        "standalone-total": ~empty("total_price") & (F.col("party") == "") & (~empty("unit_price") | ~empty("unit")), "package-unit": empty("unit_price") != empty("unit"),
+        "additional-cost": F.exists("extras", lambda x: F.coalesce(x["amount"] == "", F.lit(True)) | F.coalesce(x["source_text"] == "", F.lit(True))), "additional-cost-unit": F.exists("extras", lambda x: F.trim(x["unit"]) == ""),
+        "pricing-nan": nan("name", "description", "total_price", "party", "unit_price", "unit", "availability_message"),
+    }
+    found = lambda rules: F.explode(F.array_compact(F.array(*(F.when(F.coalesce(t, F.lit(False)), F.lit(c)) for c, t in rules.items())))).alias("code")
+    content = F.xxhash64(*[c for c in packages.columns if c != key])
+    twice = packages.groupBy(key, content.alias("_c")).agg(F.count("*").alias("_n")).where("_n > 1").select(key, F.lit("package-duplicate").alias("code"))
+    per = packages.groupBy(key).agg(F.bool_and(F.coalesce(F.col("availability").isin(*NEGATIVE_RANK), F.lit(False))).alias("_all"), F.bool_or(F.col("availability") == "available").alias("_some"))
+    both = prices.select(key, negative.alias("_neg")).join(per, key)
+    against = found({"package-global-availability": F.col("_all") & ~F.coalesce("_neg", F.lit(False)), "package-global-contradiction": F.col("_neg") & F.col("_some")})
+    return prices.select(key, found(rules)).union(packages.select(key, found(package_rules))).union(twice).union(both.select(key, against)).distinct()
+
+
+def raw_price_issues(raw: DataFrame, stored: DataFrame, prices: DataFrame, key: str) -> DataFrame:
+    """(key, code): what a second extraction from the pages' texts finds against the stored packages.
+
+    raw: (key, at, surface), the text of each package on the page, and (key, at -1, surface) of the base price; stored:
+    (key, at, total_price, unit_price, unit, availability) as texts; prices: (key, base_price)."""
+    from wayforge.functions import text as T
+
+    money = T.MONEY.removeprefix("(?i)")
+    value = lambda c: F.struct(T.amount(c).alias("a"), T.currency(c).alias("c"))
+    token = lambda c, pattern, i: F.nullif(F.regexp_extract(c, f"(?i){pattern}", i), F.lit(""))
+    s = F.col("surface")
+    total = token(s, rf"\bTotal price:\s*{money}", 1)
+    party = token(s, rf"\bTotal price:\s*{money}\s+for\s+([^.;]+)", 2)
+    charge = rf"([0-9]+)\s+(Adults?|Seniors?|Youths?|Children|Infants)\s+x\s+{money}"
+    seen = raw.where("at >= 0").select(key, "at", total.alias("_total"), party.alias("_party"), F.lower(token(s, charge, 2)).alias("_kind"), token(s, charge, 3).alias("_charge"), s.rlike(T.MONEY).alias("_money"))
+    both = seen.join(stored, [key, "at"])
+    none = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
+    due = F.col("_charge").isNotNull() & (F.col("_total").isNull() | F.col("_party").isNotNull())
+    differ = lambda x, y: ~value(F.col(x)).eqNullSafe(value(F.col(y)))
+    rules = {
+        "raw-total-missing": F.col("_total").isNotNull() & none("total_price"), "raw-total-mismatch": F.col("_total").isNotNull() & ~none("total_price") & differ("_total", "total_price"),
+        "raw-charge-missing": due & (none("unit_price") | none("unit")), "raw-charge-price-mismatch": due & ~none("unit_price") & ~none("unit") & differ("_charge", "unit_price"),
+        "raw-charge-unit-mismatch": due & ~none("unit_price") & ~none("unit") & (F.lower("unit") != F.col("_kind")), "raw-priced-surface-empty": (F.col("availability") == "available") & F.col("_money") & none("total_price") & none("unit_price"),
+    }
+    found = lambda rules: F.explode(F.array_compact(F.array(*(F.when(F.coalesce(t, F.lit(False)), F.lit(c)) for c, t in rules.items())))).alias("code")
+    counts = seen.groupBy(key).agg(F.count("*").alias("_n")).join(stored.groupBy(key).agg(F.count("*").alias("_m")), key, "full_outer").where("coalesce(_n, 0) <> coalesce(_m, 0)").select(key, F.lit("raw-package-count").alias("code"))
+    base = raw.where("at = -1").select(key, F.get(T.money_mentions(s), F.lit(0)).alias("_base")).where("_base is not null").join(prices, key)
+    base_rules = {"raw-base-price-missing": none("base_price"), "raw-base-price-mismatch": ~none("base_price") & differ("_base", "base_price")}
+    return both.select(key, found(rules)).union(base.select(key, found(base_rules))).union(counts).distinct()
+
+
+def with_fallback(primary: DataFrame, rendered: DataFrame, key: str) -> DataFrame:
+    """primary (status, reason, identity, price) with ``provenance``: where its lookup failed for a listed reason, the
+    rendered evidence (identity, checked_at, booking_date, travelers, packages, price) of the same identity takes its
+    place, if it has a date, a party and packages; ``reason`` then says why."""
+    r = rendered.select(key, *(F.col(c).alias(f"_{c}") for c in ("identity", "checked_at", "booking_date", "travelers", "packages", "price")))
+    said = lambda c: F.coalesce(F.trim(c) != "", F.lit(False))
+    good = F.col("reason").isin(*LOOKUP_REASONS) & (F.col("_identity") == F.col("identity")) & F.try_to_date("_checked_at", "yyyy-MM-dd").isNotNull() & said("_booking_date") & said("_travelers") & (F.col("_packages") > 0)
+    good, ok = F.coalesce(good, F.lit(False)), F.col("status") == "ok"
+    out = primary.join(r, key, "left")
+    return out.select(key, F.when(ok, F.col("price")).when(good, F.col("_price")).alias("price"), F.when(ok, "primary").when(good, "rendered-fallback").otherwise("none").alias("provenance"), F.when(~ok & good, F.col("reason")).alias("reason"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 import json
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wayforge.operators.ranking import positioned
+
 
 def canonical_hash(version: int, **fields: Column) -> Column:
     """SHA-256 of the canonical JSON of the fields in order of their names, nulls kept, with the version."""
@@ -18,7 +21,7 @@ def canonical_hash(version: int, **fields: Column) -> Column:
 def fingerprint(df: DataFrame, group: list[str], ref: Column) -> DataFrame:
     """(group, n, digest): a digest of membership that no order changes.
 
-    Members are hashed each and the hashes added up modulo 2**128 in four words, so no group is collected."""
+    Members are hashed each and the first 128 bits of the hashes added up as four words in decimals, so no group is collected."""
     h = F.sha2(ref.cast("string"), 256)
     word = lambda i: F.conv(F.substring(h, 8 * i + 1, 8), 16, 10).cast("decimal(38,0)")
     sums = df.groupBy(*group).agg(F.count("*").alias("n"), *(F.sum(word(i)).alias(f"_w{i}") for i in range(4)))
@@ -47,23 +50,33 @@ def publish(tables: dict[str, DataFrame], gate_row: DataFrame, root: str, revisi
 
 
 def verify(records: DataFrame, evidence: DataFrame, key: str) -> DataFrame:
-    """(key, code): records (hash, revision) whose hash is not the evidence's, or whose revision is not the common one."""
+    """(key, code): records (hash, revision) whose hash is not the evidence's (key, hash), or whose revision is not the one
+    recomputed from the records' hashes."""
     e = evidence.select(key, F.col("hash").alias("_h"))
-    common = records.groupBy("revision").agg(F.count("*").alias("n")).agg(F.max_by("revision", F.struct("n", "revision")).alias("_common"))
-    out = records.join(e, key, "left").join(F.broadcast(common))  # one row
-    codes = F.array_compact(F.array(F.when(F.col("_h").isNull(), F.lit("no-evidence")), F.when(F.col("_h") != F.col("hash"), F.lit("stale")), F.when(F.col("revision") != F.col("_common"), F.lit("revision"))))
+    now = revision(records, key).select(F.col("digest").alias("_revision"))
+    out = records.join(e, key, "left").join(F.broadcast(now))  # one row
+    codes = F.array_compact(F.array(F.when(F.col("_h").isNull(), F.lit("no-evidence")), F.when(F.col("_h") != F.col("hash"), F.lit("stale")), F.when(~F.col("revision").eqNullSafe(F.col("_revision")), F.lit("revision"))))
     return out.select(key, F.explode(codes).alias("code"))
 
 
-def report(issues: DataFrame, expected: DataFrame, present: DataFrame, key: str) -> DataFrame:
-    """One row: ok, expected, present, missing, unexpected, issues."""
-    one = lambda df, name: df.agg(F.count("*").alias(name))
+def revision(records: DataFrame, key: str) -> DataFrame:
+    """One row (n, digest) over the keys and hashes of records, in whatever order."""
+    return fingerprint(records.withColumn("_all", F.lit(1)), ["_all"], F.concat_ws(":", F.col(key).cast("string"), "hash")).drop("_all")
+
+
+def report(issues: DataFrame, expected: DataFrame, present: DataFrame, key: str, source: str | None = None) -> DataFrame:
+    """(part, name, n): expected, present and audited keys, missing and unexpected ones, issues by code and in all, rows by
+    coverage source (a column of present), and ok, 1 if nothing is missing, unexpected or wrong."""
     e, p = expected.select(key).distinct(), present.select(key).distinct()
-    parts = [one(e, "expected"), one(p, "present"), one(e.join(p, key, "left_anti"), "missing"), one(p.join(e, key, "left_anti"), "unexpected"), one(issues, "issues")]
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.join(F.broadcast(x))  # one row each
-    return out.withColumn("ok", (F.col("missing") + F.col("unexpected") + F.col("issues")) == 0)
+    part = lambda df, name: df.agg(F.count("*").alias("n")).select(F.lit("count").alias("part"), F.lit(name).alias("name"), "n")
+    missing, unexpected = e.join(p, key, "left_anti"), p.join(e, key, "left_anti")
+    parts = [part(e, "expected"), part(p, "present"), part(e.join(p, key, "left_semi"), "audited"), part(missing, "missing"), part(unexpected, "unexpected"), part(issues, "issues")]
+    parts.append(issues.groupBy("code").agg(F.count("*").alias("n")).select(F.lit("code").alias("part"), F.col("code").alias("name"), "n"))
+    if source:
+        parts.append(present.groupBy(source).agg(F.count("*").alias("n")).select(F.lit("source").alias("part"), F.col(source).cast("string").alias("name"), "n"))
+    bad = functools.reduce(DataFrame.union, [missing.select(F.lit(1).alias("_x")), unexpected.select(F.lit(1)), issues.select(F.lit(1))])
+    ok = bad.agg(F.when(F.count("*") == 0, 1).otherwise(0).cast("long").alias("n")).select(F.lit("ok").alias("part"), F.lit("ok").alias("name"), "n")
+    return functools.reduce(DataFrame.union, [*parts, ok])
 
 
 def disagreements(a: DataFrame, b: DataFrame, key: str, fields: list[str], code: str = "metadata") -> DataFrame:
@@ -103,10 +116,22 @@ def nested_keys(df: DataFrame, key: str, document: str, denied: list[str]) -> Da
     return kept.mapInArrow(run, kept.select(key, F.lit("").alias("path")).schema)
 
 
-def export(rows: DataFrame, kind: str, version: int = 3) -> DataFrame:
-    """One document: schemaVersion and the activities and categories as arrays in order of their key; categories that are
-    neither reviewed nor have a note are left out. The result is one document for one person, so it is collected."""
-    kept = rows.where((F.col(kind) != "category") | F.col("reviewed") | (F.trim("note") != ""))
-    item = F.struct("key", "rating", "note", "reviewed")
-    arrays = kept.groupBy("member").agg(*(F.array_sort(F.collect_list(F.when(F.col(kind) == k, item))).alias(name) for k, name in (("activity", "activities"), ("category", "categories"))))
-    return arrays.select("member", F.to_json(F.struct(F.lit(version).alias("schemaVersion"), "activities", "categories"), {"ignoreNullFields": "false"}).alias("document"))
+def allow_listed(df: DataFrame, key: str, document: str, schema: str) -> DataFrame:
+    """(key, document) of JSON documents that keep only the fields of the schema, at any depth."""
+    return df.select(key, F.to_json(F.from_json(document, schema)).alias(document))
+
+
+def export(rows: DataFrame, version: int = 3) -> DataFrame:
+    """(member, line, text): the lines of a document for each member (rows: member, kind activity or category, key, rating,
+    note, reviewed), which has schemaVersion and the activities and categories as arrays in order of their keys.
+
+    Categories that are neither reviewed nor have a note are left out. A document is lines, not one value, as a member
+    may have any number of rows; a writer that sorts by member and line gets documents."""
+    kept = rows.where((F.col("kind") != "category") | F.col("reviewed") | (F.trim("note") != ""))
+    placed = positioned(kept.select("member", "kind", "key", "rating", "note", "reviewed"), [F.col("key")], ("member", "kind"))
+    item = F.to_json(F.struct("key", "rating", "note", "reviewed"), {"ignoreNullFields": "false"})
+    text = F.concat(F.when(F.col("position") > 1, ",").otherwise(""), item)
+    items = placed.select("member", F.when(F.col("kind") == "activity", 1).otherwise(3).alias("_part"), F.col("position").alias("_at"), text.alias("text"))
+    frame = F.explode(F.array(*(F.struct(F.lit(n).alias("_part"), F.lit(t).alias("text")) for n, t in ((0, f'{{"schemaVersion":{version},"activities":['), (2, '],"categories":['), (4, "]}")))))
+    frames = kept.select("member").distinct().select("member", frame.alias("f")).select("member", "f._part", F.lit(0).cast("long").alias("_at"), "f.text")
+    return items.unionByName(frames).select("member", F.col("_part").alias("section"), F.col("_at").alias("line"), "text")

@@ -26,42 +26,119 @@ def sentence_rows(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(key, F.posexplode(T.sentences(F.col(text))).alias("pos", "sentence"))
 
 
-def foreign_sentences(df: DataFrame, key: str, text: str, markers: DataFrame, least_words: int = 4, least_markers: int = 4) -> DataFrame:
-    """(key, foreign): whether some sentence of at least four words is written in another language than English: enough
-    of its words are markers (word, lang) of that language, a third of all, and over twice the English ones."""
-    words = lambda c: F.filter(F.split(F.lower(c), r"[^\p{L}]+"), lambda w: w != "")
-    rows = sentence_rows(df, key, text).withColumn("w", words(F.col("sentence"))).where(F.size("w") >= least_words).select(key, "pos", F.size("w").alias("n"), F.explode("w").alias("word"))
-    per = rows.join(F.broadcast(markers), "word").groupBy(key, "pos", "n", "lang").agg(F.count("*").alias("m"))  # a marker list is a parameter of some hundred words
-    sides = per.groupBy(key, "pos", "n").agg(F.max(F.when(F.col("lang") != "en", F.col("m"))).alias("f"), F.coalesce(F.max(F.when(F.col("lang") == "en", F.col("m"))), F.lit(0)).alias("e"))
-    bad = (F.col("f") >= least_markers) & (F.col("f") * 3 >= F.col("n")) & (F.col("f") > 2 * F.greatest(F.lit(1), F.col("e")))
-    found = sides.where(bad).select(key).distinct().withColumn("_f", F.lit(True))
-    return df.select(key).join(found, key, "left").select(key, F.coalesce("_f", F.lit(False)).alias("foreign"))
+def words(c: Column) -> Column:
+    """Words of a text: runs of letters, in small letters."""
+    return F.filter(F.split(F.lower(c), r"[^\p{L}]+"), lambda w: w != "")
+
+
+def foreign_sentences(df: DataFrame, key: str, text: str, markers: dict[str, list[str]], home: str = "en", least_words: int = 4, least_markers: int = 4) -> DataFrame:
+    """(key, foreign): whether some sentence of at least four words is written in another language than the home one:
+    enough of its words are markers of that language, a third of all, and over twice those of the home language.
+
+    Markers are counted in place, sentence by sentence, so nothing is shuffled."""
+    held = lambda w, lang: F.size(F.filter(w, lambda x: x.isin(*markers[lang])))
+    others = [k for k in markers if k != home]
+
+    def bad(sentence: Column) -> Column:
+        w = words(sentence)
+        most = F.greatest(*(held(w, k) for k in others), F.lit(0))
+        return (F.size(w) >= least_words) & (most >= least_markers) & (most * 3 >= F.size(w)) & (most > 2 * F.greatest(F.lit(1), held(w, home)))
+
+    return df.select(key, F.coalesce(F.exists(T.sentences(F.col(text)), bad), F.lit(False)).alias("foreign"))
 
 
 def shared_runs(outputs: DataFrame, sources: DataFrame, width: int = 20) -> DataFrame:
     """(out_id, src_id, runs): distinct runs of ``width`` words that an output shares with a source.
 
-    Both have id and text. Runs meet by hash in an equi-join, each once a text, and are compared as words."""
+    Both have id and text. A text's runs are hashed in place; only sources that hold the hash of some output's run are
+    joined, by hash, and the runs of hits are compared as words, so whole runs are never shuffled. The outputs' hashes
+    go to every task while they are few, and are joined otherwise."""
 
     def runs(df, name):
-        words = F.filter(F.split(F.lower(F.col("text")), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-        rows = df.select(F.col("id").alias(name), words.alias("w")).where(F.size("w") >= width)
-        grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - width + 1), lambda i: F.array_join(F.slice("w", i, width), " ")))
-        return rows.select(name, F.explode(grams).alias("run")).withColumn("h", F.xxhash64("run"))
+        w = F.filter(F.split(F.lower(F.col("text")), r"[^\p{L}\p{N}]+"), lambda x: x != "")
+        rows = df.select(F.col("id").alias(name), w.alias("w")).where(F.size("w") >= width)
+        at = F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - width + 1, F.lit(1))), lambda i: F.struct(F.xxhash64(F.slice("w", i, width)).alias("h"), i.alias("at")))
+        return rows.select(name, "w", at.alias("grams"))
 
-    a, b = runs(outputs, "out_id"), runs(sources, "src_id").withColumnRenamed("run", "same")
-    return a.join(b, "h").where("run = same").groupBy("out_id", "src_id").agg(F.count("*").alias("runs"))
+    a, b = runs(outputs, "out_id"), runs(sources, "src_id")
+    flat = lambda df, name: df.select(name, F.explode("grams").alias("g")).select(name, "g.h", "g.at")
+    wanted = flat(a, "out_id")
+    hits = wanted.join(flat(b, "src_id").withColumnRenamed("at", "src_at"), "h")
+    run = lambda at: F.array_join(F.slice("w", F.col(at), width), " ")
+    first = hits.join(a.select("out_id", "w"), "out_id").select("out_id", "src_id", "src_at", run("at").alias("run"))
+    both = first.join(b.select("src_id", "w"), "src_id").where(F.col("run") == run("src_at"))
+    return both.groupBy("out_id", "src_id").agg(F.count_distinct("run").alias("runs"))
 
 
-def first_rule(text: Column, rules: dict[str, str], default: str = "review") -> Column:
-    """The label of the first pattern that matches."""
-    return functools.reduce(lambda acc, kv: F.when(text.rlike(kv[1]), kv[0]).otherwise(acc), reversed(list(rules.items())), F.lit(default))
+def surcharges(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, amount, unit, sentence): each money token in a sentence on additional charges, once."""
+    rows = df.select(key, F.explode(T.sentences(F.col(text), ".;!?")).alias("sentence")).where(F.col("sentence").rlike(T.ADDITIONAL))
+    rows = rows.select(key, F.explode(T.money_mentions(F.col("sentence"))).alias("amount"), T.charge_unit(F.col("sentence")).alias("unit"), "sentence")
+    same = F.struct(F.lower("amount"), "unit", F.lower("sentence"))
+    return rows.groupBy(key, same.alias("_same")).agg(F.min("amount").alias("amount"), F.first("unit").alias("unit"), F.min("sentence").alias("sentence")).drop("_same")
 
 
-def classify(df: DataFrame, key: str, text: str, rules: DataFrame, curated: DataFrame, default: str = "review") -> DataFrame:
-    """(key, label, by): rules (priority, label, pattern) as a table, the first that matches; curated keys (key, label) win."""
-    hits = df.select(key, text).join(F.broadcast(rules), F.expr(f"{text} rlike pattern")).groupBy(key).agg(F.min_by("label", "priority").alias("_rule"))  # a rule table is a parameter
+#: Rows of a rule table that one plan takes as conditions.
+MOST_RULES = 500
+
+
+def classify(df: DataFrame, key: str, text: str, rules: list[tuple[int, str, str]], curated: DataFrame, default: str = "review") -> DataFrame:
+    """(key, label, by): rules (priority, label, pattern), the first that matches; curated keys (key, label) win.
+
+    Rules are a parameter: they become one expression over each text, and none is joined."""
+    if len(rules) > MOST_RULES:
+        raise ValueError(f"more than {MOST_RULES} rules")
+    rule = functools.reduce(lambda other, r: F.when(F.col(text).rlike(r[2]), r[1]).otherwise(other), sorted(rules, reverse=True), F.lit(None).cast("string"))
     c = curated.select(key, F.col("label").alias("_curated"))
-    out = df.select(key).join(hits, key, "left").join(c, key, "left")
+    out = df.select(key, rule.alias("_rule")).join(c, key, "left")
     by = F.when(F.col("_curated").isNotNull(), "curated").when(F.col("_rule").isNotNull(), "rule").otherwise("none")
     return out.select(key, F.coalesce("_curated", "_rule", F.lit(default)).alias("label"), by.alias("by"))
+
+
+def conditional_prices(df: DataFrame, key: str, text: str, rules: list[tuple[str, str, str, str]]) -> DataFrame:
+    """(key, kind, amount, unit, minimum): rules (kind, pattern with the amount as group 1, unit, pattern of a minimum);
+    each rule that matches gives a row."""
+    if len(rules) > MOST_RULES:
+        raise ValueError(f"more than {MOST_RULES} rules")
+    t = F.col(text)
+    number = lambda pattern: F.regexp_extract(t, pattern, 1).try_cast("int")
+    rows = [F.when(t.rlike(pattern), F.struct(F.lit(kind).alias("kind"), T.amount(F.regexp_extract(t, pattern, 1)).alias("amount"), F.lit(unit).alias("unit"), number(minimum).alias("minimum"))) for kind, pattern, unit, minimum in rules]
+    return df.select(key, F.explode(F.array_compact(F.array(*rows))).alias("_r")).select(key, "_r.*")
+
+
+def weak_evidence(description: Column, reviews: Column, least_words: int = 8, least_reviews: int = 3, review_words: int = 12) -> Column:
+    """Whether a short description and too few long reviews (array of texts) are all there is."""
+    count = lambda c: F.size(F.filter(F.split(c, r"[ \t\n\x0B\f\r]+"), lambda x: x != ""))
+    return (count(description) < least_words) & (F.size(F.filter(reviews, lambda x: count(x) >= review_words)) < least_reviews)
+
+
+def body_repair(df: DataFrame, title: str, text: str, most_chars: int = 120, most_words: int = 20) -> DataFrame:
+    """df with ``moved``: a body that stands in the title, as the text is empty and the title too long, moves to the text."""
+    moved = (F.trim(F.col(text)) == "") & ((F.length(title) > most_chars) | (F.size(F.split(F.trim(F.col(title)), " ")) >= most_words))
+    return df.withColumn("moved", moved).withColumns({title: F.when(moved, "").otherwise(F.col(title)), text: F.when(moved, F.col(title)).otherwise(F.col(text))})
+
+
+#: The longest that each field of a brief may be.
+CAPS = {"what": 320, "do": 320, "why": 420, "summary": 240}
+#: Scripts that published text must not have.
+WRONG_SCRIPT = r"[\u0370-\u052f\u0600-\u06ff\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]"
+
+
+def prose_issues(df: DataFrame, key: str, fields: dict[str, int]) -> DataFrame:
+    """(key, code): of each field of text, with its longest length: incomplete, script or too-long."""
+    rules = {}
+    for f, most in fields.items():
+        c = F.col(f)
+        rules |= {f"{f}-incomplete": ~F.rtrim(c).rlike(r"[.!?][\"'”’)]*\z"), f"{f}-script": c.rlike(WRONG_SCRIPT), f"{f}-too-long": F.length(c) > most}
+    return issues(df, key, rules)
+
+
+#: Control characters, surrogates, replacement and interlinear marks that a text must not have.
+def hygiene_rules(c: Column) -> dict[str, Column]:
+    return {
+        "text-control": c.rlike(r"[\x00-\x08\x0B-\x1F\x7F-\x9F]"),
+        "text-replacement": F.contains(c, F.lit("\ufffd")) | c.rlike(r"[\x{D800}-\x{DFFF}]"),
+        "text-interlinear": c.rlike(r"[\x{FFF9}-\x{FFFB}]"),
+        "text-nfc": ~T.is_nfc(c),
+        "text-space": c.rlike(r"[ \u00a0]{2}|^\s|\s\z"),
+    }

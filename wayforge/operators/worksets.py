@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def curated_override(generated: DataFrame, curated: DataFrame, key: str, value: str, hash_: str) -> DataFrame:
-    """The curated value where it was made for the current hash, else the generated one."""
-    c = curated.select(key, F.col(value).alias("_value"), F.col(hash_).alias("_hash"))
+def curated_override(generated: DataFrame, curated: DataFrame, key: str, value: str, hash_: str, checked: str | None = None) -> DataFrame:
+    """The curated value where it was made for the current hash and, with ``checked``, on the same date; else the generated one."""
+    c = curated.select(key, F.col(value).alias("_value"), F.col(hash_).alias("_hash"), *([F.col(checked).alias("_checked")] if checked else []))
     good = F.col("_hash").eqNullSafe(F.col(hash_)) & F.col("_value").isNotNull()
+    if checked:
+        good = good & F.col("_checked").eqNullSafe(F.col(checked))
     return generated.join(c, key, "left").select(key, F.when(good, F.col("_value")).otherwise(F.col(value)).alias(value), F.when(good, "curated").otherwise("generated").alias("source"))
 
 
@@ -56,9 +58,10 @@ def preserve_failed(prior: DataFrame, current: DataFrame, failed: DataFrame) ->
     return kept.select("identity", "category", also.alias("also"), F.lit(False).alias("restored")).unionByName(restored)
 
 
-def replace_partitions(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """All partitions of new in place of existing ones; the others stay."""
-    return existing.join(new.select(key).distinct(), key, "left_anti").unionByName(new)
+def replace_partitions(existing: DataFrame, new: DataFrame, key: str, selected: DataFrame | None = None) -> DataFrame:
+    """All partitions of new in place of existing ones, and of the selected keys also those without new rows; the others stay."""
+    keys = new.select(key) if selected is None else new.select(key).union(selected.select(key))
+    return existing.join(keys.distinct(), key, "left_anti").unionByName(new)
 
 
 def write_partitions(new: DataFrame, path: str, key: str) -> None:
@@ -67,13 +70,35 @@ def write_partitions(new: DataFrame, path: str, key: str) -> None:
 
 
 def quarantine(rows: DataFrame, entity: str, got: str, wanted: str) -> DataFrame:
-    """Counts by entity of rows whose identity is the wanted one, of foreign ones, and of those without any."""
+    """Counts by entity of rows whose identity is the wanted one, of foreign ones (and different ones among them), and of
+    those without any."""
     ok = F.col(got).isNotNull() & (F.col(got) == F.col(wanted))
     foreign = F.when(F.col(got).isNotNull() & (F.col(got) != F.col(wanted)), F.col(got))
-    return rows.groupBy(entity).agg(
-        F.count("*").alias("returned"), F.count_if(ok).alias("accepted"), F.count_if(~ok).alias("quarantined"), F.count_if(F.col(got).isNull()).alias("missing_id"),
-        F.array_sort(F.collect_set(foreign)).alias("rejected"),
-    )
+    per = rows.groupBy(entity, foreign.alias("_foreign")).agg(F.count("*").alias("_n"), F.count_if(ok).alias("_ok"), F.count_if(F.col(got).isNull()).alias("_none"))
+    return per.groupBy(entity).agg(F.sum("_n").alias("returned"), F.sum("_ok").alias("accepted"), (F.sum("_n") - F.sum("_ok")).alias("quarantined"), F.sum("_none").alias("missing_id"), F.count("_foreign").alias("rejected"))
+
+
+def accepted_rows(rows: DataFrame, got: str, wanted: str) -> DataFrame:
+    """The rows of their own entity."""
+    return rows.where(F.col(got).isNotNull() & (F.col(got) == F.col(wanted)))
+
+
+def rejected_ids(rows: DataFrame, entity: str, got: str, wanted: str) -> DataFrame:
+    """(entity, id, at): the different foreign ids of each entity, in their order; rows, as an entity may have any number."""
+    ids = rows.where(F.col(got).isNotNull() & (F.col(got) != F.col(wanted))).select(entity, F.col(got).alias("id")).distinct()
+    return ids.withColumn("at", F.row_number().over(Window.partitionBy(entity).orderBy("id")))
+
+
+def quarantine_issues(counts: DataFrame, entity: str) -> DataFrame:
+    """(entity, code): counts that do not add up, more rows without an id than quarantined ones, a stored total that is not
+    what was accepted, and a source total below it. Columns source_total and stored_total are optional."""
+    rules = {"sum": F.col("returned") != F.col("accepted") + F.col("quarantined"), "missing": F.col("missing_id") > F.col("quarantined"), "rejected": F.col("rejected") > F.col("quarantined") - F.col("missing_id")}
+    if "source_total" in counts.columns:
+        rules["source-total"] = F.col("source_total") < F.col("accepted")
+    if "stored_total" in counts.columns:
+        rules["stored-total"] = F.col("stored_total") != F.col("accepted")
+    found = F.array_compact(F.array(*(F.when(test, F.lit(code)) for code, test in rules.items())))
+    return counts.select(entity, F.explode(found).alias("code"))
 
 
 def key_set_issues(tables: dict[str, DataFrame], key: str) -> DataFrame:
@@ -83,6 +108,29 @@ def key_set_issues(tables: dict[str, DataFrame], key: str) -> DataFrame:
 
 
 def latest_kept(releases: DataFrame, order: str, kept: int = 2) -> DataFrame:
-    """releases with keep: the active one and the one before."""
-    rn = F.row_number().over(Window.orderBy(F.desc(order)))
-    return releases.withColumn("keep", rn <= kept)
+    """releases with keep: the active one and the one before. No window: the top ``kept`` are few, whatever the table."""
+    top = releases.select(order).distinct().orderBy(F.desc(order)).limit(kept).agg(F.min(order).alias("_least"))
+    return releases.join(F.broadcast(top)).withColumn("keep", F.coalesce(F.col(order) >= F.col("_least"), F.lit(False))).drop("_least")  # one row
+
+
+def merge_catalogs(first: DataFrame, second: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(merged, proof): second's rows whose key first lacks follow first's; proof has one row (first, second, dropped,
+    merged, proven), whether merged = first + second - dropped."""
+    merged = first.unionByName(second.join(first.select(key), key, "left_anti"))
+    part = lambda df, name: df.select(F.lit(name).alias("_part"))
+    parts = [part(merged, "merged"), part(first, "first"), part(second, "second"), part(second.join(first.select(key), key, "left_semi"), "dropped")]
+    counts = functools.reduce(DataFrame.union, parts).agg(*(F.count_if(F.col("_part") == p).alias(p) for p in ("first", "second", "dropped", "merged")))
+    return merged, counts.withColumn("proven", F.col("merged") == F.col("first") + F.col("second") - F.col("dropped"))
+
+
+def work_left(queue: DataFrame, judged: DataFrame, key: str, verdict: str, again: list) -> DataFrame:
+    """(key, todo): queued keys that were never judged (remaining) or judged as one of ``again``."""
+    rest = queue.join(judged, key, "left_anti").select(key, F.lit("remaining").alias("todo"))
+    return rest.unionByName(queue.join(judged.where(F.col(verdict).isin(*again)), key, "left_semi").select(key, F.lit("again").alias("todo")))
+
+
+def set_sides(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
+    """(side, key): keys of the first only, of the second only, and of both."""
+    side = lambda df, name: df.select(F.lit(name).alias("side"), key)
+    a, b = first.select(key), second.select(key)
+    return side(a.subtract(b), "only first").union(side(b.subtract(a), "only second")).union(side(a.intersect(b), "both"))

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from wayforge.operators import publish
+from wayforge.operators import audits, evidence, inventory, publish
 from wayforge.operators.textjobs import issues
 from wayforge.plans.listing_queries import SCORE_SQL, scored
+from wayforge.plans.price_queries import changed
 from wayforge.plans.registry import query, read
 from wayforge.plans.views import LISTING
 from wayforge.session import work_path
 from wayforge.sources import pages as P
+from wayforge.streaming import picks
 
 WORDS = "CAST(CAST('0x' || substr(sha256(CAST(p_partkey AS VARCHAR)), {i}, 8) AS BIGINT) AS DECIMAL(38,0))"
 
@@ -24,40 +27,49 @@ def fingerprint(spark, d):
 @query("""WITH w AS (SELECT p_type, count(*) AS n, """ + ", ".join(f"sum({WORDS.format(i=8 * i + 1)}) AS w{i}" for i in range(4)) + """ FROM part GROUP BY 1), f AS (SELECT p_type, sha256(concat_ws(':', n, w0, w1, w2, w3)) AS digest FROM w)
     SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'never' WHEN p_size % 3 = 0 THEN 'again' ELSE 'reviewed' END AS state FROM part JOIN f USING (p_type)""")
 def stale_review(spark, d):
-    """O-ST6: a review counts only for the inventory that it saw."""
+    """O-ST6: reviews arrive in three batches and are held against the fingerprints of the inventory."""
     part = read(spark, d, "part")
     now = publish.fingerprint(part, ["p_type"], F.col("p_partkey"))
-    stored = part.join(now, "p_type").select("p_partkey", "digest", F.when(F.col("p_size") % 2 == 0, None).when(F.col("p_size") % 3 == 0, F.lit("old")).otherwise(F.col("digest")).alias("seen"))
-    return stored.select("p_partkey", F.when(F.col("seen").isNull(), "never").when(F.col("seen") == F.col("digest"), "reviewed").otherwise("again").alias("state"))
+    seen = F.when(F.col("p_size") % 2 == 0, None).when(F.col("p_size") % 3 == 0, F.lit("old")).otherwise(F.col("digest"))
+    reviews = part.join(now, "p_type").select("p_partkey", "p_type", seen.alias("seen"))
+    out = picks.drain_arrivals(picks.arrivals(reviews, "p_partkey"), lambda stream: picks.review_states(stream, now, "p_type"), "append", "reviews")
+    return out.select("p_partkey", "state")
 
 
 @query("SELECT sha256(text) AS place, count(DISTINCT source) AS sources, count(DISTINCT source) >= 2 AS badge FROM documents GROUP BY 1")
 def corroboration(spark, d):
     """O-A12."""
-    return read(spark, d, "documents").groupBy(F.sha2("text", 256).alias("place")).agg(F.count_distinct("source").alias("sources")).withColumn("badge", F.col("sources") >= 2)
+    return inventory.corroborated(read(spark, d, "documents"), F.sha2("text", 256), "source")
 
 
 @query("SELECT sha256(text) AS id, min(doc_id) AS first_owner, arg_min(doc_id, doc_id) FILTER (k = 2) AS second_owner, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS k FROM documents) GROUP BY 1 HAVING count(*) > 1")
 def duplicate_ids(spark, d):
     """O-A13: ids with several owners, and the first two of them."""
-    g = read(spark, d, "documents").groupBy(F.sha2("text", 256).alias("id"), "doc_id").agg(F.lit(1).alias("_x")).groupBy("id")
-    first = g.agg(F.min("doc_id").alias("first_owner"), F.count("*").alias("n")).where("n > 1")
-    rest = read(spark, d, "documents").select(F.sha2("text", 256).alias("id"), "doc_id").join(first, "id").where("doc_id > first_owner").groupBy("id", "first_owner", "n").agg(F.min("doc_id").alias("second_owner"))
-    return rest.select("id", "first_owner", "second_owner", "n")
+    return inventory.duplicate_ids(read(spark, d, "documents"), F.sha2("text", 256), "doc_id")
 
 
-@query("SELECT doc_id, sha256('{\"item\":{\"lang\":\"' || lang || '\",\"n\":' || n_chars || ',\"text\":\"' || md5(text) || '\"},\"version\":2}') AS hash FROM documents")
+ITEM_SQL = """'{"lang":"' || lang || '","n":' || n_chars || ',"text":"' || md5(text) || '"}'"""
+
+
+@query(f"""SELECT d.doc_id, sha256('{{"item":' || {ITEM_SQL} || ',"version":2}}') AS hash, sha256('{{"item":{{"curated":' || coalesce('{{"quality":' || quality || '}}', 'null') || ',"item":' || {ITEM_SQL} || ',"pricing":"' || n_chars % 7 || '"}},"version":2}}') AS published
+    FROM documents d LEFT JOIN labels l USING (doc_id) WHERE lang IS NOT NULL""")
 def evidence_hash(spark, d):
-    """O-X17."""
-    return read(spark, d, "documents").select("doc_id", publish.canonical_hash(2, text=F.md5("text"), lang=F.col("lang"), n=F.col("n_chars")).alias("hash"))
+    """O-X17: the hash of what is read, and that of all that is published."""
+    docs = read(spark, d, "documents").where("lang is not null").join(read(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
+    item = {"text": F.md5("text"), "lang": F.col("lang"), "n": F.col("n_chars")}
+    curated = F.when(F.col("quality").isNotNull(), F.struct("quality"))
+    published = evidence.publication_hash(2, item=F.struct(*(item[k].alias(k) for k in sorted(item))), pricing=(F.col("n_chars") % 7).cast("string"), curated=curated)
+    return docs.select("doc_id", publish.canonical_hash(2, **item).alias("hash"), published.alias("published"))
 
 
 @query("""SELECT doc_id, code FROM (SELECT doc_id, 'stale' AS code FROM labels WHERE doc_id % 9 = 0 UNION ALL SELECT doc_id, 'revision' FROM labels WHERE doc_id % 50 = 1 UNION ALL SELECT doc_id, 'no-evidence' FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 40 <> 2)) WHERE NOT (code = 'stale' AND doc_id % 40 = 2)""")
 def published_verify(spark, d):
-    """O-Q14: record hashes against the evidence's, one revision for all."""
+    """O-Q14: record hashes against the evidence's, one revision for all, which is recomputed."""
     docs = read(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("hash"))
-    records = read(spark, d, "labels").join(docs, "doc_id").select("doc_id", F.when(F.col("doc_id") % 9 == 0, "old").otherwise(F.col("hash")).alias("hash"), F.when(F.col("doc_id") % 50 == 1, "r1").otherwise("r2").alias("revision"))
-    return publish.verify(records, docs.where("doc_id % 40 <> 2"), "doc_id")
+    records = read(spark, d, "labels").join(docs, "doc_id").select("doc_id", F.when(F.col("doc_id") % 9 == 0, "old").otherwise(F.col("hash")).alias("hash"))
+    stamped = records.join(F.broadcast(publish.revision(records, "doc_id").select("digest")))  # one row
+    stamped = stamped.select("doc_id", "hash", F.when(F.col("doc_id") % 50 == 1, "r1").otherwise(F.col("digest")).alias("revision"))
+    return publish.verify(stamped, docs.where("doc_id % 40 <> 2"), "doc_id")
 
 
 @query("""SELECT m = 0 AND e = 0 AS ok, m AS missing, e AS errors FROM (SELECT count(*) FILTER (l.doc_id IS NULL OR d.doc_id % 7 = 3) AS m, count(*) FILTER (l.toxic = 1) AS e FROM documents d LEFT JOIN labels l USING (doc_id))""")
@@ -74,212 +86,255 @@ SENTINELS = [(3, "ECONOMY"), (10, "PROMO"), (20, "LARGE"), (10_000_000, "SMALL")
 def sentinel_check(spark, d):
     """O-Q12."""
     pinned = spark.createDataFrame(SENTINELS, "key long, label string")
-    out = read(spark, d, "part").join(F.broadcast(pinned), F.col("p_partkey") == F.col("key"), "right")
-    return out.select("key", F.when(F.col("p_partkey").isNull(), "missing").when(F.col("p_type") != F.col("label"), "mismatch").otherwise("ok").alias("state"))
+    return inventory.sentinels(read(spark, d, "part").select(F.col("p_partkey").alias("key"), F.col("p_type").alias("label")), pinned, "key", "label")
 
 
-@query("""SELECT p_partkey, 'metadata' AS code, field FROM (SELECT p_partkey, 'p_name' AS field FROM part WHERE p_partkey % 17 = 0 UNION ALL SELECT p_partkey, 'p_size' FROM part WHERE p_partkey % 23 = 0 UNION ALL SELECT p_partkey, 'p_type' FROM part WHERE p_partkey % 31 = 0)""")
+@query("""SELECT l_orderkey, l_linenumber, 'metadata' AS code, field FROM (SELECT l.*, unnest(['quantity', 'price', 'flag', 'priority', 'status', 'total', 'customer', 'date', 'supplier', 'part']) AS field FROM lineitem l JOIN orders o ON l_orderkey = o_orderkey) JOIN orders ON l_orderkey = o_orderkey
+    WHERE (field = 'quantity' AND l_quantity > 49) OR (field = 'price' AND l_extendedprice <> round(l_extendedprice, 1)) OR (field = 'flag' AND l_returnflag = 'R') OR (field = 'status' AND l_linestatus <> o_orderstatus)""")
 def metadata_agreement(spark, d):
-    """O-Q1."""
-    part = read(spark, d, "part")
-    k = F.col("p_partkey")
-    stored = part.withColumns({"p_name": F.when(k % 17 == 0, F.concat("p_name", F.lit("!"))).otherwise(F.col("p_name")), "p_size": F.when(k % 23 == 0, F.col("p_size") + 1).otherwise(F.col("p_size")), "p_type": F.when(k % 31 == 0, None).otherwise(F.col("p_type"))})
-    return publish.disagreements(part, stored, "p_partkey", ["p_name", "p_size", "p_type", "p_brand"])
-
-
-@query("""SELECT e AS expected, p AS present, m AS missing, u AS unexpected, i AS issues, m + u + i = 0 AS ok FROM (SELECT (SELECT count(*) FROM documents WHERE doc_id % 10 <> 0) AS e, (SELECT count(*) FROM labels) AS p,
-    (SELECT count(*) FROM documents WHERE doc_id % 10 <> 0 AND doc_id NOT IN (SELECT doc_id FROM labels)) AS m, (SELECT count(*) FROM labels WHERE doc_id % 10 = 0) AS u, (SELECT count(*) FROM documents WHERE length(text) > 4000) AS i)""")
+    """O-Q1: ten fields of lines against what another view of the same lines says."""
+    o = read(spark, d, "orders")
+    rows = read(spark, d, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    key = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")
+    a = rows.select(key.alias("line"), F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("price"), F.col("l_returnflag").alias("flag"), F.col("o_orderpriority").alias("priority"), F.col("l_linestatus").alias("status"), F.col("o_totalprice").alias("total"), F.col("o_custkey").alias("customer"), F.col("o_orderdate").alias("date"), F.col("l_suppkey").alias("supplier"), F.col("l_partkey").alias("part"))
+    b = rows.select(key.alias("line"), F.least("l_quantity", F.lit(49)).cast(a.schema["quantity"].dataType).alias("quantity"), F.round("l_extendedprice", 1).alias("price"), F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")).alias("flag"), F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("total"), F.col("o_custkey").alias("customer"), F.col("o_orderdate").alias("date"), F.col("l_suppkey").alias("supplier"), F.col("l_partkey").alias("part"))
+    out = publish.disagreements(a, b.distinct(), "line", ["quantity", "price", "flag", "priority", "status", "total", "customer", "date", "supplier", "part"])
+    return out.select("line.l_orderkey", "line.l_linenumber", "code", "field")
+
+
+@query("""WITH e AS (SELECT doc_id FROM documents WHERE doc_id % 10 <> 0), i AS (SELECT CASE WHEN length(text) > 4000 THEN 'too-long' ELSE 'short' END AS code FROM documents WHERE length(text) > 4000 OR length(text) < 100),
+    m AS (SELECT (SELECT count(*) FROM e) AS e, (SELECT count(*) FROM labels) AS p, (SELECT count(*) FROM labels WHERE doc_id IN (SELECT * FROM e)) AS a, (SELECT count(*) FROM e WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS m, (SELECT count(*) FROM labels WHERE doc_id NOT IN (SELECT * FROM e)) AS u, (SELECT count(*) FROM i) AS i)
+    SELECT 'count' AS part, unnest(['expected', 'present', 'audited', 'missing', 'unexpected', 'issues']) AS name, unnest([e, p, a, m, u, i]) AS n FROM m UNION ALL SELECT 'code', code, count(*) FROM i GROUP BY 2 UNION ALL SELECT 'source', CAST(quality AS VARCHAR), count(*) FROM labels GROUP BY 2 UNION ALL SELECT 'ok', 'ok', CASE WHEN m + u + i = 0 THEN 1 ELSE 0 END FROM m""")
 def issue_report(spark, d):
     """O-A16."""
     docs = read(spark, d, "documents")
-    return publish.report(issues(docs, "doc_id", {"too-long": F.length("text") > 4000}), docs.where("doc_id % 10 <> 0"), read(spark, d, "labels"), "doc_id")
+    found = issues(docs, "doc_id", {"too-long": F.length("text") > 4000, "short": F.length("text") < 100})
+    return publish.report(found, docs.where("doc_id % 10 <> 0"), read(spark, d, "labels"), "doc_id", "quality")
 
 
 @query("""WITH r AS (SELECT user_id AS member, event_id AS key, CASE WHEN event_type IN ('click', 'view') THEN 'activity' ELSE 'category' END AS kind, CAST(floor(value) AS BIGINT) % 6 AS rating, CASE WHEN event_id % 3 = 0 THEN 'n' || event_id ELSE '' END AS note, event_type = 'error' AS reviewed FROM events),
-    k AS (SELECT *, '{"key":' || key || ',"rating":' || rating || ',"note":"' || note || '","reviewed":' || reviewed || '}' AS item FROM r WHERE kind <> 'category' OR reviewed OR note <> '')
-    SELECT member, md5('{"schemaVersion":3,"activities":[' || coalesce(string_agg(item, ',' ORDER BY key) FILTER (kind = 'activity'), '') || '],"categories":[' || coalesce(string_agg(item, ',' ORDER BY key) FILTER (kind = 'category'), '') || ']}') AS digest FROM k GROUP BY 1""")
+    k AS (SELECT *, row_number() OVER (PARTITION BY member, kind ORDER BY key) AS pos, '{"key":' || key || ',"rating":' || rating || ',"note":"' || note || '","reviewed":' || reviewed || '}' AS item FROM r WHERE kind <> 'category' OR reviewed OR note <> ''), m AS (SELECT DISTINCT member FROM k)
+    SELECT member, CASE kind WHEN 'activity' THEN 1 ELSE 3 END AS section, pos AS line, CASE WHEN pos > 1 THEN ',' ELSE '' END || item AS text FROM k UNION ALL SELECT member, 0, 0, '{"schemaVersion":3,"activities":[' FROM m UNION ALL SELECT member, 2, 0, '],"categories":[' FROM m UNION ALL SELECT member, 4, 0, ']}' FROM m""")
 def export_document(spark, d):
-    """O-S12: a document for each member, as its digest."""
+    """O-S12: the lines of a document for each member."""
     kind = F.when(F.col("event_type").isin("click", "view"), "activity").otherwise("category")
     note = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("n"), F.col("event_id").cast("string"))).otherwise("")
     rows = read(spark, d, "events").select(F.col("user_id").alias("member"), F.col("event_id").alias("key"), kind.alias("kind"), (F.floor("value").cast("bigint") % 6).alias("rating"), note.alias("note"), (F.col("event_type") == "error").alias("reviewed"))
-    return publish.export(rows, "kind").select("member", F.md5("document").alias("digest"))
+    return publish.export(rows)
 
 
 #: Names of personal fields, without underscores and in small letters.
-DENIED = ["email", "username", "userid", "avatar", "phone", "address", "profileurl", "displayname", "hometown"]
+DENIED = "author authorid authorname avatar avatarurl displayname firstname lastname managementresponseauthor memberid memberprofile photo photos profileid profileurl responseauthor userid username userprofile".split()
 
 
 def nested(spark, d):
     k = F.get_json_object("props", "$.k")
     user = F.struct(F.col("user_id").cast("string").alias("user_id"), F.lit("x").alias("kind"))
-    doc = F.struct(F.col("event_id").alias("locationId"), F.struct(k.alias("k"), F.array(F.struct(F.when(F.col("event_id") % 2 == 0, F.lit("a@b")).alias("e_mail"), user.alias("author"))).alias("reviews")).alias("data"))
+    link = F.concat(F.lit("/Page-g1-d"), (F.col("event_id") % 7).cast("string"), F.lit("-x.html"))
+    first = F.struct(F.when(F.col("event_id") % 2 == 0, F.lit("a@b")).alias("display_name"), user.alias("writer"), link.alias("url"))
+    doc = F.struct(F.col("event_id").alias("locationId"), F.struct(k.alias("k"), F.array(first).alias("reviews")).alias("data"))
     return read(spark, d, "events").select("event_id", "user_id", F.to_json(doc).alias("doc"))
 
 
-@query("""SELECT event_id, '$.data.reviews[0].author.user_id' AS path FROM events UNION ALL SELECT event_id, '$.data.reviews[0].e_mail' FROM events WHERE event_id % 2 = 0""")
+@query("""SELECT event_id, '$.data.reviews[0].writer.user_id' AS path FROM events UNION ALL SELECT event_id, '$.data.reviews[0].display_name' FROM events WHERE event_id % 2 = 0""")
 def privacy_scan(spark, d):
     """O-X14: events wrapped in nested JSON; every denied key at any depth."""
     return publish.nested_keys(nested(spark, d), "event_id", "doc", DENIED)
 
 
-@query("""SELECT event_id, '{"locationId":' || event_id || ',"data":{"k":"' || json_extract_string(props, '$.k') || '","reviews":[{"author":{"kind":"x"}}]}}' AS doc FROM events""")
+@query("""SELECT event_id, '{"locationId":' || event_id || ',"data":{"k":"' || json_extract_string(props, '$.k') || '","reviews":[{"writer":{"kind":"x"}}]}}' AS doc FROM events""")
 def strip_fields(spark, d):
     """O-X15: an allow-list schema drops everything else."""
-    allow = "locationId long, data struct<k: string, reviews: array<struct<author: struct<kind: string>>>>"
-    return nested(spark, d).select("event_id", F.to_json(F.from_json("doc", allow)).alias("doc"))
+    allow = "locationId long, data struct<k: string, reviews: array<struct<writer: struct<kind: string>>>>"
+    return publish.allow_listed(nested(spark, d), "event_id", "doc", allow)
 
 
-@query("""SELECT event_id, event_id || ',' || user_id AS ids FROM events""")
+@query("""SELECT event_id, array_to_string(list_sort(list_distinct([CAST(event_id AS VARCHAR), CAST(event_id % 7 AS VARCHAR)])), ',') AS ids FROM events""")
 def nested_ids(spark, d):
-    """O-X16: all ids in a document, wherever they stand."""
-    ids = F.regexp_extract_all("doc", F.lit(r'"(?:locationId|user_id)":"?([0-9]+)'), 1)
-    return nested(spark, d).select("event_id", F.array_join(ids, ",").alias("ids"))
+    """O-X16: all ids in a document, wherever they stand, and those in links."""
+    return nested(spark, d).select("event_id", F.array_join(evidence.nested_identities(F.col("doc")), ",").alias("ids"))
 
 
-CONTRACT = [("user", 1, 9), ("assistant", 1, 9), ("system", 0, 1)]
+CONTRACT = [("user", "q-user", "{}", 3, True), ("assistant", "q-assistant", None, 3, True), ("system", "q-system", None, 1, False)]
 
 
-@query("""WITH c AS (SELECT conv_id, role, count(*) AS n FROM conversations GROUP BY 1, 2), k AS (SELECT conv_id, role, low, high FROM (SELECT DISTINCT conv_id FROM conversations), (VALUES ('user', 1, 9), ('assistant', 1, 9), ('system', 0, 1)) AS t(role, low, high))
-    SELECT conv_id, role, CASE WHEN coalesce(n, 0) < low THEN 'graphql-missing' ELSE 'graphql-excess' END AS code FROM k LEFT JOIN c USING (conv_id, role) WHERE coalesce(n, 0) < low OR coalesce(n, 0) > high
-    UNION ALL SELECT conv_id, role, 'graphql-unexpected' FROM c WHERE role NOT IN ('user', 'assistant', 'system')""")
+@query("""WITH a AS (SELECT conv_id, role AS query, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS rn, turn, role = 'assistant' AND conv_id % 5 = 0 AS settles FROM conversations), b AS (SELECT *, max(settles) OVER (PARTITION BY conv_id, query ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS done FROM a)
+    SELECT conv_id, query, code FROM (SELECT conv_id, query, 'graphql-attempt-order' AS code FROM b WHERE turn % 5 = 4 UNION ALL SELECT conv_id, query, 'graphql-query-id' FROM b WHERE conv_id % 13 = 0 UNION ALL SELECT conv_id, query, 'graphql-http' FROM b WHERE conv_id % 17 = 0 UNION ALL SELECT conv_id, query, 'graphql-variables' FROM b WHERE (conv_id % 11 = 0 AND query = 'user') OR conv_id % 19 = 0
+        UNION ALL SELECT conv_id, query, 'graphql-response' FROM b WHERE conv_id % 23 = 0 UNION ALL SELECT conv_id, query, 'graphql-polls' FROM b WHERE rn = CASE query WHEN 'system' THEN 2 ELSE 4 END UNION ALL SELECT conv_id, query, 'graphql-after-settle' FROM b WHERE done) WHERE query IN ('user', 'assistant', 'system') AND NOT (conv_id % 7 = 3 AND query = 'system')
+    UNION ALL SELECT conv_id, 'tool', 'graphql-query-unexpected' FROM b WHERE conv_id % 7 = 3 AND query = 'system' AND rn = 1
+    UNION ALL SELECT conv_id, 'tool', unnest(list_concat(CASE WHEN turn % 5 = 4 THEN ['graphql-attempt-order'] ELSE [] END, CASE WHEN conv_id % 17 = 0 THEN ['graphql-http'] ELSE [] END, CASE WHEN conv_id % 19 = 0 THEN ['graphql-variables'] ELSE [] END, CASE WHEN conv_id % 23 = 0 THEN ['graphql-response'] ELSE [] END)) FROM b WHERE conv_id % 7 = 3 AND query = 'system'
+    UNION ALL SELECT conv_id, q, 'graphql-query-missing' FROM (SELECT DISTINCT conv_id FROM conversations) c, (VALUES ('user'), ('assistant')) AS v(q) WHERE NOT EXISTS (SELECT 1 FROM conversations x WHERE x.conv_id = c.conv_id AND x.role = q)""")
 def request_log_contract(spark, d):
-    """O-Q9: each log must have the queries of a contract table, no others, and no more polls than allowed."""
-    contract = spark.createDataFrame(CONTRACT, "role string, low int, high int")
-    have = read(spark, d, "conversations").groupBy("conv_id", "role").agg(F.count("*").alias("n"))
-    want = have.select("conv_id").distinct().crossJoin(F.broadcast(contract))  # a contract of three rows
-    both = want.join(have, ["conv_id", "role"], "full_outer").withColumn("n", F.coalesce("n", F.lit(0)))
-    code = F.when(F.col("low").isNull(), "graphql-unexpected").when(F.col("n") < F.col("low"), "graphql-missing").when(F.col("n") > F.col("high"), "graphql-excess")
-    return both.select("conv_id", "role", code.alias("code")).where("code is not null")
+    """O-Q9: logs of queries against a contract table; every kind of fault occurs."""
+    contract = spark.createDataFrame(CONTRACT, "query string, query_id string, variables string, most int, required boolean")
+    c, turn = F.col("conv_id"), F.col("turn")
+    own = F.row_number().over(Window.partitionBy("conv_id", "role").orderBy("turn"))
+    name = F.when((c % 7 == 3) & (F.col("role") == "system"), "tool").otherwise(F.col("role"))
+    attempts = read(spark, d, "conversations").select(
+        "conv_id", name.alias("query"), turn.alias("at"), (own + F.when(turn % 5 == 4, 1).otherwise(0)).alias("ordinal"), F.concat(F.lit("q-"), F.when(c % 13 == 0, "old").otherwise(F.col("role"))).alias("query_id"), F.when(c % 17 == 0, 500).otherwise(200).alias("http"),
+        F.when(c % 19 == 0, None).when(c % 11 == 0, '{"a":1}').otherwise("{}").alias("variables"), F.when((F.col("role") == "assistant") & (c % 5 == 0), "SUCCESS").otherwise("PENDING").alias("status"), (c % 23 != 0).alias("has_data"),
+    )
+    return audits.request_log_issues(attempts, contract, "conv_id")
 
 
 @query(f"""WITH {LISTING} SELECT l.key, name, {SCORE_SQL} AS score, city || '-' || category AS place, CASE WHEN key % 3 = 0 THEN '' ELSE 'img/' || key || '.jpg' END AS img, CASE WHEN category <> 'PROMO' THEN category || ',PROMO' ELSE category END AS cats FROM listing l WHERE key % 4 <> 0""")
 def inventory_projection(spark, d):
     """O-P5: new rows only, the first photo or none, primary and other categories once each in order."""
-    s = scored(spark, d).where("key % 4 <> 0")
-    photos = F.when(F.col("key") % 3 == 0, F.array().cast("array<string>")).otherwise(F.array(F.concat(F.lit("img/"), F.col("key").cast("string"), F.lit(".jpg")), F.lit("other")))
-    cats = F.array_distinct(F.array_prepend(F.array(F.lit("PROMO"), F.col("category")), F.col("category")))
-    return s.select("key", "name", "score", F.concat_ws("-", "city", "category").alias("place"), F.coalesce(F.get(photos, F.lit(0)), F.lit("")).alias("img"), F.array_join(cats, ",").alias("cats"))
+    k = F.col("key")
+    photos = F.when(k % 3 == 0, F.array().cast("array<string>")).otherwise(F.array(F.concat(F.lit("img/"), k.cast("string"), F.lit(".jpg")), F.lit("other")))
+    rows = scored(spark, d).withColumns({"status": F.when(k % 4 == 0, "dup").otherwise("new"), "photos": photos, "others": F.array(F.lit("PROMO"), F.col("category"))})
+    out = inventory.projected(rows, "photos", "category", "others")
+    return out.select("key", "name", "score", F.concat_ws("-", "city", "category").alias("place"), "img", F.array_join("cats", ",").alias("cats"))
 
 
-@query("""SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'img-' || doc_id ELSE trim(regexp_replace(lower(strip_accents(text[1:60])), '[^a-z0-9]+', '-', 'g'), '-') END AS slug FROM documents WHERE lang <> 'de'""")
+@query("""SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'img-' || doc_id ELSE md5(trim(regexp_replace(lower(regexp_replace(strip_accents(text), '[^\x00-\x7F]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '-')) END AS slug FROM documents""")
 def slug_key(spark, d):
-    """O-P6: the first image's slug, else one of the name without accents."""
-    from wayforge.functions.text import nfkd_ascii
-
-    slug = F.regexp_replace(F.regexp_replace(F.lower(nfkd_ascii(F.substring("text", 1, 60))), "[^a-z0-9]+", "-"), "^-+|-+$", "")
-    return read(spark, d, "documents").where("lang <> 'de'").select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("img-"), F.col("doc_id").cast("string"))).otherwise(slug).alias("slug"))
+    """O-P6: the first image's slug, else one of the whole text without accents, as its digest."""
+    image = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("img-"), F.col("doc_id").cast("string")))
+    out = inventory.slug_keys(read(spark, d, "documents"), "text", image)
+    return out.select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.col("slug")).otherwise(F.md5("slug")).alias("slug"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice, CASE WHEN l_linenumber = 1 THEN 'A' || l_orderkey || ':' || l_suppkey ELSE substr(sha256(concat_ws('|', l_orderkey, l_linenumber, l_suppkey)), 1, 12) END AS id FROM lineitem""")
+@query("""SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice, CASE WHEN l_linenumber = 1 THEN 'A' || l_orderkey || ':' || l_suppkey ELSE 'pkg-' || substr(sha256(concat_ws('|', l_linenumber, l_orderkey, l_suppkey)), 1, 16) END AS id FROM lineitem""")
 def package_id(spark, d):
     """O-X22: a supplied id of the right form, else the start of a hash."""
     given = F.when(F.col("l_linenumber") == 1, F.concat(F.lit("A"), F.col("l_orderkey").cast("string"), F.lit(":"), F.col("l_suppkey").cast("string"))).otherwise("bad id!")
-    made = F.substring(F.sha2(F.concat_ws("|", *(F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_suppkey"))), 256), 1, 12)
-    return read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", F.when(given.rlike(r"^[A-Za-z0-9._:-]{1,80}$"), given).otherwise(made).alias("id"))
+    made = evidence.package_id(given, F.col("l_linenumber"), F.col("l_orderkey"), F.col("l_suppkey"))
+    return read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", made.alias("id"))
 
 
-@query("""SELECT doc_id, CASE WHEN lower(split_part(text, ' ', 1)) IN ('the', 'the.') THEN 'page ' || doc_id ELSE split_part(text, ' ', 1) END AS name, quality FROM documents LEFT JOIN labels USING (doc_id)""")
+@query("""SELECT doc_id, CASE WHEN lower(split_part(text, ' ', 1)) = 'the' AND doc_id % 2 = 0 THEN 'Page ' || doc_id ELSE trim(split_part(text, ' ', 1)) END AS name, quality FROM documents LEFT JOIN labels USING (doc_id)""")
 def context_assembly(spark, d):
-    """O-P9: a name that is only an article gives way to the page's title."""
-    name = F.substring_index("text", " ", 1)
-    return read(spark, d, "documents").select("doc_id", F.when(F.lower(name).isin("the", "the."), F.concat(F.lit("page "), F.col("doc_id").cast("string"))).otherwise(name).alias("name")).join(read(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
+    """O-P9: a name that is only an article gives way to the page's title of several words."""
+    docs = read(spark, d, "documents")
+    title = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("“Page” "), F.col("doc_id").cast("string"))).otherwise("Page")
+    details = docs.select("doc_id", title.alias("page_title")).join(read(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
+    return evidence.contexts(docs.select("doc_id", F.substring_index("text", " ", 1).alias("name")), details, "doc_id").select("doc_id", "name", "quality")
 
 
-@query("""SELECT o_orderkey, status, n_reviews, reviews FROM (SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderstatus END, o_orderpriority) AS status, least(count(*), 3) AS n_reviews,
-    array_to_string(list(l_returnflag || l_linenumber ORDER BY l_linenumber, l_suppkey, l_returnflag)[1:3], ',') AS reviews FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2)""")
+@query("""SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderstatus END, o_orderpriority) AS name, CAST(n AS INTEGER) AS n_reviews, 'Costs [price omitted] for line ' || CAST(low AS VARCHAR) || '.' AS first_review, md5('About [price omitted] a day. Fine.') AS description,
+    CASE WHEN o_orderkey % 2 = 0 THEN 'P' || o_orderkey ELSE 'pkg-' || substr(sha256(concat_ws('|', 0, 'Tour', '', 'at 9')), 1, 16) END AS package FROM orders JOIN (SELECT l_orderkey, least(count(*), 10) AS n, min(l_linenumber) AS low FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""")
 def evidence_prepare(spark, d):
-    """O-P10: inventory fields first, context as fallback, at most so many reviews in order."""
-    lines = read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.slice(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey", "l_returnflag"))), 1, 3).alias("r"))  # an order has few lines
-    o = read(spark, d, "orders").select("o_orderkey", F.coalesce(F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderstatus")), F.col("o_orderpriority")).alias("status"))
-    text = F.transform("r", lambda x: F.concat(x["l_returnflag"], x["l_linenumber"].cast("string")))
-    return o.join(lines, F.col("l_orderkey") == F.col("o_orderkey")).select("o_orderkey", "status", F.size("r").alias("n_reviews"), F.array_join(text, ",").alias("reviews"))
-
-
-@query("""SELECT doc_id, CASE WHEN quality IS NOT NULL THEN 'text and label' ELSE 'text' END AS source_label, CASE WHEN quality IS NOT NULL THEN 1 END AS reviews_used FROM documents LEFT JOIN labels USING (doc_id)""")
+    """O-P10: inventory fields first, context as fallback, reviews without money, bodies out of titles, packages with ids."""
+    k = F.col("o_orderkey")
+    review = F.struct("l_linenumber", F.concat(F.lit("Costs €5 for line "), F.col("l_linenumber").cast("string"), F.lit(".")).alias("text"))
+    reviews = read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(review)).alias("r"))  # an order has a few lines
+    reviews = reviews.select(F.col("l_orderkey").alias("o_orderkey"), F.transform("r", lambda x: F.struct(F.lit("").alias("title"), x["text"].alias("text"), F.lit(5).alias("rating"))).alias("reviews"))
+    none = lambda t: F.lit(None).cast(t)
+    o = read(spark, d, "orders")
+    fields = {"category": none("string"), "subtype": none("string"), "rating": none("double"), "review_count": none("long"), "url": none("string")}
+    rows = o.select("o_orderkey", F.when(k % 5 != 0, F.col("o_orderstatus")).alias("name"), *(c.alias(n) for n, c in fields.items()))
+    package = F.array(F.struct(F.when(k % 2 == 0, F.concat(F.lit("P"), k.cast("string"))).otherwise("bad id!").alias("id"), F.lit("Tour").alias("name"), F.lit("").alias("description"), F.lit("at 9").alias("times")))
+    context = o.select("o_orderkey", F.col("o_orderpriority").alias("name"), *(c.alias(n) for n, c in fields.items()), F.lit("About 20 EUR a day. Fine.").alias("description"), F.lit("2024-05-01").alias("checked_at"), package.alias("packages")).join(reviews, "o_orderkey")
+    out = evidence.prepared(rows, context, "o_orderkey")
+    return out.select("o_orderkey", "name", F.size("reviews").alias("n_reviews"), F.col("reviews")[0]["text"].alias("first_review"), F.md5("description").alias("description"), F.col("packages")[0]["id"].alias("package"))
+
+
+@query("""SELECT doc_id, CASE WHEN quality = 1 THEN 'activity page + sampled reviews' ELSE 'activity page' END AS source_label, CASE WHEN quality = 1 THEN 1 END AS reviews_used, CASE WHEN quality = 1 THEN 'sum ' || doc_id END AS review_summary, CASE WHEN doc_id % 2 = 0 THEN 'c' ELSE 'u' END || doc_id AS source, CASE WHEN quality = 1 THEN CASE WHEN doc_id % 2 = 0 THEN 'c' ELSE 'u' END || doc_id END AS review_source FROM documents LEFT JOIN labels USING (doc_id)""")
 def brief_assembly(spark, d):
     """O-P11: review fields only where reviews were used."""
-    used = F.col("quality").isNotNull()
-    return read(spark, d, "documents").select("doc_id").join(read(spark, d, "labels"), "doc_id", "left").select("doc_id", F.when(used, "text and label").otherwise("text").alias("source_label"), F.when(used, 1).alias("reviews_used"))
+    k = F.col("doc_id").cast("string")
+    docs = read(spark, d, "documents").select("doc_id").join(read(spark, d, "labels"), "doc_id", "left")
+    outputs = docs.select("doc_id", F.lit("what").alias("what"), F.lit("do").alias("do"), F.lit("why").alias("why"), F.lit("grounded").alias("research"), F.col("quality").cast("int").alias("reviews_used"), F.concat(F.lit("sum "), k).alias("review_summary"))
+    pages = docs.select("doc_id", F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("c"), k)).alias("canonical_url"), F.concat(F.lit("u"), k).alias("url"), F.lit("2024-05-01").alias("checked_at"))
+    return evidence.briefs(outputs, pages, "doc_id").select("doc_id", "source_label", "reviews_used", "review_summary", "source", "review_source")
 
 
-@query("""SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderdate AS DATE) WHEN o_orderkey % 3 = 1 THEN DATE '2024-05-01' ELSE DATE '2024-06-01' END AS VARCHAR) AS checked, CASE o_orderkey % 3 WHEN 0 THEN 'embedded' WHEN 1 THEN 'live' ELSE 'file' END AS provenance FROM orders""")
+@query("""SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderdate AS DATE) WHEN o_orderkey % 3 = 1 THEN DATE '2024-05-01' ELSE CAST(o_orderdate AS DATE) + 1 END AS VARCHAR) AS checked, CASE o_orderkey % 3 WHEN 0 THEN 'embedded' WHEN 1 THEN 'live' ELSE 'file' END AS provenance FROM orders""")
 def check_date(spark, d):
     """O-P12: the embedded date, else the live one, else the file's."""
     k = F.col("o_orderkey") % 3
-    o = read(spark, d, "orders").select("o_orderkey", F.when(k == 0, F.date_format("o_orderdate", "MMMM d, yyyy")).alias("embedded"), F.when(k == 1, F.lit("2024-05-01").cast("date")).alias("live"))
-    made = F.coalesce(F.try_to_date("embedded", "MMMM d, yyyy"), F.col("live"), F.lit("2024-06-01").cast("date"))
-    return o.select("o_orderkey", made.cast("string").alias("checked"), F.when(F.col("embedded").isNotNull(), "embedded").when(F.col("live").isNotNull(), "live").otherwise("file").alias("provenance"))
+    day = F.col("o_orderdate").cast("date")
+    embedded = F.try_to_date(F.when(k == 0, F.date_format(day, "yyyy-MM-dd")), "yyyy-MM-dd")
+    made, how = evidence.checked_on(embedded, k == 1, F.lit("2024-05-01").cast("date"), F.date_add(day, 1).cast("timestamp"))
+    return read(spark, d, "orders").select("o_orderkey", made.cast("string").alias("checked"), how.alias("provenance"))
 
 
-@query("""SELECT p_partkey, code FROM (SELECT p_partkey, 'short' AS code FROM part WHERE length(p_name) <= 8 UNION ALL SELECT p_partkey, 'enum' FROM part WHERE p_type NOT IN ('ECONOMY', 'PROMO', 'SMALL') UNION ALL SELECT p_partkey, 'list' FROM part WHERE len(list_distinct(string_split(p_name, ' '))) <> len(string_split(p_name, ' ')) OR p_size > 48)""")
+@query("""SELECT p_partkey, code FROM (SELECT p_partkey, 'short-p_name' AS code FROM part WHERE length(trim(p_name)) <= 8 UNION ALL SELECT p_partkey, 'enum-p_type' FROM part WHERE p_type NOT IN ('ECONOMY', 'PROMO', 'SMALL') UNION ALL SELECT p_partkey, 'list-words' FROM part WHERE len(list_distinct(string_split(p_name, ' '))) <> len(string_split(p_name, ' ')) UNION ALL SELECT p_partkey, 'source' FROM part WHERE p_size > 48 UNION ALL SELECT p_partkey, 'duplicate-id' FROM part WHERE p_size = 9)""")
 def record_completeness(spark, d):
     """O-Q17."""
-    words = F.split("p_name", " ")
-    return issues(read(spark, d, "part"), "p_partkey", {"short": F.length("p_name") <= 8, "enum": ~F.col("p_type").isin("ECONOMY", "PROMO", "SMALL"), "list": (F.size(F.array_distinct(words)) != F.size(words)) | (F.col("p_size") > 48)})
+    part = read(spark, d, "part").withColumns({"words": F.split("p_name", " "), "sources": F.array(F.lit("https://a"), F.when(F.col("p_size") > 48, "http://b").otherwise("https://b"))})
+    part = part.union(part.where("p_size = 9").withColumns({"p_name": F.lit("a proper name"), "p_type": F.lit("PROMO"), "words": F.array(F.lit("a"))}))
+    return audits.completeness_issues(part, "p_partkey", ["p_name"], {"p_type": ("ECONOMY", "PROMO", "SMALL")}, ["words"], "sources", least=8)
 
 
 FLOORS = [("ECONOMY", 100), ("PROMO", 500), ("SMALL", 10), ("GONE", 1)]
 
 
-@query("""SELECT f.p_type, least_, count(p_partkey) AS n, count(p_partkey) < least_ AS below FROM (VALUES ('ECONOMY', 100), ('PROMO', 500), ('SMALL', 10), ('GONE', 1)) AS f(p_type, least_) LEFT JOIN part USING (p_type) GROUP BY 1, 2""")
+@query("""SELECT f.p_type, least_ AS least, count(p_partkey) AS n, count(p_partkey) < least_ AS below FROM (VALUES ('ECONOMY', 100), ('PROMO', 500), ('SMALL', 10), ('GONE', 1)) AS f(p_type, least_) LEFT JOIN part USING (p_type) GROUP BY 1, 2 UNION ALL SELECT '*', 1100, count(*), count(*) < 1100 FROM part""")
 def group_floors(spark, d):
-    """O-A3."""
-    floors = spark.createDataFrame(FLOORS, "p_type string, least_ int")
-    counts = read(spark, d, "part").groupBy("p_type").agg(F.count("*").alias("n"))
-    return floors.join(counts, "p_type", "left").select("p_type", "least_", F.coalesce("n", F.lit(0)).alias("n"), (F.coalesce("n", F.lit(0)) < F.col("least_")).alias("below"))
+    """O-A3: floors of groups and of the whole inventory."""
+    floors = spark.createDataFrame(FLOORS, "p_type string, least int")
+    return inventory.group_floors(read(spark, d, "part"), floors, "p_type", 1100)
 
 
-@query("""SELECT quality AS verdict, count(*) AS n, count(*) <> CASE quality WHEN 1 THEN 300 ELSE 50 END AS mismatch FROM labels GROUP BY 1""")
+@query("""SELECT quality AS verdict, count(*) AS n, CASE quality WHEN 1 THEN 300 ELSE 50 END AS stated, count(*) <> CASE quality WHEN 1 THEN 300 ELSE 50 END AS mismatch FROM labels GROUP BY 1 UNION ALL SELECT 7, 0, 3, TRUE""")
 def qa_tally(spark, d):
     """O-A17: verdicts against stated totals."""
-    n = read(spark, d, "labels").groupBy(F.col("quality").alias("verdict")).agg(F.count("*").alias("n"))
-    return n.withColumn("mismatch", F.col("n") != F.when(F.col("verdict") == 1, 300).otherwise(50))
+    rows = read(spark, d, "labels").select(F.col("quality").cast("int").alias("verdict"))
+    return inventory.verdict_tally(rows, "verdict", {1: 300, 0: 50, 7: 3})
 
 
-@query("""SELECT event_id, code FROM (SELECT event_id, 'listing-rating' AS code FROM events WHERE value / 50 NOT BETWEEN 0 AND 5 UNION ALL SELECT event_id, 'review-rating' FROM events WHERE floor(value) < 1 UNION ALL SELECT event_id, 'listing-review-count' FROM events WHERE CAST(json_extract_string(props, '$.k') AS INTEGER) - 5 < 0)""")
+@query("""SELECT event_id, code FROM (SELECT event_id, 'listing-rating' AS code FROM events WHERE value / 50 NOT BETWEEN 0 AND 5 UNION ALL SELECT event_id, 'review-rating' FROM events WHERE floor(value) NOT BETWEEN 1 AND 5 UNION ALL SELECT event_id, 'listing-review-count' FROM events WHERE CAST(json_extract_string(props, '$.k') AS INTEGER) - 5 < 0)""")
 def domain_checks(spark, d):
     """O-Q2."""
-    v = F.col("value")
-    return issues(read(spark, d, "events"), "event_id", {"listing-rating": ~(v / 50).between(0, 5) | F.isnan(v), "review-rating": F.floor(v) < 1, "listing-review-count": F.get_json_object("props", "$.k").cast("int") - 5 < 0})
+    e = read(spark, d, "events").select("event_id", (F.col("value") / 50).alias("rating"), F.floor("value").cast("double").alias("review"), (F.get_json_object("props", "$.k").cast("int") - 5).alias("reviews"))
+    return audits.domain_issues(e, "event_id", "rating", "review", "reviews")
 
 
-@query(r"""SELECT page_id, code FROM (SELECT page_id, 'canonical-host' AS code FROM pages WHERE NOT regexp_matches(lower(url), '^https?://[^/?#:]*example\.(com|net|org)') UNION ALL SELECT page_id, 'url-identity' FROM pages WHERE regexp_extract(lower(url), '/([0-9]+)(?:[?#/]|$)', 1) = '' OR page_id % 20 = 0)""")
+@query(r"""WITH p AS (SELECT page_id, regexp_extract(lower(url), '/([0-9]+)(?:[?#/]|$)', 1) AS id, regexp_matches(lower(url), '^https?://(?:[^/?#:]*\.)?example\.(com|net|org)(?:[/?#:]|$)') AS good FROM pages)
+    SELECT page_id, code FROM (SELECT page_id, 'inventory-identity' AS code FROM p WHERE id = '' UNION ALL SELECT page_id, 'stored-identity' FROM p WHERE page_id % 20 = 0 UNION ALL SELECT page_id, 'canonical-identity' FROM p WHERE page_id % 15 = 0 OR page_id % 14 = 0 UNION ALL SELECT page_id, 'canonical-host' FROM p WHERE page_id % 14 = 0 OR (page_id % 15 <> 0 AND NOT good))""")
 def identity_checks(spark, d):
     """O-Q3: inventory, stored and canonical address name the same page."""
-    url = F.col("url")
-    stored = F.when(F.col("page_id") % 20 == 0, F.lit("https://example.com/x/0")).otherwise(url)
-    p = read(spark, d, "pages").select("page_id", "url", P.identity(url).alias("a"), P.identity(stored).alias("b"))
-    return issues(p, "page_id", {"canonical-host": ~P.host(url).rlike(r"example\.(com|net|org)$"), "url-identity": F.col("a").startswith("url:") | (F.col("a") != F.col("b"))})
+    url, i = F.col("url"), F.col("page_id")
+    p = read(spark, d, "pages").select("page_id", "url", F.when(i % 20 == 0, F.lit("https://example.com/x/0")).otherwise(url).alias("stored"), F.when(i % 14 == 0, None).when(i % 15 == 0, F.lit("https://example.com/x/1")).otherwise(url).alias("canonical"))
+    return audits.identity_issues(p, "page_id", "url", "stored", "canonical", P.identity, r"(?:^|\.)example\.(com|net|org)$")
 
 
 @query("""SELECT doc_id, 'stale-parse' AS code FROM documents WHERE n_chars + CASE WHEN doc_id % 19 = 0 THEN 1 ELSE 0 END <> length(text)""")
 def stale_derivation(spark, d):
-    """O-Q7: a stored derived field against what today's code derives."""
-    docs = read(spark, d, "documents").withColumn("stored", F.col("n_chars") + F.when(F.col("doc_id") % 19 == 0, 1).otherwise(0))
-    return issues(docs, "doc_id", {"stale-parse": F.col("stored") != F.length("text")})
+    """O-Q7: stored derived fields against what today's code derives."""
+    docs = read(spark, d, "documents").withColumns({"stored": F.col("n_chars") + F.when(F.col("doc_id") % 19 == 0, 1).otherwise(0), "first": F.substring_index("text", " ", 1)})
+    return audits.stale_derivations(docs, "doc_id", {"stored": F.length("text"), "first": F.substring_index("text", " ", 1)})
 
 
-@query(r"""SELECT o_orderkey, code FROM (SELECT o_orderkey, 'price-status' AS code FROM orders WHERE o_orderstatus NOT IN ('F', 'O') UNION ALL SELECT o_orderkey, 'brief-length' FROM orders WHERE length(o_orderpriority) > 12 UNION ALL SELECT o_orderkey, 'money' FROM orders WHERE NOT regexp_matches(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR), '^[0-9]{1,6}\.[0-9]{2}$') UNION ALL SELECT o_orderkey, 'package-status' FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT')""")
-def publication_schema(spark, d):
-    """O-Q11: enums, lengths, the form of money, and status against packages."""
-    rules = {"price-status": ~F.col("o_orderstatus").isin("F", "O"), "brief-length": F.length("o_orderpriority") > 12, "money": ~F.col("o_totalprice").cast("decimal(18,2)").cast("string").rlike(r"^[0-9]{1,6}\.[0-9]{2}$"), "package-status": (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")}
-    return issues(read(spark, d, "orders"), "o_orderkey", rules)
+#: Changes of one thing in a valid publication, and the one code that each gives.
+PUBLISHED = {
+    1: ("what", "", "brief-what"), 2: ("do", "x" * 321, "brief-do-length"), 3: ("summary", "x" * 241, "brief-summary-length"), 4: ("source", "http://a", "source"), 5: ("checked_at", "May 2024", "checked-at"), 6: ("provenance", "guess", "provenance"), 7: ("status", "open", "price-status"),
+    8: ("starting", "05.123", "starting-price"), 9: ("kind", "gift", "package-kind"), 10: ("amount", "1,5", "package-amount"), 11: ("status", "unavailable", "status-packages"), 12: ("status", "free", "status-free"), 13: ("status", "not-published", "status-not-published"),
+}
 
 
-@query(r"""SELECT p_partkey, code FROM (SELECT p_partkey, 'reserved' AS code FROM part WHERE starts_with(p_name, 'red') UNION ALL SELECT p_partkey, 'unsafe-id' FROM part WHERE regexp_matches(p_brand, '[^A-Za-z0-9#]') OR p_brand = 'Brand#5' UNION ALL SELECT p_partkey, 'raw-text' FROM part WHERE p_size = 13)""")
+@query(f"SELECT o_orderkey, code FROM orders JOIN (VALUES {', '.join(f"({k}, '{c}')" for k, (_, _, c) in PUBLISHED.items())}) AS v(k, code) ON o_orderkey % 16 = k")
+def publication_schema(spark, d):
+    """O-Q11: one change in a valid record or package, one code."""
+    valid = {"what": "A walk.", "do": "Walk.", "why": "Nice.", "summary": "Liked.", "source": "https://a", "checked_at": "2024-05-01", "provenance": "generated", "status": "priced", "starting": "12.50", "currency": "EUR"}
+    package = {"kind": "exact", "amount": "15", "availability": "available"}
+    k = F.col("o_orderkey") % 16
+    faults = {i: (c, v) for i, (c, v, _) in PUBLISHED.items()}
+    rows = read(spark, d, "orders").select("o_orderkey")
+    records = rows.select("o_orderkey", *changed(valid, faults, k)).withColumn("starting", F.when(F.col("status") == "priced", F.col("starting")))
+    packs = rows.select("o_orderkey", *changed(package, faults, k)).where(k != 0)
+    return audits.publication_issues(records, packs, "o_orderkey")
+
+
+@query(r"""SELECT p_name || p_partkey AS key, code FROM part, (VALUES ('reserved'), ('unsafe-id'), ('raw-description')) AS v(code) WHERE (code = 'reserved' AND starts_with(p_name, 'red')) OR (code = 'unsafe-id' AND (NOT regexp_matches(CASE p_size WHEN 1 THEN '__proto__' WHEN 2 THEN 'a b' ELSE p_brand END, '^[A-Za-z0-9][A-Za-z0-9._:#-]*$'))) OR (code = 'raw-description' AND p_size = 13)""")
 def namespace_checks(spark, d):
     """O-Q13: reserved prefixes, unsafe ids, and text that must not ship."""
-    return issues(read(spark, d, "part"), "p_partkey", {"reserved": F.col("p_name").startswith("red"), "unsafe-id": F.col("p_brand").rlike("[^A-Za-z0-9#]") | (F.col("p_brand") == "Brand#5"), "raw-text": F.col("p_size") == 13})
+    id_ = F.when(F.col("p_size") == 1, "__proto__").when(F.col("p_size") == 2, "a b").otherwise(F.col("p_brand"))
+    rows = read(spark, d, "part").select(F.concat("p_name", F.col("p_partkey").cast("string")).alias("key"), id_.alias("id"), F.when(F.col("p_size") == 13, F.lit("raw")).alias("description"))
+    return audits.namespace_issues(rows, "key", "red", "id", ["description"])
 
 
-@query("""SELECT key, code FROM (SELECT CAST(p_partkey AS VARCHAR) AS key, 'ok' AS code FROM part WHERE p_partkey % 10 > 1 AND p_partkey % 10 <> 7 UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'duplicate-key' FROM part WHERE p_partkey % 10 = 7 UNION ALL SELECT NULL, 'no-key' FROM part WHERE p_partkey % 10 = 0)""")
+@query("""SELECT CASE WHEN p_partkey % 10 <> 0 THEN CAST(p_partkey AS VARCHAR) END AS key, CASE WHEN p_partkey % 10 = 0 THEN 'no-key' WHEN p_partkey % 10 = 7 THEN 'duplicate-key' WHEN p_partkey % 10 = 1 THEN 'schema' ELSE 'ok' END AS code FROM part""")
 def strict_json(spark, d):
-    """O-S4: parts written as JSON, some without a key, some twice, and read back strictly."""
+    """O-S4: parts written as JSON, some without a key, some twice, some of a wrong type, and read back strictly."""
     k = F.col("p_partkey")
-    part = read(spark, d, "part").where("p_partkey % 10 <> 1")
-    rows = part.select(F.when(k % 10 != 0, k.cast("string")).alias("key"), F.col("p_size").alias("size"))
+    part = read(spark, d, "part")
+    size = F.when(k % 10 == 1, F.lit("many")).otherwise(F.col("p_size").cast("string"))
+    key = F.when(k % 10 != 0, F.concat(F.lit('"'), k.cast("string"), F.lit('"'))).otherwise("null")
+    line = F.concat(F.lit('{"key":'), key, F.lit(',"size":'), F.when(k % 10 == 1, F.concat(F.lit('"'), size, F.lit('"'))).otherwise(size), F.lit("}"))
     path = work_path(spark, "strict-json")
-    rows.unionByName(part.where("p_partkey % 10 = 7").select(k.cast("string").alias("key"), F.col("p_size").alias("size"))).write.json(path)
+    part.select(line.alias("value")).union(part.where("p_partkey % 10 = 7").select(line.alias("value"))).write.text(path)
     good, bad = P.strict_json(spark, path, "key string, size int", "key", one_list=False)
     return good.select("key", F.lit("ok").alias("code")).unionByName(bad)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from wayforge.operators import feeds, ranking
+from wayforge.operators import feeds, inventory, ranking
 from wayforge.plans.registry import query, read, rounded, rounded_sql
 from wayforge.plans.views import DECIDED, FEED, LISTING, NEW_IDS, STRENGTHS, TAILS, feed, feed_pages, listing
 
@@ -75,17 +75,14 @@ def weak_streak(spark, d):
 @query(f"""WITH {LISTING} SELECT count(*) FILTER (rating >= 2.6 AND reviews >= 35) AS strong, count(*) FILTER (rating >= 2.4 AND reviews >= 25) AS fair, count(*) AS total FROM listing""")
 def quality_gates(spark, d):
     """O-F2, thresholds scaled to this data."""
-    return listing(spark, d).agg(
-        F.count_if((F.col("rating") >= 2.6) & (F.col("reviews") >= 35)).alias("strong"), F.count_if((F.col("rating") >= 2.4) & (F.col("reviews") >= 25)).alias("fair"), F.count("*").alias("total")
-    )
+    return inventory.quality_gates(listing(spark, d), {"strong": (2.6, 35), "fair": (2.4, 25)})
 
 
 @query(f"""WITH {LISTING} SELECT coalesce(city, 'ALL') AS city, count(*) AS total, count(*) FILTER (rating >= 2.5) AS rated, count(*) FILTER (size > 45) AS closed, CAST(sum(reviews) AS BIGINT) AS reviews
     FROM listing GROUP BY ROLLUP (city)""")
 def run_summary_rollup(spark, d):
     """O-A15: per city and in total."""
-    out = listing(spark, d).rollup("city").agg(F.count("*").alias("total"), F.count_if(F.col("rating") >= 2.5).alias("rated"), F.count_if(F.col("size") > 45).alias("closed"), F.sum("reviews").alias("reviews"))
-    return out.withColumn("city", F.coalesce("city", F.lit("ALL")))
+    return inventory.run_summary(listing(spark, d), "city", rated=F.col("rating") >= 2.5, closed=F.col("size") > 45)
 
 
 def origin(spark, d):
@@ -93,7 +90,7 @@ def origin(spark, d):
     nation, region = read(spark, d, "nation"), read(spark, d, "region")
     first = read(spark, d, "lineitem").groupBy("l_partkey").agg(F.min("l_suppkey").alias("s_suppkey"))
     places = read(spark, d, "supplier").join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey")).join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))  # nation and region are fixed tables of 25 and 5 rows
-    kind = F.when(F.col("n_name") == "NATION_3", "own").when(F.col("r_name").isin("EUROPE", "AFRICA"), "region").otherwise("foreign")
+    kind = inventory.origin_class(F.col("n_name"), F.col("r_name"), "NATION_3", ("EUROPE", "AFRICA"))
     return first.join(places, "s_suppkey").select(F.col("l_partkey").alias("key"), "n_name", "r_name", kind.alias("origin"))
 
 
@@ -114,7 +111,7 @@ def origin_class(spark, d):
 def visible_inventory(spark, d):
     """O-F1: a city's rows that are neither foreign nor hidden."""
     hidden = read(spark, d, "part").where("p_size > 45").select(F.col("p_partkey").alias("key"))
-    return listing(spark, d).where("city = 'Brand#3'").join(origin(spark, d), "key").where("origin <> 'foreign'").join(hidden, "key", "left_anti").select("key", "name", "city", "origin")
+    return inventory.visible(listing(spark, d).join(origin(spark, d), "key"), hidden, "key", "Brand#3").select("key", "name", "city", "origin")
 
 
 @query("""SELECT p_partkey, p_type, p_brand FROM part WHERE p_type IN ('ECONOMY', 'PROMO') AND p_brand IN ('Brand#1', 'Brand#2', 'Brand#7')
@@ -136,12 +133,10 @@ def facet_values(spark, d):
     row_number() OVER (PARTITION BY city ORDER BY coalesce(rating, 0) DESC, name, key) AS by_rating FROM listing""")
 def sort_modes(spark, d):
     """O-O2: both orders of each city's list."""
-    w = Window.partitionBy("city")
-    return listing(spark, d).select(
-        "key", "name", "reviews", rounded(F.col("rating"), 4).alias("rating"),
-        F.row_number().over(w.orderBy(F.desc("reviews"), F.desc("rating"), "name", "key")).alias("by_sources"),
-        F.row_number().over(w.orderBy(F.desc(F.coalesce("rating", F.lit(0.0))), "name", "key")).alias("by_rating"),
-    )
+    modes = {"by_sources": [F.desc("reviews"), F.desc("rating"), "name", "key"], "by_rating": [F.desc(F.coalesce("rating", F.lit(0.0))), "name", "key"]}
+    modes = {k: [F.col(c) if isinstance(c, str) else c for c in v] for k, v in modes.items()}
+    out = ranking.sort_modes(listing(spark, d).select("key", "name", "reviews", "rating", "city"), "city", modes)
+    return out.select("key", "name", "reviews", rounded(F.col("rating"), 4).alias("rating"), "by_sources", "by_rating")
 
 
 CATEGORY_ORDER = [("STANDARD", 1), ("PROMO", 2), ("SMALL", 3), ("MEDIUM", 4), ("LARGE", 5), ("ECONOMY", 6), ("UNUSED", 7)]
@@ -156,31 +151,33 @@ def primary_category_groups(spark, d):
 
 
 @query("""WITH votes AS (SELECT user_id % 2 AS member, CAST(floor(value) AS BIGINT) % 500 AS place, max(CAST(floor(value) AS BIGINT) % 6) AS rating FROM events GROUP BY 1, 2)
-    SELECT place, max(rating) FILTER (member = 0) AS a, max(rating) FILTER (member = 1) AS b FROM votes GROUP BY 1 HAVING max(rating) >= 4""")
+    SELECT place, max(rating) AS best, count(*) FILTER (rating >= 4) AS members FROM votes GROUP BY 1 HAVING max(rating) >= 4""")
 def our_picks(spark, d):
     """O-F4: places that either member rated 4 or more."""
     whole = F.floor("value").cast("bigint")
-    votes = read(spark, d, "events").groupBy((F.col("user_id") % 2).alias("member"), (whole % 500).alias("place")).agg(F.max(whole % 6).alias("rating"))
-    return votes.groupBy("place").agg(F.max(F.when(F.col("member") == 0, F.col("rating"))).alias("a"), F.max(F.when(F.col("member") == 1, F.col("rating"))).alias("b"), F.max("rating").alias("_m")).where("_m >= 4").drop("_m")
+    votes = read(spark, d, "events").select((F.col("user_id") % 2).alias("member"), (whole % 500).alias("place"), (whole % 6).alias("rating"))
+    return inventory.voted(votes, "place", "member", "rating")
 
 
-@query("""WITH requests AS (SELECT row_number() OVER (ORDER BY o_orderkey) AS ord, o_custkey % 1800 AS wanted FROM orders WHERE o_orderpriority = '1-URGENT'),
-    firsts AS (SELECT wanted, min(ord) AS ord FROM requests GROUP BY 1)
-    SELECT wanted, CASE WHEN count(c_custkey) = 0 THEN 'missing' WHEN count(c_custkey) > 1 THEN 'ambiguous' ELSE 'ok' END AS state
-    FROM firsts LEFT JOIN customer ON c_custkey % 1600 = wanted GROUP BY wanted""")
+@query("""WITH requests AS (SELECT row_number() OVER (ORDER BY o_orderkey) AS ord, CASE WHEN o_orderkey % 2 = 0 THEN 'r' || (o_custkey % 3) || ':' || (o_custkey % 1800) ELSE CAST(o_custkey % 1800 AS VARCHAR) END AS wanted FROM orders),
+    firsts AS (SELECT wanted, min(ord) AS ord FROM requests GROUP BY 1), rows_ AS (SELECT 'r' || (c_custkey % 3) || ':' || (c_custkey % 1600) AS key, CAST(c_custkey % 1600 AS VARCHAR) AS id FROM customer),
+    names AS (SELECT key AS wanted, key FROM rows_ UNION ALL SELECT id, key FROM rows_), found AS (SELECT wanted, count(DISTINCT key) AS n, min(key) AS key FROM names GROUP BY 1)
+    SELECT wanted, ord, CASE WHEN n = 1 THEN key END AS key, CASE WHEN n IS NULL THEN 'missing' WHEN n > 1 THEN 'ambiguous' ELSE 'ok' END AS state FROM firsts LEFT JOIN found USING (wanted)""")
 def requested_selection(spark, d):
-    """O-F6: requests once each; a bare id may match two rows or none."""
-    requests = read(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select("o_orderkey", (F.col("o_custkey") % 1800).alias("wanted"))
-    firsts = requests.groupBy("wanted").agg(F.min("o_orderkey").alias("ord"))
-    have = read(spark, d, "customer").groupBy((F.col("c_custkey") % 1600).alias("id")).agg(F.count("*").alias("n"))
-    state = F.when(F.col("n").isNull(), "missing").when(F.col("n") > 1, "ambiguous").otherwise("ok")
-    return firsts.join(have, F.col("wanted") == F.col("id"), "left").select("wanted", state.alias("state"))
+    """O-F6: requests once each, in their order; a bare id may match two keys or none."""
+    bare = (F.col("o_custkey") % 1800).cast("string")
+    wanted = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("r"), (F.col("o_custkey") % 3).cast("string"), F.lit(":"), bare)).otherwise(bare)
+    requests = ranking.positioned(read(spark, d, "orders").select("o_orderkey", wanted.alias("wanted")), [F.col("o_orderkey")]).withColumnRenamed("position", "ord")
+    id_ = F.col("c_custkey") % 1600
+    rows = read(spark, d, "customer").select(F.concat(F.lit("r"), (F.col("c_custkey") % 3).cast("string"), F.lit(":"), id_.cast("string")).alias("key"), id_.alias("id"))
+    return inventory.requested(requests, rows)
 
 
-@query("""SELECT doc_id, quality IS NOT NULL AND regexp_full_match(source, 'src[0-9]+') AS ready FROM documents LEFT JOIN labels USING (doc_id)""")
+@query("""SELECT o_orderkey, o_orderstatus <> 'P' AND o_orderkey % 5 <> 0 AS ready FROM orders""")
 def evidence_ready(spark, d):
-    """O-F5: evidence is there and its mark has the right form."""
-    return read(spark, d, "documents").select("doc_id", "source").join(read(spark, d, "labels"), "doc_id", "left").select("doc_id", (F.col("quality").isNotNull() & F.col("source").rlike("^src[0-9]+$")).alias("ready"))
+    """O-F5: pricing is there and its check has a date."""
+    day = F.when(F.col("o_orderkey") % 5 == 0, F.date_format("o_orderdate", "MM/dd/yyyy")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    return read(spark, d, "orders").select("o_orderkey", inventory.evidence_ready(F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")), day).alias("ready"))
 
 
 @query("""SELECT l_partkey, l_returnflag, l_linestatus, l_orderkey, l_linenumber, pos FROM (

@@ -1,87 +1,103 @@
-"""Queries on texts: hygiene, money, sentences, languages, copies."""
+"""Queries on texts: hygiene, money, sentences, languages, copies.
+
+Most run over the documents with planted sentences at their ends; the SQL knows what was planted, not how it is found."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from wayforge.functions import text as T
-from wayforge.operators import textjobs
+from wayforge.operators import inventory, textjobs
 from wayforge.plans.registry import query, read
 
-#: The documents with a price sentence made from the id, as they name no amounts themselves.
-PRICED = """priced AS (SELECT doc_id, lang, text || ' Tickets cost ' || CASE doc_id % 7 WHEN 0 THEN '€' || (doc_id % 90 + 1) || ',50' WHEN 1 THEN (doc_id % 9 + 1) || '.234,56 €' WHEN 2 THEN 'A$ ' || (doc_id % 50) || '.25' WHEN 3 THEN '€1.23.4'
-    WHEN 4 THEN 'CA$ 5' WHEN 5 THEN (doc_id % 9 + 1) || ' 500 Ft' ELSE '$1,234 and £' || (doc_id % 40) END || ' each. ' || CASE doc_id % 6 WHEN 0 THEN 'A service fee of €2 per person applies. ' WHEN 1 THEN 'Free admission. ' WHEN 2 THEN 'Free admission for children only. '
-    WHEN 3 THEN 'Sold out this week. ' WHEN 4 THEN 'The hall is temporarily closed. ' ELSE 'Please select a date. ' END || CASE doc_id % 5 WHEN 0 THEN 'A deposit of €10 is due.' WHEN 1 THEN 'This tip-based tour has a booking fee of €3.' WHEN 2 THEN 'Closed now.' ELSE 'Guests over 12 pay from €15 per hour.' END AS text FROM documents)"""
+#: A price as it is written, and its (token, currency, amount).
+MONEY = [
+    ("€34,97", [("€34,97", "EUR", 34.97)]), ("1.234,56 €", [("1.234,56 €", "EUR", 1234.56)]), ("A$ 42.50", [("A$ 42.50", "AUD", 42.5)]), ("€1.23.4", [("€1.23.4", "EUR", None)]), ("CA$ 5", [("CA$ 5", "CAD", 5.0)]),
+    ("3 500 Ft", [("3 500 Ft", "HUF", 3500.0)]), ("$1,234 and £7", [("$1,234", "USD", 1234.0), ("£7", "GBP", 7.0)]), ("USD 45", [("USD 45", "USD", 45.0)]), ("HUF 3500", [("HUF 3500", "HUF", 3500.0)]), ("12 EUR", [("12 EUR", "EUR", 12.0)]),
+    ("NZD 50", [("NZD 50", "NZD", 50.0)]), ("5 000 €", [("5 000 €", "EUR", 5000.0)]), ("US$ 9.99", [("US$ 9.99", "USD", 9.99)]), ("nothing", []),
+]
+STATE = [
+    ("An additional fee of €2 per person applies.", [("€2", "EUR", 2.0)]), ("Free admission.", []), ("Free admission for children only.", []), ("Sold out this week.", []), ("The hall is temporarily closed.", []), ("Please select a date.", []),
+    ("Entry is free on Sundays.", []), ("Entrance is free of charge for all.", []), ("Admission is free, closed now.", []), ("Only here admission is free.", []),
+]
+SCOPE = [
+    ("A deposit of €10 is due.", [("€10", "EUR", 10.0)]), ("This free walking tour has a price of €3.", [("€3", "EUR", 3.0)]), ("Closed now.", []), ("Guests over 12 pay from €15 per hour.", [("€15", "EUR", 15.0)]),
+    ("Surcharges of $5 per adult are not included; a booking fee of €4 applies.", [("$5", "USD", 5.0), ("€4", "EUR", 4.0)]),
+]
+PARTS = (MONEY, STATE, SCOPE)
+
+
+def planted(cases) -> F.Column:
+    i = F.col("doc_id") % len(cases)
+    return F.coalesce(*(F.when(i == k, text) for k, (text, _) in enumerate(cases)))
 
 
 def priced(spark, d):
-    i, s = F.col("doc_id"), lambda c: c.cast("string")
-    pick = lambda n, values, other: F.coalesce(*(F.when(i % n == k, v if not isinstance(v, str) else F.lit(v)) for k, v in enumerate(values)), other if not isinstance(other, str) else F.lit(other))
-    money = pick(7, [F.concat(F.lit("€"), s(i % 90 + 1), F.lit(",50")), F.concat(s(i % 9 + 1), F.lit(".234,56 €")), F.concat(F.lit("A$ "), s(i % 50), F.lit(".25")), "€1.23.4", "CA$ 5", F.concat(s(i % 9 + 1), F.lit(" 500 Ft"))], F.concat(F.lit("$1,234 and £"), s(i % 40)))
-    state = pick(6, ["A service fee of €2 per person applies. ", "Free admission. ", "Free admission for children only. ", "Sold out this week. ", "The hall is temporarily closed. "], "Please select a date. ")
-    scope = pick(5, ["A deposit of €10 is due.", "This tip-based tour has a booking fee of €3.", "Closed now."], "Guests over 12 pay from €15 per hour.")
-    return read(spark, d, "documents").select("doc_id", "lang", F.concat("text", F.lit(" Tickets cost "), money, F.lit(" each. "), state, scope).alias("text"))
+    """The documents without currency marks of their own, each with a price, a state and a sentence on a charge at its end."""
+    text = F.concat(F.translate("text", "$€£¥", ""), F.lit(" Tickets cost "), planted(MONEY), F.lit(" each. "), planted(STATE), F.lit(" "), planted(SCOPE))
+    return read(spark, d, "documents").select("doc_id", "lang", text.alias("text"), planted(SCOPE).alias("charge"))
+
+
+def case_sql(cases, of=lambda text, tokens: text) -> str:
+    return f"CASE doc_id % {len(cases)} " + " ".join(f"WHEN {k} THEN '{of(*c)}'" for k, c in enumerate(cases)) + " END"
 
 
-MONEY_SQL = r"((?:CA\$|NZ\$|A\$|\$|€|£|¥) ?[0-9](?:[0-9.,]*[0-9])?|[0-9](?:[0-9.,]*[0-9])? ?(?:€|£|Ft))"
-MENTIONS = rf"""mentions AS (SELECT doc_id, unnest(regexp_extract_all(text, '{MONEY_SQL}', 1)) AS token FROM priced),
-    parsed AS (SELECT doc_id, token, regexp_replace(token, '[^0-9.,]', '', 'g') AS raw, CASE WHEN contains(token, 'CA$') THEN 'CAD' WHEN contains(token, 'A$') THEN 'AUD' WHEN contains(token, 'NZ$') THEN 'NZD' WHEN contains(token, '$') THEN 'USD' WHEN contains(token, '€') THEN 'EUR'
-        WHEN contains(token, '£') THEN 'GBP' WHEN contains(token, '¥') THEN 'JPY' WHEN contains(token, 'Ft') THEN 'HUF' END AS currency FROM mentions),
-    amounts AS (SELECT *, CASE WHEN contains(raw, '.') AND contains(raw, ',') THEN CASE WHEN strpos(reverse(raw), ',') < strpos(reverse(raw), '.') THEN replace(replace(raw, '.', ''), ',', '.') ELSE replace(raw, ',', '') END
-        WHEN length(raw) - length(regexp_replace(raw, '[.,]', '', 'g')) = 1 AND regexp_matches(raw, '[.,][0-9]{{1,2}}$') THEN replace(raw, ',', '.') WHEN regexp_matches(raw, '^[0-9]{{1,3}}([.,][0-9]{{3}})+$') THEN regexp_replace(raw, '[.,]', '', 'g')
-        WHEN NOT regexp_matches(raw, '[.,]') THEN raw END AS n FROM parsed)"""
+def redacted(text, tokens):
+    for t, *_ in tokens:
+        text = text.replace(t, "[price]")
+    return text
 
 
-@query(f"WITH {PRICED}, {MENTIONS} SELECT doc_id, token, currency, CAST(CASE WHEN regexp_matches(n, '^[0-9]+(\\.[0-9]{{1,2}})?$') THEN CAST(n AS DECIMAL(18,2)) END AS DOUBLE) AS amount FROM amounts")
+def tokens_sql(cases) -> str:
+    rows = [f"({k}, '{t}', '{c}', CAST({'NULL' if a is None else a} AS DOUBLE))" for k, (_, tokens) in enumerate(cases) for t, c, a in tokens]
+    return f"SELECT doc_id, token, currency, amount FROM documents JOIN (VALUES {', '.join(rows)}) AS v(k, token, currency, amount) ON doc_id % {len(cases)} = k WHERE text IS NOT NULL"
+
+
+@query(" UNION ALL ".join(map(tokens_sql, PARTS)))
 def price_mentions(spark, d):
     """O-X4."""
     return textjobs.mentions(priced(spark, d), "doc_id", "text").select("doc_id", "token", "currency", F.col("amount").cast("double").alias("amount"))
 
 
-@query(rf"WITH {PRICED} SELECT doc_id, len(regexp_extract_all(text, '{MONEY_SQL}')) AS n, md5(regexp_replace(text, '{MONEY_SQL}', '[price]', 'g')) AS redacted FROM priced")
+@query(f"SELECT doc_id, {' + '.join(case_sql(c, lambda text, tokens: len(tokens)).replace(chr(39), '') for c in PARTS)} AS n, md5(translate(text, '$€£¥', '') || ' Tickets cost ' || {case_sql(MONEY, redacted)} || ' each. ' || {case_sql(STATE, redacted)} || ' ' || {case_sql(SCOPE, redacted)}) AS redacted FROM documents WHERE text IS NOT NULL")
 def redact_money(spark, d):
     """O-X5."""
-    return priced(spark, d).select("doc_id", F.size(T.money_mentions(F.col("text"))).alias("n"), F.md5(F.regexp_replace("text", T.MONEY, "[price]")).alias("redacted"))
-
-
-SENTENCES = r"""sent AS (SELECT doc_id, trim(unnest(string_split(regexp_replace(text, '([.!?])[ \t\n\r\f\v]+', E'\\1\n', 'g'), chr(10)))) AS sentence FROM priced)"""
+    return priced(spark, d).where("text is not null").select("doc_id", F.size(T.money_mentions(F.col("text"))).alias("n"), F.md5(F.regexp_replace("text", T.MONEY, "[price]")).alias("redacted"))
 
 
-@query(rf"""WITH {PRICED}, {SENTENCES} SELECT DISTINCT doc_id, sentence, CASE WHEN regexp_matches(sentence, 'per (person|adult)') THEN 'person' WHEN contains(sentence, 'per hour') THEN 'hour' ELSE '' END AS unit
-    FROM sent WHERE sentence <> '' AND regexp_matches(sentence, '{MONEY_SQL}') AND regexp_matches(lower(sentence), 'fee|surcharge|deposit|supplement|extra')""")
+@query("""SELECT doc_id, '€2' AS amount, 'person' AS unit, 'An additional fee of €2 per person applies.' AS sentence FROM documents WHERE doc_id % 10 = 0 AND text IS NOT NULL UNION ALL SELECT doc_id, '$5', 'adult', 'Surcharges of $5 per adult are not included;' FROM documents WHERE doc_id % 5 = 4 AND text IS NOT NULL""")
 def surcharge(spark, d):
     """O-X6."""
-    s = textjobs.sentence_rows(priced(spark, d), "doc_id", "text").where(F.col("sentence").rlike(T.MONEY) & F.lower("sentence").rlike("fee|surcharge|deposit|supplement|extra"))
-    unit = F.when(F.col("sentence").rlike("per (person|adult)"), "person").when(F.contains("sentence", F.lit("per hour")), "hour").otherwise("")
-    return s.select("doc_id", "sentence", unit.alias("unit")).distinct()
+    return textjobs.surcharges(priced(spark, d), "doc_id", "text")
 
 
-@query(rf"""WITH {PRICED}, {SENTENCES} SELECT doc_id, bool_or(regexp_matches(lower(sentence), 'free (admission|entry|entrance)') AND NOT regexp_matches(lower(sentence), 'children|students|seniors|members|residents|card holders|under|aged|only|except|unless')) AS free FROM sent GROUP BY 1""")
+@query("SELECT doc_id, text IS NOT NULL AND doc_id % 10 IN (1, 7, 8) AS free FROM documents")
 def free_evidence(spark, d):
     """O-X7."""
-    s, low = textjobs.sentence_rows(priced(spark, d), "doc_id", "text"), F.lower("sentence")
-    free = low.rlike("free (admission|entry|entrance)") & ~low.rlike("children|students|seniors|members|residents|card holders|under|aged|only|except|unless")
-    return s.groupBy("doc_id").agg(F.bool_or(free).alias("free"))
+    return priced(spark, d).select("doc_id", T.free_admission(F.col("text")).alias("free"))
 
 
-@query(rf"""WITH {PRICED}, t AS (SELECT doc_id, lower(text) AS t, TRY_CAST(regexp_extract(text, '€([0-9]+)[^€]*$', 1) AS INTEGER) AS small FROM priced)
-    SELECT doc_id, CASE WHEN contains(t, 'deposit') THEN 'deposit' WHEN contains(t, 'tip-based') AND small <= 20 THEN 'booking-fee' ELSE 'price' END AS scope FROM t""")
+@query("SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'deposit' WHEN 1 THEN 'booking-fee' WHEN 4 THEN 'booking-fee' ELSE '' END AS scope FROM documents WHERE text IS NOT NULL")
 def charge_scope(spark, d):
-    """O-X8: a small charge of a tip-based tour is a booking fee; the limit is per currency."""
-    limits = spark.createDataFrame([("USD", 20), ("EUR", 20), ("GBP", 20), ("AUD", 30), ("CAD", 30), ("HUF", 7500)], "currency string, most int")
-    p = priced(spark, d)
-    last = textjobs.mentions(p, "doc_id", "text").groupBy("doc_id").agg(F.max_by(F.struct("currency", "amount"), "pos").alias("m")).select("doc_id", "m.*").join(F.broadcast(limits), "currency", "left")  # six rows
-    out, low = p.join(last, "doc_id", "left"), F.lower("text")
-    return out.select("doc_id", F.when(F.contains(low, F.lit("deposit")), "deposit").when(F.contains(low, F.lit("tip-based")) & (F.col("amount") <= F.col("most")), "booking-fee").otherwise("price").alias("scope"))
+    """O-X8: of the last charge that a text names."""
+    p = priced(spark, d).where("text is not null")
+    prices = F.transform(T.money_mentions(F.col("text")), lambda t: F.struct(T.currency(t).alias("c"), T.amount(t).alias("a")))
+    last = p.select("doc_id", "text", "charge", F.try_element_at(prices, F.lit(-1)).alias("p"))
+    return last.select("doc_id", T.charge_scope(F.col("charge"), F.col("text"), F.col("p.c"), F.col("p.a")).alias("scope"))
 
 
-@query(rf"""WITH {PRICED}, t AS (SELECT doc_id, lower(text) AS t FROM priced) SELECT doc_id, CASE WHEN regexp_matches(t, 'sold[ -]?out|fully booked') THEN 'sold-out' WHEN regexp_matches(t, '(temporarily|permanently) closed|closed until|(is|are|remains) closed') THEN 'closed'
-    WHEN regexp_matches(t, 'unavailable|not bookable|no availability|not available') THEN 'unavailable' WHEN regexp_matches(t, '(select|choose|pick|change) (a |your |another )?date|check availability') THEN 'date-required' END AS state FROM t""")
+@query("SELECT doc_id, CASE WHEN text IS NULL THEN NULL WHEN doc_id % 10 = 3 THEN 'sold-out' WHEN doc_id % 10 = 4 AND doc_id % 5 <> 2 THEN 'closed' WHEN doc_id % 10 = 5 THEN 'date-required' END AS state FROM documents")
 def availability_text(spark, d):
     """O-X9."""
     return priced(spark, d).select("doc_id", T.availability(F.col("text")).alias("state"))
 
 
+@query("SELECT doc_id, text IS NOT NULL AND doc_id % 10 = 4 AS closed FROM documents")
+def closed_flag(spark, d):
+    """O-P7."""
+    return priced(spark, d).select("doc_id", T.closed_for_long(F.col("text")).alias("closed"))
+
+
 CLIP_SQL = "trim(regexp_replace(regexp_replace(text, '[\\x00-\\x1F\\x7F]', ' ', 'g'), ' +', ' ', 'g'))"
 
 
@@ -92,40 +108,43 @@ def clip_evidence(spark, d):
     return read(spark, d, "documents").select("doc_id", T.clipped(F.col("text"), 300).alias("clipped"))
 
 
-@query("""SELECT doc_id, code FROM (SELECT doc_id, 'text-control' AS code FROM documents WHERE regexp_matches(text, '[\\x00-\\x08\\x0B-\\x1F\\x7F]') UNION ALL SELECT doc_id, 'text-replacement' FROM documents WHERE contains(text, chr(65533))
-    UNION ALL SELECT doc_id, 'text-nfc' FROM documents WHERE text <> nfc_normalize(text) UNION ALL SELECT doc_id, 'text-space' FROM documents WHERE regexp_matches(text, '  |^ | $'))""")
+FAULTS = {1: ("\x07", "text-control"), 2: ("\ufffd", "text-replacement"), 3: ("e\u0301", "text-nfc"), 4: ("  x", "text-space"), 5: ("\ufff9", "text-interlinear"), 6: (" ", "text-space")}
+
+
+@query("SELECT doc_id, code FROM documents JOIN (VALUES " + ", ".join(f"({k}, '{code}')" for k, (_, code) in FAULTS.items()) + ") AS v(k, code) ON doc_id % 9 = k WHERE text IS NOT NULL")
 def text_hygiene(spark, d):
-    """O-X1."""
-    c = F.col("text")
-    rules = {"text-control": c.rlike(r"[\x00-\x08\x0B-\x1F\x7F]"), "text-replacement": F.contains(c, F.lit("\ufffd")), "text-nfc": ~T.is_nfc(c), "text-space": c.rlike(r"  |^ |\x20\z")}
-    return textjobs.issues(read(spark, d, "documents"), "doc_id", rules)
+    """O-X1: documents with a fault at the end of two in three."""
+    fault = F.coalesce(*(F.when(F.col("doc_id") % 9 == k, x) for k, (x, _) in FAULTS.items()), F.lit(""))
+    docs = read(spark, d, "documents").select("doc_id", F.concat("text", fault).alias("text"))
+    return textjobs.issues(docs, "doc_id", textjobs.hygiene_rules(F.col("text")))
 
 
-RULES = [(1, "tours", "tip-based|tour"), (2, "events", "[Tt]icket.*£"), (3, "fees", "service fee"), (4, "parks", "date"), (5, "food", "hall")]
-RULES_SQL = "(VALUES (1, 'tours', 'tip-based|tour'), (2, 'events', '[Tt]icket.*£'), (3, 'fees', 'service fee'), (4, 'parks', 'date'), (5, 'food', 'hall')) AS r(priority, label, pattern)"
+RULES = [(1, "tours", "free walking tour"), (2, "events", "(?i)tickets cost [^.]*£"), (3, "fees", "additional fee"), (4, "parks", "select a date"), (5, "food", "The hall")]
 
 
-@query(f"""WITH {PRICED}, hits AS (SELECT doc_id, min_by(label, priority) AS label FROM priced JOIN {RULES_SQL} ON regexp_matches(right(text, 160), pattern) GROUP BY 1), c AS (SELECT doc_id FROM labels WHERE toxic = 1)
-    SELECT p.doc_id, CASE WHEN c.doc_id IS NOT NULL THEN 'hidden' ELSE coalesce(h.label, 'review') END AS label, CASE WHEN c.doc_id IS NOT NULL THEN 'curated' WHEN h.label IS NOT NULL THEN 'rule' ELSE 'none' END AS "by" FROM priced p LEFT JOIN hits h USING (doc_id) LEFT JOIN c USING (doc_id)""")
+@query("""WITH c AS (SELECT doc_id FROM labels WHERE toxic = 1), r AS (SELECT doc_id, CASE WHEN text IS NULL THEN NULL WHEN doc_id % 5 = 1 THEN 'tours' WHEN doc_id % 14 = 6 THEN 'events' WHEN doc_id % 10 = 0 THEN 'fees' WHEN doc_id % 10 = 5 THEN 'parks' WHEN doc_id % 10 = 4 THEN 'food' END AS rule FROM documents)
+    SELECT r.doc_id, CASE WHEN c.doc_id IS NOT NULL THEN 'hidden' ELSE coalesce(rule, 'review') END AS label, CASE WHEN c.doc_id IS NOT NULL THEN 'curated' WHEN rule IS NOT NULL THEN 'rule' ELSE 'none' END AS "by" FROM r LEFT JOIN c USING (doc_id)""")
 def classify_rules(spark, d):
-    """O-P2: an ordered rule table, curated ids first."""
-    rules = spark.createDataFrame(RULES, "priority int, label string, pattern string")
+    """O-P2: an ordered rule table over whole texts, curated ids first."""
     curated = read(spark, d, "labels").where("toxic = 1").select("doc_id", F.lit("hidden").alias("label"))
-    return textjobs.classify(priced(spark, d).withColumn("tail", F.expr("right(text, 160)")), "doc_id", "tail", rules, curated)
+    return textjobs.classify(priced(spark, d), "doc_id", "text", RULES, curated)
 
 
-@query(rf"""WITH {PRICED} SELECT doc_id, kind, CAST(regexp_extract(text, CASE kind WHEN 'deposit' THEN 'deposit of €([0-9]+)' ELSE 'pay from €([0-9]+) per hour' END, 1) AS INTEGER) AS amount, TRY_CAST(regexp_extract(text, 'over ([0-9]+) pay', 1) AS INTEGER) AS minimum
-    FROM priced, (VALUES ('per-hour', 'pay from €[0-9]+ per hour'), ('deposit', 'deposit of €[0-9]+')) AS k(kind, pattern) WHERE regexp_matches(text, pattern)""")
+@query("SELECT doc_id, 'deposit' AS kind, CAST(10 AS DOUBLE) AS amount, '' AS unit, NULL::INTEGER AS minimum FROM documents WHERE doc_id % 5 = 0 AND text IS NOT NULL UNION ALL SELECT doc_id, 'per-hour', 15, 'hour', 12 FROM documents WHERE doc_id % 5 = 3 AND text IS NOT NULL")
 def conditional_prices(spark, d):
-    """O-X21: a table of patterns with the amount and a condition."""
-    rules = spark.createDataFrame([("per-hour", "pay from €([0-9]+) per hour", "over ([0-9]+) pay"), ("deposit", "deposit of €([0-9]+)", "over ([0-9]+) pay")], "kind string, pattern string, condition string")
-    hits = priced(spark, d).join(F.broadcast(rules), F.expr("text rlike pattern"))  # a rule table is a parameter
-    return hits.select("doc_id", "kind", F.expr("cast(regexp_extract(text, pattern, 1) as int)").alias("amount"), F.expr("try_cast(regexp_extract(text, condition, 1) as int)").alias("minimum"))
+    """O-X21: a table of patterns with the amount, its unit and a condition."""
+    rules = [("per-hour", "pay from (€[0-9]+) per hour", "hour", "over ([0-9]+) pay"), ("deposit", "deposit of (€[0-9]+)", "", "deposit over ([0-9]+)")]
+    return textjobs.conditional_prices(priced(spark, d), "doc_id", "text", rules).withColumn("amount", F.col("amount").cast("double"))
 
 
 #: Frequent words of the tables' languages.
-MARKERS = {"en": "the of and to in is that it", "fr": "le la de et les des est que", "de": "der die und das von den ist ein", "es": "el los las que y en se con"}
-MARKER_ROWS = [(w, k) for k, v in MARKERS.items() for w in v.split()]
+MARKERS = {
+    "en": "the of and to in is that it was for with as on are this be by from at which or an were not have has but their they his her its been had would there what about when who will more all one".split(),
+    "fr": "le la de et les des est que un une du en dans pour qui par sur au avec pas plus ne se ce sont cette il elle nous vous être aux ont mais comme leur ses son fait".split(),
+    "de": "der die und das von den ist ein mit dem des nicht auf für im sich auch eine als es an werden aus er hat dass sie nach wird bei einer um am sind noch wie einem über einen so zum war".split(),
+    "es": "el los las que y en se con del un una por para es al lo como más su sus este pero esta son entre cuando muy sin sobre también hasta hay donde desde todo nos".split(),
+}
+MARKER_ROWS = [(w, k) for k, v in MARKERS.items() for w in v]
 
 
 @query(r"""WITH s AS (SELECT doc_id, row_number() OVER () AS sid, sentence FROM (SELECT doc_id, trim(unnest(string_split(regexp_replace(text, '([.!?])[ \t\n\r\f\v]+', E'\\1\n', 'g'), chr(10)))) AS sentence FROM documents) WHERE sentence <> ''),
@@ -135,8 +154,7 @@ MARKER_ROWS = [(w, k) for k, v in MARKERS.items() for w in v.split()]
     SELECT d.doc_id, b.doc_id IS NOT NULL AS "foreign" FROM documents d LEFT JOIN bad b USING (doc_id)""")
 def language_audit(spark, d):
     """O-X10."""
-    markers = spark.createDataFrame(MARKER_ROWS, "word string, lang string")
-    return textjobs.foreign_sentences(read(spark, d, "documents"), "doc_id", "text", markers)
+    return textjobs.foreign_sentences(read(spark, d, "documents"), "doc_id", "text", MARKERS)
 
 
 @query(r"""WITH w AS (SELECT 'o' AS side, item_id AS id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS ws FROM benchmark UNION ALL SELECT 's', doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') FROM documents),
@@ -150,12 +168,11 @@ def verbatim_copy(spark, d):
 @query(r"""WITH n AS (SELECT doc_id, len(list_filter(regexp_split_to_array(split_part(text, chr(10), 1), '[ \t\n\r\f\v]+'), lambda x: x <> '')) AS first, len(list_filter(string_split(text, chr(10)), lambda l: len(list_filter(regexp_split_to_array(l, '[ \t\n\r\f\v]+'), lambda x: x <> '')) >= 12)) AS strong FROM documents)
     SELECT doc_id, first < 8 AND strong < 3 AS weak, quality = 0 AS limited, first < 8 AND strong < 3 AND coalesce(quality, 1) = 1 AS issue FROM n LEFT JOIN labels USING (doc_id)""")
 def evidence_strength(spark, d):
-    """O-X12: a short description and few long reviews are weak evidence, which must be marked."""
-    words = lambda c: F.size(F.filter(F.split(c, r"[ \t\n\x0B\f\r]+"), lambda x: x != ""))
-    lines = F.split("text", "\n")
-    n = read(spark, d, "documents").select("doc_id", words(F.get(lines, F.lit(0))).alias("first"), F.size(F.filter(lines, lambda x: words(x) >= 12)).alias("strong"))
-    weak = (F.col("first") < 8) & (F.col("strong") < 3)
-    return n.join(read(spark, d, "labels"), "doc_id", "left").select("doc_id", weak.alias("weak"), (F.col("quality") == 0).alias("limited"), (weak & (F.coalesce("quality", F.lit(1)) == 1)).alias("issue"))
+    """O-X12: a short description and few long reviews are weak evidence, which must be marked; the lines of a text stand
+    for its reviews."""
+    weak = textjobs.weak_evidence(F.get(F.split("text", "\n"), F.lit(0)), F.split("text", "\n"))
+    n = read(spark, d, "documents").select("doc_id", weak.alias("weak"))
+    return n.join(read(spark, d, "labels"), "doc_id", "left").select("doc_id", "weak", (F.col("quality") == 0).alias("limited"), (F.col("weak") & (F.coalesce("quality", F.lit(1)) == 1)).alias("issue"))
 
 
 @query(r"""WITH r AS (SELECT doc_id, split_part(text, chr(10), 1) AS title, text[length(split_part(text, chr(10), 1)) + 2:] AS body FROM documents)
@@ -164,27 +181,18 @@ def body_repair(spark, d):
     """O-X13: a body that stands in the title moves back."""
     title = F.substring_index("text", "\n", 1)
     r = read(spark, d, "documents").select("doc_id", title.alias("title"), F.expr("substring(text, length(substring_index(text, '\\n', 1)) + 2)").alias("body"))
-    moved = (F.trim("body") == "") & ((F.length("title") > 120) | (F.size(F.split(F.trim("title"), " ")) >= 20))
-    return r.withColumn("moved", moved).select("doc_id", F.when(F.col("moved"), "").otherwise(F.col("title")).alias("title"), F.md5(F.when(F.col("moved"), F.col("title")).otherwise(F.col("body"))).alias("body"), "moved")
+    return textjobs.body_repair(r, "title", "body").select("doc_id", "title", F.md5("body").alias("body"), "moved")
 
 
-@query(r"""SELECT doc_id, code FROM (SELECT doc_id, 'incomplete' AS code FROM documents WHERE NOT regexp_matches(text, '[.!?]$') UNION ALL SELECT doc_id, 'script' FROM documents WHERE regexp_matches(text, '[\p{Cyrillic}\p{Han}]') UNION ALL SELECT doc_id, 'too-long' FROM documents WHERE length(text) > 4000
-    UNION ALL SELECT doc_id, 'shouting' FROM documents WHERE regexp_matches(text, '[A-Z]{12,}'))""")
+@query(r"""SELECT doc_id, code FROM (SELECT doc_id, 'text-incomplete' AS code FROM documents WHERE NOT regexp_matches(rtrim(text), '[.!?]["''”’)]*$') UNION ALL SELECT doc_id, 'text-script' FROM documents WHERE regexp_matches(text, '[\x{0370}-\x{052f}\x{0600}-\x{06ff}\x{3040}-\x{30ff}\x{3400}-\x{9fff}\x{ac00}-\x{d7af}]')
+    UNION ALL SELECT doc_id, 'text-too-long' FROM documents WHERE length(text) > 4000)""")
 def prose_audit(spark, d):
     """O-X20."""
-    c = F.col("text")
-    return textjobs.issues(read(spark, d, "documents"), "doc_id", {"incomplete": ~c.rlike(r"[.!?]\z"), "script": c.rlike(r"[\p{IsCyrillic}\p{IsHan}]"), "too-long": F.length(c) > 4000, "shouting": c.rlike("[A-Z]{12,}")})
-
-
-@query(f"WITH {PRICED} SELECT doc_id, regexp_matches(lower(right(text, 200)), '(permanently|temporarily) closed') AS closed FROM priced")
-def closed_flag(spark, d):
-    """O-P7: "closed now" is a daily state, not a closure."""
-    return priced(spark, d).select("doc_id", F.lower(F.expr("right(text, 200)")).rlike("(permanently|temporarily) closed").alias("closed"))
+    return textjobs.prose_issues(read(spark, d, "documents"), "doc_id", {"text": 4000})
 
 
 @query("""SELECT p_partkey, coalesce(fixed, p_name) AS name, fixed IS NOT NULL AS repaired FROM part LEFT JOIN (SELECT s_suppkey, upper(s_name) AS fixed FROM supplier WHERE s_suppkey % 3 = 0) ON s_suppkey = p_partkey""")
 def title_repair(spark, d):
     """O-P4: overrides by identity, never by title."""
-    fixed = read(spark, d, "supplier").where("s_suppkey % 3 = 0").select("s_suppkey", F.upper("s_name").alias("fixed"))
-    out = read(spark, d, "part").join(fixed, F.col("s_suppkey") == F.col("p_partkey"), "left")
-    return out.select("p_partkey", F.coalesce("fixed", "p_name").alias("name"), F.col("fixed").isNotNull().alias("repaired"))
+    fixed = read(spark, d, "supplier").where("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("p_partkey"), F.upper("s_name").alias("p_name"))
+    return inventory.repaired_names(read(spark, d, "part"), fixed, "p_partkey", "p_name").select("p_partkey", F.col("p_name").alias("name"), "repaired")

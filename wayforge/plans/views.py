@@ -31,7 +31,6 @@ def feed(spark: SparkSession, d: str) -> DataFrame:
 FEED = """feed AS (
     SELECT category, identity, pos, (pos - 1) // 30 AS page
     FROM (SELECT event_type AS category, user_id AS identity, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS pos FROM events)
-    WHERE pos <= 600
 )"""
 
 

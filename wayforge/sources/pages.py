@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wayforge.session import work_path
+
 
 def scan_files(spark: SparkSession, path: str, glob: str = "*.html") -> DataFrame:
     """(path, length, fetched_at, html) of stored pages."""
@@ -148,9 +150,13 @@ def cards(pages: DataFrame, key: str, html: str, marker: str) -> DataFrame:
 def strict_json(spark: SparkSession, path: str, schema: str, key: str, one_list: bool = True) -> tuple[DataFrame, DataFrame]:
     """(rows, issues) of a JSON list (or of one record a line): records that do not fit the schema, lack a string key or repeat one are issues.
 
-    In a list, one record that does not fit spoils its whole file."""
+    In a list, one record that does not fit spoils its whole file, as a parser cannot tell where the next one begins. What was
+    parsed is written once, with all its columns, so that a record is judged by all of them wherever it is read."""
     full = T.StructType([*T.StructType.fromDDL(schema).fields, T.StructField("_corrupt", T.StringType())])
-    rows = spark.read.schema(full).option("multiLine", one_list).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path).cache()
+    rows = spark.read.schema(full).option("multiLine", one_list).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path)
+    parsed = work_path(spark, "parsed")
+    rows.write.parquet(parsed)
+    rows = spark.read.schema(full).parquet(parsed)
     counts = rows.where(F.col(key).isNotNull() & F.col("_corrupt").isNull()).groupBy(key).agg(F.count("*").alias("n"))
     repeated = counts.where("n > 1").select(key, F.lit("duplicate-key").alias("code"))
     broken = rows.where(F.col("_corrupt").isNotNull() | F.col(key).isNull()).select(key, F.when(F.col("_corrupt").isNotNull(), "schema").otherwise("no-key").alias("code"))
