@@ -22,10 +22,11 @@ def loop_legs(stops: DataFrame, loop: str, pos: str, anchor: tuple[float, float]
 
 
 def resolve_routes(routes: DataFrame, stops: DataFrame) -> DataFrame:
-    """(loop, pos, stop_id, code) of route places whose stop is unknown, of another loop, or without valid coordinates."""
+    """(loop, pos, stop_id, code) of route places (loop, pos, stop_id) whose stop is unknown, named twice among the stops, of
+    another loop, or without valid coordinates."""
     known = stops.groupBy("stop_id").agg(F.count("*").alias("_n"), F.min("loop").alias("_loop"), F.min("lat").alias("_lat"), F.min("lng").alias("_lng"))
     valid = F.col("_lat").between(-90, 90) & F.col("_lng").between(-180, 180)
-    out = routes.select("loop", F.posexplode("stop_ids").alias("pos", "stop_id")).join(known, "stop_id", "left")
+    out = routes.join(known, "stop_id", "left")
     code = F.when(F.col("_n").isNull(), "unknown").when(F.col("_n") > 1, "duplicate").when(F.col("_loop") != F.col("loop"), "other-loop").when(~F.coalesce(valid, F.lit(False)), "coordinates")
     return out.select("loop", "pos", "stop_id", code.alias("code")).where("code is not null")
 
@@ -46,9 +47,11 @@ def gallery_issues(photos: DataFrame, stop: str, src: str, per_stop: int = 5, pa
     return sizes.union(paths).union(twice)
 
 
-def asset_issues(files: DataFrame, key: str, content: str, low: int, high: int, magic: bytes) -> DataFrame:
-    """(key, code) of binary assets of a wrong size, with wrong first bytes, or equal to another one."""
+def asset_issues(files: DataFrame, key: str, content: str, low: int, high: int, magic: bytes, most: int = 30 << 20) -> DataFrame:
+    """(key, code) of binary assets of a wrong size, with wrong first bytes, or equal to another one; and one row with a
+    null key if all together are larger than ``most``."""
     h = files.select(key, F.octet_length(content).alias("_n"), F.substring(content, 1, len(magic)).alias("_m"), F.sha2(content, 256).alias("_h"))
     same = h.groupBy("_h").agg(F.count("*").alias("_c"))
     codes = F.array_compact(F.array(F.when(~F.col("_n").between(low, high), F.lit("size")), F.when(F.col("_m") != F.lit(magic), F.lit("magic")), F.when(F.col("_c") > 1, F.lit("repeated"))))
-    return h.join(same, "_h").select(key, F.explode(codes).alias("code"))
+    total = h.agg(F.sum("_n").alias("_s")).where(F.col("_s") > most).select(F.lit(None).cast(files.schema[key].dataType).alias(key), F.lit("total").alias("code"))
+    return h.join(same, "_h").select(key, F.explode(codes).alias("code")).union(total)

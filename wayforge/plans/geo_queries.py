@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wayforge.operators import geo
+from wayforge.operators.ranking import positioned
 from wayforge.plans.registry import query, read, rounded, rounded_sql
 
 ANCHOR = (47.4979, 19.0402)
@@ -49,7 +50,7 @@ def route_resolve(spark, d):
     """O-J8: every place of a route is a stop of its loop with coordinates."""
     k = F.col("s_suppkey")
     named = F.when(k % 10 == 0, -k - 1).when(k % 10 == 1, k + 1).otherwise(k)
-    routes = read(spark, d, "supplier").groupBy(F.col("s_nationkey").alias("loop")).agg(F.transform(F.array_sort(F.collect_list(F.struct("s_suppkey", named.alias("id")))), lambda x: x["id"]).alias("stop_ids"))  # a route is an ordered list
+    routes = positioned(read(spark, d, "supplier").select(F.col("s_nationkey").alias("loop"), "s_suppkey", named.alias("stop_id")), [F.col("s_suppkey")], ("loop",)).select("loop", (F.col("position") - 1).alias("pos"), "stop_id")
     known = stops(spark, d).withColumn("lat", F.when(F.col("stop_id") % 13 == 0, None).otherwise(F.col("lat")))
     return geo.resolve_routes(routes, known)
 
@@ -79,7 +80,7 @@ def story_coverage(spark, d):
 
 
 @query("""WITH f AS (SELECT doc_id, text, octet_length(encode(text)) AS n FROM documents), c AS (SELECT *, count(*) OVER (PARTITION BY text) AS same FROM f)
-    SELECT doc_id, code FROM (SELECT doc_id, 'size' AS code FROM c WHERE n NOT BETWEEN 300 AND 9000 UNION ALL SELECT doc_id, 'magic' FROM c WHERE text[1:2] <> 'Th' UNION ALL SELECT doc_id, 'repeated' FROM c WHERE same > 1)""")
+    SELECT doc_id, code FROM (SELECT doc_id, 'size' AS code FROM c WHERE n NOT BETWEEN 300 AND 9000 UNION ALL SELECT doc_id, 'magic' FROM c WHERE text[1:2] <> 'Th' UNION ALL SELECT doc_id, 'repeated' FROM c WHERE same > 1 UNION ALL SELECT NULL, 'total' FROM (SELECT sum(n) AS s FROM f) WHERE s > 1048576)""")
 def asset_audit(spark, d):
     """O-S13: size, first bytes and uniqueness of binary assets, here of texts as bytes."""
-    return geo.asset_issues(read(spark, d, "documents").select("doc_id", F.encode("text", "UTF-8").alias("content")), "doc_id", "content", 300, 9000, b"Th")
+    return geo.asset_issues(read(spark, d, "documents").select("doc_id", F.encode("text", "UTF-8").alias("content")), "doc_id", "content", 300, 9000, b"Th", 1 << 20)

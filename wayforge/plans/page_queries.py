@@ -17,11 +17,17 @@ def corpus_scan(spark, d):
     return read(spark, d, "pages").select("page_id", F.octet_length("html").cast("long").alias("bytes"), P.host(F.col("url")).alias("host"))
 
 
-@query("""SELECT page_id, CASE WHEN octet_length(encode(html)) < 1200 THEN 'too-short' WHEN NOT contains(lower(html), '<html') THEN 'no-html' WHEN regexp_matches(lower(html), 'captcha|unusual traffic|verify you are human') THEN 'challenge'
-    WHEN NOT regexp_matches(lower(html), '<article|<main|itemtype=') THEN 'no-semantic-markup' WHEN NOT regexp_matches(lower(html), '<title>[^<]') THEN 'no-title' END AS reject_reason FROM pages""")
+@query(f"""SELECT page_id, 'detail' AS kind, CASE WHEN octet_length(encode(html)) < 1200 THEN 'too-short' WHEN NOT contains(lower(html), '<html') THEN 'no-html' WHEN regexp_matches(lower(html), 'captcha|unusual traffic|verify you are human') THEN 'challenge'
+    WHEN NOT regexp_matches(lower(html), '<article|<main|itemtype=') THEN 'no-semantic-markup' WHEN page_id % 9 = 0 THEN 'identity' WHEN NOT regexp_matches(lower(html), '<title>[^<]') THEN 'no-content' END AS reject_reason FROM pages
+    UNION ALL SELECT page_id, 'list', CASE WHEN octet_length(encode(html)) <= 3000 THEN 'too-short' WHEN page_id % 4 = 0 THEN 'no-card' END FROM pages""")
 def page_gate(spark, d):
-    """O-S2."""
-    return P.gate(read(spark, d, "pages")).select("page_id", "reject_reason")
+    """O-S2: pages as detail pages, every ninth with another's canonical address, and as list pages, one in four without a card."""
+    i = F.col("page_id")
+    pages = read(spark, d, "pages").withColumn("canonical", F.when(i % 9 == 0, F.lit("https://example.com/other/0")).otherwise(F.col("url")))
+    detail = P.gate(pages, least=1200, requested="url", canonical="canonical").select("page_id", F.lit("detail").alias("kind"), "reject_reason")
+    lists = pages.withColumns({"size": F.octet_length("html"), "html": F.concat("html", F.when(i % 4 == 0, "").otherwise('<div class="card">'))})
+    lists = P.list_gate(lists, least=3000).select("page_id", F.lit("list").alias("kind"), F.when(F.col("size") <= 3000, "too-short").otherwise(F.col("reject_reason")).alias("reject_reason"))
+    return detail.union(lists)
 
 
 @query("""SELECT user_id, max(event_id) AS event_id, mode FROM (SELECT user_id, max_by(event_id, (ts, event_id)) AS event_id, 'normal' AS mode FROM events WHERE ts >= TIMESTAMP '2024-01-19 00:00:00' AND ts <= TIMESTAMP '2024-01-20 00:00:00' GROUP BY 1
@@ -39,11 +45,12 @@ def page_identity(spark, d):
     return read(spark, d, "pages").select("page_id", P.identity(F.col("url")).alias("identity"))
 
 
-@query("""SELECT page_id, 'scheme' AS code FROM pages WHERE NOT starts_with(url, 'https://') UNION ALL SELECT page_id, 'host' FROM pages WHERE NOT regexp_matches(lower(url), '^https?://([^/?#:]+\\.)?example\\.(net|org)([/?#:]|$)')""")
+@query("""SELECT page_id, 'scheme' AS code FROM pages WHERE NOT starts_with(url, 'https://') UNION ALL SELECT page_id, 'host' FROM pages WHERE NOT regexp_matches(lower(url), '^https?://([^/?#:]+\\.)?example\\.(net|org)([/?#:]|$)') UNION ALL SELECT page_id, 'asset-host' FROM pages WHERE page_id % 6 = 5""")
 def host_audit(spark, d):
     """O-X23."""
     allowed = spark.createDataFrame([("example.net",), ("example.org",)], "domain string")
-    return P.host_issues(read(spark, d, "pages"), "page_id", "url", allowed)
+    asset = F.when(F.col("page_id") % 6 == 5, "https://cdn.example/x.jpg").otherwise(F.concat(F.lit("https://"), P.host(F.col("url")), F.lit("/x.jpg")))
+    return P.host_issues(read(spark, d, "pages").withColumn("asset", asset), "page_id", "url", allowed, "asset")
 
 
 @query("SELECT page_id, unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)) AS link FROM pages")
@@ -52,9 +59,14 @@ def page_links(spark, d):
     return read(spark, d, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), 1)).alias("link"))
 
 
-@query()
+PLAIN = lambda x: f"replace(replace(replace(replace(replace(replace({x}, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')"
+BARE = r"regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?s)<(script|style)[^>]*>.*?</(script|style)>', '', 'g'), '(?s)<title>.*?</title>', '', 'g')"
+TEXT_SQL = PLAIN(rf"regexp_replace(regexp_replace({BARE}, '<(br|p|div|li|tr|h1|h2|h3)(\s[^>]*)?/?>', ' ', 'g'), '<[^>]*>', '', 'g')")
+
+
+@query(rf"""SELECT page_id, trim({PLAIN("regexp_extract(html, '<title>([^<]*)</title>', 1)")}) AS title, len(regexp_extract_all({BARE}, '<h[123][ >]')) AS headings, len(regexp_extract_all({BARE}, '<a href="[^"]+"')) AS links, trim(regexp_replace({TEXT_SQL}, '[\s\x{{00a0}}]+', ' ', 'g')) AS text FROM pages""")
 def page_text(spark, d):
-    """O-X18: features by the HTML kernel."""
+    """O-X18: features by the HTML kernel; the SQL has patterns for what these pages hold."""
     f = P.features(read(spark, d, "pages"), "page_id")
     return f.select("page_id", "title", F.size("headings").alias("headings"), F.size("links").alias("links"), "text")
 
@@ -73,15 +85,19 @@ def embedded_block(spark, d):
     return P.embedded_blocks(read(spark, d, "pages").select("page_id", html.alias("html")), "page_id", "html", BLOCK, "array<struct<id: string>>").select("page_id", "n", "item.id", "error")
 
 
-@query("""WITH c AS (SELECT page_id, 3 AS priority, regexp_extract(html, '<title>([^<]*)</title>', 1) AS t, 'title' AS source FROM pages UNION ALL SELECT page_id, 2, regexp_extract(html, '<h1>([^<]*)</h1>', 1), 'heading' FROM pages
-    UNION ALL SELECT page_id, 1, regexp_extract(html, '<div class="ad">([^<]*)</div>', 1), 'block' FROM pages)
-    SELECT page_id, arg_max(t, priority * 100000 + length(t)) AS description, arg_max(source, priority * 100000 + length(t)) AS source FROM c WHERE length(t) > 40 GROUP BY 1""")
+@query("""SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'The longer about ' || page_id WHEN 1 THEN 'Linked ' || page_id WHEN 2 THEN 'Meta, the longest ' || page_id ELSE 'Meta' END AS description, CASE page_id % 5 WHEN 0 THEN 'about' WHEN 1 THEN 'linked-data' ELSE 'meta' END AS source FROM pages WHERE page_id % 5 <> 4""")
 def best_description(spark, d):
-    """O-X19: by kind of source, then the longest."""
-    one = lambda p, pattern, source: F.struct(F.lit(p).alias("priority"), F.length(F.regexp_extract("html", pattern, 1)).alias("n"), F.regexp_extract("html", pattern, 1).alias("t"), F.lit(source).alias("source"))
-    options = F.array(one(3, "<title>([^<]*)</title>", "title"), one(2, "<h1>([^<]*)</h1>", "heading"), one(1, '<div class="ad">([^<]*)</div>', "block"))
-    best = F.array_max(F.filter(options, lambda x: x["n"] > 40))
-    return read(spark, d, "pages").select("page_id", best.alias("b")).where("b is not null").select("page_id", F.col("b.t").alias("description"), F.col("b.source").alias("source"))
+    """O-X19: about, linked data of the page itself, meta; every fifth page has another set of them."""
+    i = F.col("page_id").cast("string")
+    k = F.col("page_id") % 5
+    about = F.concat(F.lit('<div class="about">Short</div><div class="about">The longer\n about '), i, F.lit("</div>"))
+    linked = lambda id_, text: F.concat(F.lit('<script type="application/ld+json">{"@id":"/Page-d'), id_, F.lit('-x","description":"'), text, F.lit('"}</script>'))
+    meta = lambda text: F.concat(F.lit('<meta name="description" content="'), text, F.lit('">'))
+    more = (
+        F.when(k == 0, F.concat(about, linked(i, F.lit("A linked description that is much longer than the others")))).when(k == 1, F.concat(linked(F.lit("x"), F.lit("Another page's description, longer")), linked(i, F.concat(F.lit("Linked "), i)), meta(F.lit("Meta"))))
+        .when(k == 2, F.concat(linked(F.lit("0x"), F.lit("Another page's description")), meta(F.lit("Meta")), meta(F.concat(F.lit("Meta, the longest "), i)))).when(k == 3, meta(F.lit("Meta"))).otherwise("")
+    )
+    return P.best_description(read(spark, d, "pages").select("page_id", F.concat("html", more).alias("html")), "page_id", "html", r'(?s)<div class="about">(.*?)</div>', i)
 
 
 @query("""WITH c AS (SELECT page_id, unnest(string_split(html, '<li>')) AS card, generate_subscripts(string_split(html, '<li>'), 1) - 1 AS pos FROM pages)
@@ -91,7 +107,8 @@ def card_explode(spark, d):
     return P.cards(read(spark, d, "pages"), "page_id", "html", "<li>").select("page_id", "pos", "link", "name")
 
 
-@query()
+@query("""SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'rated' WHEN 1 THEN 'rated' WHEN 2 THEN 'priced' WHEN 3 THEN 'coordinates' WHEN 4 THEN 'address' ELSE 'empty' END AS layout, CASE p_partkey % 6 WHEN 0 THEN 4.5 WHEN 1 THEN 4.1 END::DOUBLE AS rating, CASE WHEN p_partkey % 6 < 2 THEN p_size * 37 END::BIGINT AS reviews,
+    CASE p_partkey % 6 WHEN 1 THEN 10 WHEN 2 THEN 20000 END::BIGINT AS low, CASE p_partkey % 6 WHEN 1 THEN 20 END::BIGINT AS high, CASE p_partkey % 6 WHEN 1 THEN 'EUR' WHEN 2 THEN 'HUF' END AS currency, CASE p_partkey % 6 WHEN 0 THEN 'Museum' WHEN 1 THEN 'Cafe' END AS category, CASE p_partkey % 6 WHEN 3 THEN 47.4979 END::DOUBLE AS lat, CASE p_partkey % 6 WHEN 3 THEN 19.0402 END::DOUBLE AS lng FROM part""")
 def details_csv(spark, d):
     """O-S5: details made from the parts, in all layouts."""
     k = F.col("p_partkey") % 6
@@ -100,4 +117,4 @@ def details_csv(spark, d):
         F.when(k == 0, F.concat(F.lit("4.5("), n, F.lit(") · Museum"))).when(k == 1, F.concat(F.lit("4,1("), n, F.lit(") · €10–20 · Cafe"))).when(k == 2, F.lit("Ft 20.000+")).when(k == 3, F.lit("47.4979, 19.0402"))
         .when(k == 4, F.concat(F.col("p_name"), F.lit(" street 5"))).otherwise("")
     )
-    return P.parse_details(read(spark, d, "part").select("p_partkey", text.alias("Details"))).drop("Details")
+    return P.parse_details(read(spark, d, "part").select("p_partkey", text.alias("Details"))).drop("Details").withColumn("rating", F.col("rating").cast("double"))

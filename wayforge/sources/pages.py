@@ -18,15 +18,45 @@ def scan_files(spark: SparkSession, path: str, glob: str = "*.html") -> DataFram
     return files.select("path", "length", F.col("modificationTime").alias("fetched_at"), F.col("content").cast("string").alias("html"))
 
 
-def gate(pages: DataFrame, html: str = "html", least: int = 1200, markers: tuple[str, ...] = ("captcha", "unusual traffic", "verify you are human")) -> DataFrame:
-    """pages with reject_reason, null for valid ones; the first reason that holds counts."""
+#: What a challenge page says, and what marks a page's own content.
+CHALLENGE = ("captcha", "unusual traffic", "verify you are human")
+MARKUP = r"<article|<main|itemtype=|\"@type\"\s*:\s*\"(?:localbusiness|product|touristattraction)\""
+
+
+def gate(pages: DataFrame, html: str = "html", least: int = 30_000, markers: tuple[str, ...] = CHALLENGE, requested: str | None = None, canonical: str | None = None) -> DataFrame:
+    """Detail pages with reject_reason, null for valid ones; the first reason that holds counts.
+
+    With ``requested`` and ``canonical``, columns of addresses, the page must be the one that was asked for."""
     c = F.col(html)
     low = F.lower(c)
     reason = (
         F.when(c.isNull() | (F.octet_length(c) < least), "too-short").when(~F.contains(low, F.lit("<html")), "no-html")
-        .when(low.rlike("|".join(markers)), "challenge").when(~low.rlike("<article|<main|itemtype="), "no-semantic-markup").when(~low.rlike("<title>[^<]"), "no-title")
+        .when(low.rlike("|".join(markers)), "challenge").when(~low.rlike(MARKUP), "no-semantic-markup")
     )
-    return pages.withColumn("reject_reason", reason)
+    if requested and canonical:
+        reason = reason.when(~identity(F.col(canonical)).eqNullSafe(identity(F.col(requested))), "identity")
+    return pages.withColumn("reject_reason", reason.when(~low.rlike(r"<title>[^<]|name=\"description\"|class=\"review"), "no-content"))
+
+
+def list_gate(pages: DataFrame, html: str = "html", least: int = 50_000, card: str = 'class="card') -> DataFrame:
+    """List pages with reject_reason: they must be long enough and hold a card."""
+    c = F.col(html)
+    return pages.withColumn("reject_reason", F.when(c.isNull() | (F.octet_length(c) <= least), "too-short").when(~F.contains(c, F.lit(card)), "no-card"))
+
+
+def best_description(pages: DataFrame, key: str, html: str, about: str, id_: Column) -> DataFrame:
+    """(key, description, source): the longest text that the pattern ``about`` finds; else the longest description in a
+    linked-data script that names the page's own id; else the longest meta description. Pages without any are left out."""
+    c = F.col(html)
+    clean = lambda t: F.trim(F.regexp_replace(t, r"\s+", " "))
+    longest = lambda texts: F.array_max(F.filter(F.transform(texts, lambda t: F.struct(F.length(clean(t)).alias("n"), clean(t).alias("t"))), lambda x: x["n"] > 0))["t"]
+    scripts = F.regexp_extract_all(c, F.lit(r"(?s)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"), 1)
+    own = F.filter(scripts, lambda x: F.contains(x, F.concat(F.lit("-d"), id_, F.lit("-"))))
+    linked = F.flatten(F.transform(own, lambda x: F.regexp_extract_all(x, F.lit(r'"description"\s*:\s*"([^"]*)"'), 1)))
+    meta = F.regexp_extract_all(c, F.lit(r'<meta[^>]*name="description"[^>]*content="([^"]*)"'), 1)
+    a, b, d = longest(F.regexp_extract_all(c, F.lit(about), 1)), longest(linked), longest(meta)
+    found = pages.select(key, F.coalesce(a, b, d).alias("description"), F.when(a.isNotNull(), "about").when(b.isNotNull(), "linked-data").when(d.isNotNull(), "meta").alias("source"))
+    return found.where("description is not null")
 
 
 def fresh(snapshots: DataFrame, key: str, at: str, as_of: Column, hours: int = 24, mode: str = "normal") -> DataFrame:
@@ -55,14 +85,16 @@ def host(url: Column) -> Column:
     return F.regexp_extract(F.lower(url), r"^https?://([^/?#:]+)", 1)
 
 
-def host_issues(urls: DataFrame, key: str, url: str, allowed: DataFrame) -> DataFrame:
-    """(key, code): addresses that are not https, or whose host is neither an allowed domain nor under one."""
-    h = urls.select(key, url, host(F.col(url)).alias("_h"))
+def host_issues(urls: DataFrame, key: str, url: str, allowed: DataFrame, asset: str | None = None) -> DataFrame:
+    """(key, code): addresses that are not https, or whose host is neither an allowed domain nor under one; with ``asset``,
+    a column of addresses of files, also files of another host than their source."""
+    own = host(F.col(asset)) if asset else host(F.col(url))
+    h = urls.select(key, url, host(F.col(url)).alias("_h"), own.alias("_a"))
     parts = F.split("_h", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
     ok = h.select(key, F.explode(suffixes).alias("domain")).join(F.broadcast(allowed), "domain", "left_semi").select(key).distinct().withColumn("_ok", F.lit(True))  # the allow-list is a parameter
     out = h.join(ok, key, "left")
-    codes = F.array_compact(F.array(F.when(~F.col(url).startswith("https://"), F.lit("scheme")), F.when(F.col("_ok").isNull(), F.lit("host"))))
+    codes = F.array_compact(F.array(F.when(~F.col(url).startswith("https://"), F.lit("scheme")), F.when(F.col("_ok").isNull(), F.lit("host")), F.when(~F.col("_a").eqNullSafe(F.col("_h")), F.lit("asset-host"))))
     return out.select(key, F.explode(codes).alias("code"))
 
 
