@@ -59,7 +59,7 @@ def page_links(spark, d):
     return read(spark, d, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), 1)).alias("link"))
 
 
-PLAIN = lambda x: f"replace(replace(replace(replace(replace(replace({x}, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')"
+PLAIN = lambda x: f"regexp_replace(replace(replace(replace(replace(replace({x}, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;?', '&', 'g')"
 BARE = r"regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?s)<(script|style)[^>]*>.*?</(script|style)>', '', 'g'), '(?s)<title>.*?</title>', '', 'g')"
 TEXT_SQL = PLAIN(rf"regexp_replace(regexp_replace({BARE}, '<(br|p|div|li|tr|h1|h2|h3)(\s[^>]*)?/?>', ' ', 'g'), '<[^>]*>', '', 'g')")
 
