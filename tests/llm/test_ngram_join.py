@@ -51,9 +51,9 @@ def test_equals_brute_force(spark, width, num, den):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(docs, width, num, den)
 
 
-@pytest.mark.parametrize("cut", [True, False])
+@pytest.mark.parametrize("cut", ["pivots", "parts", "rest"])
 def test_large_regions_are_cut_and_stay_exact(spark, monkeypatch, cut):
-    """Chains of edits: regions hold several components, and are larger than one task takes."""
+    """Chains of edits: families hold several components, and are larger than one task takes."""
     rng = random.Random(8)
     vocabulary = [f"w{i}" for i in range(200)]
     texts = [" ".join(rng.choice(vocabulary) for _ in range(60))]
@@ -62,12 +62,39 @@ def test_large_regions_are_cut_and_stay_exact(spark, monkeypatch, cut):
     docs = list(enumerate(texts))
     monkeypatch.setattr(ngram_join, "SMALL", 6)
     monkeypatch.setattr(ngram_join, "FAMILY", 0)
-    if not cut:  # no pivot cuts anything, so blocks are joined
+    monkeypatch.setattr(ngram_join, "MEETING", 20)
+    monkeypatch.setattr(ngram_join, "MEETINGS", 10**6 if cut == "rest" else 0)
+    if cut != "pivots":  # no pivot cuts anything
         monkeypatch.setattr(ngram_join, "_cut", lambda m, b, n, d, t: m.selectExpr("region", "rep", "region as pivot", "false as link"))
     got = jaccard_components(spark.createDataFrame(docs, "doc_id long, text string"), width=3, num=90, den=100).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(docs, 3, 90, 100)
 
 
+def test_overlaps_equal_set_intersections():
+    import numpy as np
+
+    rng = random.Random(1)
+    make = lambda n: [np.asarray(sorted(rng.sample(range(1, 400), rng.randrange(0, 60))), np.uint64) for _ in range(n)]
+    xs, ys = make(15), make(9)
+    for columns in (7, 2048):
+        got = ngram_join.overlaps(xs, ys, columns)
+        assert got.tolist() == [[len(set(x.tolist()) & set(y.tolist())) for y in ys] for x in xs]
+    assert ngram_join.overlaps([], ys).shape == (0, 9) and ngram_join.overlaps([xs[0][:0]], ys).sum() == 0
+
+
+def test_texts_that_share_a_passage_are_no_copies(spark):
+    """A third of the texts hold one passage, most of it in short ones; a few of them are near copies as well."""
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    words = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    passage = words(60)
+    texts = [words(rng.randrange(10, 90)) + (passage if i % 3 == 0 else []) + words(rng.randrange(1, 30)) for i in range(150)]
+    texts += [t[:-1] + ["other"] for t in texts[:20]]
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(docs, 5, 80, 100)
+
+
 def test_chains_of_short_texts_with_families_equal_brute_force(spark):
     """Windows that slide over a text by a word: each is linked with its neighbours alone, in any order of ids."""
     rng = random.Random(4)
@@ -84,19 +111,22 @@ def test_chains_of_short_texts_with_families_equal_brute_force(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(docs, 3, 90, 100)
 
 
-def test_prefixes_of_linked_sets_share_enough():
+def test_linked_sets_share_more_parts_than_spare():
+    import numpy as np
+
     rng = random.Random(2)
     for num in (80, 90):
-        for _ in range(4000):
-            x = set(rng.sample(range(400), rng.randrange(1, 60)))
+        for _ in range(1500):
+            x = set(rng.sample(range(1, 10**9), rng.randrange(1, 90)))
             y = set(x)
-            for _ in range(rng.randrange(0, 6)):
+            for _ in range(rng.randrange(0, 9)):
                 y.discard(rng.choice(sorted(x)))
                 if rng.random() < 0.6:
-                    y.add(rng.randrange(400))
-            if y and 100 * len(x & y) >= num * len(x | y):
-                (m, k), (o, j) = ngram_join.prefix_length(len(x), num, 100), ngram_join.prefix_length(len(y), num, 100)
-                assert len(set(sorted(x)[:m]) & set(sorted(y)[:o])) >= max(k, j)
+                    y.add(rng.randrange(1, 10**9))
+            if y and x != y and 100 * len(x & y) >= num * len(x | y):
+                a, b = (ngram_join.signatures(np.asarray(sorted(s), np.uint64), num, 100) for s in (x, y))
+                assert len(a) <= 2 and len(b) <= 2
+                assert any(s == t and len(set(p.tolist()) & set(q.tolist())) > s for s, p in a for t, q in b)
 
 
 def test_join_region_is_exact():
@@ -138,6 +168,21 @@ def test_repeated_and_null_ids_and_empty(spark):
     assert kept.columns == docs.columns and sorted((r.doc_id for r in kept.collect()), key=str) == [3, 9, None]
 
 
+def test_one_of_each_keeps_unlinked_texts_of_a_repeated_id(spark):
+    rows = [(5, "a b c d e f g h", "s", 1), (5, "q r s t u v w x", "s", 2), (5, "a b c d e f g h", "s", 1), (4, "A b c d e f g h", "s", 3), (7, "", "s", 4), (7, None, "s", 5), (None, "q r s t u v w x", "s", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _maybe string, stays int")
+    kept = keep_one_of_each(spark, docs)
+    assert kept.columns == docs.columns and sorted((r.stays for r in kept.collect())) == [2, 3, 4, 5, 6]
+    assert keep_one_of_each(spark, docs.limit(0)).count() == 0
+
+
+def test_a_row_without_an_id_does_not_hide_its_set(spark):
+    words = [f"w{i}" for i in range(80)]
+    docs = spark.createDataFrame([(None, " ".join(words)), (7, " ".join(words)), (3, " ".join([*words[:-1], "other"])), (9, " ".join(words[::-1]))], "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.component_id for r in jaccard_components(docs).collect()}
+    assert got == {None: None, 7: 3, 3: 3, 9: 9}
+
+
 def test_query_equals_brute_force_on_the_table(spark):
     d = "/root/testdata/sf0.001"
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{d}/documents.parquet").collect()]

@@ -46,6 +46,13 @@ def test_damaged_member_and_member_cut_off():
     assert kinds(a + b[: len(b) // 2]) == [*names(0), ("gap", (len(a), len(a) + len(b) // 2))]
 
 
+def test_a_header_of_any_length_is_read(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "data:" + "x" * 200_000, "<html>" * 40), (2, "u", "<html>" * 40)], "page_id long, url string, html string")
+    write_warc(mark_revisits(pages), str(tmp_path / "long"))
+    got = sorted(((r.page_id, r.record_type, r.refers_to) for r in pages_read(read_warc(spark, str(tmp_path / "long"))).collect()), key=str)
+    assert got == [(1, "response", None), (2, "revisit", 1)]
+
+
 def test_a_version_line_inside_a_payload_is_payload():
     inner = record(7, b"inner")
     assert kinds(record(1, b"x" + inner + b"y")) == names(1)

@@ -3,27 +3,21 @@
 from __future__ import annotations
 
 import functools
-import tempfile
 import uuid
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayforge.session import shared_folder
+
 #: ASCII capitals to small letters, as bytes.
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The folder shared by driver and executors: spark.checkpoint.dir; where it is unset (tests), a local one."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        given = spark.sparkContext.getCheckpointDir()
-        if not given:
-            given = tempfile.mkdtemp(prefix="spark-")
-            spark.sparkContext.setCheckpointDir(given)
-        root = given
-    return f"{root.rstrip('/')}/wayforge"
+    """The folder shared by driver and executors."""
+    return f"{shared_folder(spark)}/wayforge"
 
 
 class Staging:
@@ -38,9 +32,9 @@ class Staging:
         self.n += 1
         return f"{self.root}/{self.n:03d}-{name}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, **options) -> DataFrame:
         path = self.path(name)
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._staged_at = path
         return out
@@ -65,10 +59,6 @@ def fold(doc_id: Column | str, n: int) -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % n, F.lit(0))
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 # -- word hashes ---------------------------------------------------------------------------------------------------
 
 _BASE = 0x9E3779B97F4A7C15 | 1

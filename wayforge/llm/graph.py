@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from wayforge.llm.common import Staging
 
-#: Bits of a membership filter: its table has FILTER_BITS / 32 rows at most, whatever it was made from.
-FILTER_BITS = 1 << 21
+#: Least and most bits of a membership filter: its table has so many / 64 rows at most.
+LEAST_BITS, MOST_BITS = 1 << 21, 1 << 25
+#: Edges that a task contracts, about: a graph has so many partitions.
+EDGES = 400_000
 
 
 def _contract(batches):
@@ -35,40 +37,46 @@ def _contract(batches):
 def connected_components(edges: DataFrame, staging: Staging) -> DataFrame:
     """(node, component) for every node with an edge but the roots; edges: (u, v). The component is its smallest node.
 
-    In turn, the edges of a node meet in one partition, whose edges are contracted there, and every edge jumps to its
-    parent's smallest parent, until each node has one parent and no parent has one. What a join reads was written, so
+    Each partition's edges are contracted, first where they are and then with all edges of a node in one partition, of
+    which there are as many as the edges left need; and every edge jumps to its parent's smallest parent, until each node
+    has one parent and no parent has one. With a single partition that is so at once. What a join reads was written, so
     that it shuffles both sides itself and a hub's edges can be split."""
-    up = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
-    now = staging.keep(up.distinct(), "edges")
+    contracted = "u long, v long"
+    now = staging.keep(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").mapInArrow(_contract, contracted), "edges")
     while True:
-        own = staging.keep(now.repartition("u").mapInArrow(_contract, "u long, v long"), "contracted")
+        tasks = now.count() // EDGES + 1
+        own = staging.keep(now.select("u", "v").repartition("u").coalesce(tasks).mapInArrow(_contract, contracted), "contracted")
+        staging.drop(now)
+        if tasks == 1:
+            return own.select(F.col("u").alias("node"), F.col("v").alias("component"))
         parents = staging.keep(own.groupBy("u").agg(F.min("v").alias("p"), F.count("*").alias("n")), "parents")
         jumped = own.join(parents.select(F.col("u").alias("v"), "p"), "v", "left").select("u", F.coalesce("p", "v").alias("v"), F.col("p").isNotNull().alias("moved"))
         # a node with several parents keeps them connected: each larger one gets an edge to the smallest
         several = own.join(parents.where("n > 1").select("u", "p"), "u").where("v <> p").select(F.col("v").alias("u"), F.col("p").alias("v"), F.lit(True).alias("moved"))
-        then = staging.keep(jumped.union(several), "jumped")
-        staging.drop(now, own, parents)
-        now = then
+        now = staging.keep(jumped.union(several), "jumped")
+        staging.drop(own, parents)
         if not now.where("moved").limit(1).count():
             return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        now = now.select("u", "v")
-        now._staged_at = then._staged_at
 
 
-def _bit(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+def filter_bits(keys: int) -> int:
+    """Bits for a filter of so many keys, eight a key within the bounds. Beyond four million keys it lets more rows pass
+    and saves less; what passes is always joined exactly."""
+    bits = LEAST_BITS
+    while bits < min(8 * keys, MOST_BITS):
+        bits *= 2
+    return bits
 
 
-def membership_filter(keys: DataFrame, key: str) -> DataFrame:
+def membership_filter(keys: DataFrame, key: str, bits: int = LEAST_BITS) -> DataFrame:
     """A one-hash Bloom filter of the keys as a table (_word, _bits) of bounded size."""
-    bit = _bit(F.col(key))
-    return keys.select(bit.alias("_b")).groupBy((F.col("_b") / 32).cast("long").alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_b % 32 as int))")).alias("_bits"))
+    hashed = keys.select(F.pmod(F.xxhash64(key), F.lit(bits)).alias("_b"))
+    return hashed.groupBy((F.col("_b") / 64).cast("long").alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_b % 64 as int))")).alias("_bits"))
 
 
-def may_hold(df: DataFrame, key: str, filter_: DataFrame) -> DataFrame:
+def may_hold(df: DataFrame, key: str, filter_: DataFrame, bits: int = LEAST_BITS) -> DataFrame:
     """df with ``_maybe``: false where the key surely was not among the filter's keys."""
-    bit = _bit(F.col(key))
-    with_word = df.withColumn("_word", (bit / 32).cast("long"))
-    joined = with_word.join(F.broadcast(filter_), "_word", "left")  # at most FILTER_BITS / 32 rows
-    hit = F.expr(f"shiftright(_bits, cast(pmod(xxhash64({key}), {FILTER_BITS}) % 32 as int)) & 1L")
+    bit = F.pmod(F.xxhash64(key), F.lit(bits))
+    joined = df.withColumn("_word", (bit / 64).cast("long")).join(F.broadcast(filter_), "_word", "left")  # at most bits / 64 rows
+    hit = F.expr(f"shiftright(_bits, cast(pmod(xxhash64({key}), {bits}) % 64 as int)) & 1L")
     return joined.withColumn("_maybe", F.coalesce(hit == 1, F.lit(False))).drop("_word", "_bits")

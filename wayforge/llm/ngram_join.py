@@ -1,36 +1,39 @@
 """Exact Jaccard self-join of shingle sets as a metric-space join.
 
 Texts that share little are all at distance 1 from each other, so no document can serve as a pivot that tells them
-apart. A set therefore first leaves the join unless it shares so much of its prefix (its smallest hashes, twice as many
-as may be missing from a linked set) with the prefixes of other sets as linked sets must. The first regions of the
-others are cut by the same metric on parts of the shingle universe: two sets within the
-threshold differ in at most t shingles, so of K parts of the universe at least K - t hold equal subsets. A set is
-replicated to the regions of its parts, and as K - t of them are shared, to those alone that remain when its K - t - 1
-most crowded ones are left out. Inside these regions documents are pivots: distances to them link and prune by the
-triangle inequality. A region that is one component is done; small regions are joined in one task; large ones are cut
-into Voronoi cells of pivots with replicated boundaries, again and again, until they are small.
+apart. The first regions are therefore cut by the same metric on parts of the shingle universe: two sets within the
+threshold differ in at most t shingles, so of K parts of the universe at least K - t hold equal subsets. A set leaves the
+join unless it shares so many of its parts with others; sets that share one of the rarer of these parts are of one
+family, and families are the first regions.
+
+Inside the regions documents are pivots. A region that fits a task is joined there, pivot by pivot: distances to a
+pivot link, and by the triangle inequality two members are compared only if their distances differ little enough. A
+larger one is cut into Voronoi cells of pivots, with members near a border in each cell within the window, again and
+again. What no pivot cuts, as all are about equally far, meets part by part, or all members meet those few that are
+outside the largest component.
 """
 
 from __future__ import annotations
 
 import functools
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayforge.llm.common import Staging, as_bytes, block_edges, decode, decode_keys, encode, encode_keys, hashed_texts, mix, ngrams, small
-from wayforge.llm.graph import connected_components, may_hold, membership_filter
+from wayforge.llm.common import Staging, as_bytes, distinct, hashed_texts, mix, ngrams, small
+from wayforge.llm.graph import connected_components, filter_bits, may_hold, membership_filter
 
-#: Regions that overlap are joined as one up to this size.
-FAMILY = 400
-#: Regions up to this size are joined in one task; larger ones are cut.
-SMALL = 200
+#: Families and regions up to these sizes are joined in one task; larger ones are cut.
+FAMILY, SMALL = 400, 200
 #: Pivots that cut a region, at most.
 PIVOTS = 24
+#: Members and bytes of either side of a meeting of pivots with members, and the most meetings of two members by which a
+#: whole family is joined so; beyond them its members meet part by part.
+MEETING, MEETING_BYTES, MEETINGS = 1000, 8 << 20, 25_000_000
 
 
 @functools.cache
@@ -58,10 +61,10 @@ def signatures(s: np.ndarray, num: int, den: int) -> list[tuple[int, np.ndarray]
         t = most_different(cls, num, den)
         if not t:
             continue
-        spare = max(2, t // 2)
+        spare = max(2, t // 3)
         k = t + 1 + spare
         part = spread % np.uint64(k)
-        order = np.argsort(part)
+        order = np.argsort(part.astype(np.uint16 if k < 1 << 16 else np.int64), kind="stable")
         part = part[order]
         first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
         sums = np.zeros(k, np.uint64)
@@ -71,137 +74,59 @@ def signatures(s: np.ndarray, num: int, den: int) -> list[tuple[int, np.ndarray]
 
 
 def shingle_set(h: np.ndarray, width: int) -> np.ndarray:
-    return np.unique(ngrams(h, width))
+    return distinct(ngrams(h, width))
 
 
-#: Prefix elements that a task sorts at once, and bytes of text (about) for each range of hashes.
-CHUNK_ELEMENTS, BLOCK_BYTES = 500_000, 16 << 20
-#: Stands for several sets; those of a chunk count from 1.
-MANY = 0
-
-
-def prefix_length(n: int, num: int, den: int) -> tuple[int, int]:
-    """(m, least): of the m smallest hashes of a set of n, at least ``least`` are among those of each set linked with it.
-
-    With o = ceil(n * num / den), n - o + 1 would be enough to share one; twice as many share n - o + 2, less at most
-    two where rounding differs between the two sets."""
-    p = n + 1 - -(-n * num // den)
-    m = min(n, 2 * p)
-    return m, max(1, m - p - 1)
-
-
-def _sets(docs: DataFrame, width: int, num: int, den: int, blocks: int) -> DataFrame:
-    """Rows of three kinds: of each document (doc_id, n, a, b), its set's size and two halves of its digest; of each chunk of
-    documents and range of hashes (block, chunk, keys, ids), the prefix elements with the one set of the chunk that
-    has them, or MANY; of each chunk (block -1), its sets by a, and what they need: least * 2 ** 32 + found.
-
-    found counts a set's elements that other sets of the chunk have; so a hash that many share leaves a chunk once."""
-    out = "doc_id long, n long, a long, b long, block int, chunk long, keys binary, ids binary"
-    names = [x.split()[0] for x in out.split(", ")]
-    kinds = [pa.int64()] * 4 + [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+def _sets(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """(doc_id, tid, n, a, sigs, first, spare, other) for rows (doc_id, tid, text): the set's size, a digest that names
+    it, and, once in a task, its parts for one or two classes of sizes: ``first`` of them are of a class of which linked
+    sets share more than ``spare``, the rest of one of which they share more than ``other``."""
+    names = ["doc_id", "tid", "n", "a", "sigs", "first", "spare", "other"]
 
     def run(batches):
-        edges, sets, elements, size, made = block_edges(blocks), {}, [], 0, 0
-
-        def flush():
-            nonlocal made, size
-            if not sets:
-                return
-            made += 1
-            key = np.concatenate(elements)
-            own = np.repeat(np.arange(1, len(elements) + 1), [len(e) for e in elements]).astype(np.uint32)
-            order = np.argsort(key, kind="stable")
-            key, own = key[order], own[order]
-            new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-            times = np.diff(np.r_[new, len(key)])
-            found = np.bincount(own[np.repeat(times > 1, times)], minlength=len(elements) + 1)[1:]
-            keys, ids = key[new], np.where(times > 1, MANY, own[new]).astype(np.uint32)
-            cuts = np.r_[np.searchsorted(keys, edges), len(keys)]
-            rows = [(b, encode_keys(keys[x:y]), encode(ids[x:y])) for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if x < y]
-            needs = (np.fromiter(sets.values(), np.uint64, len(sets)) << np.uint64(32)) + found.astype(np.uint64)
-            rows.append((-1, np.fromiter(sets, np.uint64, len(sets)).tobytes(), needs.tobytes()))
-            b, k, i = zip(*rows)
-            chunk = (TaskContext.get().partitionId() << 24) + made
-            sets.clear()
-            elements.clear()
-            size = 0
-            yield pa.RecordBatch.from_arrays([*(pa.nulls(len(b), t) for t in kinds[:4]), pa.array(b, kinds[4]), pa.array([chunk] * len(b), kinds[5]), pa.array(k, kinds[6]), pa.array(i, kinds[7])], names)
-
+        seen = set()
         for batch in small(batches):
-            n, a, b = [], [], []
-            for h in hashed_texts(as_bytes(batch.column(1))):
+            n, a, sigs, numbers = [], [], [], []
+            for i, h in zip(batch.column(0).to_pylist(), hashed_texts(as_bytes(batch.column(2)))):
                 s = shingle_set(h, width)
                 n.append(len(s))
                 a.append(int(mix(s).sum(dtype=np.uint64)))
-                b.append(int(mix(s ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64)))
-                if len(s) and a[-1] not in sets:
-                    m, sets[a[-1]] = prefix_length(len(s), num, den)
-                    elements.append(s[:m])
-                    size += m
-                if size >= CHUNK_ELEMENTS:
-                    yield from flush()
-            longs = lambda x: pa.array(np.asarray(x, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), longs(a), longs(b), *(pa.nulls(len(n), t) for t in kinds[4:])], names)
-        yield from flush()
-
-    return docs.mapInArrow(run, out)
-
-
-def _count_range(group: pd.DataFrame) -> pd.DataFrame:
-    """(chunk, keys, ids) for each chunk: how many of the range's elements each of its sets shares with other chunks' sets."""
-    keys, ids = [decode_keys(k) for k in group["keys"]], [decode(i, np.uint32) for i in group["ids"]]
-    sizes = [len(k) for k in keys]
-    every, own = np.concatenate(keys), np.concatenate(ids)
-    order = np.argsort(every, kind="stable")
-    ranked = every[order]
-    new = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
-    times = np.diff(np.r_[new, len(ranked)])
-    shared = np.zeros(len(every), bool)
-    shared[order] = np.repeat(times > 1, times)
-    cuts, out = np.cumsum([0, *sizes]), []
-    for x, y in zip(cuts[:-1], cuts[1:]):
-        mine = own[x:y]
-        hit = shared[x:y] & (mine != MANY)
-        out.append(encode(np.bincount(mine[hit]).astype(np.uint32)))
-    return pd.DataFrame({"chunk": group["chunk"], "keys": None, "ids": out})
-
-
-def _near_sets(group: pd.DataFrame) -> pd.DataFrame:
-    """(a) of a chunk's sets that share enough with other sets.
-
-    Elements that are shared within the chunk were counted there; a set may be counted twice for equal sets elsewhere, which only keeps it
-    in the join."""
-    table = group[group["keys"].notna()].iloc[0]
-    sets, needs = np.frombuffer(table["keys"], np.uint64), np.frombuffer(table["ids"], np.uint64)
-    total = (needs & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    for data in group.loc[group["keys"].isna(), "ids"]:
-        found = decode(data, np.uint32)
-        total[: max(len(found) - 1, 0)] += found[1:]
-    return pd.DataFrame({"a": sets[total >= (needs >> np.uint64(32)).astype(np.int64)].view(np.int64)})
-
-
-def _spots(blobs: DataFrame, num: int, den: int) -> DataFrame:
-    """(rep, k, sig): the regions of each set; k numbers the class of partners and holds its spare count in eighths."""
+                own = signatures(s, num, den) if len(s) and i is not None and a[-1] not in seen else []
+                if i is not None:
+                    seen.add(a[-1])
+                sigs.append(np.concatenate([x for _, x in own]).view(np.int64) if own else None)
+                numbers.append((len(own[0][1]), own[0][0], own[-1][0]) if own else (0, 0, 0))
+            columns = [pa.array(n, pa.int64()), pa.array(np.asarray(a, np.uint64).view(np.int64)), pa.array(sigs, pa.list_(pa.int64())), *(pa.array(x, pa.int32()) for x in (zip(*numbers) if numbers else ([], [], [])))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], names)
 
-    def run(batches):
-        for batch in batches:
-            for rep, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for c, (spare, own) in enumerate(signatures(_set(blob.as_py()), num, den)):
-                    n = len(own)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, rep, np.int64)), pa.array(np.full(n, spare * 8 + c, np.int32)), pa.array(own.view(np.int64))], ["rep", "k", "sig"])
+    return docs.mapInArrow(run, "doc_id long, tid long, n long, a long, sigs array<long>, first int, spare int, other int")
+
+
+def _met(sets: DataFrame, staging: Staging) -> DataFrame:
+    """(rep, degree, sigs) of the sets that share enough of their parts: the rarer parts, of which linked sets share one.
 
-    return blobs.mapInArrow(run, "rep long, k int, sig long")
+    A part that very many sets have is one row of a partial sum in each task, and a hot key of a join that adaptive
+    execution splits. Only parts that a filter takes for shared are shuffled for that join."""
+    parts = sets.where("sigs is not null").select("a", "first", "spare", "other", F.posexplode("sigs").alias("at", "sig"))
+    shared = staging.keep(parts.groupBy("sig").agg(F.min("a").alias("_x"), F.max("a").alias("_y"), F.count("*").alias("times")).where("_x < _y").select("sig", "times"), "shared")
+    bits = filter_bits(shared.count())
+    mine = parts.select("a", "sig", (F.col("at") < F.col("first")).alias("k"), F.when(F.col("at") < F.col("first"), F.col("spare")).otherwise(F.col("other")).alias("spare"))
+    mine = may_hold(mine, "sig", membership_filter(shared, "sig", bits), bits).where("_maybe").drop("_maybe")
+    held = mine.join(shared, "sig").groupBy("a", "k").agg(F.max("spare").alias("spare"), F.array_sort(F.collect_set(F.struct("times", "sig"))).alias("own")).where("size(own) > spare")
+    rarer = held.select("a", F.slice("own", F.lit(1), F.size("own") - F.col("spare")).alias("own"))
+    each = rarer.groupBy("a").agg(F.flatten(F.collect_list("own")).alias("own"))  # of two classes at most
+    return each.select(F.col("a").alias("rep"), F.aggregate("own", F.lit(0).cast("long"), lambda x, y: x + y["times"]).alias("degree"), F.col("own.sig").alias("sigs"))
 
 
 def _blobs(docs: DataFrame, width: int) -> DataFrame:
-    """(rep, blob): the sorted shingle hashes as bytes."""
+    """(rep, family, size, blob) for rows (rep, family, size, text): the set's sorted hashes as bytes."""
 
     def run(batches):
         for batch in small(batches):
-            sets = [shingle_set(h, width).tobytes() for h in hashed_texts(as_bytes(batch.column(1)))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["rep", "blob"])
+            sets = [shingle_set(h, width).tobytes() for h in hashed_texts(as_bytes(batch.column(3)))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sets, pa.binary())], ["rep", "family", "size", "blob"])
 
-    return docs.mapInArrow(run, "rep long, blob binary")
+    return docs.mapInArrow(run, "rep long, family long, size long, blob binary")
 
 
 def _set(blob: bytes) -> np.ndarray:
@@ -271,22 +196,79 @@ def _cells(members: pd.DataFrame, pivots: pd.DataFrame, num: int, den: int) -> p
 def _cut(members: DataFrame, blobs: DataFrame, num: int, den: int, turn: int) -> DataFrame:
     """(region, rep, pivot, link): the Voronoi cells of large regions; a region's members are spread over tasks by a salt."""
     salts = F.ceil(F.col("size") / 256).cast("int")
-    spread = members.join(blobs, "rep").select("region", "rep", "blob", F.pmod(F.xxhash64("rep"), salts).cast("int").alias("salt"))
+    spread = members.join(blobs.select("rep", "blob"), "rep").select("region", "rep", "blob", F.pmod(F.xxhash64("rep"), salts).cast("int").alias("salt"))
     centre = F.pmod(F.xxhash64("rep", F.lit(turn)), F.col("size")) < F.least(F.lit(PIVOTS), F.col("size") / 64)
-    first = members.groupBy("region").agg(F.min("rep").alias("_first"))
+    # the member that meets most others is always a pivot: of edited copies, the text they were made from
+    first = members.groupBy("region").agg(F.max_by("rep", F.struct("degree", "rep")).alias("_first"))
     chosen = members.join(first, "region").where(centre | (F.col("rep") == F.col("_first"))).select("region", "rep", "size").distinct()
-    chosen = chosen.join(blobs, "rep").select(F.col("region").alias("of"), F.col("rep").alias("pivot"), F.col("blob").alias("centre"), F.explode(F.sequence(F.lit(0), salts - 1)).alias("part"))
+    chosen = chosen.join(blobs.select("rep", "blob"), "rep").select(F.col("region").alias("of"), F.col("rep").alias("pivot"), F.col("blob").alias("centre"), F.explode(F.sequence(F.lit(0), salts - 1)).alias("part"))
     return spread.groupBy("region", "salt").cogroup(chosen.groupBy("of", "part")).applyInPandas(lambda m, p: _cells(m, p, num, den), "region long, rep long, pivot long, link boolean")
 
 
-def _blocks(members: DataFrame, blobs: DataFrame, num: int, den: int) -> DataFrame:
-    """Links of regions that no pivot cuts: each pair of blocks of members meets in one task."""
-    count = F.ceil(F.col("size") / SMALL).cast("int")
-    mine = F.pmod(F.xxhash64("rep"), F.col("_count")).cast("int")
-    rows = members.withColumn("_count", count).withColumn("_mine", mine).join(blobs, "rep")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("_count") - 1), lambda x: F.struct(F.least("_mine", x).alias("i"), F.greatest("_mine", x).alias("j")))
-    rows = rows.select("region", "rep", "comp", "blob", F.explode(pairs).alias("_p")).select("region", "rep", "comp", "blob", "_p.i", "_p.j")
-    return rows.groupBy("region", "i", "j").applyInPandas(lambda m: _joined(m, num, den), "u long, v long")
+def _sift(members: DataFrame, blobs: DataFrame, num: int, den: int, staging: Staging) -> DataFrame:
+    """The members of regions that share as many of all their hashes with others of the region as linked sets must."""
+
+    def run(batches):
+        for batch in small(batches, 100):
+            for region, rep, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                s = _set(blob)
+                yield pa.RecordBatch.from_arrays([pa.array([region] * len(s), pa.int64()), pa.array([rep] * len(s), pa.int64()), pa.array(s.view(np.int64)), pa.array([-(-len(s) * num // den)] * len(s), pa.int64())], ["region", "rep", "h", "need"])
+
+    every = staging.keep(members.select("region", "rep").distinct().join(blobs.select("rep", "blob"), "rep").select("region", "rep", "blob").mapInArrow(run, "region long, rep long, h long, need long"), "region-sets")
+    shared = every.groupBy("region", "h").agg(F.count("*").alias("times")).where("times > 1").select("region", "h")
+    left = every.join(shared, ["region", "h"]).groupBy("region", "rep", "need").count().where("count >= need").select("region", "rep")
+    left = members.join(left, ["region", "rep"], "left_semi").drop("size")
+    sizes = left.groupBy("region").agg(F.countDistinct("rep").alias("size")).where("size > 1")
+    return staging.keep(left.join(sizes, "region"), "sifted")
+
+
+def _rest(members: DataFrame, blobs: DataFrame, num: int, den: int) -> DataFrame:
+    """Links of regions that no pivot cuts: all members outside a region's largest component are pivots, in blocks of
+    bounded bytes, and meet all members, in parts of bounded bytes, which are spread over tasks."""
+    rows = members.select("region", "rep", "comp").distinct().join(blobs.select("rep", "blob"), "rep")
+    counts = rows.groupBy("region", "comp").agg(F.count("*").alias("_n"), F.sum(F.octet_length("blob")).alias("_b"))
+    largest = counts.groupBy("region").agg(F.max(F.struct("_n", "comp", "_b")).alias("_most"), F.sum("_n").alias("_all"), F.sum("_b").alias("_bytes"))
+    share = lambda n, size: F.ceil(F.greatest(n / MEETING, size / MEETING_BYTES)).cast("int")
+    largest = largest.select("region", F.col("_most.comp").alias("_largest"), share(F.col("_all") - F.col("_most._n"), F.col("_bytes") - F.col("_most._b")).alias("_blocks"), share(F.col("_all"), F.col("_bytes")).alias("_parts"))
+    rows = rows.join(largest, "region")
+    own = rows.select("region", "rep", "comp", "blob", F.pmod(F.xxhash64("rep"), "_parts").alias("part"), F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("block"))
+    pivots = rows.where("comp <> _largest").select(F.col("region").alias("of"), F.col("rep").alias("pivot"), F.col("comp").alias("its"), F.col("blob").alias("centre"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - F.lit(1).cast("long"))).alias("at"), F.pmod(F.xxhash64("rep"), "_blocks").cast("int").alias("by"))
+    return own.groupBy("region", "part", "block").cogroup(pivots.groupBy("of", "at", "by")).applyInPandas(functools.partial(_across, num=num, den=den), "u long, v long")
+
+
+def overlaps(xs: list[np.ndarray], ys: list[np.ndarray], columns: int = 2048) -> np.ndarray:
+    """Shared values of each set of xs with each of ys, as products of zero-one matrices over the values, some at a time."""
+    out = np.zeros((len(xs), len(ys)), np.float32)
+    values = distinct(np.concatenate(xs)) if xs else np.zeros(0, np.uint64)
+    flat = []
+    for sets in (xs, ys):
+        every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        at = np.minimum(np.searchsorted(values, every), max(len(values) - 1, 0))
+        known = values[at] == every if len(values) else np.zeros(len(every), bool)
+        row, at = np.repeat(np.arange(len(sets)), [len(s) for s in sets])[known], at[known]
+        order = np.argsort(at, kind="stable")
+        flat.append((row[order], at[order]))
+    for first in range(0, len(values), columns):
+        sides = []
+        for (row, at), n in zip(flat, (len(xs), len(ys))):
+            low, high = np.searchsorted(at, (first, first + columns))
+            m = np.zeros((n, columns), np.float32)
+            m[row[low:high], at[low:high] - first] = 1
+            sides.append(m)
+        out += sides[0] @ sides[1].T
+    return np.rint(out).astype(np.int64)
+
+
+def _across(members: pd.DataFrame, pivots: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
+    """Links between pivots and members of other components, one for each pivot and component."""
+    if not len(members) or not len(pivots):
+        return pd.DataFrame({"u": [], "v": []}, dtype="int64")
+    xs, ys = [_set(b) for b in pivots["centre"]], [_set(b) for b in members["blob"]]
+    shared = overlaps(xs, ys)
+    union = np.asarray([len(x) for x in xs])[:, None] + np.asarray([len(y) for y in ys])[None] - shared
+    i, j = np.nonzero((den * shared >= num * union) & (pivots["its"].to_numpy()[:, None] != members["comp"].to_numpy()[None]))
+    found = pd.DataFrame({"u": pivots["pivot"].to_numpy()[i], "v": members["rep"].to_numpy()[j], "comp": members["comp"].to_numpy()[j]})
+    return found.drop_duplicates(["u", "comp"])[["u", "v"]]
 
 
 def _joined(members: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
@@ -301,87 +283,119 @@ def _still_open(members: DataFrame, found: DataFrame, staging: Staging) -> DataF
     return staging.keep(named.join(state, "region", "left_semi"), "open")
 
 
-def jaccard_components(docs: DataFrame, text: str = "text", width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of docs: links are den * intersection >= num * union.
+def _local(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Links of regions (region, rep, comp, blob) that fit a task each."""
+    return rows.select("region", "rep", "comp", "blob").groupBy("region").applyInPandas(lambda m: _joined(m, num, den), "u long, v long")
 
-    Sets of ``width``-word shingles of whole texts; fewer words make one shingle, null and empty texts an empty set that links with
-    nothing. component_id is the smallest doc_id reachable. Rows that repeat a doc_id are one node of the graph; rows with a null
-    doc_id link with nothing and have a null component. The join is exact up to collisions of 64-bit hashes of shingles."""
-    spark = docs.sparkSession
-    staging = Staging(spark, "jaccard")
-    docs = docs.select("doc_id", F.col(text).alias("text"))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    every = staging.keep(_sets(docs, width, num, den, int(size // BLOCK_BYTES + 1)), "sets")
-    rows = staging.keep(every.where("a is not null").select("doc_id", "n", "a", "b"), "rows")
-    unique = staging.keep(rows.where("n > 0 and doc_id is not null").groupBy("a", "b").agg(F.min("doc_id").alias("rep")), "unique")
-    found = every.where("block >= 0").select("block", "chunk", "keys", "ids").groupBy("block").applyInPandas(_count_range, "chunk long, keys binary, ids binary")
-    met = found.union(every.where("block = -1").select("chunk", "keys", "ids")).groupBy("chunk").applyInPandas(_near_sets, "a long")
-    met = staging.keep(met, "met")
-    staging.drop(every)
-    wanted = staging.keep(unique.join(met.distinct(), "a", "left_semi").select("rep").distinct(), "wanted")
-    near = may_hold(docs, "doc_id", membership_filter(wanted, "rep")).where("_maybe").select("doc_id", "text")
-    blobs = staging.keep(_blobs(near, width).join(wanted, "rep", "left_semi"), "blobs")
-    spots = staging.keep(_spots(blobs, num, den), "spots")
-    shared = staging.keep(spots.groupBy("sig").agg(F.min("rep").alias("x"), F.max("rep").alias("y"), F.count("*").alias("size")).where("x < y").select("sig", "size"), "shared")
-    mine = Window.partitionBy("rep", "k")
-    held = spots.join(shared, "sig").withColumns({"_h": F.count("*").over(mine), "degree": F.sum("size").over(mine)}).where("_h > k div 8")
-    held = held.withColumn("_rn", F.row_number().over(mine.orderBy("size", "sig"))).where("_rn <= _h - k div 8")
-    held = staging.keep(held.select("sig", "rep", "degree"), "held")
-    # the member that meets most others is a region's first pivot: of edited copies, the text they were made from
-    top = F.max(F.struct("degree", (-F.col("rep")).alias("rep"))).alias("top")
-    regions = held.groupBy("sig").agg(top, F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("_same"), F.count("*").alias("size")).where("size > 1")
-    regions = staging.keep(regions.groupBy("_same", "size").agg(F.min("sig").alias("sig"), F.min(-F.col("top.rep")).alias("pivot")).select("sig", "pivot", "size"), "regions")
-    members = staging.keep(held.select("sig", "rep").join(regions, "sig").select(F.col("sig").alias("region"), "rep", "pivot", "size"), "members")
-    staging.drop(met, spots, shared, held)
-    pairs = members.where("rep <> pivot").select("rep", "pivot").distinct()
-    pairs = pairs.join(blobs, "rep").join(blobs.select(F.col("rep").alias("pivot"), F.col("blob").alias("other")), "pivot")
-
-    def verify(batches):
-        for batch in batches:
-            u, v = [], []
-            for rep, pivot, x, y in zip(*(c.to_pylist() for c in batch.columns)):
-                x, y = _set(x), _set(y)
-                if linked(overlap(x, y), len(x), len(y), num, den):
-                    u.append(rep)
-                    v.append(pivot)
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
-
-    links = staging.keep(pairs.select("rep", "pivot", "blob", "other").mapInArrow(verify, "u long, v long"), "links")
-    local = lambda rows: rows.select("region", "rep", "comp").distinct().join(blobs, "rep").groupBy("region").applyInPandas(lambda m: _joined(m, num, den), "u long, v long")
-    found = connected_components(links, staging)
-    todo, level, last = _still_open(members.where("size > 2"), found, staging), 0, None
-    while n := todo.count():
-        more = []
-        if level == 0:  # most open regions are parts of a few texts' edited copies: those are joined once, not part by part
-            family = connected_components(todo.select(F.col("rep").alias("u"), F.col("pivot").alias("v")), staging)
-            family = family.union(family.select(F.col("component").alias("node"), "component")).distinct()  # with its roots
-            sizes = family.groupBy("component").agg(F.count("*").alias("members")).where(F.col("members") <= FAMILY)
-            family = staging.keep(family.join(sizes, "component").select("node", F.col("component").alias("family")), "families")
-            whole = todo.join(family, todo["rep"] == family["node"])
-            more.append(local(whole.select(F.col("family").alias("region"), "rep", "comp")))
-            todo = staging.keep(todo.join(family.select(F.col("node").alias("rep")), "rep", "left_anti"), "rest")
-        more.append(local(todo.where(F.col("size") <= SMALL)))
-        large, then = todo.where(F.col("size") > SMALL), None
-        n = large.count()
-        if n and (last is None or n < 0.7 * last):
-            last, cells = n, staging.keep(_cut(large, blobs, num, den, level), "cells")
-            more.append(cells.where("link").select(F.col("rep").alias("u"), F.col("pivot").alias("v")))
-            if cells.count() <= 3 * n:
-                named = cells.select(F.xxhash64("region", "pivot").alias("region"), "rep").distinct()
-                then = named.join(named.groupBy("region").agg(F.count("*").alias("size")), "region")
-        if n and then is None:
-            more.append(_blocks(large, blobs, num, den))
-        links = staging.keep(functools.reduce(DataFrame.union, more, links), "links")
+
+def _connected(blobs: DataFrame, met: DataFrame, num: int, den: int, staging: Staging) -> DataFrame:
+    """(node, component) of the linked sets of families (rep, family, size, blob), the roots among them."""
+    with_blobs = lambda rows: rows.select("region", "rep", "comp").distinct().join(blobs.select("rep", "blob"), "rep")
+    members = blobs.select(F.col("family").alias("region"), "rep", "size", F.col("rep").alias("comp"), "blob")
+    links = staging.keep(_local(members.where(F.col("size") <= FAMILY), num, den), "links")
+    todo = members.where(F.col("size") > FAMILY).select("region", "rep", "size", F.col("region").alias("family")).join(met.select("rep", "degree"), "rep")
+    families = todo = staging.keep(todo, "large")
+    n, level, last = todo.count(), 0, None
+    while n and (last is None or n < 0.7 * last):
+        last, cells = n, staging.keep(_cut(todo, blobs, num, den, level), "cells")
+        links = staging.keep(links.union(cells.where("link").select(F.col("rep").alias("u"), F.col("pivot").alias("v"))), "links")
         found = connected_components(links, staging)
-        if then is None:
+        if cells.count() > 3 * n:
+            todo = _still_open(todo, found, staging)
+            n = todo.count()
             break
+        named = cells.select(F.xxhash64("region", "pivot").alias("region"), "rep").distinct()
+        then = named.join(named.groupBy("region").agg(F.count("*").alias("size")), "region").join(families.select("rep", "family", "degree"), "rep")
         todo, level = _still_open(then, found, staging), level + 1
-    groups = unique.select("a", "b", "rep").join(found, F.col("rep") == F.col("node"), "left").select("a", "b", F.coalesce("component", "rep").alias("component"))
-    rows = rows.join(groups, ["a", "b"], "left")
-    out = rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))).alias("component_id"))
-    own = Staging(spark, "jaccard-result")
-    kept = own.keep(out, "result")
-    staging.clear()
+        if todo.where(F.col("size") <= SMALL).limit(1).count():
+            links = staging.keep(links.union(_local(with_blobs(todo.where(F.col("size") <= SMALL)), num, den)), "links")
+            todo = todo.where(F.col("size") > SMALL)
+        todo = todo.drop("comp")
+        n = todo.count()
+    if n:  # no pivot cuts these
+        links = staging.keep(links.union(_uncut(todo.drop("comp"), met, blobs, links, num, den, staging)), "links")
+    return _with_roots(connected_components(links, staging))
+
+
+def _uncut(todo: DataFrame, met: DataFrame, blobs: DataFrame, links: DataFrame, num: int, den: int, staging: Staging) -> DataFrame:
+    """Links of the open regions whose members are about equally far from all pivots.
+
+    Where few members are outside the largest component, or a region is not very large, these meet all others. Elsewhere members meet part by part: a
+    small group in one task, and of a large one those members that share enough of all their shingles with the group."""
+    found = connected_components(links, staging)
+    open_ = _still_open(todo, found, staging)
+    counts = open_.groupBy("region", "comp").agg(F.count("*").alias("_n")).groupBy("region").agg(((F.sum("_n") - F.max("_n")) * F.sum("_n")).alias("_meetings"))
+    counts = staging.keep(counts, "outside")
+    few = counts.where(F.col("_meetings") <= MEETINGS).select("region")
+    more = [_rest(open_.join(few, "region", "left_semi").drop("degree", "family", "size"), blobs, num, den)]
+    if not counts.where(F.col("_meetings") > MEETINGS).limit(1).count():
+        return more[0]
+    many = open_.join(few, "region", "left_anti").select("rep", "comp").distinct()
+    held = many.join(met, "rep").select("rep", "comp", F.explode("sigs").alias("region")).distinct()
+    groups = held.groupBy("region").agg(F.count("*").alias("size"), F.min("comp").alias("_x"), F.max("comp").alias("_y")).where("_x < _y").select("region", "size")
+    held = staging.keep(held.join(groups, "region"), "by-part")
+    more.append(_local(held.where(F.col("size") <= SMALL).join(blobs.select("rep", "blob"), "rep"), num, den))
+    links = staging.keep(functools.reduce(DataFrame.union, more), "uncut")
+    if not held.where(F.col("size") > SMALL).limit(1).count():
+        return links
+    found = connected_components(links, staging)
+    left = _sift(_still_open(held.where(F.col("size") > SMALL).drop("comp"), found, staging), blobs, num, den, staging)
+    left = _still_open(left.drop("comp"), found, staging)
+    return links.union(_rest(left, blobs, num, den))
+
+
+def _with_roots(found: DataFrame) -> DataFrame:
+    return found.union(found.select(F.col("component").alias("node"), "component")).distinct()
+
+
+@dataclass
+class Components:
+    """rows: (doc_id, tid, n, a), a naming the row's set; chosen: (a, of, first, first_tid), the row with the smallest
+    (doc_id, tid) of all sets that are linked with a set."""
+
+    rows: DataFrame
+    chosen: DataFrame
+    staging: Staging
+
+
+def components(docs: DataFrame, text: str, width: int, num: int, den: int) -> Components:
+    staging = Staging(docs.sparkSession, "jaccard")
+    docs = docs.select("doc_id", F.xxhash64(F.col(text)).alias("tid"), F.col(text).alias("text"))
+    # parts are random numbers: no dictionary, and small groups of rows, which writers hold in memory
+    sets = staging.keep(_sets(docs, width, num, den), "sets", **{"parquet.enable.dictionary": "false", "parquet.block.size": 16 << 20})
+    rows = sets.select("doc_id", "tid", "n", "a")
+    unique = staging.keep(rows.where("n > 0 and doc_id is not null").groupBy("a").agg(F.min(F.struct("doc_id", "tid")).alias("first")), "unique")
+    met = staging.keep(_met(sets, staging), "met")
+    held = met.select("rep", "degree", F.explode("sigs").alias("sig"))
+    top = held.groupBy("sig").agg(F.max(F.struct("degree", "rep")).alias("top"), F.count("*").alias("n")).where("n > 1").select("sig", F.col("top.rep").alias("v"))
+    edges = held.select("sig", F.col("rep").alias("u")).join(top, "sig").select("u", "v").where("u <> v").distinct()
+    families = staging.keep(_with_roots(connected_components(staging.keep(edges, "meetings"), staging)), "families")
+    families = families.join(families.groupBy("component").agg(F.count("*").alias("size")), "component").select(F.col("node").alias("a"), F.col("component").alias("family"), "size")
+    wanted = staging.keep(unique.join(families, "a").select("a", "family", "size", "first.doc_id", "first.tid"), "wanted")
+    bits = filter_bits(wanted.count())
+    near = may_hold(docs, "doc_id", membership_filter(wanted, "doc_id", bits), bits).where("_maybe").select("doc_id", "tid", "text")
+    near = near.join(wanted, ["doc_id", "tid"]).groupBy("a", "family", "size").agg(F.min("text").alias("text"))
+    blobs = staging.keep(_blobs(near.select(F.col("a").alias("rep"), "family", "size", "text"), width), "blobs")
+    found = staging.keep(_connected(blobs, met, num, den, staging), "components")
+    linked_ = unique.join(found, unique["a"] == found["node"]).select("a", "component", "first")
+    best = linked_.join(linked_.groupBy("component").agg(F.min("first").alias("best")), "component").select("a", "best")
+    chosen = unique.join(best, "a", "left").select("a", F.coalesce("best", "first").alias("first")).select("a", "first.doc_id", F.col("first.tid").alias("first_tid"))
+    return Components(rows, staging.keep(chosen.withColumnRenamed("doc_id", "first"), "chosen"), staging)
+
+
+def jaccard_components(docs: DataFrame, text: str = "text", width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for each row of docs: links are den * intersection >= num * union.
+
+    Sets of ``width``-word shingles of whole texts; fewer words make one shingle, null and empty texts an empty set that
+    links with nothing. component_id is the smallest doc_id reachable. Rows are nodes by their sets: rows that repeat a
+    doc_id with the same text are one, with unlinked texts two, whose component_id may still be the same id. Rows with
+    a null doc_id link with nothing and have a null component; an empty table gives none. Other columns are not read.
+    The join is exact up to collisions of 64-bit hashes of shingles and of sets."""
+    c = components(docs, text, width, num, den)
+    rows = c.rows.join(c.chosen.select(F.col("a").alias("_a"), "first"), F.col("a") == F.col("_a"), "left")
+    out = rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("first")).otherwise(F.col("doc_id"))).alias("component_id"))
+    kept = Staging(docs.sparkSession, "jaccard-result").keep(out, "result")
+    c.staging.clear()
     return kept
 
 
@@ -391,17 +405,21 @@ def op10_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark, docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """Pipeline stage: of each component of near copies (five-word shingles, similarity 0.8) the smallest doc_id stays.
+    """Pipeline stage: of each component of near copies (five-word shingles, similarity 0.8) one row stays, that with
+    the smallest doc_id; of rows that repeat it, that with the smallest hash of its text, and of equal texts one.
 
-    Rows with a null doc_id stay; of rows that repeat a doc_id one stays. Only documents whose ids may be among those to drop are
-    shuffled; a bounded filter lets the others pass."""
-    found = jaccard_components(docs, width=width, num=num, den=den)
+    Rows without words and rows with a null doc_id stay, all of them; rows that repeat a doc_id with unlinked texts
+    both stay. Columns may have any names. Only documents whose ids may be among those to drop are shuffled; a bounded
+    filter lets the others pass."""
+    c = components(docs, "text", width, num, den)
     staging = Staging(spark, "one-of-each")
-    gone = found.where("component_id <> doc_id").select("doc_id")
-    twice = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    touched = staging.keep(gone.withColumn("drop", F.lit(True)).union(twice.withColumn("drop", F.lit(False))), "touched")
-    row = docs.select(F.struct(*docs.columns).alias("row"), "doc_id")
-    marked = may_hold(row, "doc_id", membership_filter(touched, "doc_id"))
-    drop = touched.where("drop").select("doc_id").distinct()
-    doubtful = marked.where("_maybe and doc_id is not null").join(drop, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return marked.where("not _maybe or doc_id is null").select("row.*").union(doubtful.select("row.*"))
+    rows = c.rows.where("n > 0 and doc_id is not null").join(c.chosen.select(F.col("a").alias("_a"), "first", "first_tid"), F.col("a") == F.col("_a"))
+    marked = rows.select("doc_id", "tid", ((F.col("doc_id") == F.col("first")) & (F.col("tid") == F.col("first_tid"))).alias("stays"))
+    touched = staging.keep(marked.groupBy("doc_id", "tid").agg(F.bool_or("stays").alias("stays"), F.count("*").alias("times")).where("not stays or times > 1"), "touched")
+    c.staging.clear()
+    bits = filter_bits(touched.count())
+    row = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_tid"))
+    sure = may_hold(row, "_id", membership_filter(touched.select(F.col("doc_id").alias("_id")), "_id", bits), bits)
+    doubtful = sure.where("_maybe").join(touched.select(F.col("doc_id").alias("_id"), F.col("tid").alias("_tid"), "stays"), ["_id", "_tid"], "left").where("coalesce(stays, true)")
+    once = doubtful.where("stays").groupBy("_id", "_tid").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
+    return sure.where("not _maybe").select("row.*").union(doubtful.where("stays is null").select("row.*")).union(once)

@@ -11,13 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayforge.llm.common import Staging
-from wayforge.llm.graph import may_hold, membership_filter
+from wayforge.llm.graph import filter_bits, may_hold, membership_filter
 
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 START = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
 GZIP = b"\x1f\x8b\x08"
-#: Headers longer than this are taken as damaged.
-MAX_HEADER = 1 << 16
 HTTP_END = b"\r\n\r\n"
 
 
@@ -29,7 +27,7 @@ def _record(data: bytes, at: int) -> tuple[int, dict[str, str], bytes]:
     """(end, headers, block) of the record at ``at``; Damaged where a check fails."""
     if not VERSION.match(data, at):
         raise Damaged("no version line")
-    stop = data.find(HTTP_END, at, at + MAX_HEADER)
+    stop = data.find(HTTP_END, at)
     if stop < 0:
         raise Damaged("header without an end")
     headers: dict[str, str] = {}
@@ -59,12 +57,12 @@ def payload_of(block: bytes) -> bytes:
     return block.partition(HTTP_END)[2] if block.startswith(b"HTTP/") else block
 
 
-def salvage(data: bytes, most: int = 1 << 31):
+def salvage(data: bytes, most: int = 0):
     """Yields ("record", start, end, headers, block) and ("gap", start, end, reason, None) over all bytes of an archive.
 
     Plain records and gzip members of one or more records may alternate. Where a check fails, the next version line or
     member that passes all checks is searched, byte by byte, and what lies between is a gap. Offsets within a member are the
-    member's. A member larger than ``most`` bytes when inflated counts as damaged."""
+    member's. With ``most``, a member larger than so many bytes when inflated counts as damaged."""
     at, gap, reason = 0, None, ""
     while at < len(data):
         try:
@@ -113,7 +111,8 @@ def mark_revisits(pages: DataFrame, least: int = 100) -> DataFrame:
     firsts = keys.groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     revisits = keys.join(firsts, "payload_digest").where("not (page_id <=> first)").select(F.col("page_id").alias("_id"), F.col("payload_digest").alias("_digest"), "first")
     revisits = staging.keep(revisits, "revisits")
-    marked = may_hold(made, "page_id", membership_filter(revisits, "_id"))
+    bits = filter_bits(revisits.count())
+    marked = may_hold(made, "page_id", membership_filter(revisits, "_id", bits), bits)
     doubtful, plain = marked.where("_maybe").drop("_maybe"), marked.where("not _maybe").drop("_maybe")
     same = doubtful["page_id"].eqNullSafe(revisits["_id"]) & (doubtful["payload_digest"] == revisits["_digest"])
     joined = doubtful.join(revisits, same, "left")
