@@ -106,3 +106,49 @@ def test_every_planted_passage_of_the_tables(spark):
     want = {(r.doc_id, b.item_id) for r in docs.select("doc_id", "text").collect() for b in bench if b.text in r.text}
     got = {(r.doc_id, r.item_id) for r in op1_decontamination(spark, d).collect()}
     assert want <= got
+
+
+def test_short_items_leak_where_their_words_stand_whole(spark):
+    bench = spark.createDataFrame([("a", "Alpha beta, gamma"), ("b", "delta"), ("c", "...")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "x ALPHA beta gamma y"), (2, "alpha gamma beta"), (3, "delta-force and delta"), (4, "alpha beta"), (5, None)], "doc_id long, text string")
+    got = {(r.doc_id, x.item_id, x.score, x.first_word, x.last_word) for r in find_leaks(docs, bench).collect() for x in r.leaks}
+    assert got == {(1, "a", 1.0, 1, 3), (3, "b", 1.0, 0, 0)}
+    assert sorted(r.doc_id for r in keep_uncontaminated(spark, docs, bench).collect()) == [2, 4, 5]
+
+
+def test_recall_by_share_of_edited_words(spark):
+    """Substitutions, deletions and swaps of a share of the words at random places, against alignment of each pair."""
+    pick = random.Random(21)
+    items = [words(pick.randrange(15, 58), 5000 + i) for i in range(60)]
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    for share, least in ((0.05, 1.0), (0.1, 0.98), (0.2, 0.9)):
+        docs = []
+        for i, item in enumerate(items):
+            copy = list(item)
+            for k in sorted(pick.sample(range(len(copy)), max(1, int(share * len(copy)))), reverse=True):
+                kind = pick.randrange(3)
+                if kind == 0:
+                    copy[k] = f"new{k}"
+                elif kind == 1:
+                    del copy[k]
+                elif k:
+                    copy[k - 1], copy[k] = copy[k], copy[k - 1]
+            docs.append((i, " ".join(words(25, 6000 + i) + copy + words(25, 7000 + i))))
+        x, y = (list(hashed_texts(normal(t), PLAIN)) for t in ([" ".join(x) for x in items], [t for _, t in docs]))
+        want = {i for i, s in enumerate(align(x, y)[0]) if s / (MATCH * len(items[i])) >= 0.5}
+        got = {(r.doc_id, l.item_id) for r in find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect() for l in r.leaks}
+        assert all(i == j for i, j in got) and len(got) >= least * len(want)
+
+
+def test_table_equals_alignment_of_all_pairs(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()
+    x, y = (list(hashed_texts(normal([r.text for r in rows]), PLAIN)) for rows in (bench, docs))
+    want = set()
+    for d, text in zip(docs, y):
+        for at in range(0, max(len(text), 1), 2000):  # pieces that overlap by more than an item's length
+            piece = text[at : at + 2200]
+            if len(piece):
+                want |= {(d.doc_id, b.item_id) for b, i, s in zip(bench, x, align(x, [piece] * len(x))[0]) if s / (MATCH * len(i)) >= 0.5}
+    got = {(r.doc_id, r.item_id) for r in decontamination.op1_decontamination(spark, sf_dir).collect()}
+    assert got == want

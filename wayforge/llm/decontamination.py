@@ -14,7 +14,7 @@ from wayforge.llm.common import hashed_texts, ngrams, small
 #: Blanks for ASCII that is neither letter nor digit; texts are made small before.
 PLAIN = bytes(b if chr(b).isalnum() or b > 127 else 32 for b in range(256))
 #: Items are taken in blocks of about so many bytes of text, each against all documents.
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 16 << 20
 #: Hits of a text are compared with so many at once, a range of passages after the other.
 HITS = 1 << 21
 #: Longer items are cut into passages of so many words, each beginning STRIDE words after the last.
@@ -32,6 +32,7 @@ class Passages:
     owner: np.ndarray
     place: np.ndarray
     seeds: np.ndarray  # of each passage
+    short: dict  # by a number of words below the least, and by the hash of all the words: the items that are these words
 
     def find(self, grams: np.ndarray) -> np.ndarray:
         """Positions in grams of those that are seeds."""
@@ -57,20 +58,22 @@ def normal(texts: list) -> list[bytes]:
 
 
 def cut_items(ids: list, texts: list, n: int, min_words: int) -> Passages:
-    """Passages with every n-gram as a seed; items of under min_words words have none."""
-    items, words = [], []
+    """Passages with every n-gram as a seed; items of under min_words words are kept whole, by the hash of their words."""
+    items, words, short = [], [], {}
     for i, h in zip(ids, hashed_texts(normal(texts), PLAIN)):
         if len(h) >= max(min_words, n):
             for at in range(0, max(len(h) - (PASSAGE - STRIDE), 1), STRIDE):
                 items.append(i)
                 words.append(h[at : at + PASSAGE])
+        elif len(h):
+            short.setdefault(len(h), {}).setdefault(int(ngrams(h, len(h))[0]), []).append(i)
     grams = [ngrams(w, n) for w in words]
     sizes = [len(g) for g in grams]
     hashes = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
     owner = np.repeat(np.arange(len(grams)), sizes)
     place = np.concatenate([np.arange(s) for s in sizes]) if grams else np.zeros(0, np.int64)
     order = np.argsort(hashes, kind="stable")
-    return Passages(items, words, hashes[order], owner[order], place[order], np.asarray(sizes, int))
+    return Passages(items, words, hashes[order], owner[order], place[order], np.asarray(sizes, int), short)
 
 
 def keep_held(p: Passages, held: np.ndarray) -> Passages:
@@ -78,7 +81,7 @@ def keep_held(p: Passages, held: np.ndarray) -> Passages:
     for an edited copy may hold any, and the rarest are the ones that its edits have destroyed."""
     chosen = np.flatnonzero(np.isin(p.hashes, held))
     owner = p.owner[chosen]
-    return Passages(p.items, p.words, p.hashes[chosen], owner, p.place[chosen], np.bincount(owner, minlength=len(p.items)))
+    return Passages(p.items, p.words, p.hashes[chosen], owner, p.place[chosen], np.bincount(owner, minlength=len(p.items)), p.short)
 
 
 def align(items: list[np.ndarray], texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -106,18 +109,23 @@ def align(items: list[np.ndarray], texts: list[np.ndarray]) -> tuple[np.ndarray,
 
 def leaks_of(h: np.ndarray, p: Passages, n: int, least: float, min_hits: int) -> list[tuple]:
     """(item, score, hits, first word, last word) of the items that a text of word hashes h holds."""
+    found: dict = {}
+    for length, items in p.short.items():
+        if len(h) >= length:
+            grams = ngrams(h, length)
+            for k in np.flatnonzero(np.isin(grams, np.fromiter(items, np.uint64, len(items)))).tolist():
+                for i in items[int(grams[k])]:
+                    found.setdefault(i, (1.0, 1, k, k + length - 1))
     grams = ngrams(h, n) if len(h) >= n else h[:0]
     at = p.find(grams)
-    if not len(at):
-        return []
-    found: dict = {}
-    low, high = np.searchsorted(p.hashes, grams[at], "left"), np.searchsorted(p.hashes, grams[at], "right")
-    parts = int((high - low).sum()) // HITS + 1
-    bounds = np.linspace(0, len(p.items), parts + 1).astype(int)
-    for first, last in zip(bounds[:-1], bounds[1:]):
-        if parts > 1:  # the seeds of a hash are in the order of their passages
-            low, high = (p.first_of(grams[at], k) for k in (first, last))
-        _align_hits(h, p, at, low, high, least, min_hits, found)
+    if len(at):
+        low, high = np.searchsorted(p.hashes, grams[at], "left"), np.searchsorted(p.hashes, grams[at], "right")
+        parts = int((high - low).sum()) // HITS + 1
+        bounds = np.linspace(0, len(p.items), parts + 1).astype(int)
+        for first, last in zip(bounds[:-1], bounds[1:]):
+            if parts > 1:  # the seeds of a hash are in the order of their passages
+                low, high = (p.first_of(grams[at], k) for k in (first, last))
+            _align_hits(h, p, at, low, high, least, min_hits, found)
     return sorted(((i, *v) for i, v in found.items()), key=lambda r: (r[0] is None, r[0]))
 
 
@@ -150,7 +158,8 @@ def _align_hits(h: np.ndarray, p: Passages, at: np.ndarray, low: np.ndarray, hig
         score, end = align([p.words[j[0]] for j in part], [j[3] for j in part])
         for (k, hits, first, _), value, stop in zip(part, score.tolist(), end.tolist()):
             share = value / (MATCH * len(p.words[k]))
-            if share >= least and share > found.get(p.items[k], (0,))[0]:
+            was = found.get(p.items[k], (0, 0, 0))
+            if share >= least and (share, -first) > (was[0], -was[2]):
                 found[p.items[k]] = (share, hits, first, first + stop)
 
 
@@ -170,31 +179,17 @@ def _runs(shift: np.ndarray, seed: np.ndarray, slack: int, need: int):
             a += 1
 
 
-LEAKS = "array<struct<item_id: long, score: double, hits: long, first_word: long, last_word: long>>"
-
-
-def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int = 3, least: float = 0.5, min_hits: int = 2, min_words: int = 8) -> DataFrame:
-    """docs with ``leaks``: the benchmark items (item_id, text) whose wording a document holds, whole or edited.
+def _item_blocks(docs: DataFrame, benchmark: DataFrame, text: str, n: int, min_words: int):
+    """Yields broadcast Passages of blocks of items, with those seeds that documents hold.
 
-    Words are runs of letters and digits, in small letters. An item's seeds are its n-grams, as far as
-    documents hold them; a document with min_hits seeds of a passage near one diagonal is aligned with it, and the score
-    is the alignment's share of the perfect one. An item with fewer seeds needs all of them; a copy whose edits leave
-    fewer than min_hits n-grams whole is not found. Items of under min_words words
-    and null texts leak nowhere; items longer than PASSAGE words leak if one of their passages does. Items are taken in
-    blocks of bounded bytes, so the benchmark may grow; documents are never shuffled. A column named leaks is replaced."""
+    A block has about BLOCK_BYTES of text, so what is collected and broadcast is bounded, whatever the benchmark's size."""
     spark = docs.sparkSession
-    out = docs.drop("leaks").withColumn("leaks", F.from_json(F.lit("[]"), LEAKS))
-    if not benchmark.limit(1).count():
-        return out
     size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = size // BLOCK_BYTES + 1
-    at = out.columns.index(text)
-    schema = out.schema
-    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("hits", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64())]))
     for block in range(blocks):
-        rows = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).select("item_id", "text").where("text is not null").collect()
-        passages = cut_items([r[0] for r in rows], [r[1] for r in rows], n, min_words)
-        if not passages.items:
+        rows = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).select("item_id", "text").where("text is not null").toArrow()
+        passages = cut_items(rows["item_id"].to_pylist(), rows["text"].to_pylist(), n, min_words)
+        if not passages.items and not passages.short:
             continue
 
         def held(batches, passages=passages):
@@ -205,13 +200,33 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int
                     have[np.searchsorted(passages.hashes, grams[passages.find(grams)])] = True
             yield pa.RecordBatch.from_arrays([pa.array(passages.hashes[have].view(np.int64))], ["gram"])
 
-        seen = docs.select(text).mapInArrow(held, "gram long").distinct().collect()
-        kept = keep_held(passages, np.asarray([r["gram"] for r in seen], np.int64).view(np.uint64))
-        shared = spark.sparkContext.broadcast(kept)  # bounded by BLOCK_BYTES
+        seen = docs.select(text).mapInArrow(held, "gram long").distinct().toArrow()["gram"].to_numpy()
+        yield spark.sparkContext.broadcast(keep_held(passages, seen.view(np.uint64)))
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int = 3, least: float = 0.5, min_hits: int = 2, min_words: int = 8) -> DataFrame:
+    """docs with ``leaks``: the benchmark items (item_id, text) whose wording a document holds, whole or edited.
+
+    Words are runs of letters and digits, in small letters. An item's seeds are its n-grams, as far as
+    documents hold them; a document with min_hits seeds of a passage near one diagonal is aligned with it, and the score
+    is the alignment's share of the perfect one, of equal ones the first in the text. An item with fewer seeds needs all
+    of them; a copy whose edits leave fewer than min_hits n-grams whole is not found. An item of under min_words words
+    leaks where its words stand whole, in order, with a score of 1; items and texts without words, and nulls, leak
+    nowhere; items longer than PASSAGE words leak if one of their passages does. Ids of items have any type; repeated
+    items count once an id. Empty tables give no leaks. Items are taken in blocks of bounded bytes, so the benchmark may
+    grow; documents are never shuffled. A column named leaks is replaced."""
+    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
+
+    item = StructType([StructField("item_id", benchmark.schema["item_id"].dataType), StructField("score", DoubleType()), *(StructField(c, LongType()) for c in ("hits", "first_word", "last_word"))])
+    out = docs.drop("leaks").withColumn("leaks", F.array().cast(ArrayType(item)))
+    at, schema, kind = out.columns.index(text), out.schema, to_arrow_type(ArrayType(item))
+    for shared in _item_blocks(docs, benchmark, text, n, min_words):
 
         def search(batches, shared=shared):
             for batch in small(batches):
-                leaks = [[*x, *({"item_id": i, "score": s, "hits": k, "first_word": a, "last_word": b} for i, s, k, a, b in leaks_of(h, shared.value, n, least, min_hits))] for x, h in zip(batch.column(len(batch.columns) - 1).to_pylist(), hashed_texts(normal(batch.column(at).to_pylist()), PLAIN))]
+                texts = normal(batch.column(at).to_pylist())
+                leaks = [[*x, *({"item_id": i, "score": s, "hits": k, "first_word": a, "last_word": b} for i, s, k, a, b in leaks_of(h, shared.value, n, least, min_hits))] for x, h in zip(batch.column(len(batch.columns) - 1).to_pylist(), hashed_texts(texts, PLAIN))]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(leaks, kind)], schema.names)
 
         out = out.mapInArrow(search, schema)
@@ -219,13 +234,24 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int
 
 
 def op1_decontamination(spark, sf_dir: str) -> DataFrame:
-    """(doc_id, item_id, score, ...) of the benchmark items that documents hold."""
+    """(doc_id, item_id, score, hits, first_word, last_word) of the benchmark items that documents hold; nulls, ties and
+    repeated rows as in find_leaks."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
 
 
-def keep_uncontaminated(spark, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Pipeline stage: drops the documents that hold a benchmark item."""
-    row = docs.select(F.struct(*docs.columns).alias("row"), F.col("text"))
-    return find_leaks(row, benchmark).where("size(leaks) = 0").select("row.*")
+def keep_uncontaminated(spark, docs: DataFrame, benchmark: DataFrame, n: int = 3, least: float = 0.5, min_hits: int = 2, min_words: int = 8) -> DataFrame:
+    """Pipeline stage: drops the documents that hold a benchmark item, as find_leaks does; columns may have any names.
+
+    Rows are dropped inside the workers, which get each text once."""
+    at, out = docs.columns.index("text"), docs
+    for shared in _item_blocks(docs, benchmark, "text", n, min_words):
+
+        def clean(batches, shared=shared):
+            for batch in small(batches):
+                keep = [not leaks_of(h, shared.value, n, least, min_hits) for h in hashed_texts(normal(batch.column(at).to_pylist()), PLAIN)]
+                yield batch.filter(pa.array(keep, pa.bool_()))
+
+        out = out.mapInArrow(clean, docs.schema)
+    return out
