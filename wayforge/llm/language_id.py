@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -9,9 +11,12 @@ from pyspark.sql import functions as F
 
 from wayforge.llm.common import fold, small
 
-#: Whether a character of the basic plane is a letter: no digit, no mark.
-_LETTER = np.fromiter((chr(i).isalnum() and not chr(i).isdecimal() for i in range(1 << 16)), bool, 1 << 16)
+#: Whether a character of the basic plane is a letter: no digit or number of any kind, no mark.
+_LETTER = np.fromiter((chr(i).isalpha() for i in range(1 << 16)), bool, 1 << 16)
 BLANK = 32
+_BREAK = re.compile(r"\s")
+#: Characters of a text counted at once; longer texts are cut between words, which changes no count.
+PIECE = 1 << 20
 
 
 def letters(text: str) -> np.ndarray:
@@ -19,7 +24,7 @@ def letters(text: str) -> np.ndarray:
     a = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
     known = _LETTER[np.minimum(a, (1 << 16) - 1)]
     for i in np.flatnonzero(a >= 1 << 16):
-        known[i] = chr(a[i]).isalnum() and not chr(a[i]).isdecimal()
+        known[i] = chr(a[i]).isalpha()
     a = np.where(known, a, BLANK)
     a = a[known | np.r_[False, known[:-1]]] if len(a) else a
     return np.r_[BLANK, a, BLANK] if len(a) and a[-1] != BLANK else np.r_[BLANK, a]
@@ -29,6 +34,28 @@ def grams_of(text: str, max_n: int) -> tuple[np.ndarray, np.ndarray]:
     """Codes and counts of the n-grams (1 to max_n characters) of a text's words, each padded by one blank on either side.
 
     A code packs up to three characters in 63 bits, the first one highest."""
+    if len(text) > PIECE:
+        held = counted(np.zeros(0, np.int64))
+        for piece in pieces(text):
+            codes, n = grams_of(piece, max_n) if len(piece) <= PIECE else _grams(piece, max_n)
+            held = counted(np.r_[held[0], codes], np.r_[held[1], n])
+        return held
+    return _grams(text, max_n)
+
+
+def pieces(text: str):
+    """Parts of a text of about PIECE characters, cut at white space; a longer run without any stays whole."""
+    at = 0
+    while at < len(text):
+        end = _BREAK.search(text, min(at + PIECE - 1, len(text)))
+        end = end.end() if end else len(text)
+        cut = max((text.rfind(c, at, at + PIECE) for c in " \n\t\r"), default=-1)
+        end = cut + 1 if cut > at else end
+        yield text[at:end]
+        at = end
+
+
+def _grams(text: str, max_n: int) -> tuple[np.ndarray, np.ndarray]:
     a = letters(text)
     codes = [a[a != BLANK]]
     if max_n > 1:
@@ -101,7 +128,22 @@ def identify_language(docs: DataFrame, profiles: DataFrame, text: str = "text",
     The distance sums, over the text's ``size`` most frequent n-grams, how far each one's rank is from its rank in the
     language's profile; an n-gram that the profile lacks counts ``size``. The score is 1 - distance / (n-grams * size).
     Ties go to the first language by name. A text that is null or has no letter, and every text when no profile exists,
-    is ``und`` with score 0. The profiles are size * languages rows; over max_languages they are refused."""
+    is ``und`` with score 0. Repeated rows are predicted alike, an empty table gives none, and columns named lang_pred or
+    score are replaced. The profiles are size * languages rows; over max_languages they are refused."""
+    schema = docs.drop("lang_pred", "score")
+    columns, at_text, best = schema.columns, schema.columns.index(text), _predictor(profiles, size, max_n, max_languages)
+    out_schema = schema.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
+
+    def predict(batches):
+        for batch in small(batches):
+            langs, scores = best(batch.column(at_text).to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*columns, "lang_pred", "score"])
+
+    return schema.mapInArrow(predict, out_schema)
+
+
+def _predictor(profiles: DataFrame, size: int = 400, max_n: int = 3, max_languages: int = 2000):
+    """A function from texts to their languages and scores; see identify_language."""
     rows = profiles.groupBy("lang").agg(F.collect_list(F.struct("rank", "gram")).alias("grams")).orderBy("lang").limit(max_languages + 1).collect()
     if len(rows) > max_languages:
         raise ValueError(f"over {max_languages} languages")
@@ -113,30 +155,26 @@ def identify_language(docs: DataFrame, profiles: DataFrame, text: str = "text",
         at = np.searchsorted(known, np.asarray([g["gram"] for g in r["grams"]], np.int64))
         ranks[i, at] = [g["rank"] for g in r["grams"]]
         missing[i, at] = False
-    schema = docs.drop("lang_pred", "score")
-    columns, at_text = schema.columns, schema.columns.index(text)
-    out_schema = schema.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-
-    def predict(batches):
-        for batch in small(batches):
-            langs, scores = [], []
-            for t in batch.column(at_text).to_pylist():
-                codes, n = grams_of(t, max_n) if t and names else (known[:0], known[:0])
-                if not len(codes):
-                    langs.append("und")
-                    scores.append(0.0)
-                    continue
-                best = top(codes, n, size)
-                at = np.searchsorted(known, best)
-                at[at == len(known)] = 0
-                at = np.where(known[at] == best, at, len(known))
-                far = np.where(missing[:, at], size, np.abs(ranks[:, at] - np.arange(len(best), dtype=np.int32))).sum(axis=1)
-                k = int(far.argmin())
-                langs.append(names[k])
-                scores.append(1.0 - float(far[k]) / (size * len(best)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*columns, "lang_pred", "score"])
 
-    return schema.mapInArrow(predict, out_schema)
+    def best_of(texts: list) -> tuple[list[str], list[float]]:
+        langs, scores = [], []
+        for t in texts:
+            codes, n = grams_of(t, max_n) if t and names else (known[:0], known[:0])
+            if not len(codes):
+                langs.append("und")
+                scores.append(0.0)
+                continue
+            best = top(codes, n, size)
+            at = np.searchsorted(known, best)
+            at[at == len(known)] = 0
+            at = np.where(known[at] == best, at, len(known))
+            far = np.where(missing[:, at], size, np.abs(ranks[:, at] - np.arange(len(best), dtype=np.int32))).sum(axis=1)
+            k = int(far.argmin())
+            langs.append(names[k])
+            scores.append(1.0 - float(far[k]) / (size * len(best)))
+        return langs, scores
+
+    return best_of
 
 
 def op6_language_id(spark, sf_dir: str) -> DataFrame:
@@ -151,8 +189,12 @@ def keep_identified(spark, docs: DataFrame, min_score: float = 0.02) -> DataFram
     """Pipeline stage: learns profiles from the folds that op6 learns from and drops documents without a language.
 
     Dropped are texts that are null or without letters, and texts whose best score is under min_score, which no text
-    written with a learned language's letters comes near."""
-    taught = docs.where(fold("doc_id", 4) != 2)
-    columns = docs.columns
-    found = identify_language(docs, language_profiles(taught))
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= min_score)).select(columns)
+    written with a learned language's letters comes near. Rows are dropped inside the workers; columns may have any names."""
+    best, at = _predictor(language_profiles(docs.where(fold("doc_id", 4) != 2))), docs.columns.index("text")
+
+    def identified(batches):
+        for batch in small(batches):
+            langs, scores = best(batch.column(at).to_pylist())
+            yield batch.filter(pa.array([k != "und" and x >= min_score for k, x in zip(langs, scores)], pa.bool_()))
+
+    return docs.mapInArrow(identified, docs.schema)
