@@ -1,8 +1,9 @@
+import random
 import re
 
 import pytest
 
-from wayforge.llm.license_scan import BASE_PHRASES, compile_template, op4_license_scan, scan_licenses, scan_text
+from wayforge.llm.license_scan import BASE_PHRASES, TEMPLATES, WORDS, compile_template, op4_license_scan, scan_licenses, scan_text
 
 SCAN = [compile_template("t", "<<optional>>this <<any 1 3>> is<<end>> licensed under the gnu license version <<match 2|3>>")]
 
@@ -63,3 +64,61 @@ def test_query_on_the_table(spark, sf_dir):
     for r in got:
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute(texts[r.doc_id])
         assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
+
+
+def pattern(markup):
+    """The template as an expression over words that are each followed by a blank."""
+    out = []
+    for part in re.split(r"(<<[^>]*>>)", markup):
+        if part == "<<optional>>":
+            out.append("(?:")
+        elif part == "<<end>>":
+            out.append(")?")
+        elif part.startswith("<<any "):
+            low, high = part[6:-2].split()
+            out.append(r"(?:\S+ ){%s,%s}" % (low, high))
+        elif part.startswith("<<match "):
+            out.append("(?:" + part[8:-2] + ") ")
+        else:
+            out += [re.escape(w) + " " for w in part.encode().translate(WORDS).decode().split()]
+    return re.compile("".join(out))
+
+
+def example(markup, rng):
+    """A text that the template accepts, with or without its optional parts."""
+    out, skip = [], 0
+    for part in re.split(r"(<<[^>]*>>)", markup):
+        if part == "<<optional>>":
+            skip += 1 if skip or rng.random() < 0.5 else 0
+            out.append("")
+        elif part == "<<end>>":
+            skip = max(0, skip - 1)
+        elif skip:
+            continue
+        elif part.startswith("<<any "):
+            out.append(" ".join(["name"] * int(part[6:-2].split()[0])))
+        elif part.startswith("<<match "):
+            out.append(part[8:-2].split("|")[0])
+        else:
+            out.append(part)
+    return " ".join(out)
+
+
+def test_labels_equal_regular_expressions():
+    """Texts of all templates, whole or with one word lost, doubled or changed, against expressions of the same markup."""
+    rng = random.Random(3)
+    automata, patterns = [compile_template(k, v) for k, v in TEMPLATES.items()], {k: pattern(v) for k, v in TEMPLATES.items()}
+    accepted = 0
+    for label, markup in TEMPLATES.items():
+        for kind in range(6):
+            words = example(markup, rng).split()
+            if kind >= 3:
+                k = rng.randrange(len(words))
+                words[k : k + 1] = ([], [words[k]] * 2, ["other"])[kind - 3]
+            text = "Some prose " + " ".join(words) + ", and more."
+            flat = " ".join(text.encode().translate(WORDS).decode().split()) + " "
+            want = {k for k, p in patterns.items() if re.search(r"(?:^| )" + p.pattern, flat)} | set(filter(None, brute(text)[4].split(",")))
+            got = scan_text(text.encode(), automata)
+            assert set(filter(None, got[5].split(","))) == want and 0 <= got[6] <= 1
+            accepted += label in want
+    assert accepted >= 3 * len(TEMPLATES)

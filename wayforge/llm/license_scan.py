@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from wayforge.llm.common import LOWER, as_bytes
+from wayforge.llm.common import LOWER, as_bytes, small
+from wayforge.llm.license_texts import TEXTS
 
 #: A-Z to a-z; ASCII that is neither letter nor digit to a blank; bytes over 127 stay.
 WORDS = bytes(LOWER[b] if chr(b).isalnum() or b > 127 else 32 for b in range(256))
@@ -21,7 +22,7 @@ BASE_PHRASES = {
     b"cc by nc": "cc-by-nc",
 }
 
-#: Templates by label. <<optional>> ... <<end>> may be missing; <<any MIN MAX>> stands for so many words of any kind;
+#: Notices by label, to which the license texts are added. <<optional>> ... <<end>> may be missing; <<any MIN MAX>> stands for so many words of any kind;
 #: <<match REGEX>> for one word that the expression matches in full. All other words are mandatory.
 TEMPLATES = {
     "mit-notice": "<<optional>>this <<any 1 3>> is<<end>> <<match released|licensed|distributed|available>> under the <<optional>>terms of the<<end>> mit license",
@@ -32,7 +33,7 @@ TEMPLATES = {
     "cc-by-notice": "<<match licensed|released|shared>> under <<optional>>a creative commons<<end>> cc by <<match 1|2|3|4>> <<match 0|5>> <<optional>>international<<end>>",
     "bsd-notice": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files <<optional>>the software<<end>> to deal in the software without restriction",
-}
+} | TEXTS
 
 
 @dataclass
@@ -80,7 +81,8 @@ class Automaton:
 def compile_template(label: str, markup: str) -> Automaton:
     """The automaton of a template; its anchor is its longest run of mandatory plain words."""
     a, at, opened, runs, run = Automaton(label), 0, [], [], []
-    for token in re.findall(r"<<[^>]*>>|[^\s<]+", markup):
+    tokens = [x for part in re.split(r"(<<[^>]*>>)", markup) for x in ([part] if part.startswith("<<") else part.encode().translate(WORDS).decode().split())]
+    for token in tokens:
         plain = not token.startswith("<<")
         if plain and not opened:
             run.append(token.encode())
@@ -161,8 +163,9 @@ def scan_text(data: bytes, automata: list[Automaton], phrases: dict[bytes, str]
 def scan_licenses(docs: DataFrame, text: str = "text", templates: dict[str, str] = TEMPLATES) -> DataFrame:
     """docs with n_words, n_base, first_word, last_word, base_labels, labels, score and spans; see scan_text.
 
-    A null text counts as empty: no words, no labels, score 0. One pass without a shuffle. Columns of these names are
-    replaced."""
+    A null text counts as empty: no words, no labels, score 0. Repeated rows are scanned alike, an empty table gives none.
+    Of templates that accept a text with equal shares the score is the same; all their labels are listed. One pass without
+    a shuffle. Columns of these names are replaced."""
     added = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans array<struct<label: string, first: long, end: long>>"
     names = [x.split()[0] for x in re.sub(r"<.*>", "", added).split(", ")]
     kept = docs.select([c for c in docs.columns if c not in names])
@@ -173,7 +176,7 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates: dict[str, str]
 
     def scan(batches):
         automata = [compile_template(k, v) for k, v in templates.items()]
-        for batch in batches:
+        for batch in small(batches, 200):
             found = [scan_text(t, automata) for t in as_bytes(batch.column(at))]
             cols = list(zip(*found)) if found else [[]] * len(names)
             cols[-1] = [[{"label": x, "first": y, "end": z} for x, y, z in s] for s in cols[-1]]
