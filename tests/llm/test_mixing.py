@@ -71,3 +71,60 @@ def test_nulls_repeats_and_empty(spark):
     clash = docs.withColumns({"weight": mixing.F.lit("w"), "topic": mixing.F.lit(1), "sampled": mixing.F.lit(2)})
     kept = keep_mixture(spark, clash)
     assert kept.columns == clash.columns and kept.where("topic = 1").count() == kept.count()
+
+
+def test_query_equals_independent_raking(spark, sf_dir):
+    """Cells, targets, raking and probabilities once more with dictionaries."""
+    import re
+
+    def kind(t):
+        t = t or ""
+        return "licensed" if re.search("(?i)licen[cs]e", t) else "tabular" if " | " in t else "long" if len(t) > 10_000 else "prose"
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    cell, tokens = {}, {}
+    for r in docs:
+        cell[r.doc_id] = (r.source, r.lang, kind(r.text))
+        tokens[r.doc_id] = len(re.findall(r"[^ \t\n\x0b\f\r]+", r.text or ""))
+    sums = {}
+    for i, c in cell.items():
+        sums[c] = sums.get(c, 0) + tokens[i]
+    total = sum(sums.values())
+    aims = []
+    for d, power in enumerate((0.7, 0.8, 0.9)):
+        have = {}
+        for c, n in sums.items():
+            have[c[d]] = have.get(c[d], 0) + n
+        raised = {k: (v / total) ** power for k, v in have.items() if v}
+        aims.append({k: v / sum(raised.values()) for k, v in raised.items()})
+    weight = {c: 1.0 for c in sums}
+    for _ in range(200):
+        for d, aim in enumerate(aims):
+            have = {}
+            for c, n in sums.items():
+                have[c[d]] = have.get(c[d], 0) + n * weight[c]
+            weight = {c: w * (aim.get(c[d], 0) * total / have[c[d]] if have[c[d]] else 0) for c, w in weight.items()}
+    top = max(w for c, w in weight.items() if sums[c])
+    for r in op3_mixing(spark, sf_dir).collect():
+        c = cell[r.doc_id]
+        assert (r.source, r.lang, r.topic) == c and r.tokens == tokens[r.doc_id]
+        assert abs(r.weight - weight[c]) < 1e-3 * max(weight[c], 1e-9)
+        assert abs(r.probability - (weight[c] / top if sums[c] else 1.0)) < 2e-3
+
+
+def test_null_is_no_text_and_columns_may_have_any_name(spark):
+    docs = spark.createDataFrame([(i, (None, "<null>", "=", "")[i % 4], 10, "kept") for i in range(40)], "doc_id long, source string, tokens long, _source string")
+    out = mix_to_targets(docs, {"source": 0.5})
+    assert out.columns == [*docs.columns, "weight", "probability", "sampled"] and {r._source for r in out.collect()} == {"kept"}
+    skewed = docs.where("source is null").union(docs.where("source = '<null>'").withColumn("tokens", mixing.F.lit(1000).cast("long"))).union(docs.where("source = ''"))
+    weights = {r.source: r.weight for r in mix_to_targets(skewed, {"source": 0.5}).collect()}
+    assert len(weights) == 3 and weights[None] > weights["<null>"]
+
+
+def test_unsettled_weights_are_told(spark):
+    from pytest import warns
+
+    one = spark.createDataFrame([("a", "x", 1.0, 1), ("b", "y", 1.0, 1)], "source string, lang string, tokens double, docs long")
+    off = {"source": spark.createDataFrame([("a", 0.9), ("b", 0.1)], "source string, share double"), "lang": spark.createDataFrame([("x", 0.1), ("y", 0.9)], "lang string, share double")}
+    with warns(UserWarning, match="marginals are off"):
+        rake(one, off, rounds=5)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import warnings
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,11 @@ from wayforge.llm.common import Staging
 
 #: Cells raked on the driver; a larger table of cells is raked by Spark.
 MAX_CELLS = 200_000
-NONE = "<null>"
+
+
+def cell_key(c: Column) -> Column:
+    """A value of a dimension as text, in which null is a value that no text is."""
+    return F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))
 
 
 def token_count(text: str = "text") -> Column:
@@ -39,7 +44,9 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = 60, tole
 
     cells: one row per combination with ``tokens``; targets: per dimension a table (dimension, share). A value without
     a target, or whose target is not positive, gets weight 0; a target whose value has no tokens is left out and the
-    rest is scaled to 1. A table of over max_cells combinations is raked by grouping and joining in Spark."""
+    rest is scaled to 1. Targets that no weights meet (a value whose only combinations have weight 0) do not settle; after
+    ``rounds`` rounds the last weights are returned with a warning. A table of over max_cells combinations is raked by
+    grouping and joining in Spark, which gives the same weights. An empty table gives no rows."""
     spark, dims = cells.sparkSession, list(targets)
     if cells.limit(max_cells + 1).count() > max_cells:
         return _rake_joined(cells, targets, rounds, tolerance)
@@ -53,6 +60,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = 60, tole
         index = frame[dim].map({v: i for i, v in enumerate(values)}).to_numpy(float) if len(frame) else np.zeros(0)
         weight[np.isnan(index)] = 0
         fits.append((np.nan_to_num(index).astype(int), np.asarray([max(share[v], 0) for v in values] or [0.0])))
+    worst = 0.0
     for _ in range(rounds):
         worst = 0.0
         for index, share in fits:
@@ -64,14 +72,20 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = 60, tole
             weight = weight * factor[index]
         if worst < tolerance:
             break
+    _settled(worst, tolerance, rounds)
     frame["weight"] = weight
     return spark.createDataFrame([tuple(r) for r in frame.itertuples(index=False)], cells.select("*", F.lit(0.0).alias("weight")).schema)
 
 
+def _settled(worst: float, tolerance: float, rounds: int) -> None:
+    if worst >= tolerance:
+        warnings.warn(f"the marginals are off by {worst:.2g} of all tokens after {rounds} rounds", stacklevel=3)
+
+
 def _rake_joined(cells: DataFrame, targets: dict[str, DataFrame], rounds: int, tolerance: float) -> DataFrame:
     staging = Staging(cells.sparkSession, "rake")
     now = staging.keep(cells.withColumn("weight", F.lit(1.0)), "cells")
-    total = now.agg(F.sum("tokens")).first()[0] or 0.0
+    total, worst = now.agg(F.sum("tokens")).first()[0] or 0.0, 0.0
     for _ in range(rounds):
         worst = 0.0
         for dim, target in targets.items():
@@ -86,6 +100,7 @@ def _rake_joined(cells: DataFrame, targets: dict[str, DataFrame], rounds: int, t
             now = then
         if worst < tolerance:
             break
+    _settled(worst, tolerance, rounds)
     return now
 
 
@@ -111,28 +126,33 @@ def scale_for(cells: DataFrame, budget: float | None) -> float:
 def mix_to_targets(docs: DataFrame, powers: dict[str, float], targets: dict[str, DataFrame] | None = None, budget: float | None = None, seed: int = 17) -> DataFrame:
     """docs (with ``tokens`` and the dimensions in powers) plus ``weight``, ``probability`` and ``sampled``.
 
-    A null value of a dimension is a value of its own. A document is sampled if a hash of its id, in [0, 1), is under its
-    cell's probability, so a rerun samples the same ones; a null id is hashed with the row. Cells without tokens get
-    probability 1 where no weight forbids them, as they change no marginal."""
+    A null value of a dimension is a value of its own, different from any text. A document is sampled if a hash of its id,
+    in [0, 1), is under its cell's probability, so a rerun samples the same ones, and rows that repeat an id together; a
+    null id is hashed with the row. Cells without tokens get probability 1 where no weight forbids them, as they change
+    no marginal. An empty table gives no rows. Columns named weight, probability or sampled are replaced; others may have
+    any names."""
     dims = list(powers)
-    keyed = docs.drop("weight", "probability", "sampled").withColumns({f"_{d}": F.coalesce(F.col(d).cast("string"), F.lit(NONE)) for d in dims})
-    names = [f"_{d}" for d in dims]
+    kept = [c for c in docs.columns if c not in ("weight", "probability", "sampled")]
+    names = [f"_d{i}" for i in range(len(dims))]
+    row_hash = F.xxhash64(F.lit(seed), *[F.col(x) for x in kept])
+    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.lit(seed), F.col("doc_id"))).otherwise(row_hash)
+    keyed = docs.select(F.struct(*kept).alias("_row"), F.col("tokens"), key.alias("_key"), *(cell_key(F.col(d)).alias(n) for d, n in zip(dims, names)))
     staging = Staging(docs.sparkSession, "mixing")
     cells = staging.keep(cells_of(keyed, names), "cells")
-    aims = {f"_{d}": t.select(F.coalesce(F.col(d).cast("string"), F.lit(NONE)).alias(f"_{d}"), "share") for d, t in targets.items()} if targets else smoothed_targets(cells, {f"_{d}": p for d, p in powers.items()})
-    raked = rake(cells, aims)
-    if cells.limit(MAX_CELLS + 1).count() > MAX_CELLS:
-        c, side = scale_for(raked, budget), raked
+    if targets:
+        aims = {n: targets[d].select(cell_key(F.col(d)).alias(n), "share") for d, n in zip(dims, names)}
     else:
-        raked = raked.cache()
-        c, side = scale_for(raked, budget), F.broadcast(raked)  # at most MAX_CELLS rows
+        aims = smoothed_targets(cells, {n: powers[d] for d, n in zip(dims, names)})
+    raked = staging.keep(rake(cells, aims), "raked")
+    c = scale_for(raked, budget)
+    side = raked.select(*(F.col(n).alias(f"{n}r") for n in names), "weight", F.col("tokens").alias("_cell_tokens"))
+    if raked.limit(MAX_CELLS + 1).count() <= MAX_CELLS:
+        side = F.broadcast(side)  # at most MAX_CELLS rows
     probability = F.when(F.col("_cell_tokens") > 0, F.least(F.lit(1.0), F.col("weight") * c)).otherwise(F.lit(1.0))
-    side = side.select(*names, "weight", F.col("tokens").alias("_cell_tokens"))
-    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.lit(seed), F.col("doc_id"))).otherwise(F.xxhash64(F.lit(seed), *[F.col(x) for x in docs.columns]))
-    uniform = F.pmod(key, F.lit(1 << 53)) / F.lit(float(1 << 53))
-    same = functools.reduce(lambda a, b: a & b, [keyed[x] == side[x] for x in names])
-    joined = keyed.join(side, same)
-    return joined.withColumn("probability", probability).withColumn("sampled", uniform < F.col("probability")).drop(*names, "_cell_tokens")
+    uniform = F.pmod(F.col("_key"), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    same = functools.reduce(lambda a, b: a & b, [keyed[n] == F.col(f"{n}r") for n in names])
+    out = keyed.join(side, same).select("_row", "weight", probability.alias("probability"), uniform.alias("_u"))
+    return out.select("_row.*", "weight", "probability", (F.col("_u") < F.col("probability")).alias("sampled"))
 
 
 def topic(text: str = "text") -> Column:
@@ -148,11 +168,11 @@ POWERS = {"source": 0.7, "lang": 0.8, "topic": 0.9}
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
     """Weights, sampling probabilities and the sample of all documents for smoothed marginals."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "lang", topic().alias("topic"), token_count().alias("tokens"))
-    return mix_to_targets(docs, POWERS)
+    return mix_to_targets(Staging(spark, "op3").keep(docs, "tokens"), POWERS)  # texts are read once
 
 
 def keep_mixture(spark, docs: DataFrame) -> DataFrame:
-    """Pipeline stage: the documents sampled to the targets."""
+    """Pipeline stage: the documents sampled to the targets, with their own columns, whatever their names."""
     row = F.struct(*docs.columns).alias("row")
     named = docs.select(row, "doc_id", "source", "lang", topic().alias("topic"), token_count().alias("tokens"))
     return mix_to_targets(named, POWERS).where("sampled").select("row.*")

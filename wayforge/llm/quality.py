@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayforge.llm.common import as_bytes, batches, fold, word_hashes
+from wayforge.llm.common import as_bytes, batches, fold, small, word_hashes
 
 FEATURES = [
     "log_bytes", "log_words", "mean_word", "upper", "digit", "mark", "symbol", "space", "newline", "high",
@@ -166,7 +166,7 @@ def document_features(docs: DataFrame, text: str = "text") -> DataFrame:
     at, others = kept.columns.index(text), [c for c in kept.columns if c != text]
 
     def run(batches_):
-        for batch in batches_:
+        for batch in small(batches_):
             x = features_of(as_bytes(batch.column(at)))
             array = pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), x.ravel())
             yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(batch.columns) if i != at), array], [*others, "features"])
@@ -177,21 +177,26 @@ def document_features(docs: DataFrame, text: str = "text") -> DataFrame:
 def fit_quality(docs: DataFrame, labels: DataFrame, text: str = "text", max_labelled: int = 20_000, **params) -> Trees:
     """Trees fitted on at most max_labelled labelled documents, taken by a hash of their ids.
 
-    Null ids and labels teach nothing; of repeated ids each row counts."""
+    Null ids and labels teach nothing. Labels that repeat an id count each; of documents that repeat one, the text with
+    the smallest hash counts. An empty table gives trees that score every text alike."""
     chosen = labels.where("doc_id is not null and quality in (0, 1)").select("doc_id", F.col("quality").cast("double").alias("_y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    taught = docs.select("doc_id", text).join(F.broadcast(chosen), "doc_id")  # two numbers for each of max_labelled rows
-    rows = document_features(taught, text).select("_y", "features").limit(4 * max_labelled).toPandas()
+    own = docs.select("doc_id", text).join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")  # max_labelled ids at most
+    own = own.groupBy("doc_id").agg(F.min_by(text, F.xxhash64(text)).alias(text))
+    taught = own.join(F.broadcast(chosen), "doc_id")  # two numbers for each of max_labelled rows
+    rows = document_features(taught, text).select("_y", "features").toPandas()  # max_labelled rows at most
     x = np.asarray(rows["features"].tolist(), float).reshape(-1, len(FEATURES))
     return fit_trees(x, rows["_y"].to_numpy(float), **params)
 
 
 def score_quality(docs: DataFrame, trees: Trees, text: str = "text") -> DataFrame:
-    """docs with ``score``, the probability of label 1; empty and null texts are scored as texts without any word."""
+    """docs with ``score``, the probability of label 1; empty and null texts are scored as texts without any word.
+
+    Repeated rows score alike; an empty table gives no rows; a column named score is replaced."""
     kept = docs.drop("score")
     at, columns = kept.columns.index(text), kept.columns
 
     def run(batches_):
-        for batch in batches_:
+        for batch in small(batches_):
             x = features_of(as_bytes(batch.column(at)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(trees.score(x))], [*columns, "score"])
 
