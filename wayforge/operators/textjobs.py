@@ -61,7 +61,8 @@ def shared_runs(outputs: DataFrame, sources: DataFrame, width: int = 20) -> Data
         return rows.select(name, "w", at.alias("grams"))
 
     a, b = runs(outputs, "out_id"), runs(sources, "src_id")
-    flat = lambda df, name: df.select(name, F.explode("grams").alias("g")).select(name, "g.h", "g.at")
+    # an outer explode: from a plain one a filter would be inferred that makes the words anew for each run
+    flat = lambda df, name: df.select(name, F.explode_outer("grams").alias("g")).where("g is not null").select(name, "g.h", "g.at")
     wanted = flat(a, "out_id")
     hits = wanted.join(flat(b, "src_id").withColumnRenamed("at", "src_at"), "h")
     run = lambda at: F.array_join(F.slice("w", F.col(at), width), " ")
