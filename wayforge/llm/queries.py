@@ -9,6 +9,7 @@ from wayforge.llm.lm_scoring import op5_lm_scores
 from wayforge.llm.local_descriptors import op9_local_descriptors
 from wayforge.llm.mixing import op3_mixing
 from wayforge.llm.ngram_join import op10_ngram_jaccard
+from wayforge.llm.periodic_runs import op13_periodic_runs
 from wayforge.llm.quality import op8_quality
 from wayforge.llm.resharding import op2_resharding
 from wayforge.llm.warc import op7_warc
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_local_descriptors": op9_local_descriptors,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
