@@ -12,6 +12,7 @@ from wayforge.llm.ngram_join import op10_ngram_jaccard
 from wayforge.llm.periodic_runs import op13_periodic_runs
 from wayforge.llm.quality import op8_quality
 from wayforge.llm.resharding import op2_resharding
+from wayforge.llm.simhash import op12_simhash
 from wayforge.llm.warc import op7_warc
 
 QUERIES = {
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_local_descriptors": op9_local_descriptors,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op12_simhash": op12_simhash,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
