@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from wayforge.llm.collocations import OP11_SQL, op11_collocations
 from wayforge.llm.decontamination import op1_decontamination
 from wayforge.llm.language_id import op6_language_id
 from wayforge.llm.license_scan import op4_license_scan
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_local_descriptors": op9_local_descriptors,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_collocations": op11_collocations,
     "op12_simhash": op12_simhash,
     "op13_periodic_runs": op13_periodic_runs,
 }
@@ -42,4 +44,5 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
         FROM seen
     """,
+    "op11_collocations": OP11_SQL,
 }
