@@ -61,6 +61,20 @@ def test_run_returns_the_last_stage(spark, sf_dir):
     assert {"doc_id", "shard", "slot"} <= set(out.columns) and out.count() > 0
 
 
+def test_bad_bytes_maps_and_variants(spark, sf_dir):
+    """Texts that are not UTF-8, and columns of types that have no hash, in every stage."""
+    base = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(20)
+    bad = "concat(cast(X'ff41fe' as string), ' the house of the king and the garden in the north ', cast(X'c328' as string))"
+    docs = base.unionByName(spark.range(6).selectExpr("id as doc_id", f"{bad} as text", "'en' as lang", "cast(null as string) as source", "3L as n_chars"))
+    docs = docs.selectExpr("*", "map('a', doc_id) as tags", "parse_json('{\"a\": 1}') as v", "array(named_struct('m', map(1, 2))) as deep")
+    docs = docs.union(docs.where("doc_id < 3").selectExpr("cast(null as bigint) as doc_id", *(f"`{c}`" for c in docs.columns[1:])))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf_dir)
+        rows = out.selectExpr(*(c for c in ("doc_id", "shard", "slot", "text_crc32") if c in out.columns)).collect()
+        assert len(rows) > (20 if name == "language" else 0)
+        assert out.columns == docs.columns or name == "shards"
+
+
 def test_odd_tables(spark, sf_dir):
     """Empty tables, repeated ids with other texts, rows without an id, and columns with names that the stages use."""
     base = spark.read.parquet(f"{sf_dir}/documents.parquet")

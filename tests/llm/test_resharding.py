@@ -87,3 +87,22 @@ def test_columns_may_have_any_name(spark):
     rows = out.collect()
     check(rows, 5)
     assert out.columns == [*docs.columns, "shard", "slot"] and all(r._size == r._rn == r.doc_id for r in rows) and len(rows) == 200
+
+
+def test_known_flow_is_as_cheap_as_the_solved_one():
+    import random
+
+    from wayforge.llm.resharding import min_cost_transfers
+
+    rng = random.Random(4)
+    for _ in range(60):
+        sizes = {k: rng.randrange(30) for k in rng.sample(range(9), rng.randrange(1, 7))}
+        capacities = {k: rng.randrange(30) for k in rng.sample(range(9), 6)}
+        capacities[10] = max(0, sum(sizes.values()) - sum(capacities.values()))
+        known, solved = min_cost_transfers(sizes, capacities), min_cost_transfers(sizes, capacities, lambda a, b: int(a != b))
+        for flow in (known, solved):
+            for a, n in sizes.items():
+                assert sum(m for x, _, m in flow if x == a) == n
+            for b, n in capacities.items():
+                assert sum(m for _, y, m in flow if y == b) <= n
+        assert sum(m for a, b, m in known if a != b) == sum(m for a, b, m in solved if a != b)

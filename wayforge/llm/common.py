@@ -8,6 +8,7 @@ import uuid
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from wayforge.session import shared_folder
 
@@ -59,6 +60,22 @@ def fold(doc_id: Column | str, n: int) -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % n, F.lit(0))
 
 
+def columns_of(df: DataFrame, *without: str) -> list[Column]:
+    """The columns of df but those named, whatever their names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c not in without]
+
+
+def row_hash(df: DataFrame, *seed: Column) -> Column:
+    """A hash of the whole row; maps and variants, which have none, are hashed as JSON."""
+
+    def plain(t: DataType) -> bool:
+        if isinstance(t, ArrayType):
+            return plain(t.elementType)
+        return all(plain(f.dataType) for f in t.fields) if isinstance(t, StructType) else not isinstance(t, MapType | VariantType)
+
+    return F.xxhash64(*seed, *(c if plain(f.dataType) else F.to_json(F.struct(c)) for c, f in zip(columns_of(df), df.schema.fields)))
+
+
 # -- word hashes ---------------------------------------------------------------------------------------------------
 
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -175,6 +192,15 @@ def small(batches, rows: int = 1000):
             yield batch.slice(i, rows)
 
 
+def as_texts(column) -> list[str | None]:
+    """An Arrow string column as strings; bytes that are not UTF-8 become U+FFFD."""
+    import pyarrow as pa
+
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return [x if x is None else x.decode("utf-8", "replace") for x in column.cast(pa.binary()).to_pylist()]
+
+
 def as_bytes(column) -> list[bytes]:
     """An Arrow string column as bytes; nulls as empty."""
     import pyarrow as pa

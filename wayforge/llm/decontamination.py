@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayforge.llm.common import hashed_texts, ngrams, small
+from wayforge.llm.common import as_texts, hashed_texts, ngrams, small
 
 #: Blanks for ASCII that is neither letter nor digit; texts are made small before.
 PLAIN = bytes(b if chr(b).isalnum() or b > 127 else 32 for b in range(256))
@@ -188,14 +188,14 @@ def _item_blocks(docs: DataFrame, benchmark: DataFrame, text: str, n: int, min_w
     blocks = size // BLOCK_BYTES + 1
     for block in range(blocks):
         rows = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).select("item_id", "text").where("text is not null").toArrow()
-        passages = cut_items(rows["item_id"].to_pylist(), rows["text"].to_pylist(), n, min_words)
+        passages = cut_items(rows["item_id"].to_pylist(), as_texts(rows["text"]), n, min_words)
         if not passages.items and not passages.short:
             continue
 
         def held(batches, passages=passages):
             have = np.zeros(len(passages.hashes), bool)
             for batch in small(batches):
-                for h in hashed_texts(normal(batch.column(0).to_pylist()), PLAIN):
+                for h in hashed_texts(normal(as_texts(batch.column(0))), PLAIN):
                     grams = ngrams(h, n) if len(h) >= n else h[:0]
                     have[np.searchsorted(passages.hashes, grams[passages.find(grams)])] = True
             yield pa.RecordBatch.from_arrays([pa.array(passages.hashes[have].view(np.int64))], ["gram"])
@@ -214,7 +214,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int
     leaks where its words stand whole, in order, with a score of 1; items and texts without words, and nulls, leak
     nowhere; items longer than PASSAGE words leak if one of their passages does. Ids of items have any type; repeated
     items count once an id. Empty tables give no leaks. Items are taken in blocks of bounded bytes, so the benchmark may
-    grow; documents are never shuffled. A column named leaks is replaced."""
+    grow; documents are never shuffled. Bytes that are not UTF-8 are read as U+FFFD, which is no word. A column named leaks is replaced."""
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
@@ -225,7 +225,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int
 
         def search(batches, shared=shared):
             for batch in small(batches):
-                texts = normal(batch.column(at).to_pylist())
+                texts = normal(as_texts(batch.column(at)))
                 leaks = [[*x, *({"item_id": i, "score": s, "hits": k, "first_word": a, "last_word": b} for i, s, k, a, b in leaks_of(h, shared.value, n, least, min_hits))] for x, h in zip(batch.column(len(batch.columns) - 1).to_pylist(), hashed_texts(texts, PLAIN))]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(leaks, kind)], schema.names)
 
@@ -250,7 +250,7 @@ def keep_uncontaminated(spark, docs: DataFrame, benchmark: DataFrame, n: int = 3
 
         def clean(batches, shared=shared):
             for batch in small(batches):
-                keep = [not leaks_of(h, shared.value, n, least, min_hits) for h in hashed_texts(normal(batch.column(at).to_pylist()), PLAIN)]
+                keep = [not leaks_of(h, shared.value, n, least, min_hits) for h in hashed_texts(normal(as_texts(batch.column(at))), PLAIN)]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
         out = out.mapInArrow(clean, docs.schema)

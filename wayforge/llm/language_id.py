@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayforge.llm.common import fold, small
+from wayforge.llm.common import as_texts, fold, small
 
 #: Whether a character of the basic plane is a letter: no digit or number of any kind, no mark.
 _LETTER = np.fromiter((chr(i).isalpha() for i in range(1 << 16)), bool, 1 << 16)
@@ -89,7 +89,7 @@ def top(codes: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
 def language_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang", size: int = 400, max_n: int = 3) -> DataFrame:
     """(lang, gram, rank) of the ``size`` most frequent n-grams of each language over all labelled texts.
 
-    Every partition sums its own n-grams first; rows with a null text or language teach nothing. An empty table gives
+    Every partition sums its own n-grams first, and ranks what it got of a language before that meets in one task; rows with a null text or language teach nothing. An empty table gives
     no rows. max_n is 3 at most, as a gram is packed in one long."""
     if not 1 <= max_n <= 3:
         raise ValueError("max_n must be 1, 2 or 3")
@@ -106,7 +106,7 @@ def language_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang
 
         size: dict[str, int] = {}
         for batch in small(batches):
-            for t, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for t, k in zip(as_texts(batch.column(0)), as_texts(batch.column(1))):
                 held.setdefault(k, []).append(t)
                 size[k] = size.get(k, 0) + len(t)
                 if size[k] > 1 << 20:
@@ -119,7 +119,8 @@ def language_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang
 
     sums = labelled.select(F.col(text).alias("t"), F.col(lang).alias("k")).where("t is not null and k is not null").mapInArrow(count, "lang string, gram long, n long")
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    return sums.groupBy("lang", "gram").agg(F.sum("n").alias("n")).withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < size).select("lang", "gram", "rank")
+    ranked = sums.groupBy("lang", "gram").agg(F.sum("n").alias("n")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= size)
+    return ranked.select("lang", "gram", (F.col("rank") - 1).alias("rank"))
 
 
 def identify_language(docs: DataFrame, profiles: DataFrame, text: str = "text", size: int = 400, max_n: int = 3, max_languages: int = 2000) -> DataFrame:
@@ -129,14 +130,14 @@ def identify_language(docs: DataFrame, profiles: DataFrame, text: str = "text",
     language's profile; an n-gram that the profile lacks counts ``size``. The score is 1 - distance / (n-grams * size).
     Ties go to the first language by name. A text that is null or has no letter, and every text when no profile exists,
     is ``und`` with score 0. Repeated rows are predicted alike, an empty table gives none, and columns named lang_pred or
-    score are replaced. The profiles are size * languages rows; over max_languages they are refused."""
+    score are replaced. Bytes that are not UTF-8 are read as U+FFFD. The profiles are size * languages rows; over max_languages they are refused."""
     schema = docs.drop("lang_pred", "score")
     columns, at_text, best = schema.columns, schema.columns.index(text), _predictor(profiles, size, max_n, max_languages)
     out_schema = schema.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
 
     def predict(batches):
         for batch in small(batches):
-            langs, scores = best(batch.column(at_text).to_pylist())
+            langs, scores = best(as_texts(batch.column(at_text)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*columns, "lang_pred", "score"])
 
     return schema.mapInArrow(predict, out_schema)
@@ -189,12 +190,12 @@ def keep_identified(spark, docs: DataFrame, min_score: float = 0.02) -> DataFram
     """Pipeline stage: learns profiles from the folds that op6 learns from and drops documents without a language.
 
     Dropped are texts that are null or without letters, and texts whose best score is under min_score, which no text
-    written with a learned language's letters comes near. Rows are dropped inside the workers; columns may have any names."""
+    written with a learned language's letters comes near. Bytes that are not UTF-8 are read as U+FFFD. Rows are dropped inside the workers; columns may have any names."""
     best, at = _predictor(language_profiles(docs.where(fold("doc_id", 4) != 2))), docs.columns.index("text")
 
     def identified(batches):
         for batch in small(batches):
-            langs, scores = best(batch.column(at).to_pylist())
+            langs, scores = best(as_texts(batch.column(at)))
             yield batch.filter(pa.array([k != "und" and x >= min_score for k, x in zip(langs, scores)], pa.bool_()))
 
     return docs.mapInArrow(identified, docs.schema)

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayforge.llm.common import Staging
+from wayforge.llm.common import Staging, columns_of, row_hash
 
 #: Cells raked on the driver; a larger table of cells is raked by Spark.
 MAX_CELLS = 200_000
@@ -132,11 +132,10 @@ def mix_to_targets(docs: DataFrame, powers: dict[str, float], targets: dict[str,
     no marginal. An empty table gives no rows. Columns named weight, probability or sampled are replaced; others may have
     any names."""
     dims = list(powers)
-    kept = [c for c in docs.columns if c not in ("weight", "probability", "sampled")]
+    made = ("weight", "probability", "sampled")
     names = [f"_d{i}" for i in range(len(dims))]
-    row_hash = F.xxhash64(F.lit(seed), *[F.col(x) for x in kept])
-    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.lit(seed), F.col("doc_id"))).otherwise(row_hash)
-    keyed = docs.select(F.struct(*kept).alias("_row"), F.col("tokens"), key.alias("_key"), *(cell_key(F.col(d)).alias(n) for d, n in zip(dims, names)))
+    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.lit(seed), F.col("doc_id"))).otherwise(row_hash(docs.drop(*made), F.lit(seed)))
+    keyed = docs.select(F.struct(*columns_of(docs, *made)).alias("_row"), F.col("tokens"), key.alias("_key"), *(cell_key(F.col(d)).alias(n) for d, n in zip(dims, names)))
     staging = Staging(docs.sparkSession, "mixing")
     cells = staging.keep(cells_of(keyed, names), "cells")
     if targets:
@@ -173,6 +172,6 @@ def op3_mixing(spark, sf_dir: str) -> DataFrame:
 
 def keep_mixture(spark, docs: DataFrame) -> DataFrame:
     """Pipeline stage: the documents sampled to the targets, with their own columns, whatever their names."""
-    row = F.struct(*docs.columns).alias("row")
+    row = F.struct(*columns_of(docs)).alias("row")
     named = docs.select(row, "doc_id", "source", "lang", topic().alias("topic"), token_count().alias("tokens"))
     return mix_to_targets(named, POWERS).where("sampled").select("row.*")

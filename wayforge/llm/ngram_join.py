@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayforge.llm.common import Staging, as_bytes, distinct, hashed_texts, mix, ngrams, small
+from wayforge.llm.common import Staging, as_bytes, columns_of, distinct, hashed_texts, mix, ngrams, row_hash, small
 from wayforge.llm.graph import connected_components, filter_bits, may_hold, membership_filter
 
 #: Families and regions up to these sizes are joined in one task; larger ones are cut.
@@ -418,8 +418,8 @@ def keep_one_of_each(spark, docs: DataFrame, width: int = 5, num: int = 80, den:
     touched = staging.keep(marked.groupBy("doc_id", "tid").agg(F.bool_or("stays").alias("stays"), F.count("*").alias("times")).where("not stays or times > 1"), "touched")
     c.staging.clear()
     bits = filter_bits(touched.count())
-    row = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_tid"))
+    row = docs.select(F.struct(*columns_of(docs)).alias("row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_tid"), row_hash(docs).alias("_hash"))
     sure = may_hold(row, "_id", membership_filter(touched.select(F.col("doc_id").alias("_id")), "_id", bits), bits)
     doubtful = sure.where("_maybe").join(touched.select(F.col("doc_id").alias("_id"), F.col("tid").alias("_tid"), "stays"), ["_id", "_tid"], "left").where("coalesce(stays, true)")
-    once = doubtful.where("stays").groupBy("_id", "_tid").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
+    once = doubtful.where("stays").groupBy("_id", "_tid").agg(F.min_by("row", "_hash").alias("row")).select("row.*")
     return sure.where("not _maybe").select("row.*").union(doubtful.where("stays is null").select("row.*")).union(once)

@@ -7,7 +7,7 @@ from collections import deque
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayforge.llm.common import Staging
+from wayforge.llm.common import Staging, columns_of, row_hash
 
 #: Blocks of a size class in an old shard: at most this many, so that the table of blocks is bounded.
 MAX_SUBS = 1 << 16
@@ -15,16 +15,30 @@ ROWS_A_SUB = 1000
 
 
 def min_cost_transfers(sizes: dict[int, int], capacities: dict[int, int], cost=None) -> list[tuple[int, int, int]]:
-    """(old, new, bytes) that ship all bytes at the least cost, by successive shortest paths.
+    """(old, new, bytes) that ship all bytes at the least cost.
 
-    cost(old, new) is per byte; by default 0 where the names are equal, else 1. The capacities must hold all bytes.
-    Old and new shards are counted in hundreds, whatever the rows."""
-    cost = cost or (lambda a, b: int(a != b))
+    cost(old, new) is per byte. Without one it is 0 where the names are equal, else 1, and a flow of least cost is known:
+    each shard keeps as much as fits, which no flow exceeds, and what is left fills the free capacities in order, in
+    time and memory of the number of shards. Other costs are solved by successive shortest paths over all pairs, for
+    shards counted in hundreds. The capacities must hold all bytes."""
     olds, news = sorted(sizes), sorted(capacities)
     if sum(sizes.values()) > sum(capacities.values()):
         raise ValueError("the capacities are too small")
     left, room = dict(sizes), dict(capacities)
     flow: dict[tuple[int, int], int] = {}
+    if cost is None:
+        for k in sizes.keys() & capacities.keys():
+            flow[k, k] = kept = min(sizes[k], capacities[k])
+            left[k], room[k] = left[k] - kept, room[k] - kept
+        free = iter([b for b in news if room[b]])
+        b = next(free, None)
+        for a in olds:
+            while left[a]:
+                amount = min(left[a], room[b])
+                flow[a, b] = flow.get((a, b), 0) + amount
+                left[a], room[b] = left[a] - amount, room[b] - amount
+                if not room[b]:
+                    b = next(free, None)
     while any(left.values()):
         # nodes: ("o", a), ("n", b); forward edges always, backward edges where there is flow
         far = {("o", a): 0 for a in olds if left[a]}
@@ -74,11 +88,10 @@ def reshard(rows: DataFrame, capacities: dict[int, int] | int, cost=None) -> Dat
     have any names. Rows of equal sizes are taken by a hash of the row, which also breaks ties."""
     spark = rows.sparkSession
     staging = Staging(spark, "reshard")
-    kept = [c for c in rows.columns if c not in ("shard", "slot")]
+    rows = rows.drop("shard", "slot")
     n = rows.count()
     subs = max(1, min(MAX_SUBS, n // ROWS_A_SUB))
-    every = F.xxhash64(*kept)
-    keyed = rows.select(F.struct(*kept).alias("_row"), F.coalesce("old_shard", F.lit(-1)).alias("_old"), F.coalesce("size", F.lit(0)).cast("long").alias("_size"), every.alias("_tie")).withColumns(
+    keyed = rows.select(F.struct(*columns_of(rows)).alias("_row"), F.coalesce("old_shard", F.lit(-1)).alias("_old"), F.coalesce("size", F.lit(0)).cast("long").alias("_size"), row_hash(rows).alias("_tie")).withColumns(
         {"_class": F.floor(F.log2(F.col("_size") + 1)).cast("int"), "_sub": F.pmod(F.col("_tie"), F.lit(subs)).cast("int")}
     )
     keyed = staging.keep(keyed, "keyed")
