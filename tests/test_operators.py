@@ -248,8 +248,10 @@ def test_gate_and_publish(spark, tmp_path):
     keys = spark.createDataFrame([("a",), ("b",)], "key string")
     none = keys.limit(0)
     assert not publish.publish({"x": keys}, publish.gate(keys, {"x": keys.limit(1)}, none, "key"), str(tmp_path), "r1")
+    assert publish.published(spark, str(tmp_path)) == (None, {})
     assert publish.publish({"x": keys}, publish.gate(keys, {"x": keys}, none, "key"), str(tmp_path), "r2")
-    assert {r.revision for r in spark.read.parquet(str(tmp_path / "r2/x")).collect()} == {"r2"} and not (tmp_path / "r1").exists()
+    revision, tables = publish.published(spark, str(tmp_path))
+    assert revision == "r2" and {r.revision for r in tables["x"].collect()} == {"r2"}
 
 
 @settings(max_examples=10, deadline=None)

@@ -6,9 +6,10 @@ import functools
 import json
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayforge.operators import commits
 from wayforge.operators.ranking import positioned
 
 
@@ -18,13 +19,16 @@ def canonical_hash(version: int, **fields: Column) -> Column:
     return F.sha2(F.to_json(F.struct(item.alias("item"), F.lit(version).alias("version")), {"ignoreNullFields": "false"}), 256)
 
 
-def fingerprint(df: DataFrame, group: list[str], ref: Column) -> DataFrame:
+def fingerprint(df: DataFrame, group: list[str], ref: Column, sign: Column | None = None) -> DataFrame:
     """(group, n, digest): a digest of membership that no order changes.
 
-    Members are hashed each and the first 128 bits of the hashes added up as four words in decimals, so no group is collected."""
+    Members are hashed each and the first 128 bits of the hashes added up as four words in decimals, so no group is collected.
+    With ``sign``, 1 for members that come and -1 for those that go, the rows are changes, of a table or of a stream, and
+    the digest is that of the members left."""
+    sign = F.lit(1) if sign is None else sign
     h = F.sha2(ref.cast("string"), 256)
     word = lambda i: F.conv(F.substring(h, 8 * i + 1, 8), 16, 10).cast("decimal(38,0)")
-    sums = df.groupBy(*group).agg(F.count("*").alias("n"), *(F.sum(word(i)).alias(f"_w{i}") for i in range(4)))
+    sums = df.groupBy(*group).agg(F.sum(sign).cast("long").alias("n"), *(F.sum(word(i) * sign.cast("decimal(1,0)")).cast("decimal(38,0)").alias(f"_w{i}") for i in range(4)))
     return sums.select(*group, "n", F.sha2(F.concat_ws(":", F.col("n").cast("string"), *(F.col(f"_w{i}").cast("string") for i in range(4))), 256).alias("digest"))
 
 
@@ -40,13 +44,20 @@ def gate(expected: DataFrame, records: dict[str, DataFrame], errors: DataFrame,
 
 
 def publish(tables: dict[str, DataFrame], gate_row: DataFrame, root: str, revision: str) -> bool:
-    """Writes all tables under root/revision and then the pointer row, or nothing if the gate is not ok."""
+    """Publishes all tables as one version that carries the revision, or nothing if the gate is not ok.
+
+    Readers follow ``published``: until the version's record is written, which takes one rename, they get the version
+    before, and two writers cannot make the same version."""
     if not gate_row.first()["ok"]:
         return False
-    for name, df in tables.items():
-        df.withColumn("revision", F.lit(revision)).write.mode("overwrite").parquet(f"{root}/{revision}/{name}")
-    gate_row.select(F.lit(revision).alias("revision"), F.current_timestamp().alias("at")).write.mode("append").parquet(f"{root}/pointer")
-    return True
+    stamped = {name: df.withColumn("revision", F.lit(revision)) for name, df in tables.items()}
+    return commits.write_version(stamped, root, {"revision": revision}) is not None
+
+
+def published(spark: SparkSession, root: str) -> tuple[str | None, dict[str, DataFrame]]:
+    """The current revision and its tables; None and nothing before the first."""
+    now = commits.latest(spark, root)
+    return (now["revision"], commits.current(spark, root)) if now else (None, {})
 
 
 def verify(records: DataFrame, evidence: DataFrame, key: str) -> DataFrame:

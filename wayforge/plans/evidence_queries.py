@@ -24,6 +24,29 @@ def fingerprint(spark, d):
     return publish.fingerprint(read(spark, d, "part"), ["p_type"], F.col("p_partkey"))
 
 
+@query("""WITH w AS (SELECT p_type, count(*) AS n, """ + ", ".join(f"sum({WORDS.format(i=8 * i + 1)}) AS w{i}" for i in range(4)) + """ FROM (SELECT p_type, CASE WHEN p_size % 4 = 1 THEN -p_partkey ELSE p_partkey END AS p_partkey FROM part WHERE p_size % 4 <> 3) GROUP BY 1) SELECT p_type, n, sha256(concat_ws(':', n, w0, w1, w2, w3)) AS digest FROM w""")
+def fingerprint_changes(spark, d):
+    """O-A11 as the state of a stream: parts come, some go, and some come under another name, in three batches."""
+    part = read(spark, d, "part").select("p_type", F.col("p_partkey").alias("ref"), "p_size")
+    changes = part.select("p_type", "ref", F.lit(1).alias("sign"), F.lit(1).alias("at"))
+    changes = changes.union(part.where("p_size % 4 in (1, 3)").select("p_type", "ref", F.lit(-1), F.lit(2))).union(part.where("p_size % 4 = 1").select("p_type", -F.col("ref"), F.lit(1), F.lit(3)))
+    parts = [changes.where(f"at = {i}").drop("at") for i in (1, 2, 3)]
+    plan = lambda stream: publish.fingerprint(stream, ["p_type"], F.col("ref"), F.col("sign"))
+    return picks.newest(picks.drain_arrivals(parts, plan, "update", "digests"), ["p_type"]).where("n > 0")
+
+
+@query("SELECT doc_id, quality, 'second' AS revision FROM labels JOIN documents USING (doc_id) WHERE doc_id % 3 <> 1")
+def publication_current(spark, d):
+    """O-S10: two revisions are published and a third is refused; readers get both tables of the second."""
+    docs, labels = read(spark, d, "documents").select("doc_id"), read(spark, d, "labels").select("doc_id", "quality")
+    root, none = work_path(spark, "publication"), docs.limit(0)
+    for revision, rows, errors in (("first", "doc_id % 3 = 0", none), ("second", "doc_id % 3 <> 1", none), ("third", "true", docs)):
+        tables = {"documents": docs.where(rows), "labels": labels.where(rows)}
+        publish.publish(tables, publish.gate(tables["labels"], tables, errors, "doc_id"), root, revision)
+    _, tables = publish.published(spark, root)
+    return tables["labels"].join(tables["documents"], ["doc_id", "revision"]).select("doc_id", "quality", "revision")
+
+
 @query("""WITH w AS (SELECT p_type, count(*) AS n, """ + ", ".join(f"sum({WORDS.format(i=8 * i + 1)}) AS w{i}" for i in range(4)) + """ FROM part GROUP BY 1), f AS (SELECT p_type, sha256(concat_ws(':', n, w0, w1, w2, w3)) AS digest FROM w)
     SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'never' WHEN p_size % 3 = 0 THEN 'again' ELSE 'reviewed' END AS state FROM part JOIN f USING (p_type)""")
 def stale_review(spark, d):

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wayforge.plans.registry import query, read
-from wayforge.streaming import picks
+from wayforge.streaming import ledger, picks
 
 WHOLE = "CAST(floor(value) AS BIGINT)"
 
@@ -31,11 +31,12 @@ def lww_state(spark, d):
     s AS (SELECT user_id, place, arg_max(rating, event_id) AS rating FROM e WHERE seq = -1 GROUP BY 1, 2), c AS (SELECT user_id, place, arg_max(rating, seq) AS rating FROM e WHERE seq >= 0 GROUP BY 1, 2)
     SELECT coalesce(s.user_id, c.user_id) AS user_id, coalesce(s.place, c.place) AS place, coalesce(c.rating, s.rating) AS rating FROM s FULL JOIN c ON s.user_id = c.user_id AND s.place = c.place""")
 def snapshot_replay(spark, d):
-    """O-ST2: the changes during the snapshot come by the stream."""
+    """O-ST2: changes arrive in three batches, the snapshot after the first of them."""
     table = events(spark, d, stream=False).where("event_id % 4 <> 0")
     snapshot = picks.last_write_wins(table.select("user_id", "place", "rating", F.col("event_id").alias("seq")), ["user_id", "place"], ["seq"])
-    changes = picks.drain(events(spark, d).where("event_id % 4 = 0").select("user_id", "place", "rating", F.col("event_id").alias("seq")), "append", "replay").drop("epoch")
-    return picks.snapshot_replay(snapshot, changes, ["user_id", "place"], "seq")
+    changes = events(spark, d, stream=False).where("event_id % 4 = 0").select("user_id", "place", "rating", F.col("event_id").alias("seq"), "ts")
+    parts = [p.drop("ts") for p in picks.arrivals(changes, "ts")]
+    return ledger.replay_arrivals(parts, snapshot.drop("seq"), ["user_id", "place"], "seq", "replay").drop("seq")
 
 
 EDITS = f"edits AS (SELECT user_id, event_id AS seq, CASE WHEN event_type IN ('click', 'view') THEN {WHOLE} % 6 END AS rating, CASE WHEN event_type IN ('view', 'error') THEN {WHOLE} END AS note FROM events)"
@@ -59,6 +60,28 @@ def echo_dedupe(spark, d):
     return picks.drain(picks.without_echoes(e, "id", "ts", "60 days").select("id"), "append", "echo").select("id")
 
 
+@query("""WITH e AS (SELECT user_id AS lane, event_id, ts, event_type AS t, CASE event_type WHEN 'click' THEN 'note' WHEN 'view' THEN 'reviewed' END AS own FROM events),
+    f AS (SELECT lane, event_id, ts, field, own IS NOT DISTINCT FROM field AS made, CASE WHEN own = field THEN 'edit' WHEN t = 'signup' THEN 'settle' WHEN t = 'purchase' AND field = 'note' THEN 'echo' WHEN t = 'error' AND field = 'reviewed' THEN 'fail' END AS kind FROM e, (VALUES ('note'), ('reviewed')) AS v(field)),
+    r AS (SELECT *, CASE kind WHEN 'settle' THEN first_value(CASE WHEN made THEN event_id END IGNORE NULLS) OVER w WHEN 'edit' THEN event_id ELSE last_value(CASE WHEN made THEN event_id END IGNORE NULLS) OVER w END AS seq
+        FROM f WHERE kind IS NOT NULL WINDOW w AS (PARTITION BY lane, field ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+    s AS (SELECT lane, field, seq, arg_min(kind, (ts, event_id)) AS fate FROM r WHERE kind <> 'edit' AND seq IS NOT NULL GROUP BY 1, 2, 3),
+    m AS (SELECT r.lane, r.field, r.seq, fate FROM r LEFT JOIN s ON s.lane = r.lane AND s.field = r.field AND s.seq = r.seq WHERE kind = 'edit')
+    SELECT lane, field, CAST(coalesce(max(seq) FILTER (fate IS NULL), max(seq) FILTER (fate IN ('echo', 'settle'))) AS VARCHAR) AS value, count(*) FILTER (fate IS NULL) AS waiting FROM m GROUP BY 1, 2""")
+def pending_fields(spark, d):
+    """O-ST4 with O-ST3 and O-ST5: edits of two fields wait for what becomes of them. Sign-ups settle a field's first edit,
+    purchases are echoes of the last note, errors fail the last review; an edit's value is its own number."""
+    e = events(spark, d, stream=False)
+    own = F.when(F.col("event_type") == "click", "note").when(F.col("event_type") == "view", "reviewed")
+    each = e.withColumn("own", own).withColumn("field", F.explode(F.array(F.lit("note"), F.lit("reviewed"))))
+    kind = F.when(F.col("own") == F.col("field"), "edit").when(F.col("event_type") == "signup", "settle").when((F.col("event_type") == "purchase") & (F.col("field") == "note"), "echo").when((F.col("event_type") == "error") & (F.col("field") == "reviewed"), "fail")
+    w = Window.partitionBy("user_id", "field").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    made = F.when(F.col("kind") == "edit", F.col("event_id"))
+    seq = F.when(F.col("kind") == "edit", F.col("event_id")).when(F.col("kind") == "settle", F.first(made, True).over(w)).otherwise(F.last(made, True).over(w))
+    log = each.withColumn("kind", kind).where("kind is not null").withColumn("seq", seq).where("seq is not null")
+    log = log.select(F.col("user_id").alias("lane"), F.col("event_id").alias("id"), F.col("ts").alias("at"), "kind", "field", "seq", F.col("seq").cast("string").alias("value"))
+    return picks.newest(ledger.drain_keyed(picks.arrivals(log, "at"), ledger.pending_fields, "pending"), ["lane", "field"])
+
+
 @query(f"""WITH e AS (SELECT user_id AS key, event_id, ts, event_type AS t, {WHOLE} AS value, CASE WHEN event_type IN ('click', 'view') THEN event_id END AS own FROM events),
     r AS (SELECT *, CASE WHEN own IS NOT NULL THEN own WHEN t = 'signup' THEN first_value(own IGNORE NULLS) OVER w ELSE last_value(own IGNORE NULLS) OVER w END AS ref FROM e WINDOW w AS (PARTITION BY key ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
     s AS (SELECT key, ref, arg_min(t, (ts, event_id)) AS how, min((ts, event_id)) AS settled FROM r WHERE own IS NULL AND ref IS NOT NULL GROUP BY 1, 2),
@@ -102,6 +125,6 @@ def watch_increment(spark, d):
     r AS (SELECT *, sum(CASE WHEN rating = last THEN 0 ELSE 1 END) OVER (PARTITION BY user_id, place ORDER BY ts, event_id) AS run FROM l), s AS (SELECT user_id, place, run, count(*) AS k, max(rating) AS rating FROM r GROUP BY 1, 2, 3),
     f AS (SELECT user_id, place, CASE WHEN arg_max(k, run) % 2 = 1 THEN arg_max(rating, run) ELSE 0 END AS rating FROM s GROUP BY 1, 2) SELECT * FROM f WHERE rating <> 0""")
 def vote_prune(spark, d):
-    """O-ST9: toggled votes clear, empty records go; the changes come by the stream."""
-    changes = picks.drain(events(spark, d).select("user_id", "place", "rating", "ts", "event_id"), "append", "votes").drop("epoch")
-    return picks.votes_kept(changes)
+    """O-ST9: toggled votes clear, empty records go; the votes are state of a stream of three batches."""
+    parts = picks.arrivals(events(spark, d, stream=False).select("user_id", "place", "rating", "ts", "event_id"), "ts")
+    return picks.newest(ledger.drain_keyed(parts, ledger.toggled_votes, "votes"), ["user_id", "place"]).where("rating <> 0")
