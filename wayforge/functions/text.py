@@ -171,10 +171,23 @@ def slug(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(nfkd_ascii(c)), "[^a-z0-9]+", "-"), "^-+|-+$", "")
 
 
+def squeezed(c: Column) -> Column:
+    """Control characters out, and every run of white space, of any kind, one blank."""
+    return F.trim(F.regexp_replace(F.regexp_replace(c, r"[\x00-\x08\x0B\x0C\x0E-\x1F]", " "), r"(?U)\s+", " "))
+
+
+def cut(c: Column, limit: int) -> Column:
+    """The first characters of a squeezed text."""
+    return F.substring(squeezed(c), 1, limit)
+
+
 def clipped(c: Column, limit: int) -> Column:
-    """Control characters and runs of blanks out; over the limit cut after the last sentence end past half of it, else at a word with an ellipsis."""
-    text = F.trim(F.regexp_replace(F.regexp_replace(c, r"[\x00-\x1F\x7F]", " "), " +", " "))
+    """A squeezed text; over the limit up to the last end of a sentence (a mark before a blank or the limit) that is at half
+    of the limit or later, else up to a word, with an ellipsis inside the limit; a text without blanks is cut anywhere."""
+    text = squeezed(c)
     head = F.substring(text, 1, limit)
-    sentence = F.regexp_extract(head, r"^(.*[.!?])", 1)
-    word = F.concat(F.regexp_extract(F.substring(text, 1, limit - 1), r"^(.*) ", 1), F.lit("…"))
-    return F.when(F.length(text) <= limit, text).when(F.length(sentence) > limit // 2, sentence).otherwise(word)
+    sentence = F.regexp_extract(head, r"(?s)^(.*[.!?…])(?= |\z)", 1)
+    words = F.regexp_replace(F.regexp_replace(head, r"(?s) [^ ]*\z", ""), r"[ ,;:\-]+\z", "")
+    words = F.when(words == "", F.substring(head, 1, limit - 1)).otherwise(words)
+    short = F.concat(F.rtrim(F.substring(words, 1, limit - 1)), F.lit("…"))
+    return F.when(F.length(text) <= limit, text).when((sentence != "") & (F.length(sentence) >= limit // 2), sentence).otherwise(short)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayforge.functions import text as T
+from wayforge.functions.nested import json_nodes, values_named
 
 #: The most reviews of an item, and the longest of its texts.
 REVIEWS, REVIEW_CHARS, DESCRIPTION_CHARS = 10, 1800, 6000
@@ -26,22 +27,25 @@ def package_id(given: Column, index: Column, *identity: Column) -> Column:
 def prepared(inventory: DataFrame, contexts: DataFrame, key: str) -> DataFrame:
     """Items of evidence: inventory (name, category, subtype, rating, review_count, url) first, the context (the same and
     description, checked_at, reviews array<struct<title, text, rating>>, packages array<struct<id, name, description,
-    times>>) as fallback; texts without money and clipped, ten reviews, bodies that stand in a title moved, packages with ids."""
+    times>>) as fallback; texts without money and clipped at a sentence, or names cut, ten reviews, bodies that stand in a title moved, packages with ids."""
     fields = ("name", "category", "subtype", "rating", "review_count", "url")
     c = contexts.select(key, *(F.col(f).alias(f"_{f}") for f in fields), "description", "checked_at", "reviews", "packages")
     clip = lambda x, most: T.clipped(redacted(x), most)
+    plain = lambda x, most: T.cut(redacted(x), most)
 
     def review(r: Column) -> Column:
         title, text = clip(r["title"], REVIEW_CHARS), clip(r["text"], REVIEW_CHARS)
         moved = (text == "") & ((F.length(title) > 120) | (F.size(F.split(title, " ")) >= 20))
-        return F.struct(F.when(moved, "").otherwise(T.clipped(title, 300)).alias("title"), F.when(moved, title).otherwise(text).alias("text"), r["rating"].alias("rating"))
+        return F.struct(F.when(moved, "").otherwise(T.cut(title, 300)).alias("title"), F.when(moved, title).otherwise(text).alias("text"), r["rating"].alias("rating"))
 
     def package(p: Column, i: Column) -> Column:
         name = F.when(F.coalesce(p["name"], F.lit("")) == "", F.concat(F.lit("Option "), (i + 1).cast("string"))).otherwise(p["name"])
-        return F.struct(package_id(p["id"], i, p["name"], p["description"], p["times"]).alias("id"), clip(name, 200).alias("name"), clip(p["description"], 1000).alias("description"), clip(p["times"], 400).alias("conditions"))
+        return F.struct(package_id(p["id"], i, p["name"], p["description"], p["times"]).alias("id"), plain(name, 200).alias("name"), plain(p["description"], 1000).alias("description"), plain(T.cut(p["times"], 400), 400).alias("conditions"))
 
     out = inventory.join(c, key)
-    return out.select(key, *(F.coalesce(F.col(f), F.col(f"_{f}")).alias(f) for f in fields), "checked_at", clip(F.col("description"), DESCRIPTION_CHARS).alias("description"), F.transform(F.slice("reviews", 1, REVIEWS), review).alias("reviews"), F.transform("packages", package).alias("packages"))
+    most = {"name": 300, "category": 200, "subtype": 300}
+    own = lambda f: F.coalesce(F.col(f), F.col(f"_{f}"))
+    return out.select(key, *((T.cut(own(f), most[f]) if f in most else own(f)).alias(f) for f in fields), "checked_at", clip(F.col("description"), DESCRIPTION_CHARS).alias("description"), F.transform(F.slice("reviews", 1, REVIEWS), review).alias("reviews"), F.transform("packages", package).alias("packages"))
 
 
 def contexts(listings: DataFrame, details: DataFrame, key: str) -> DataFrame:
@@ -75,9 +79,15 @@ def publication_hash(version: int, **fields: Column) -> Column:
     return canonical_hash(version, **fields)
 
 
+#: The names of ids in answers, and what an address of a detail page looks like.
+ID_NAMES = ("locationId", "detailId", "contentId")
+DETAIL_LINK = r"(?i)/(?:[a-z]+_)?[a-z]+-g[0-9]+-d([0-9]+)-"
+
+
 def nested_identities(document: Column) -> Column:
-    """All ids in a JSON document, at any depth: of locations, details and contents, and those in addresses of details; each
-    once, sorted."""
-    ids = F.regexp_extract_all(document, F.lit(r'"(?:locationId|location_id|detailId|contentId)"\s*:\s*"?([0-9]+)'), 1)
-    linked = F.regexp_extract_all(document, F.lit(r"-d([0-9]+)-"), 1)
-    return F.array_sort(F.array_distinct(F.concat(ids, linked)))
+    """All ids in a JSON document, at any depth: values of ID_NAMES that are texts or whole numbers, and those in addresses of
+    details inside any text; each once, sorted. What only looks like an id inside of a text is none."""
+    nodes = json_nodes(F.array(document))
+    whole = F.filter(nodes, lambda x: (x["kind"] == "string") | ((x["kind"] == "number") & x["value"].rlike("^-?[0-9]+$")))
+    links = F.flatten(F.transform(F.filter(nodes, lambda x: x["kind"] == "string"), lambda x: F.regexp_extract_all(x["value"], F.lit(DETAIL_LINK), 1)))
+    return F.array_sort(F.array_distinct(F.concat(values_named(whole, ID_NAMES), links)))

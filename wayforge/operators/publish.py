@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import functools
-import json
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayforge.functions.nested import json_nodes
 from wayforge.operators import commits
 from wayforge.operators.ranking import positioned
 
@@ -98,33 +97,12 @@ def disagreements(a: DataFrame, b: DataFrame, key: str, fields: list[str], code:
 
 
 def nested_keys(df: DataFrame, key: str, document: str, denied: list[str]) -> DataFrame:
-    """(key, path) of all object keys, at any depth of a JSON text, that are on the deny-list without underscores and in small letters."""
-    wanted = frozenset(denied)
-    kept = df.select(key, document)
-
-    def walk(value, path):
-        if isinstance(value, dict):
-            for k, v in value.items():
-                if k.replace("_", "").lower() in wanted:
-                    yield f"{path}.{k}"
-                yield from walk(v, f"{path}.{k}")
-        elif isinstance(value, list):
-            for i, v in enumerate(value):
-                yield from walk(v, f"{path}[{i}]")
-
-    def run(batches):
-        for batch in batches:
-            keys, paths = [], []
-            for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                try:
-                    found = list(walk(json.loads(text), "$")) if text else []
-                except ValueError:
-                    found = ["invalid"]
-                keys += [k] * len(found)
-                paths += found
-            yield pa.RecordBatch.from_arrays([pa.array(keys, batch.schema.field(0).type), pa.array(paths, pa.string())], [key, "path"])
-
-    return kept.mapInArrow(run, kept.select(key, F.lit("").alias("path")).schema)
+    """(key, path) of all object keys, at any depth of a JSON text, that are on the deny-list without underscores and in small
+    letters; a text that is no JSON has the path ``invalid``, and a null or empty one none."""
+    some = df.select(key, F.nullif(F.col(document), F.lit("")).alias("_document")).where("_document is not null")
+    nodes = some.select(key, F.explode(json_nodes(F.array("_document"))).alias("_n"))
+    path = F.when(F.col("_n.kind") == "invalid", "invalid").when(F.lower(F.replace("_n.name", F.lit("_"), F.lit(""))).isin(*denied), F.col("_n.path"))
+    return nodes.select(key, path.alias("path")).where("path is not null")
 
 
 def allow_listed(df: DataFrame, key: str, document: str, schema: str) -> DataFrame:

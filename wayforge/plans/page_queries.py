@@ -85,26 +85,35 @@ def embedded_block(spark, d):
     return P.embedded_blocks(read(spark, d, "pages").select("page_id", html.alias("html")), "page_id", "html", BLOCK, "array<struct<id: string>>").select("page_id", "n", "item.id", "error")
 
 
-@query("""SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'The longer about ' || page_id WHEN 1 THEN 'Linked ' || page_id WHEN 2 THEN 'Meta, the longest ' || page_id ELSE 'Meta' END AS description, CASE page_id % 5 WHEN 0 THEN 'about' WHEN 1 THEN 'linked-data' ELSE 'meta' END AS source FROM pages WHERE page_id % 5 <> 4""")
+@query("""SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'The longer about ' || page_id WHEN 1 THEN 'A "great" tour of cafés ' || page_id WHEN 2 THEN 'Meta, the longest ' || page_id ELSE 'Meta' END AS description, CASE page_id % 5 WHEN 0 THEN 'about' WHEN 1 THEN 'linked-data' ELSE 'meta' END AS source FROM pages WHERE page_id % 5 <> 4""")
 def best_description(spark, d):
     """O-X19: about, linked data of the page itself, meta; every fifth page has another set of them."""
     i = F.col("page_id").cast("string")
     k = F.col("page_id") % 5
     about = F.concat(F.lit('<div class="about">Short</div><div class="about">The longer\n about '), i, F.lit("</div>"))
-    linked = lambda id_, text: F.concat(F.lit('<script type="application/ld+json">{"@id":"/Page-d'), id_, F.lit('-x","description":"'), text, F.lit('"}</script>'))
+    linked = lambda id_, text: F.concat(F.lit('<script type="application/ld+json">{"@graph":[{"@type":["Organization","Product"],"@id":"/Page-d'), id_, F.lit('-x","description":"'), text, F.lit('"},{"@type":"Review","about":"-d'), i, F.lit('-","description":"Only a mention of the page\'s id, which is longer"}]}</script>'))
+    review = F.concat(F.lit('<script type="application/ld+json">{"@type":"Review","url":"/r-d'), i, F.lit('-x","description":"A longer text on the page, of a type that describes no place"}</script><script type="application/ld+json">{"broken</script>'))
     meta = lambda text: F.concat(F.lit('<meta name="description" content="'), text, F.lit('">'))
     more = (
-        F.when(k == 0, F.concat(about, linked(i, F.lit("A linked description that is much longer than the others")))).when(k == 1, F.concat(linked(F.lit("x"), F.lit("Another page's description, longer")), linked(i, F.concat(F.lit("Linked "), i)), meta(F.lit("Meta"))))
+        F.when(k == 0, F.concat(about, linked(i, F.lit("A linked description that is much longer than the others")))).when(k == 1, F.concat(linked(F.lit("x"), F.lit("Another page's description, longer")), linked(i, F.concat(F.lit(r'A \"great\" tour\n of caf\u00e9s '), i)), review, meta(F.lit("Meta"))))
         .when(k == 2, F.concat(linked(F.lit("0x"), F.lit("Another page's description")), meta(F.lit("Meta")), meta(F.concat(F.lit("Meta, the longest "), i)))).when(k == 3, meta(F.lit("Meta"))).otherwise("")
     )
     return P.best_description(read(spark, d, "pages").select("page_id", F.concat("html", more).alias("html")), "page_id", "html", r'(?s)<div class="about">(.*?)</div>', i)
 
 
-@query("""WITH c AS (SELECT page_id, unnest(string_split(html, '<li>')) AS card, generate_subscripts(string_split(html, '<li>'), 1) - 1 AS pos FROM pages)
-    SELECT page_id, pos, regexp_extract(card, 'href="([^"]+)"', 1) AS link, regexp_extract(card, '>([^<>]{3,})<', 1) AS name FROM c WHERE pos > 0 AND regexp_extract(card, 'href="([^"]+)"', 1) <> '' AND regexp_extract(card, '>([^<>]{3,})<', 1) <> ''""".replace("FROM pages)", "FROM (SELECT page_id, " + "replace(replace(replace(" * 3 + "html" + ", '&lt;', '<'), '&gt;', '>'), '&amp;', '&')" * 3 + " AS html FROM pages))"))
+@query(rf"""WITH p AS (SELECT page_id, {"replace(replace(replace(" * 3}html{", '&lt;', '<'), '&gt;', '>'), '&amp;', '&')" * 3} AS html FROM pages),
+    c AS (SELECT page_id, unnest(string_split(html, '<li>')) AS card, generate_subscripts(string_split(html, '<li>'), 1) - 1 AS pos FROM p),
+    f AS (SELECT page_id, pos, card, regexp_extract(card, 'href="([^"]+)"', 1) AS link, regexp_extract(card, '>([^<>]{{3,}})<', 1) AS name FROM c WHERE pos > 0),
+    b AS (SELECT page_id, pos, link, trim({PLAIN("name")}) AS name, trim(regexp_replace({PLAIN("regexp_replace(card, '<[^>]*>?', ' ', 'g')")}, '[\s\x{{00a0}}]+', ' ', 'g')) AS t FROM f WHERE link <> '' AND name <> '')
+    SELECT page_id, pos, link, name, CASE WHEN length(t) <= 170 THEN length(t) ELSE length(regexp_replace(t[1:168], '(?s) [^ ]*$', '')) + 1 END AS blurb FROM b
+    UNION ALL SELECT page_id, -1, 'x/y', 'Café & béar', length('100% fun %zz Café & béar') FROM pages""")
 def card_explode(spark, d):
-    """O-X24: list items as cards."""
-    return P.cards(read(spark, d, "pages"), "page_id", "html", "<li>").select("page_id", "pos", "link", "name")
+    """O-X24: list items as cards, and one card a page whose text has a bare %, an escape that is none and double escapes."""
+    pages = read(spark, d, "pages")
+    planted = F.lit('<li class="odd">100% fun %zz <a href="x%252Fy">Caf%C3%A9 &amp;amp; b&eacute;ar</a></li>')
+    first = P.cards(pages, "page_id", "html", "<li>")
+    second = P.cards(pages.select("page_id", planted.alias("html")), "page_id", "html", '<li class="odd">').withColumn("pos", F.lit(-1))
+    return first.unionByName(second).select("page_id", "pos", "link", "name", F.length("blurb").alias("blurb"))
 
 
 @query("""SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'rated' WHEN 1 THEN 'rated' WHEN 2 THEN 'priced' WHEN 3 THEN 'coordinates' WHEN 4 THEN 'address' ELSE 'empty' END AS layout, CASE p_partkey % 6 WHEN 0 THEN 4.5 WHEN 1 THEN 4.1 END::DOUBLE AS rating, CASE WHEN p_partkey % 6 < 2 THEN p_size * 37 END::BIGINT AS reviews,

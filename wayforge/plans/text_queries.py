@@ -98,14 +98,21 @@ def closed_flag(spark, d):
     return priced(spark, d).select("doc_id", T.closed_for_long(F.col("text")).alias("closed"))
 
 
-CLIP_SQL = "trim(regexp_replace(regexp_replace(text, '[\\x00-\\x1F\\x7F]', ' ', 'g'), ' +', ' ', 'g'))"
+CLIP_SQL = r"trim(regexp_replace(regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F]', ' ', 'g'), '[\s\x0B\x{85}\p{Z}]+', ' ', 'g'))"
 
 
-@query(f"""WITH t AS (SELECT doc_id, {CLIP_SQL} AS t FROM documents), p AS (SELECT doc_id, t, regexp_extract(t[1:300], '^(.*[.!?])', 1) AS s, regexp_extract(t[1:299], '^(.*) ', 1) || '…' AS w FROM t)
-    SELECT doc_id, CASE WHEN length(t) <= 300 THEN t WHEN length(s) > 150 THEN s ELSE w END AS clipped FROM p""")
+@query(f"""WITH t AS (SELECT doc_id, {CLIP_SQL} AS t FROM documents), p AS (SELECT doc_id, t, t[1:300] AS h FROM t),
+    w AS (SELECT doc_id, t, h, CASE WHEN regexp_matches(h, '[.!?…]$') THEN h ELSE regexp_extract(h, '(?s)^(.*[.!?…]) ', 1) END AS s, regexp_replace(regexp_replace(h, '(?s) [^ ]*$', ''), '[ ,;:-]+$', '') AS w FROM p)
+    SELECT doc_id, CASE WHEN length(t) <= 300 THEN t WHEN length(s) >= 150 THEN s ELSE rtrim((CASE WHEN w = '' THEN h ELSE w END)[1:299]) || '…' END AS clipped,
+        CASE doc_id % 7 WHEN 0 THEN 'Short text ' || doc_id WHEN 1 THEN repeat('abcd ', 40) || 'done.' WHEN 2 THEN 'One. ' || repeat('abcd ', 58) || 'abc…' WHEN 3 THEN repeat('漢', 299) || '…' WHEN 4 THEN 'a b c d' WHEN 5 THEN repeat('x', 149) || '…' ELSE repeat('y', 296) || '!?.' END AS planted FROM w""")
 def clip_evidence(spark, d):
-    """O-X3."""
-    return read(spark, d, "documents").select("doc_id", T.clipped(F.col("text"), 300).alias("clipped"))
+    """O-X3: all texts, and planted ones whose ends are known: early, late, none, at half, at the limit, odd white space."""
+    k = F.col("doc_id") % 7
+    planted = (
+        F.when(k == 0, F.concat(F.lit("Short\u0007 \n text "), F.col("doc_id").cast("string"))).when(k == 1, F.lit("abcd " * 40 + "done. " + "xyz " * 60)).when(k == 2, F.lit("One. " + "abcd " * 58 + "abc, ;" + " abcd" * 9))
+        .when(k == 3, F.lit("漢" * 600)).when(k == 4, F.lit("\u3000a\u2028b\u00a0c\u0085d")).when(k == 5, F.lit("x" * 149 + "… " + "z.z z" * 30 + "zz" * 90)).otherwise(F.lit("y" * 296 + "!?. And more."))
+    )
+    return read(spark, d, "documents").select("doc_id", T.clipped(F.col("text"), 300).alias("clipped"), T.clipped(planted, 300).alias("planted"))
 
 
 FAULTS = {1: ("\x07", "text-control"), 2: ("\ufffd", "text-replacement"), 3: ("e\u0301", "text-nfc"), 4: ("  x", "text-space"), 5: ("\ufff9", "text-interlinear"), 6: (" ", "text-space")}

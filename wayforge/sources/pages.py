@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wayforge.functions.nested import described_nodes, percent_decoded, unescaped
 from wayforge.session import work_path
 
 
@@ -44,19 +45,25 @@ def list_gate(pages: DataFrame, html: str = "html", least: int = 50_000, card: s
     return pages.withColumn("reject_reason", F.when(c.isNull() | (F.octet_length(c) <= least), "too-short").when(~F.contains(c, F.lit(card)), "no-card"))
 
 
+#: Types of linked data that describe a place or an offer.
+PLACE_TYPES = "(?i)Product|TouristAttraction|LocalBusiness|Thing"
+
+
 def best_description(pages: DataFrame, key: str, html: str, about: str, id_: Column) -> DataFrame:
-    """(key, description, source): the longest text that the pattern ``about`` finds; else the longest description in a
-    linked-data script that names the page's own id; else the longest meta description. Pages without any are left out."""
-    c = F.col(html)
-    clean = lambda t: F.trim(F.regexp_replace(t, r"\s+", " "))
+    """(key, description, source): the longest text that the pattern ``about`` finds; else, of the objects in linked data
+    whose @id, url or name holds the page's own id (digits), the longest description, first of objects of a place's type; else
+    the longest meta description. Scripts that are no JSON have nothing. Pages without any description are left out."""
+    clean = lambda t: F.trim(F.regexp_replace(t, r"(?U)\s+", " "))
     longest = lambda texts: F.array_max(F.filter(F.transform(texts, lambda t: F.struct(F.length(clean(t)).alias("n"), clean(t).alias("t"))), lambda x: x["n"] > 0))["t"]
-    scripts = F.regexp_extract_all(c, F.lit(r"(?s)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"), 1)
-    own = F.filter(scripts, lambda x: F.contains(x, F.concat(F.lit("-d"), id_, F.lit("-"))))
-    linked = F.flatten(F.transform(own, lambda x: F.regexp_extract_all(x, F.lit(r'"description"\s*:\s*"([^"]*)"'), 1)))
-    meta = F.regexp_extract_all(c, F.lit(r'<meta[^>]*name="description"[^>]*content="([^"]*)"'), 1)
-    a, b, d = longest(F.regexp_extract_all(c, F.lit(about), 1)), longest(linked), longest(meta)
-    found = pages.select(key, F.coalesce(a, b, d).alias("description"), F.when(a.isNotNull(), "about").when(b.isNotNull(), "linked-data").when(d.isNotNull(), "meta").alias("source"))
-    return found.where("description is not null")
+    scripts = F.regexp_extract_all(html, F.lit(r"(?s)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"), 1)
+    own = pages.select(key, html, id_.cast("string").alias("_id"), described_nodes(scripts).alias("_linked"))
+    fits = F.filter("_linked", lambda x: F.regexp_like(x["identity"], F.concat(F.lit("(?:^|[-d])"), F.col("_id"), F.lit("(?:-|$)"))))
+    ranked = F.transform(fits, lambda x: F.struct(F.regexp_like(x["types"], F.lit(PLACE_TYPES)).alias("kind"), F.length(clean(x["description"])).alias("n"), clean(x["description"]).alias("t")))
+    linked = F.array_max(F.filter(ranked, lambda x: x["n"] > 0))["t"]
+    meta = F.regexp_extract_all(html, F.lit(r'<meta[^>]*name="description"[^>]*content="([^"]*)"'), 1)
+    found = own.select(key, longest(F.regexp_extract_all(html, F.lit(about), 1)).alias("_a"), linked.alias("_b"), longest(meta).alias("_c"))
+    source = F.when(F.col("_a").isNotNull(), "about").when(F.col("_b").isNotNull(), "linked-data").when(F.col("_c").isNotNull(), "meta")
+    return found.select(key, F.coalesce("_a", "_b", "_c").alias("description"), source.alias("source")).where("description is not null")
 
 
 def fresh(snapshots: DataFrame, key: str, at: str, as_of: Column, hours: int = 24, mode: str = "normal") -> DataFrame:
@@ -163,20 +170,24 @@ def features(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
     return kept.mapInArrow(run, out)
 
 
-def cards(pages: DataFrame, key: str, html: str, marker: str) -> DataFrame:
+def cards(pages: DataFrame, key: str, html: str, marker: str, escapes: bool = False) -> DataFrame:
     """(key, pos, link, name, photos, blurb): one row a card that the marker begins; cards without a name or link are dropped.
 
-    The first link is the identity; at most two photos, from before the reviews; the text is cut at 170 characters."""
+    A page is decoded three times: valid %XX escapes, one by one, and the references of <, > and &; with ``escapes`` also
+    \\\\, \\" and \\/ of scripts. The first link is the identity; names and texts have all their references replaced; at
+    most two photos, from before the reviews; a text of over 170 characters ends at a word, with an ellipsis."""
     decoded = F.col(html)
     for _ in range(3):
-        decoded = F.coalesce(F.try_url_decode(F.replace(decoded, F.lit("+"), F.lit("%2B"))), decoded)
-        decoded = F.replace(F.replace(F.replace(decoded, F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), F.lit("&amp;"), F.lit("&"))
+        decoded = percent_decoded(decoded)
+        for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"), *((("\\\\", "\\"), ('\\"', '"'), ("\\/", "/")) if escapes else ())):
+            decoded = F.replace(decoded, F.lit(a), F.lit(b))
     part = pages.select(key, F.posexplode(F.split(decoded, F.lit(marker))).alias("pos", "card")).where("pos > 0")
     before = F.split("card", "class=\"review")[0]
     photos = F.slice(F.array_distinct(F.regexp_extract_all(before, F.lit(r'src="([^"]+)"'), 1)), 1, 2)
-    text = F.trim(F.regexp_replace(F.regexp_replace(F.concat(F.lit("<"), F.col("card")), "<[^>]*>?", " "), r"\s+", " "))
-    out = part.select(key, F.col("pos"), F.regexp_extract("card", r'href="([^"]+)"', 1).alias("link"), F.regexp_extract("card", r">([^<>]{3,})<", 1).alias("name"), photos.alias("photos"), F.substring(text, 1, 170).alias("blurb"))
-    return out.where("name <> '' and link <> ''")
+    out = part.select(key, "pos", F.regexp_extract("card", r'href="([^"]+)"', 1).alias("link"), F.regexp_extract("card", r">([^<>]{3,})<", 1).alias("_name"), photos.alias("photos"), F.regexp_replace(F.concat(F.lit("" if marker.endswith(">") else "<"), F.col("card")), "<[^>]*>?", " ").alias("_text"))
+    out = out.where("_name <> '' and link <> ''").withColumns({"name": F.trim(unescaped(F.col("_name"))), "_text": F.trim(F.regexp_replace(unescaped(F.col("_text")), r"(?U)\s+", " "))})
+    blurb = F.when(F.length("_text") <= 170, F.col("_text")).otherwise(F.concat(F.regexp_replace(F.substring("_text", 1, 168), r"(?s) [^ ]*\z", ""), F.lit("…")))
+    return out.select(key, "pos", "link", "name", "photos", blurb.alias("blurb"))
 
 
 def strict_json(spark: SparkSession, path: str, schema: str, key: str, one_list: bool = True) -> tuple[DataFrame, DataFrame]:
