@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, MapType, StringType, StructField, StructType
 
 def _rows(**fields) -> ArrayType:
     return ArrayType(StructType([StructField(k, t) for k, t in fields.items()]))
@@ -115,3 +115,33 @@ def values_named(nodes: Column, names: tuple[str, ...], kinds: tuple[str, ...] =
     """The values of the nodes of these names and kinds."""
     wanted = F.filter(nodes, lambda x: x["name"].isin(*names) & x["kind"].isin(*kinds))
     return F.transform(wanted, lambda x: x["value"])
+
+
+def _fields(texts: list[str | None]) -> list[list[tuple[str, str]] | None]:
+    out = []
+    for text in texts:
+        try:
+            document = parsed(text or "")
+        except ValueError:
+            document = None
+        out.append([(k, _canonical(v)) for k, v in document.items()] if isinstance(document, dict) else None)
+    return out
+
+
+def _canonical(value) -> str:
+    """JSON without blanks, names in order, numbers as they are written."""
+    if isinstance(value, _Number):
+        return str(value)
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{_canonical(value[k])}" for k in sorted(value)) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(_canonical, value)) + "]"
+    return json.dumps(value, ensure_ascii=False)
+
+
+@F.arrow_udf(ArrayType(MapType(_TEXT, _TEXT)))
+def json_fields(documents: pa.Array) -> pa.Array:
+    """Of each of an array of JSON objects its fields as canonical JSON, so that texts and numbers differ; null for what is
+    no object."""
+    kind = pa.list_(pa.map_(pa.string(), pa.string()))
+    return pa.array([None if texts is None else _fields(texts) for texts in documents.to_pylist()], kind)
