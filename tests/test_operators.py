@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from wayforge.functions import text as T
-from wayforge.operators import feeds, geo, matching, pricing, publish, ranking, worksets
+from wayforge.operators import feeds, geo, matching, pricing, publish, ranking, textjobs, worksets
 from wayforge.sources import pages as P
 from wayforge.streaming import picks
 
@@ -316,3 +316,15 @@ def test_circular_and_haversine(spark):
     assert {r.n: (r.previous, r.next) for r in ring.collect()} == {1: (3, 2), 2: (1, 3), 3: (2, 1)}
     km = spark.range(1).select(geo.haversine(F.lit(47.4979), F.lit(19.0402), F.lit(51.5074), F.lit(-0.1278)).alias("km")).first().km
     assert 1440 < km < 1460
+
+
+def test_ten_thousand_phrases_in_one_pass(spark):
+    rules = spark.range(10_000).select((10_000 - F.col("id")).alias("priority"), F.concat(F.lit("label-"), F.col("id") % 7).alias("label"), F.concat(F.lit("Phrase number "), "id").alias("phrase"))
+    texts = ["see phrase NUMBER 77 and Phrase number 4.", "phrase number 777777", "xphrase number 5", None, "", "phrase number 9999", "phrase number 3 phrase number 30"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    got = {r.id: r._phrase and (r._phrase.priority, r._phrase.label) for r in textjobs.matched_phrases(df, "t", rules).collect()}
+    assert got == {0: (9923, "label-0"), 1: None, 2: None, 3: None, 4: None, 5: (1, "label-3"), 6: (9970, "label-2")}
+    none = df.select("id", F.lit("").alias("label")).limit(0)
+    many = [(k, "late", f"^never {k}$") for k in range(600)] + [(700, "regex", "777777"), (9923, "a-first", "see")]
+    got = {r.id: (r.label, r.by) for r in textjobs.classify(df, "id", "t", many, none, phrases=rules).collect()}
+    assert got[0] == ("a-first", "rule") and got[1] == ("regex", "rule") and got[2] == ("review", "none") and got[5] == ("label-3", "rule")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import functools
+from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,32 +80,141 @@ def surcharges(df: DataFrame, key: str, text: str) -> DataFrame:
     return rows.groupBy(key, same.alias("_same")).agg(F.min("amount").alias("amount"), F.first("unit").alias("unit"), F.min("sentence").alias("sentence")).drop("_same")
 
 
-#: Rows of a rule table that one plan takes as conditions.
-MOST_RULES = 500
-
-
-def classify(df: DataFrame, key: str, text: str, rules: list[tuple[int, str, str]], curated: DataFrame, default: str = "review") -> DataFrame:
-    """(key, label, by): rules (priority, label, pattern), the first that matches; curated keys (key, label) win.
-
-    Rules are a parameter: they become one expression over each text, and none is joined."""
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"more than {MOST_RULES} rules")
-    rule = functools.reduce(lambda other, r: F.when(F.col(text).rlike(r[2]), r[1]).otherwise(other), sorted(rules, reverse=True), F.lit(None).cast("string"))
+#: Rules in one condition of a plan, and bytes of phrases in one automaton.
+CONDITION_RULES, AUTOMATON_BYTES = 500, 64 << 20
+
+
+def matched_rule(rules: list[tuple]) -> Column:
+    """(priority, label) of the first rule that matches; rules: (priority, label, pattern, column).
+
+    Rules are tried in order of priority until one matches; each column is a text of the row."""
+    rules = sorted(rules, key=lambda r: (r[0], r[1]))
+    parts = []
+    for i in range(0, len(rules), CONDITION_RULES):
+        cases = None
+        for priority, label, pattern, column in rules[i : i + CONDITION_RULES]:
+            hit, found = F.col(column).rlike(pattern), F.struct(F.lit(priority).cast("long").alias("priority"), F.lit(label).alias("label"))
+            cases = F.when(hit, found) if cases is None else cases.when(hit, found)
+        parts.append(cases)
+    return F.coalesce(*parts, F.lit(None).cast("struct<priority:bigint,label:string>"))
+
+
+def matched_phrases(df: DataFrame, text: str, rules: DataFrame, name: str = "_phrase") -> DataFrame:
+    """df with ``name``: (priority, label) of the first rule, by priority and label, whose phrase stands in the text, or null.
+
+    rules: (priority long, label, phrase). Phrases are literal, letters of either case, and begin and end where words do. All
+    phrases are found in one pass over a text by an automaton. Rules are taken in parts of AUTOMATON_BYTES, so what is
+    collected and broadcast is bounded however many there are; each further part is one more pass. Empty phrases match
+    nothing; a null text has no rule."""
+    spark = df.sparkSession
+    rules = rules.select(F.col("priority").cast("long"), "label", F.lower("phrase").alias("phrase")).where("phrase <> ''")
+    size = rules.agg(F.sum(F.octet_length("phrase"))).first()[0] or 0
+    parts = size // AUTOMATON_BYTES + 1
+    kind = pa.struct([("priority", pa.int64()), ("label", pa.string())])
+    at = df.columns.index(text)
+    out = df.withColumn(name, F.lit(None).cast("struct<priority:bigint,label:string>"))
+    schema = out.schema
+    for part in range(parts):
+        own = rules.where(F.pmod(F.xxhash64("phrase"), F.lit(parts)) == part).groupBy("phrase").agg(F.min(F.struct("priority", "label")).alias("r"))
+        held = spark.sparkContext.broadcast([(r["phrase"], r["r"]["priority"], r["r"]["label"]) for r in own.toLocalIterator()])
+
+        def run(batches, held=held):
+            import ahocorasick
+
+            automaton = ahocorasick.Automaton()
+            for phrase, priority, label in held.value:
+                automaton.add_word(phrase, (priority, label, len(phrase)))
+            automaton.make_automaton()
+
+            def first(value: str | None, best):
+                if not value or not len(automaton):
+                    return best
+                value = value.lower()
+                for end, (priority, label, size) in automaton.iter(value):
+                    start = end - size + 1
+                    inside = (start > 0 and value[start - 1].isalnum() and value[start].isalnum()) or (value[end].isalnum() and value[end + 1 : end + 2].isalnum())
+                    if not inside and (best is None or (priority, label) < best):
+                        best = (priority, label)
+                return best
+
+            for batch in batches:
+                old = [x and (x["priority"], x["label"]) for x in batch.column(batch.num_columns - 1).to_pylist()]
+                found = [first(x, b) for x, b in zip(batch.column(at).to_pylist(), old)]
+                rows = [None if x is None else {"priority": x[0], "label": x[1]} for x in found]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(rows, kind)], schema.names)
+
+        out = out.mapInArrow(run, schema)
+    return out
+
+
+def classify(df: DataFrame, key: str, text: str, rules: list[tuple], curated: DataFrame, default: str = "review", phrases: DataFrame | None = None) -> DataFrame:
+    """(key, label, by): the first rule by priority that matches; curated keys (key, label) win, and rows without any have the
+    default label.
+
+    rules: (priority, label, pattern) on the text, or (priority, label, pattern, column) on another column; ``phrases``: a
+    table of literal rules (priority, label, phrase) of any size on the text. Of rules of equal priority the first label counts."""
+    some = matched_phrases(df, text, phrases) if phrases is not None else df.withColumn("_phrase", F.lit(None).cast("struct<priority:bigint,label:string>"))
+    rule = F.array_min(F.array(matched_rule([r if len(r) > 3 else (*r, text) for r in rules]), F.col("_phrase")))["label"]
     c = curated.select(key, F.col("label").alias("_curated"))
-    out = df.select(key, rule.alias("_rule")).join(c, key, "left")
+    out = some.select(key, rule.alias("_rule")).join(c, key, "left")
     by = F.when(F.col("_curated").isNotNull(), "curated").when(F.col("_rule").isNotNull(), "rule").otherwise("none")
     return out.select(key, F.coalesce("_curated", "_rule", F.lit(default)).alias("label"), by.alias("by"))
 
 
-def conditional_prices(df: DataFrame, key: str, text: str, rules: list[tuple[str, str, str, str]]) -> DataFrame:
-    """(key, kind, amount, unit, minimum): rules (kind, pattern with the amount as group 1, unit, pattern of a minimum);
-    each rule that matches gives a row."""
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"more than {MOST_RULES} rules")
-    t = F.col(text)
-    number = lambda pattern: F.regexp_extract(t, pattern, 1).try_cast("int")
-    rows = [F.when(t.rlike(pattern), F.struct(F.lit(kind).alias("kind"), T.amount(F.regexp_extract(t, pattern, 1)).alias("amount"), F.lit(unit).alias("unit"), number(minimum).alias("minimum"))) for kind, pattern, unit, minimum in rules]
-    return df.select(key, F.explode(F.array_compact(F.array(*rows))).alias("_r")).select(key, "_r.*")
+#: Wording of what is sold as an experience; all else is a venue.
+PRODUCT_LINK, TOUR_KIND = "AttractionProductReview", "(?i)tour|cruise|crawl|safari|sightseeing|day trip|transfer|lesson|workshop|class"
+TOUR_NAME = r"(?i)\btour\b|\bcrawl\b|\bcruise\b|\bexperience\b|\btasting\b|\bclass\b|transfer|sightseeing|guided|\bticket\b|admission|\bpass\b"
+EXPERIENCE = [(1, "experience", PRODUCT_LINK, "url"), (2, "experience", TOUR_KIND, "subtype"), (3, "experience", TOUR_NAME, "name")]
+
+
+@dataclass(frozen=True)
+class PriceRule:
+    """How a text states a price under a condition: a pattern and the numbers of its groups for the amount and, if it has them,
+    another amount, the least number and the unit; a unit and scope that hold for all; the condition in words, in which
+    {amount}, {other}, {least} and {unit} stand for what was found. Without an amount the rule only states unit and scope."""
+
+    kind: str
+    pattern: str
+    condition: str
+    amount: int = 0
+    other: int = 0
+    least: int = 0
+    unit_group: int = 0
+    unit: str = ""
+    scope: str = ""
+
+
+_MONEY = T.MONEY.removeprefix("(?i)")
+#: Wording of charges for larger parties, refunds of parts, hourly rates that are deposits, storage by the hour.
+PRICE_RULES = [
+    PriceRule("group", rf"(?is)\bgroups?\s+of\s+(\d+)\s+or\s+more\b.{{0,280}}?{_MONEY}\s*(?:/|\bper\b)\s*(person|adult)\b", "Groups of {least} or more: minimum {amount} per {unit}.", 2, least=1, unit_group=3),
+    PriceRule("reservation", rf"(?is)\bmaximum\s+(?:(?:number|group)\s+)?(?:allowed\s+)?(\d+)\s+people\s+per\s+reservation\b.{{0,180}}?\bif\s+you\s+are\s+more\b.{{0,80}}?{_MONEY}\s*(?:/|\bper\b)\s*(adult|person)\b", "Reservations over {least} people: {amount} per {unit}.", 2, least=1, unit_group=3),
+    PriceRule("refund", rf"(?is)\bin\s+winter\b.{{0,420}}?\b(?:refund|return|give\s+you\s+back)\b\s*{_MONEY}\s*/\s*{_MONEY}", "For a winter date: {amount} refund (also stated as {other}).", 1, other=2, scope="refund"),
+    PriceRule("deposit", r"(?i)\bthe\s+booking\s+price\s+is\s+the\s+hourly\s+rate\s+and\s+functions?\s+as\s+a\s+deposit\b", "The displayed amount is the hourly rate and the deposit; the final cost depends on the hours.", unit="hour", scope="deposit"),
+    PriceRule("storage", rf"(?is)\b(?:luggage|storage\s+boxes?|lockers?)\b.{{0,220}}?{_MONEY}\s*/\s*hour\b.{{0,100}}?\(?(\d+)\s+hours?\s+min(?:imum)?\b", "Minimum {least} hours", 1, least=2, unit="hour"),
+]
+
+
+def conditional_prices(df: DataFrame, key: str, text: str, rules: list[PriceRule]) -> DataFrame:
+    """(key, kind, pos, amount, currency, other, unit, scope, least, condition): every place where a rule's wording stands, from 0
+    in each rule; amounts without a number are left out. Texts are squeezed first."""
+    df = df.select(key, T.squeezed(F.col(text)).alias("_t"))
+
+    def rows(r: PriceRule) -> Column:
+        group = lambda n, i: F.get(F.regexp_extract_all("_t", F.lit(r.pattern), n), i) if n else F.lit(None).cast("string")
+
+        def row(whole: Column, i: Column) -> Column:
+            money, other, unit = group(r.amount, i), group(r.other, i), F.lower(group(r.unit_group, i)) if r.unit_group else F.lit(r.unit)
+            label = lambda m: F.concat_ws(" ", T.currency(m), T.amount(m).cast("string"))
+            words = F.lit(r.condition)
+            for name, value in (("amount", label(money)), ("other", label(other)), ("least", F.coalesce(group(r.least, i), F.lit(""))), ("unit", unit)):
+                words = F.replace(words, F.lit("{" + name + "}"), value) if "{" + name + "}" in r.condition else words
+            return F.struct(F.lit(r.kind).alias("kind"), i.alias("pos"), T.amount(money).alias("amount"), T.currency(money).alias("currency"), T.amount(other).alias("other"), unit.alias("unit"), F.lit(r.scope).alias("scope"), group(r.least, i).try_cast("int").alias("least"), words.alias("condition"), F.lit(r.amount > 0).alias("priced"))
+
+        return F.transform(F.regexp_extract_all("_t", F.lit(r.pattern), 0), row)
+
+    found = df.select(key, F.explode(F.flatten(F.array(*map(rows, rules)))).alias("_r")).select(key, "_r.*")
+    return found.where("amount is not null or not priced").drop("priced")
 
 
 def weak_evidence(description: Column, reviews: Column, least_words: int = 8, least_reviews: int = 3, review_words: int = 12) -> Column:

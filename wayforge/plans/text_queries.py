@@ -137,11 +137,55 @@ def classify_rules(spark, d):
     return textjobs.classify(priced(spark, d), "doc_id", "text", RULES, curated)
 
 
-@query("SELECT doc_id, 'deposit' AS kind, CAST(10 AS DOUBLE) AS amount, '' AS unit, NULL::INTEGER AS minimum FROM documents WHERE doc_id % 5 = 0 AND text IS NOT NULL UNION ALL SELECT doc_id, 'per-hour', 15, 'hour', 12 FROM documents WHERE doc_id % 5 = 3 AND text IS NOT NULL")
+@query("""WITH n AS (SELECT count(*) AS n FROM customer), r AS (SELECT doc_id, text, least(doc_id % n, (doc_id * 7) % n) AS k FROM documents, n), c AS (SELECT doc_id FROM labels WHERE toxic = 1)
+    SELECT r.doc_id, CASE WHEN c.doc_id IS NOT NULL THEN 'hidden' WHEN text IS NULL THEN 'review' WHEN r.doc_id % 11 = 0 THEN 'first' ELSE c_mktsegment END AS label, CASE WHEN c.doc_id IS NOT NULL THEN 'curated' WHEN text IS NULL THEN 'none' ELSE 'rule' END AS "by" FROM r JOIN customer ON c_custkey = k LEFT JOIN c ON c.doc_id = r.doc_id""")
+def classify_phrases(spark, d):
+    """O-P2: a literal rule for each customer, all found in one pass over whole texts; one pattern comes before them."""
+    people, docs = read(spark, d, "customer"), read(spark, d, "documents")
+    n = F.lit(people.count())
+    named = lambda k, c: people.select(F.col("c_custkey").alias(k), F.upper("c_name").alias(c))
+    rows = docs.select("doc_id", "text", (F.col("doc_id") % n).alias("k1"), ((F.col("doc_id") * 7) % n).alias("k2")).join(named("k1", "n1"), "k1").join(named("k2", "n2"), "k2")
+    # a longer number is another word
+    text = F.concat("text", F.lit(" seen by "), "n1", F.lit("; "), "n2", F.lit(", not by Customer#0000000011"), F.when(F.col("doc_id") % 11 == 0, " marked first").otherwise(""))
+    phrases = people.select(F.col("c_custkey").alias("priority"), F.col("c_mktsegment").alias("label"), F.col("c_name").alias("phrase"))
+    curated = read(spark, d, "labels").where("toxic = 1").select("doc_id", F.lit("hidden").alias("label"))
+    return textjobs.classify(rows.select("doc_id", text.alias("text")), "doc_id", "text", [(0, "first", "marked first$")], curated, phrases=phrases)
+
+
+#: (address, subtype, name, label) of listings.
+LISTED = [
+    ("/AttractionProductReview-g1-d2-x.html", "", "Thermal bath", "experience"), ("/Attraction_Review-g1-d2-x.html", "Day trips", "Szentendre", "experience"), ("/Attraction_Review-g1-d2-x.html", "Museum", "City Pass office", "experience"),
+    ("/Attraction_Review-g1-d2-x.html", "Museum", "House of Music", "venue"), ("/Attraction_Review-g1-d2-x.html", "", "Tourist street passage", "venue"), ("", "Cooking Class", "", "experience"), ("", "", "Guided walk", "experience"), ("", "Park", "Contour garden", "venue"),
+]
+
+
+@query(f"SELECT p_partkey, label, CASE label WHEN 'venue' THEN 'none' ELSE 'rule' END AS \"by\" FROM part JOIN (VALUES {', '.join(f"({i}, '{x[3]}')" for i, x in enumerate(LISTED))}) AS v(i, label) ON p_partkey % {len(LISTED)} = i")
+def experience_or_venue(spark, d):
+    """O-P2: the rules that tell experiences from venues, on address, subtype and name."""
+    listed = spark.createDataFrame([(i, *x[:3]) for i, x in enumerate(LISTED)], "i long, url string, subtype string, name string")
+    rows = read(spark, d, "part").select("p_partkey", (F.col("p_partkey") % len(LISTED)).alias("i")).join(F.broadcast(listed), "i")  # eight rows
+    none = rows.select("p_partkey", F.lit("").alias("label")).limit(0)
+    return textjobs.classify(rows, "p_partkey", "name", textjobs.EXPERIENCE, none, default="venue")
+
+
+#: Sentences on prices under conditions, and (kind, pos, amount, currency, other, unit, scope, least, condition) of each price.
+CONDITIONS = [
+    ("Groups of 10 or more pay at least €15 per person. Also, groups of 20 or more: 12 EUR/adult.", [("group", 0, 15, "EUR", None, "person", "", 10, "Groups of 10 or more: minimum EUR 15.00 per person."), ("group", 1, 12, "EUR", None, "adult", "", 20, "Groups of 20 or more: minimum EUR 12.00 per adult.")]),
+    ("Maximum number allowed 8 people per reservation; if you are more, we ask for £20.50 per Adult.", [("reservation", 0, 20.5, "GBP", None, "adult", "", 8, "Reservations over 8 people: GBP 20.50 per adult.")]),
+    ("In winter the castle is shut\nand we give you back €5 / €6.50 at the door.", [("refund", 0, 5, "EUR", 6.5, "", "refund", None, "For a winter date: EUR 5.00 refund (also stated as EUR 6.50).")]),
+    ("The booking price is the hourly rate and functions as a deposit.", [("deposit", 0, None, None, None, "hour", "deposit", None, "The displayed amount is the hourly rate and the deposit; the final cost depends on the hours.")]),
+    ("Luggage in our storage boxes: $3/hour (2 hours minimum).", [("storage", 0, 3, "USD", None, "hour", "", 2, "Minimum 2 hours")]),
+    ("Groups are welcome, from €15 on. Lockers are free for an hour.", []),
+]
+_ROWS = ", ".join("(" + ", ".join([str(i), *("NULL" if x is None else f"'{x}'" if isinstance(x, str) else str(x) for x in row)]) + ")" for i, (_, found) in enumerate(CONDITIONS) for row in found)
+
+
+@query(f"SELECT doc_id, kind, pos::INTEGER AS pos, amount::DOUBLE AS amount, currency, other::DOUBLE AS other, unit, scope, least::INTEGER AS least, condition FROM documents JOIN (VALUES {_ROWS}) AS v(i, kind, pos, amount, currency, other, unit, scope, least, condition) ON doc_id % {len(CONDITIONS)} = i WHERE text IS NOT NULL")
 def conditional_prices(spark, d):
-    """O-X21: a table of patterns with the amount, its unit and a condition."""
-    rules = [("per-hour", "pay from (€[0-9]+) per hour", "hour", "over ([0-9]+) pay"), ("deposit", "deposit of (€[0-9]+)", "", "deposit over ([0-9]+)")]
-    return textjobs.conditional_prices(priced(spark, d), "doc_id", "text", rules).withColumn("amount", F.col("amount").cast("double"))
+    """O-X21: prices under conditions at the ends of whole documents: unit, scope, least number and the condition in words."""
+    text = F.concat(F.translate("text", "$€£¥", ""), F.lit(" "), planted(CONDITIONS))
+    found = textjobs.conditional_prices(read(spark, d, "documents").select("doc_id", text.alias("text")), "doc_id", "text", textjobs.PRICE_RULES)
+    return found.withColumns({c: F.col(c).cast("double") for c in ("amount", "other")})
 
 
 #: Frequent words of the tables' languages.
