@@ -149,7 +149,7 @@ def classify_phrases(spark, d):
     text = F.concat("text", F.lit(" seen by "), "n1", F.lit("; "), "n2", F.lit(", not by Customer#0000000011"), F.when(F.col("doc_id") % 11 == 0, " marked first").otherwise(""))
     phrases = people.select(F.col("c_custkey").alias("priority"), F.col("c_mktsegment").alias("label"), F.col("c_name").alias("phrase"))
     curated = read(spark, d, "labels").where("toxic = 1").select("doc_id", F.lit("hidden").alias("label"))
-    return textjobs.classify(rows.select("doc_id", text.alias("text")), "doc_id", "text", [(0, "first", "marked first$")], curated, phrases=phrases)
+    return textjobs.classify(rows.select("doc_id", text.alias("text")), "doc_id", "text", [(-1, "first", "marked first$")], curated, phrases=phrases)
 
 
 #: (address, subtype, name, label) of listings.
