@@ -93,3 +93,25 @@ def test_clipped_like_the_rule(texts, limit):
     for r in df.collect():
         assert r.c == reference_clip(texts[r.i], limit)
         assert len(r.c) <= limit
+
+
+def test_stale_files_are_not_opened(spark, tmp_path):
+    import os
+
+    now = 1_700_000_000
+    for name, age in (("a-1", 30), ("a-2", 5), ("b-1", 30), ("b-2", 40), ("c-9", 1), ("c-10", 3), ("noise", 0)):
+        (tmp_path / f"{name}.html").write_text(f"<p>{name}")
+        os.utime(tmp_path / f"{name}.html", (now - age * 3600,) * 2)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    as_of = F.timestamp_seconds(F.lit(now))
+    found = lambda **more: P.newest_files(spark, str(tmp_path), "/([a-z])-[0-9]+[.]html$", **more)
+    name = lambda df: {r.key: r.html for r in df.collect()}
+    fresh = found(as_of=as_of)
+    assert name(fresh) == {"a": "<p>a-2", "c": "<p>c-9"}
+    assert sorted(p.rpartition("/")[2] for p in fresh.inputFiles()) == ["a-2.html", "c-9.html"]  # the plan has no other file
+    assert name(found(as_of=as_of, version="-([0-9]+)[.]html$")) == {"a": "<p>a-2", "c": "<p>c-10"}
+    assert name(found(as_of=as_of, mode="offline")) == {"a": "<p>a-2", "b": "<p>b-1", "c": "<p>c-9"}
+    assert found(as_of=as_of, mode="refresh").count() == 0
+    assert P.scan_files(spark, str(tmp_path), modified_after="2023-11-14T20:00:00").count() == 2
+    listed = P.scan_files(spark, str(tmp_path)).select("path", "fetched_at")._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in listed.split("ReadSchema")[-1]

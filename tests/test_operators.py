@@ -328,3 +328,22 @@ def test_ten_thousand_phrases_in_one_pass(spark):
     many = [(k, "late", f"^never {k}$") for k in range(600)] + [(700, "regex", "777777"), (9923, "a-first", "see")]
     got = {r.id: (r.label, r.by) for r in textjobs.classify(df, "id", "t", many, none, phrases=rules).collect()}
     assert got[0] == ("a-first", "rule") and got[1] == ("regex", "rule") and got[2] == ("review", "none") and got[5] == ("label-3", "rule")
+
+
+def test_long_groups_in_blocks(spark):
+    rng = random.Random(8)
+    rows = [(g, pos, rng.randrange(5)) for g, n in (("a", 200), ("b", 1), ("c", 37)) for pos in sorted(rng.sample(range(900), n))]
+    df = spark.createDataFrame(rows, "g string, pos long, v long")
+    want, ring = {}, {}
+    for g in "abc":
+        own = [(p, v) for h, p, v in rows if h == g]
+        for i, (p, v) in enumerate(own):
+            so_far = [x for _, x in own[: i + 1]]
+            want[g, p] = (sum(so_far), max((x for x in so_far if x != 4), default=None))
+            ring[g, p] = (own[i - 1][1], own[(i + 1) % len(own)][1], own[i - 1][1] if i else None, own[i + 1][1] if i + 1 < len(own) else None)
+    for size in (7, 64, 10_000):
+        got = ranking.running(df, ["g"], "pos", {"s": F.col("v")}, {"m": F.when(F.col("v") != 4, F.col("v"))}, size)
+        assert {(r.g, r.pos): (r.s, r.m) for r in got.collect()} == want and got.columns == ["g", "pos", "v", "s", "m"]
+        a = ranking.adjacent(df, ["g"], "pos", F.col("v"), True, size).withColumnsRenamed({"previous": "rp", "next": "rn"})
+        b = ranking.adjacent(a, ["g"], "pos", F.col("v"), False, size)
+        assert {(r.g, r.pos): (r.rp, r.rn, r.previous, r.next) for r in b.collect()} == ring

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayforge.operators.ranking import positioned
+from wayforge.operators.ranking import positioned, running
 
 PAGE, MIN_UNIQUE, MAX_PAGES, TAIL, KEEPERS = 30, 90, 20, 10, 2
 
@@ -24,10 +24,9 @@ def feed_rank(pages: DataFrame, feed: str, identity: str, size: int = PAGE) -> D
 
 def new_ids(pages: DataFrame, feed: str, identity: str) -> DataFrame:
     """(feed, page, rows, new, unique_so_far)."""
-    seen = pages.withColumn("_first", F.row_number().over(Window.partitionBy(feed, identity).orderBy("pos")) == 1)
-    per = seen.groupBy(feed, "page").agg(F.count("*").alias("rows"), F.count_if("_first").alias("new"))
-    w = Window.partitionBy(feed).orderBy("page").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return per.withColumn("unique_so_far", F.sum("new").over(w))
+    first = pages.groupBy(feed, identity).agg(F.min(F.struct("pos", "page")).alias("_f")).groupBy(feed, F.col("_f.page").alias("page")).agg(F.count("*").alias("_new"))
+    per = pages.groupBy(feed, "page").agg(F.count("*").alias("rows")).join(first, [feed, "page"], "left").withColumn("new", F.coalesce("_new", F.lit(0).cast("long")))
+    return running(per, [feed], "page", {"unique_so_far": F.col("new")}).select(feed, "page", "rows", "new", "unique_so_far")
 
 
 def tail_strength(pages: DataFrame, feed: str, strong: Column, tail: int = TAIL) -> DataFrame:
@@ -38,12 +37,13 @@ def tail_strength(pages: DataFrame, feed: str, strong: Column, tail: int = TAIL)
 
 def depth_decision(pages: DataFrame, feed: str, cap: int = MAX_PAGES, least: int = MIN_UNIQUE, keepers: int = KEEPERS) -> DataFrame:
     """pages: (feed, page, new, unique_so_far, strong). The first rule that holds decides for each page."""
-    has_next = F.lead("page").over(Window.partitionBy(feed).orderBy("page")).isNotNull()
+    last = pages.groupBy(feed).agg(F.max("page").alias("_last"))
+    has_next = F.col("page") < F.col("_last")
     decision = (
         F.when(~has_next, "stop: last page").when(F.col("new") == 0, "stop: no new ids").when(F.col("page") + 1 >= cap, "stop: page cap")
         .when(F.col("unique_so_far") < least, "go: too few").when(F.col("strong") >= keepers, "go: strong tail").otherwise("stop: weak tail")
     )
-    return pages.withColumn("decision", decision)
+    return pages.join(last, feed).withColumn("decision", decision).drop("_last")
 
 
 def stop_pages(decided: DataFrame, feed: str) -> DataFrame:
@@ -53,10 +53,11 @@ def stop_pages(decided: DataFrame, feed: str) -> DataFrame:
 def weak_streaks(decided: DataFrame, feed: str) -> DataFrame:
     """The number of weak tails in a row up to each page; any other page resets it."""
     weak = F.col("decision") == "stop: weak tail"
-    w = Window.partitionBy(feed).orderBy("page")
-    islands = decided.withColumn("_reset", F.sum(F.when(weak, 0).otherwise(1)).over(w))
-    streak = F.sum(F.when(weak, 1).otherwise(0)).over(Window.partitionBy(feed, "_reset").orderBy("page"))
-    return islands.withColumn("streak", streak.cast("long")).withColumn("stop", F.col("streak") >= 2).drop("_reset")
+    # weak tails so far, less those up to the last page that is none
+    counted = running(decided, [feed], "page", {"_weak": F.when(weak, 1).otherwise(0)})
+    last = running(counted, [feed], "page", {}, {"_reset": F.when(~weak, F.col("_weak"))})
+    streak = (F.col("_weak") - F.coalesce("_reset", F.lit(0))).cast("long")
+    return last.withColumn("streak", streak).withColumn("stop", F.col("streak") >= 2).drop("_weak", "_reset")
 
 
 def first_wins(pages: DataFrame, identity: str, feed: str) -> DataFrame:

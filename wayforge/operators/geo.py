@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wayforge.operators.ranking import adjacent
+
 EARTH_KM = 6371.0
 
 
@@ -15,10 +17,32 @@ def haversine(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
 
 def loop_legs(stops: DataFrame, loop: str, pos: str, anchor: tuple[float, float]) -> DataFrame:
     """stops with leg_km: from each stop to the next, from the last one to the anchor, and start_km from the anchor to the first."""
-    w = Window.partitionBy(loop).orderBy(pos)
-    lat, lng = (F.coalesce(F.lead(c).over(w), F.lit(a)) for c, a in zip(("lat", "lng"), anchor))
-    first = F.when(F.row_number().over(w) == 1, haversine(F.lit(anchor[0]), F.lit(anchor[1]), F.col("lat"), F.col("lng"))).otherwise(0.0)
-    return stops.withColumns({"leg_km": haversine(F.col("lat"), F.col("lng"), lat, lng), "start_km": first})
+    on = adjacent(stops, [loop], pos, F.struct("lat", "lng"))
+    lat, lng = (F.coalesce(F.col("next")[c], F.lit(a)) for c, a in zip(("lat", "lng"), anchor))
+    first = F.when(F.col("previous").isNull(), haversine(F.lit(anchor[0]), F.lit(anchor[1]), F.col("lat"), F.col("lng"))).otherwise(0.0)
+    return on.withColumns({"leg_km": haversine(F.col("lat"), F.col("lng"), lat, lng), "start_km": first}).drop("previous", "next")
+
+
+def bounding_box(points: DataFrame, anchor: tuple[float, float]) -> DataFrame:
+    """One row (south, north, west, east) around points (lat, lng) and the anchor; points without coordinates are left out."""
+    lat, lng = (F.lit(x) for x in anchor)
+    ends = points.agg(F.min("lat").alias("a"), F.max("lat").alias("b"), F.min("lng").alias("c"), F.max("lng").alias("d"))
+    return ends.select(F.least("a", lat).alias("south"), F.greatest("b", lat).alias("north"), F.least("c", lng).alias("west"), F.greatest("d", lng).alias("east"))
+
+
+#: Latitudes and longitudes of the country.
+COUNTRY = (45.7, 48.7, 16, 23)
+
+
+def inside(lat: Column, lng: Column, box: tuple[float, float, float, float] = COUNTRY) -> Column:
+    """Whether coordinates are in a box (south, north, west, east); missing ones, and ones that are no number, are not."""
+    south, north, west, east = box
+    return F.coalesce(lat.between(south, north) & lng.between(west, east), F.lit(False))
+
+
+def unshown_beats(beats: DataFrame, subjects: DataFrame, by: list[str]) -> DataFrame:
+    """The distinct beats of stories (columns ``by``) that no picture of the same stop shows."""
+    return beats.select(*by).distinct().join(subjects.select(*by).distinct(), by, "left_anti")
 
 
 def resolve_routes(routes: DataFrame, stops: DataFrame) -> DataFrame:
@@ -33,9 +57,7 @@ def resolve_routes(routes: DataFrame, stops: DataFrame) -> DataFrame:
 
 def circular_neighbours(df: DataFrame, group: str, pos: str, value: str) -> DataFrame:
     """(group, value, previous, next) in a ring."""
-    w = Window.partitionBy(group).orderBy(pos)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return df.select(group, value, F.coalesce(F.lag(value).over(w), F.last(value).over(whole)).alias("previous"), F.coalesce(F.lead(value).over(w), F.first(value).over(whole)).alias("next"))
+    return adjacent(df, [group], pos, F.col(value), ring=True).select(group, value, "previous", "next")
 
 
 def gallery_issues(photos: DataFrame, stop: str, src: str, per_stop: int = 5, pattern: str = r"^images/[a-z0-9-]+\.webp$") -> DataFrame:

@@ -70,3 +70,43 @@ def sort_modes(df: DataFrame, group: str, modes: dict[str, list]) -> DataFrame:
     for name, order in modes.items():
         df = positioned(df, order, (group,)).withColumnRenamed("position", name)
     return df
+
+
+#: Places in a block of a long group.
+BLOCK = 10_000
+
+
+def _blocks(df: DataFrame, group: list[str], order: str, size: int, **totals: Column) -> tuple[DataFrame, DataFrame]:
+    """df with its blocks of so many places, and one row with the totals of each block that has any."""
+    cut = df.withColumn("_block", F.floor(F.col(order) / size))
+    return cut, cut.groupBy(*group, "_block").agg(*(c.alias(n) for n, c in totals.items()))
+
+
+def running(df: DataFrame, group: list[str], order: str, sums: dict[str, Column], maxima: dict[str, Column] | None = None, size: int = BLOCK) -> DataFrame:
+    """df with sums and maxima of the expressions over the rows of the group so far, this one among them; 0 and null at first.
+
+    order is a number that no two rows of a group share. Groups may be of any length: each is cut in blocks of ``size``
+    places, the blocks' totals are carried on from one to the next, and no task sees more than a block or the totals."""
+    maxima = maxima or {}
+    cut, totals = _blocks(df, group, order, size, **{n: F.sum(c) for n, c in sums.items()}, **{n: F.max(c) for n, c in maxima.items()})
+    before = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(*group, "_block", *(F.sum(n).over(before).alias(f"_{n}") for n in sums), *(F.max(n).over(before).alias(f"_{n}") for n in maxima))
+    inside = Window.partitionBy(*group, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    here = cut.withColumns({n: F.sum(c).over(inside) for n, c in sums.items()} | {n: F.max(c).over(inside) for n, c in maxima.items()})
+    out = here.join(carry, [*group, "_block"])
+    return out.withColumns({n: F.coalesce(F.col(n), F.lit(0)) + F.coalesce(F.col(f"_{n}"), F.lit(0)) for n in sums} | {n: F.greatest(F.col(n), F.col(f"_{n}")) for n in maxima}).drop("_block", *(f"_{n}" for n in (*sums, *maxima)))
+
+
+def adjacent(df: DataFrame, group: list[str], order: str, value: Column, ring: bool = False, size: int = BLOCK) -> DataFrame:
+    """df with ``previous`` and ``next``: the value of the rows before and after in the group, null at its ends or, in a ring,
+    that of the other end. Groups are cut in blocks as in ``running``."""
+    named = df.withColumn("_value", value)
+    cut, ends = _blocks(named, group, order, size, _first=F.min_by(F.struct("_value"), order), _last=F.max_by(F.struct("_value"), order))
+    line = Window.partitionBy(*group).orderBy("_block")
+    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    carry = ends.select(*group, "_block", F.lag("_last").over(line).alias("_before"), F.lead("_first").over(line).alias("_after"), F.first("_first").over(whole).alias("_head"), F.last("_last").over(whole).alias("_tail"))
+    inside = Window.partitionBy(*group, "_block").orderBy(order)
+    own = F.struct("_value")
+    here = cut.withColumns({"_p": F.lag(own).over(inside), "_n": F.lead(own).over(inside)}).join(carry, [*group, "_block"])
+    p, n = F.coalesce("_p", "_before", *(["_tail"] if ring else [])), F.coalesce("_n", "_after", *(["_head"] if ring else []))
+    return here.select(*df.columns, p["_value"].alias("previous"), n["_value"].alias("next"))

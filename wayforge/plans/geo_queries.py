@@ -34,14 +34,13 @@ def loop_length(spark, d):
 @query(f"WITH {STOPS} SELECT least(min(lat), 47.4979) AS south, greatest(max(lat), 47.4979) AS north, least(min(lng), 19.0402) AS west, greatest(max(lng), 19.0402) AS east FROM stops WHERE stop_id % 3 = 0")
 def bounding_box(spark, d):
     """O-A18: of the visible points and the anchor."""
-    box = stops(spark, d).where("stop_id % 3 = 0").agg(F.min("lat").alias("a"), F.max("lat").alias("b"), F.min("lng").alias("c"), F.max("lng").alias("e"))
-    return box.select(F.least("a", F.lit(ANCHOR[0])).alias("south"), F.greatest("b", F.lit(ANCHOR[0])).alias("north"), F.least("c", F.lit(ANCHOR[1])).alias("west"), F.greatest("e", F.lit(ANCHOR[1])).alias("east"))
+    return geo.bounding_box(stops(spark, d).where("stop_id % 3 = 0"), ANCHOR)
 
 
 @query(f"WITH {STOPS} SELECT stop_id, lat BETWEEN 45.7 AND 48.7 AND lng BETWEEN 16 AND 23 AS valid FROM stops")
 def coordinate_validity(spark, d):
     """O-Q15."""
-    return stops(spark, d).select("stop_id", (F.col("lat").between(45.7, 48.7) & F.col("lng").between(16, 23)).alias("valid"))
+    return stops(spark, d).select("stop_id", geo.inside(F.col("lat"), F.col("lng")).alias("valid"))
 
 
 @query("""SELECT s_nationkey AS loop, pos, stop_id, code FROM (SELECT s_nationkey, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS pos, CASE WHEN s_suppkey % 10 = 0 THEN -s_suppkey - 1 WHEN s_suppkey % 10 = 1 THEN s_suppkey + 1 ELSE s_suppkey END AS stop_id FROM supplier) r
@@ -76,7 +75,7 @@ def gallery_constraints(spark, d):
 def story_coverage(spark, d):
     """O-J9: beats of a story that no picture of its gallery shows."""
     words = read(spark, d, "part").select("p_partkey", F.floor(F.col("p_partkey") / 5).alias("stop"), F.explode(F.split("p_name", " ")).alias("beat"))
-    return words.where("p_partkey % 5 = 0").select("stop", "beat").distinct().join(words.where("p_partkey % 5 > 0"), ["stop", "beat"], "left_anti")
+    return geo.unshown_beats(words.where("p_partkey % 5 = 0"), words.where("p_partkey % 5 > 0"), ["stop", "beat"])
 
 
 @query("""WITH f AS (SELECT doc_id, text, octet_length(encode(text)) AS n FROM documents), c AS (SELECT *, count(*) OVER (PARTITION BY text) AS same FROM f)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wayforge.operators import feeds, inventory, ranking
@@ -59,8 +58,7 @@ def tail_strength(spark, d):
 def depth_decision(spark, d):
     """O-W5."""
     decided = feeds.depth_decision(feed_pages(spark, d), "category")
-    stop = F.min(F.when(F.col("decision").startswith("stop"), F.col("page"))).over(Window.partitionBy("category"))
-    return decided.withColumn("stop_page", stop)
+    return decided.join(feeds.stop_pages(decided, "category"), "category", "left")
 
 
 @query(f"""WITH {FEED}, {STRENGTHS}, {NEW_IDS}, {TAILS}, {DECIDED},

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wayforge.plans.registry import query, read
+from wayforge.session import work_path
 from wayforge.sources import pages as P
 
 HOST_SQL = "regexp_extract(lower(url), '^https?://([^/?#:]+)', 1)"
@@ -17,6 +18,19 @@ def corpus_scan(spark, d):
     return read(spark, d, "pages").select("page_id", F.octet_length("html").cast("long").alias("bytes"), P.host(F.col("url")).alias("host"))
 
 
+@query("SELECT page_id, octet_length(encode(html)) AS bytes, (page_id % 16) % 3 AS version FROM pages")
+def newest_files(spark, d):
+    """O-S1, O-S3: pages in files of up to three versions; the newest file of each is chosen by its path, and alone opened."""
+    root = work_path(spark, "stored-pages")
+    pages = read(spark, d, "pages").withColumn("bucket", F.col("page_id") % 16).withColumn("version", F.explode(F.sequence(F.lit(0), F.col("bucket") % 3)))
+    line = F.to_json(F.struct("page_id", F.concat("html", F.when(F.col("version") < F.col("bucket") % 3, "stale").otherwise("")).alias("html")))
+    pages.select("bucket", "version", line.alias("line")).repartition("bucket", "version").write.partitionBy("bucket", "version").text(root)
+    files = P.newest_files(spark, root, "/bucket=([0-9]+)/", "/version=([0-9]+)/", glob="*.txt")
+    rows = files.select(F.regexp_extract("path", "/version=([0-9]+)/", 1).cast("long").alias("version"), F.explode(F.split("html", "\n")).alias("line")).where("line <> ''")
+    page = F.from_json("line", "page_id long, html string")
+    return rows.select(page["page_id"].alias("page_id"), F.octet_length(page["html"]).cast("long").alias("bytes"), "version")
+
+
 @query(f"""SELECT page_id, 'detail' AS kind, CASE WHEN octet_length(encode(html)) < 1200 THEN 'too-short' WHEN NOT contains(lower(html), '<html') THEN 'no-html' WHEN regexp_matches(lower(html), 'captcha|unusual traffic|verify you are human') THEN 'challenge'
     WHEN NOT regexp_matches(lower(html), '<article|<main|itemtype=') THEN 'no-semantic-markup' WHEN page_id % 9 = 0 THEN 'identity' WHEN NOT regexp_matches(lower(html), '<title>[^<]') THEN 'no-content' END AS reject_reason FROM pages
     UNION ALL SELECT page_id, 'list', CASE WHEN octet_length(encode(html)) <= 3000 THEN 'too-short' WHEN page_id % 4 = 0 THEN 'no-card' END FROM pages""")

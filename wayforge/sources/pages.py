@@ -13,12 +13,31 @@ from wayforge.functions.nested import described_nodes, percent_decoded, unescape
 from wayforge.session import work_path
 
 
-def scan_files(spark: SparkSession, path: str, glob: str = "*.html") -> DataFrame:
-    """(path, length, fetched_at, html) of stored pages."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+def scan_files(spark: SparkSession, *paths: str, glob: str = "*.html", modified_after: str | None = None) -> DataFrame:
+    """(path, length, fetched_at, html) of stored pages, in folders of any depth; files not changed after the time (UTC) are
+    left out when the folders are listed. A column that is not used, html above all, is not read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+    files = (files.option("modifiedAfter", modified_after) if modified_after else files).load(list(paths))
     return files.select("path", "length", F.col("modificationTime").alias("fetched_at"), F.col("content").cast("string").alias("html"))
 
 
+def newest_files(spark: SparkSession, path: str, key: str, version: str = "", glob: str = "*.html", as_of: Column | None = None, hours: int = 24, mode: str = "normal") -> DataFrame:
+    """(key, path, length, fetched_at, html): of the files whose path has a key (group 1 of the pattern), the newest of each,
+    by the number in group 1 of ``version`` or else by time; the freshness of ``fresh`` is that of the time.
+
+    All is chosen by what the listing knows; then the files chosen are opened and no other. Their paths go through the
+    driver, which holds the paths of the whole folder anyway when Spark lists it."""
+    listed = scan_files(spark, path, glob=glob).drop("html").withColumn("key", F.regexp_extract("path", key, 1)).where("key <> ''")
+    rank = F.regexp_extract("path", version, 1).cast("long") if version else F.lit(0).cast("long")
+    if as_of is not None or mode == "refresh":
+        listed = fresh(listed.withColumn("_own", F.col("path")), "_own", "fetched_at", as_of if as_of is not None else F.current_timestamp(), hours, mode)
+    chosen = listed.groupBy("key").agg(F.max(F.struct(rank.alias("_rank"), "fetched_at", "path")).alias("_m")).select("key", F.col("_m.path").alias("_path"))
+    paths = [r["_path"] for r in chosen.select("_path").collect()]
+    if not paths:
+        return scan_files(spark, path, glob=glob).limit(0).select(F.lit("").alias("key"), "path", "length", "fetched_at", "html")
+    return scan_files(spark, *paths, glob=glob).select(F.regexp_extract("path", key, 1).alias("key"), "path", "length", "fetched_at", "html")
+
+
 #: What a challenge page says, and what marks a page's own content.
 CHALLENGE = ("captcha", "unusual traffic", "verify you are human")
 MARKUP = r"<article|<main|itemtype=|\"@type\"\s*:\s*\"(?:localbusiness|product|touristattraction)\""
