@@ -146,19 +146,22 @@ def price_states(facts: DataFrame, packages: DataFrame, key: str) -> tuple[DataF
 AMOUNT_NAMES = ("amount", "value", "total", "price", "totalPrice", "displayPrice", "pricing")
 
 
-def price_parts(v: Column, fallback: Column) -> tuple[Column, Column]:
-    """(amount, currency) of a price given as a VARIANT: a number, or an object with one under the first of the names
-    that has one, itself or an object's; the currency is the inner object's, else the outer one's, else the fallback."""
-    number = lambda path: F.try_variant_get(v, path, "decimal(18,2)")
-    code = lambda path: F.coalesce(F.try_variant_get(v, f"{path}.currency", "string"), F.try_variant_get(v, f"{path}.currencyCode", "string"))
-    outer = F.coalesce(code("$"), fallback)
-    found = [F.when(number("$").isNotNull(), F.struct(number("$").alias("a"), fallback.alias("c")))]
+def price_parts(v: Column, fallback: Column) -> Column:
+    """Struct (amount, currency) of a price given as a VARIANT: a number, or an object with one under the first of the names
+    that has one, itself or an object's; the currency is the inner object's, else the outer one's, else the fallback.
+
+    A name is looked into only where the object has it, so most prices take a few steps. Use the struct from a column of
+    its own, lest it be made once for each part."""
+    number = lambda x, path: F.try_variant_get(x, path, "decimal(18,2)")
+    code = lambda x: F.coalesce(F.try_variant_get(x, "$.currency", "string"), F.try_variant_get(x, "$.currencyCode", "string"))
+    part = lambda amount, currency: F.struct(amount.alias("amount"), F.upper(currency).alias("currency"))
+    found = [F.when(F.is_variant_null(v), None).otherwise(part(number(v, "$"), fallback))]
     for x in AMOUNT_NAMES:
-        found.append(F.when(number(f"$.{x}").isNotNull(), F.struct(number(f"$.{x}").alias("a"), outer.alias("c"))))
-        inner = F.coalesce(*(number(f"$.{x}.{y}") for y in AMOUNT_NAMES))
-        found.append(F.when(inner.isNotNull(), F.struct(inner.alias("a"), F.coalesce(code(f"$.{x}"), outer).alias("c"))))
-    first = F.coalesce(*found)
-    return first["a"], F.upper(first["c"])
+        own = F.try_variant_get(v, f"$.{x}", "variant")
+        inner = F.coalesce(*(number(own, f"$.{y}") for y in AMOUNT_NAMES))
+        currency = F.coalesce(F.when(number(own, "$").isNull(), code(own)), code(v), fallback)
+        found.append(F.when(own.isNotNull(), part(F.coalesce(number(own, "$"), inner), currency)))
+    return F.get(F.filter(F.array(*found), lambda p: p["amount"].isNotNull()), F.lit(0))
 
 
 EVIDENCE = "travelDate string, calendar array<struct<date: string, price: variant>>, grades array<struct<title: string, status: string, price: variant, totalPrice: variant, pricing: variant>>"
@@ -172,14 +175,14 @@ def price_projection(documents: DataFrame, key: str, document: str) -> tuple[Dat
     amount) or available. packages: (key, at, title, amount, currency, availability), the currency inherited from the base."""
     e = documents.select(key, F.from_json(document, EVIDENCE).alias("e")).select(key, "e.*")
     row = F.get(F.filter("calendar", lambda r: r["date"] == F.col("travelDate")), F.lit(0))
-    amount, currency = price_parts(row["price"], F.lit("USD"))
-    e = e.select(key, "travelDate", amount.alias("base"), F.coalesce(currency, F.lit("USD")).alias("base_currency"), "grades")
+    e = e.select(key, "travelDate", price_parts(row["price"], F.lit("USD")).alias("_p"), "grades")
+    e = e.select(key, "travelDate", F.col("_p.amount").alias("base"), F.coalesce("_p.currency", F.lit("USD")).alias("base_currency"), "grades")
     g = e.select(key, "base_currency", F.posexplode("grades").alias("at", "g"))
     given = F.coalesce("g.price", "g.totalPrice", "g.pricing")
-    a, c = price_parts(given, F.col("base_currency"))
+    g = g.withColumn("_p", price_parts(given, F.col("base_currency")))
     text = F.coalesce("g.status", F.lit(""))
     state = F.when(text.rlike("(?i)sold[ -]?out"), "sold-out").when(text.rlike("(?i)unavailable|not available|failed"), "unavailable").when(text.rlike("(?i)closed"), "closed").otherwise("available")
-    packages = g.select(key, "at", "g.title", a.alias("amount"), c.alias("currency"), state.alias("availability"))
+    packages = g.select(key, "at", "g.title", "_p.amount", "_p.currency", state.alias("availability"))
     per = packages.groupBy(key).agg(F.count("*").alias("packages"), F.bool_and(F.col("availability") != "available").alias("_neg"), F.max("amount").alias("_most"))
     out = e.join(per, key, "left")
     overall = F.when(F.col("travelDate").isNull(), "date-required").when(F.col("packages").isNull(), "unknown").when(F.col("_neg"), "unavailable").when(F.col("_most") == 0, "free").when(F.col("_most").isNull(), "not-published").otherwise("available")

@@ -48,28 +48,55 @@ def foreign_sentences(df: DataFrame, key: str, text: str, markers: dict[str, lis
     return df.select(key, F.coalesce(F.exists(T.sentences(F.col(text)), bad), F.lit(False)).alias("foreign"))
 
 
+#: Bits of the filter of runs: it stands beside every text while its runs are sifted, so it has 32 KB. With over half a
+#: million runs of outputs it lets most pass and saves little; what passes is always joined exactly.
+RUN_BITS = 1 << 18
+
+
+def run_filter(runs: DataFrame, bits: int = RUN_BITS) -> DataFrame:
+    """One row (_bits): a bitmap of the hashes of runs (h), of a size that does not depend on them."""
+    at = F.pmod(F.col("h"), F.lit(bits))
+    words = runs.groupBy(F.floor(at / 64).cast("int").alias("_word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(h, {bits}) % 64 as int))")).alias("_b"))
+    every = words.union(runs.sparkSession.range(bits // 64).select(F.col("id").cast("int"), F.lit(0).cast("long")))
+    every = every.groupBy("_word").agg(F.max(F.struct(F.col("_b") != 0, "_b")).alias("_b"))  # the word, or 0 where there is none
+    return every.agg(F.array_sort(F.collect_list(F.struct("_word", F.col("_b._b").alias("b")))).alias("_w")).select(F.transform("_w", lambda x: x["b"]).alias("_bits"))  # bits / 64 entries
+
+
 def shared_runs(outputs: DataFrame, sources: DataFrame, width: int = 20) -> DataFrame:
     """(out_id, src_id, runs): distinct runs of ``width`` words that an output shares with a source.
 
-    Both have id and text. A text's runs are hashed in place; only sources that hold the hash of some output's run are
-    joined, by hash, and the runs of hits are compared as words, so whole runs are never shuffled. The outputs' hashes
-    go to every task while they are few, and are joined otherwise."""
+    Both have id and text. A text's runs are hashed in place, each distinct one once; of the sources only those runs are made
+    rows that a bitmap of the outputs' runs lets pass. Hits meet by hash and are gathered by pair of texts, which are then
+    compared word by word once, so texts are shuffled once a pair and runs never."""
+
+    words = lambda c: F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda x: x != "")
 
     def runs(df, name):
-        w = F.filter(F.split(F.lower(F.col("text")), r"[^\p{L}\p{N}]+"), lambda x: x != "")
-        rows = df.select(F.col("id").alias(name), w.alias("w")).where(F.size("w") >= width)
-        at = F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - width + 1, F.lit(1))), lambda i: F.struct(F.xxhash64(F.slice("w", i, width)).alias("h"), i.alias("at")))
-        return rows.select(name, "w", at.alias("grams"))
+        # words as hashes, made once for a text: bound as the element of a list
+        hashed = F.array(F.transform(words(F.col("text")), lambda x: F.xxhash64(x)))
+        places = lambda h: F.sequence(F.lit(1), F.greatest(F.size(h) - width + 1, F.lit(1)))
+        grams = F.transform(hashed, lambda h: F.when(F.size(h) >= width, F.transform(places(h), lambda i: F.struct(F.xxhash64(F.slice(h, i, width)).alias("h"), i.alias("at")))))
+        return df.select(F.col("id").alias(name), grams[0].alias("grams"))
 
     a, b = runs(outputs, "out_id"), runs(sources, "src_id")
     # an outer explode: from a plain one a filter would be inferred that makes the words anew for each run
-    flat = lambda df, name: df.select(name, F.explode_outer("grams").alias("g")).where("g is not null").select(name, "g.h", "g.at")
+    flat = lambda df, name: df.select(name, F.explode_outer("grams").alias("g")).where("g is not null").groupBy(name, "g.h").agg(F.min("g.at").alias("at"))
     wanted = flat(a, "out_id")
-    hits = wanted.join(flat(b, "src_id").withColumnRenamed("at", "src_at"), "h")
-    run = lambda at: F.array_join(F.slice("w", F.col(at), width), " ")
-    first = hits.join(a.select("out_id", "w"), "out_id").select("out_id", "src_id", "src_at", run("at").alias("run"))
-    both = first.join(b.select("src_id", "w"), "src_id").where(F.col("run") == run("src_at"))
-    return both.groupBy("out_id", "src_id").agg(F.count_distinct("run").alias("runs"))
+    passing = b.crossJoin(F.broadcast(run_filter(wanted)))  # one row of a fixed size
+    some = passing.select("src_id", F.filter("grams", _passes).alias("grams"))
+    hits = wanted.join(flat(some, "src_id").withColumnRenamed("at", "src_at"), "h")
+    pairs = hits.groupBy("out_id", "src_id").agg(F.collect_list(F.struct("at", "src_at")).alias("_hits"))  # distinct runs of one output
+    text = lambda df, name, c: df.select(F.col("id").alias(name), F.col("text").alias(c))
+    both = pairs.join(text(outputs, "out_id", "_a"), "out_id").join(text(sources, "src_id", "_b"), "src_id")
+    sides = F.array(F.struct(words(F.col("_a")).alias("a"), words(F.col("_b")).alias("b")))
+    same = F.transform(sides, lambda s: F.size(F.filter("_hits", lambda x: F.slice(s["a"], x["at"], width) == F.slice(s["b"], x["src_at"], width))))[0]
+    return both.select("out_id", "src_id", same.cast("long").alias("runs")).where("runs > 0")
+
+
+def _passes(gram: Column) -> Column:
+    """Whether the bitmap _bits has a gram's hash."""
+    at = F.pmod(gram["h"], F.lit(RUN_BITS))
+    return F.getbit(F.get("_bits", F.floor(at / 64).cast("int")), (at % 64).cast("int")) == 1
 
 
 def surcharges(df: DataFrame, key: str, text: str) -> DataFrame:
