@@ -26,6 +26,8 @@ from wayforge.llm.common import LOWER, Staging, as_bytes, decode, encode, mix, p
 PACK_BYTES, BLOCK_ITEMS = 8 << 20, 2_000_000
 #: Blocks that a filter is cut into at once, as bits; more are reached by merging filters and cutting again.
 FAN_BITS = 10
+#: Parts of a language whose first phrases are found apart.
+RANKED_PARTS = 16
 #: Word numbers have so many bits at most, as two of them are one remainder.
 MOST_BITS = 32
 #: What ends a piece of text; ends become full stops, tabs become blanks.
@@ -249,8 +251,11 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     one, other = cut(floor_score("a", "c1", "a23"), "c1", "a23"), cut(floor_score("a", "a12", "c3"), "a12", "c3")
     three = three.withColumn("_cut", F.when(one["score"] <= other["score"], one).otherwise(other))
     three = three.select("lang", F.concat_ws(" ", *(F.col(f"t{k}").cast("string") for k in (1, 2, 3))).alias("phrase"), "a", "_cut.l", "_cut.r", "_cut.score")
-    place = "row_number() over (partition by lang order by score desc, a desc, phrase)"
-    ranked = two.unionByName(three).withColumn("rank", F.expr(place)).where(F.col("rank") <= top)
+    # the first of each part of a language, then of those: one task gets top rows a part at most, whatever the tasks before
+    place = "row_number() over (partition by {} order by score desc, a desc, phrase)"
+    parted = two.unionByName(three).withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(RANKED_PARTS)))
+    some = parted.withColumn("_place", F.expr(place.format("lang, _part"))).where(F.col("_place") <= top)
+    ranked = some.withColumn("rank", F.expr(place.format("lang"))).where(F.col("rank") <= top)
     out = ranked.join(F.broadcast(totals) if totals.limit(10_001).count() <= 10_000 else totals, "lang")  # at most 10,000 languages
     kept = Staging(spark, "collocations-result").keep(out.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"), "result")
     staging.clear()
