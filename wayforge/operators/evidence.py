@@ -15,7 +15,7 @@ CLAIM = r"(?i)(?:[$€£¥]\s*\d(?:[\d.,]*\d)?|\d(?:[\d.,]*\d)?\s*[$€£¥]|\b(
 
 
 def redacted(c: Column) -> Column:
-    return F.regexp_replace(F.coalesce(c, F.lit("")), CLAIM, "[price omitted]")
+    return F.regexp_replace(F.coalesce(c, F.lit("")), CLAIM, "[price listed separately]")
 
 
 def package_id(given: Column, index: Column, *identity: Column) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,16 +75,23 @@ def revision(records: DataFrame, key: str) -> DataFrame:
 def report(issues: DataFrame, expected: DataFrame, present: DataFrame, key: str, source: str | None = None) -> DataFrame:
     """(part, name, n): expected, present and audited keys, missing and unexpected ones, issues by code and in all, rows by
     coverage source (a column of present), and ok, 1 if nothing is missing, unexpected or wrong."""
-    e, p = expected.select(key).distinct(), present.select(key).distinct()
-    part = lambda df, name: df.agg(F.count("*").alias("n")).select(F.lit("count").alias("part"), F.lit(name).alias("name"), "n")
-    missing, unexpected = e.join(p, key, "left_anti"), p.join(e, key, "left_anti")
-    parts = [part(e, "expected"), part(p, "present"), part(e.join(p, key, "left_semi"), "audited"), part(missing, "missing"), part(unexpected, "unexpected"), part(issues, "issues")]
-    parts.append(issues.groupBy("code").agg(F.count("*").alias("n")).select(F.lit("code").alias("part"), F.col("code").alias("name"), "n"))
+    # each input is read once: keys are met in one grouping, issues and sources are counted by name
+    flags = expected.select(key, F.lit(1).alias("_e"), F.lit(0).alias("_p")).union(present.select(key, F.lit(0), F.lit(1)))
+    keys = flags.groupBy(key).agg(F.max("_e").alias("_e"), F.max("_p").alias("_p"))
+    e, p = F.col("_e") == 1, F.col("_p") == 1
+    tests = {"expected": e, "present": p, "audited": e & p, "missing": e & ~p, "unexpected": p & ~e}
+    counts = keys.agg(*(F.count_if(t).alias(n) for n, t in tests.items()))
+    codes = issues.groupBy("code").agg(F.count("*").alias("n"))
+    named = codes.select(F.lit("code").alias("part"), F.col("code").alias("name"), "n")
     if source:
-        parts.append(present.groupBy(source).agg(F.count("*").alias("n")).select(F.lit("source").alias("part"), F.col(source).cast("string").alias("name"), "n"))
-    bad = functools.reduce(DataFrame.union, [missing.select(F.lit(1).alias("_x")), unexpected.select(F.lit(1)), issues.select(F.lit(1))])
-    ok = bad.agg(F.when(F.count("*") == 0, 1).otherwise(0).cast("long").alias("n")).select(F.lit("ok").alias("part"), F.lit("ok").alias("name"), "n")
-    return functools.reduce(DataFrame.union, [*parts, ok])
+        named = named.union(present.groupBy(source).agg(F.count("*").alias("n")).select(F.lit("source"), F.col(source).cast("string"), "n"))
+    # one row each, so that the rows of a name are the names of a report
+    rows = counts.select(F.explode(F.array(*(F.struct(F.lit(n).alias("name"), F.col(n).alias("n")) for n in tests))).alias("r")).select("r.name", "r.n")
+    total = codes.agg(F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("n")).select(F.lit("issues").alias("name"), "n")
+    summary = rows.union(total)
+    wrong = F.sum(F.when(F.col("name").isin("missing", "unexpected", "issues"), F.col("n")).otherwise(0))
+    ok = summary.agg(F.when(wrong == 0, 1).otherwise(0).cast("long").alias("n")).select(F.lit("ok").alias("part"), F.lit("ok").alias("name"), "n")
+    return summary.select(F.lit("count").alias("part"), "name", "n").union(named).union(ok)
 
 
 def disagreements(a: DataFrame, b: DataFrame, key: str, fields: list[str], code: str = "metadata") -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayforge.functions.nested import json_fields, json_nodes
+from wayforge.sources.pages import identity
 
 _ATTEMPTS = "array<struct<variables: string, evidenceResponse: string>>"
 QUERIES = ("detail", "reviews", "priceCalendar", "cancellation", "pax", "packages")
@@ -178,3 +179,32 @@ def _package_rules() -> dict[str, Column]:
         "graphql-package-count": asked & (F.size(grades) != F.size(kept)), "graphql-package-name": asked & F.exists(both, lambda x: (F.coalesce(x["g"]["title"], F.lit("")) != "") & ~F.trim(F.regexp_replace(x["g"]["title"], r"\s+", " ")).eqNullSafe(x["k"]["name"])),
         "graphql-package-price": asked & F.exists(both, lambda x: ~_amount(x["g"]["price"]).eqNullSafe(_amount(x["k"]["total_price"]))),
     }
+
+
+#: Failures of the log after which a rendered page may stand in, what such prices are called, and what pages
+#: say that are no evidence.
+FALLBACK_REASONS, RENDERED = ("pax_failed", "tour_grades_failed", "tour_grades_empty"), "rendered-exact-page"
+BLOCKED = "captcha|verify you are human|unusual traffic"
+PROVENANCE = ("kind", "identity", "canonical_url", "checked_at", "reason")
+
+
+def fallback_issues(selections: DataFrame, stored: DataFrame, rendered: DataFrame, key: str, least: int = 30_000) -> DataFrame:
+    """(key, code) of prices that were taken from a rendered page where the log has none.
+
+    selections: (key, identity, reason), what the log ended with; stored: (key, provenance struct of PROVENANCE, texts);
+    rendered: (key, html, canonical_url, checked_at, booking_date, travelers, packages array of texts). A claim is judged by the
+    first step that fails: the log's reason, the page, its identity, its prices, their scope, and the provenance; where all
+    hold and nothing is claimed, the fallback is missing."""
+    df = selections.select(key, "identity", "reason").join(stored.select(key, F.col("provenance").alias("_p")), key, "left").join(rendered, key, "left")
+    claimed, size, low = F.coalesce(F.col("_p.kind") == RENDERED, F.lit(False)), F.octet_length("html"), F.lower("html")
+    empty = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) == ""
+    none = F.coalesce(F.size("packages"), F.lit(0)) <= 0
+    want = {"kind": F.lit(RENDERED), "identity": F.col("identity"), "canonical_url": F.col("canonical_url"), "checked_at": F.col("checked_at"), "reason": F.col("reason")}
+    differs = functools.reduce(lambda x, y: x | y, [~F.col(f"_p.{n}").eqNullSafe(want[n]) for n in PROVENANCE])
+    steps = (
+        F.when(~F.coalesce(F.col("reason").isin(*FALLBACK_REASONS), F.lit(False)), "fallback-graphql-state").when(F.col("html").isNull(), "fallback-raw-missing")
+        .when((size < least) | ~F.contains(low, F.lit("<html")) | low.rlike(BLOCKED), "fallback-raw-invalid").when(~identity(F.col("canonical_url")).eqNullSafe(F.col("identity")), "fallback-identity")
+        .when(empty("booking_date") & empty("travelers") & none, "fallback-pricing").when(empty("booking_date") | empty("travelers") | none, "fallback-package-scope")
+    )
+    code = F.when(claimed, F.coalesce(steps, F.when(differs, "fallback-provenance"))).when(steps.isNull(), "fallback-missing")
+    return df.select(key, code.alias("code")).where("code is not null")

@@ -235,7 +235,7 @@ def context_assembly(spark, d):
     return evidence.contexts(docs.select("doc_id", F.substring_index("text", " ", 1).alias("name")), details, "doc_id").select("doc_id", "name", "quality")
 
 
-@query("""SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderstatus END, o_orderpriority) AS name, CAST(n AS INTEGER) AS n_reviews, 'Costs [price omitted] for line ' || CAST(low AS VARCHAR) || '.' AS first_review, md5('About [price omitted] a day. Fine.') AS description,
+@query("""SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderstatus END, o_orderpriority) AS name, CAST(n AS INTEGER) AS n_reviews, 'Costs [price listed separately] for line ' || CAST(low AS VARCHAR) || '.' AS first_review, md5('About [price listed separately] a day. Fine.') AS description,
     CASE WHEN o_orderkey % 2 = 0 THEN 'P' || o_orderkey ELSE 'pkg-' || substr(sha256(concat_ws('|', 0, 'Tour', '', 'at 9')), 1, 16) END AS package FROM orders JOIN (SELECT l_orderkey, least(count(*), 10) AS n, min(l_linenumber) AS low FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""")
 def evidence_prepare(spark, d):
     """O-P10: inventory fields first, context as fallback, reviews without money, bodies out of titles, packages with ids."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from wayforge.operators import requestlogs
 from wayforge.plans.registry import query, read
+from wayforge.sources.pages import identity
 
 ID = "@ID@"
 
@@ -114,3 +115,22 @@ def request_log_derived(spark, d):
     own = F.col("o_orderkey").cast("string")
     logs = logs.select("o_orderkey", "route", own.alias("detail_id"), F.replace("evidence", F.lit(ID), own).alias("evidence"), "stored")
     return requestlogs.log_issues(logs, "o_orderkey", DENIED)
+
+
+@query("""WITH p AS (SELECT page_id, page_id % 11 AS k, html, regexp_matches(lower(html), 'captcha|unusual traffic|verify you are human') AS blocked FROM pages)
+    SELECT page_id, code FROM (SELECT page_id, CASE WHEN k = 9 THEN NULL WHEN k = 1 THEN 'fallback-graphql-state' WHEN k = 7 THEN CASE WHEN html IS NOT NULL AND NOT blocked THEN 'fallback-missing' END WHEN k = 2 OR html IS NULL THEN 'fallback-raw-missing' WHEN k = 3 OR blocked THEN 'fallback-raw-invalid'
+        WHEN k = 4 THEN 'fallback-identity' WHEN k = 5 THEN 'fallback-pricing' WHEN k = 6 OR k = 10 THEN 'fallback-package-scope' WHEN k = 8 THEN 'fallback-provenance' END AS code FROM p) WHERE code IS NOT NULL""")
+def fallback_projection(spark, d):
+    """O-Q9: rendered pages that stand in for failed logs; every eleventh page has another fault."""
+    k = F.col("page_id") % 11
+    pages = read(spark, d, "pages").select("page_id", "url", "html")
+    own = identity(F.col("url"))
+    reason = F.when(k.isin(1, 9), "").otherwise("tour_grades_failed")
+    selections = pages.select("page_id", own.alias("identity"), reason.alias("reason"))
+    kind, checked = F.when(~k.isin(7, 9), requestlogs.RENDERED), F.when(k == 8, "2024-04-30").otherwise("2024-05-01")
+    canonical = F.when(k == 4, "https://example.com/other/0").otherwise(F.col("url"))
+    stored = pages.select("page_id", F.struct(kind.alias("kind"), own.alias("identity"), canonical.alias("canonical_url"), checked.alias("checked_at"), reason.alias("reason")).alias("provenance"))
+    html = F.when(k == 2, None).when(k == 3, F.lit("<html>")).otherwise(F.concat(F.lit("<html>" + " " * 1200), "html"))
+    text = lambda *without: F.when(~k.isin(*without), "2 adults")
+    rendered = pages.select("page_id", html.alias("html"), canonical.alias("canonical_url"), F.lit("2024-05-01").alias("checked_at"), text(5).alias("booking_date"), text(5, 6).alias("travelers"), F.when(k.isin(5, 10), F.array().cast("array<string>")).otherwise(F.array(F.lit("Tour"))).alias("packages"))
+    return requestlogs.fallback_issues(selections, stored, rendered, "page_id", least=1200)

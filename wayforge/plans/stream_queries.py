@@ -46,9 +46,10 @@ EDITS = f"edits AS (SELECT user_id, event_id AS seq, CASE WHEN event_type IN ('c
     SELECT user_id, CASE WHEN rs > 800 THEN rating ELSE -1 END AS rating, CASE WHEN ns > 800 THEN note ELSE -1 END AS note FROM m""")
 def field_merge(spark, d):
     """O-ST3: fields edited after the request override the stored row, each on its own."""
-    e = events(spark, d)
-    edits = e.select("user_id", F.col("event_id").alias("seq"), F.when(F.col("event_type").isin("click", "view"), F.col("rating")).alias("rating"), F.when(F.col("event_type").isin("view", "error"), F.col("whole")).alias("note"))
-    merged = picks.newest(picks.drain(picks.merge_fields(edits, ["user_id"], ["rating", "note"], "seq"), "update", "fields"), ["user_id"])
+    e = events(spark, d, stream=False)
+    edits = e.select("user_id", F.col("event_id").alias("seq"), F.when(F.col("event_type").isin("click", "view"), F.col("rating")).alias("rating"), F.when(F.col("event_type").isin("view", "error"), F.col("whole")).alias("note"), "ts")
+    plan = lambda stream: picks.merge_fields(stream, ["user_id"], ["rating", "note"], "seq")
+    merged = picks.newest(picks.drain_arrivals(picks.arrivals(edits, "ts"), plan, "update", "fields"), ["user_id"])
     stored = read(spark, d, "events").select("user_id").distinct().select("user_id", F.lit(-1).cast("bigint").alias("rating"), F.lit(-1).cast("bigint").alias("note"))
     return picks.overlay(stored, merged, ["user_id"], ["rating", "note"], F.lit(800))
 
@@ -56,8 +57,9 @@ def field_merge(spark, d):
 @query("SELECT DISTINCT event_id // 2 AS id FROM events")
 def echo_dedupe(spark, d):
     """O-ST4: two events carry one id, the write and its echo."""
-    e = events(spark, d).select(F.floor(F.col("event_id") / 2).alias("id"), "ts")
-    return picks.drain(picks.without_echoes(e, "id", "ts", "60 days").select("id"), "append", "echo").select("id")
+    e = events(spark, d, stream=False).select(F.floor(F.col("event_id") / 2).alias("id"), "ts")
+    plan = lambda stream: picks.without_echoes(stream, "id", "ts", "60 days").select("id")
+    return picks.drain_arrivals(picks.arrivals(e, "ts"), plan, "append", "echo").select("id")
 
 
 @query("""WITH e AS (SELECT user_id AS lane, event_id, ts, event_type AS t, CASE event_type WHEN 'click' THEN 'note' WHEN 'view' THEN 'reviewed' END AS own FROM events),
@@ -104,13 +106,13 @@ def rollback(spark, d):
         WHEN writer < 100 AND writer = c.owner THEN 'ok' WHEN writer < 100 THEN 'not-own' ELSE 'no-member' END AS verdict FROM c LEFT JOIN o USING (id)""")
 def admission(spark, d):
     """O-ST7, O-J14, O-J15: a stream of changes against tables of members, admins and owners."""
-    e = events(spark, d)
-    changes = e.select(F.col("event_id").alias("id"), F.col("user_id").alias("writer"), F.when(F.col("event_id") % 3 == 0, F.col("user_id")).otherwise(F.col("whole") % 40).alias("owner"), "place")
+    e = events(spark, d, stream=False)
+    changes = e.select("ts", F.col("event_id").alias("id"), F.col("user_id").alias("writer"), F.when(F.col("event_id") % 3 == 0, F.col("user_id")).otherwise(F.col("whole") % 40).alias("owner"), "place")
     people = read(spark, d, "events").select("user_id").distinct()
     known = people.union(spark.range(40).select(F.col("id").alias("user_id"))).distinct()
     owners = events(spark, d, stream=False).where("event_id % 7 = 0").select(F.col("event_id").alias("id"), F.col("user_id").alias("owner"), "place")
-    out = picks.admitted(changes, known.where("user_id < 100"), people.where("user_id % 15 = 0 and user_id < 120"), owners)
-    return picks.drain(out, "append", "admission").drop("epoch")
+    plan = lambda stream: picks.admitted(stream, known.where("user_id < 100"), people.where("user_id % 15 = 0 and user_id < 120"), owners)
+    return picks.drain_arrivals(picks.arrivals(changes, "ts"), plan, "append", "admission").drop("epoch")
 
 
 @query("SELECT user_id, arg_max(md5(event_type), (ts, event_id)) AS hash FROM events GROUP BY 1")
