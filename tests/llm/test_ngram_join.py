@@ -95,8 +95,12 @@ def test_texts_that_share_a_passage_are_no_copies(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(docs, 5, 80, 100)
 
 
-def test_chains_of_short_texts_with_families_equal_brute_force(spark):
-    """Windows that slide over a text by a word: each is linked with its neighbours alone, in any order of ids."""
+@pytest.mark.parametrize("most", [ngram_join.LOCAL_BYTES, 1000])
+def test_chains_of_short_texts_with_families_equal_brute_force(spark, monkeypatch, most):
+    """Windows that slide over a text by a word: each is linked with its neighbours alone, in any order of ids; in a task a
+    family, or by meetings where families have over a thousand bytes."""
+    monkeypatch.setattr(ngram_join, "LOCAL_BYTES", most)
+    monkeypatch.setattr(ngram_join, "MEETING_BYTES", 1500 if most == 1000 else ngram_join.MEETING_BYTES)
     rng = random.Random(4)
     texts = []
     for _ in range(150):

@@ -29,6 +29,8 @@ from wayforge.llm.graph import connected_components, filter_bits, may_hold, memb
 
 #: Families and regions up to these sizes are joined in one task; larger ones are cut.
 FAMILY, SMALL = 400, 200
+#: Bytes of sets that a region may have to be joined in one task.
+LOCAL_BYTES = 96 << 20
 #: Pivots that cut a region, at most.
 PIVOTS = 24
 #: Members and bytes of either side of a meeting of pivots with members, and the most meetings of two members by which a
@@ -288,11 +290,22 @@ def _local(rows: DataFrame, num: int, den: int) -> DataFrame:
     return rows.select("region", "rep", "comp", "blob").groupBy("region").applyInPandas(lambda m: _joined(m, num, den), "u long, v long")
 
 
+def _small(rows: DataFrame, blobs: DataFrame, num: int, den: int, staging: Staging) -> DataFrame:
+    """Links of regions (region, rep, comp, and maybe their blob) of few members: in a task each, or, where a region's sets
+    are too large together, by meetings of bounded bytes."""
+    named = rows.select("region", "rep", "comp").distinct()
+    with_blobs = rows if "blob" in rows.columns else named.join(blobs.select("rep", "blob"), "rep")
+    if (blobs.agg(F.max("bytes")).first()[0] or 0) * max(FAMILY, SMALL) <= LOCAL_BYTES:
+        return _local(with_blobs, num, den)
+    bytes_ = named.join(blobs.select("rep", "bytes"), "rep").groupBy("region").agg(F.sum("bytes").alias("_b"))
+    heavy = staging.keep(bytes_.where(F.col("_b") > LOCAL_BYTES).select("region"), "heavy")
+    return _local(with_blobs.join(heavy, "region", "left_anti"), num, den).union(_rest(named.join(heavy, "region", "left_semi"), blobs, num, den))
+
+
 def _connected(blobs: DataFrame, met: DataFrame, num: int, den: int, staging: Staging) -> DataFrame:
     """(node, component) of the linked sets of families (rep, family, size, blob), the roots among them."""
-    with_blobs = lambda rows: rows.select("region", "rep", "comp").distinct().join(blobs.select("rep", "blob"), "rep")
     members = blobs.select(F.col("family").alias("region"), "rep", "size", F.col("rep").alias("comp"), "blob")
-    links = staging.keep(_local(members.where(F.col("size") <= FAMILY), num, den), "links")
+    links = staging.keep(_small(members.where(F.col("size") <= FAMILY), blobs, num, den, staging), "links")
     todo = members.where(F.col("size") > FAMILY).select("region", "rep", "size", F.col("region").alias("family")).join(met.select("rep", "degree"), "rep")
     families = todo = staging.keep(todo, "large")
     n, level, last = todo.count(), 0, None
@@ -308,7 +321,7 @@ def _connected(blobs: DataFrame, met: DataFrame, num: int, den: int, staging: St
         then = named.join(named.groupBy("region").agg(F.count("*").alias("size")), "region").join(families.select("rep", "family", "degree"), "rep")
         todo, level = _still_open(then, found, staging), level + 1
         if todo.where(F.col("size") <= SMALL).limit(1).count():
-            links = staging.keep(links.union(_local(with_blobs(todo.where(F.col("size") <= SMALL)), num, den)), "links")
+            links = staging.keep(links.union(_small(todo.where(F.col("size") <= SMALL), blobs, num, den, staging)), "links")
             todo = todo.where(F.col("size") > SMALL)
         todo = todo.drop("comp")
         n = todo.count()
@@ -334,7 +347,7 @@ def _uncut(todo: DataFrame, met: DataFrame, blobs: DataFrame, links: DataFrame,
     held = many.join(met, "rep").select("rep", "comp", F.explode("sigs").alias("region")).distinct()
     groups = held.groupBy("region").agg(F.count("*").alias("size"), F.min("comp").alias("_x"), F.max("comp").alias("_y")).where("_x < _y").select("region", "size")
     held = staging.keep(held.join(groups, "region"), "by-part")
-    more.append(_local(held.where(F.col("size") <= SMALL).join(blobs.select("rep", "blob"), "rep"), num, den))
+    more.append(_small(held.where(F.col("size") <= SMALL), blobs, num, den, staging))
     links = staging.keep(functools.reduce(DataFrame.union, more), "uncut")
     if not held.where(F.col("size") > SMALL).limit(1).count():
         return links
@@ -375,7 +388,8 @@ def components(docs: DataFrame, text: str, width: int, num: int, den: int) -> Co
     bits = filter_bits(wanted.count())
     near = may_hold(docs, "doc_id", membership_filter(wanted, "doc_id", bits), bits).where("_maybe").select("doc_id", "tid", "text")
     near = near.join(wanted, ["doc_id", "tid"]).groupBy("a", "family", "size").agg(F.min("text").alias("text"))
-    blobs = staging.keep(_blobs(near.select(F.col("a").alias("rep"), "family", "size", "text"), width), "blobs")
+    blobs = _blobs(near.select(F.col("a").alias("rep"), "family", "size", "text"), width)
+    blobs = staging.keep(blobs.withColumn("bytes", F.octet_length("blob").cast("long")), "blobs")
     found = staging.keep(_connected(blobs, met, num, den, staging), "components")
     linked_ = unique.join(found, unique["a"] == found["node"]).select("a", "component", "first")
     best = linked_.join(linked_.groupBy("component").agg(F.min("first").alias("best")), "component").select("a", "best")
