@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from wayforge.llm.common import LOWER, Staging, as_bytes, decode, encode, mix, packer, small
 
 #: Bytes of text in a pack, and n-grams (about) in a block of quotients.
-PACK_BYTES, BLOCK_ITEMS = 8 << 20, 2_000_000
+PACK_BYTES, BLOCK_ITEMS = 4 << 20, 1_000_000
 #: Blocks that a filter is cut into at once, as bits; more are reached by merging filters and cutting again.
 FAN_BITS = 10
 #: Parts of a language whose first phrases are found apart.
