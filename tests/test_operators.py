@@ -44,7 +44,7 @@ def test_money_round_trip(cents):
 
 def test_clip_at_sentence_word_or_not_at_all(spark):
     df = spark.createDataFrame([("Short one.",), ("First sentence is here. " + "x" * 30,), ("word " * 20,), ("a\x00b   c",)], "t string")
-    assert [r.c for r in df.select(T.clipped(F.col("t"), 40).alias("c")).collect()] == ["Short one.", "First sentence is here.", "word word word word word word word…", "a b c"]
+    assert [r.c for r in df.select(T.clipped(F.col("t"), 40).alias("c")).collect()] == ["Short one.", "First sentence is here.", "word word word word word word word word…", "a b c"]
 
 
 def test_depth_decision_order(spark):
