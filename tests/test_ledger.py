@@ -127,3 +127,14 @@ def test_votes_leave_no_state(spark):
 def test_fingerprint_of_changes(spark):
     one = lambda rows: {(r.g, r.n, r.digest) for r in publish.fingerprint(spark.createDataFrame(rows, "g int, k int, s int"), ["g"], F.col("k"), F.col("s")).collect()}
     assert one([(1, 5, 1), (1, 6, 1), (1, 5, -1), (1, 8, 1), (1, 6, -1), (1, 9, 1)]) == one([(1, 9, 1), (1, 8, 1)])
+
+
+def test_work_is_cleared(spark):
+    from wayforge import session
+
+    path = session.work_path(spark, "test-clear")
+    spark.range(3).write.parquet(path)
+    kept = session._made[:-1]
+    session._made[:] = [path]  # other tests' tables stay
+    assert session.clear_work(spark) == 1 and not commits.names(spark, path)
+    session._made[:] = kept

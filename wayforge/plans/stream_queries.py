@@ -11,18 +11,15 @@ from wayforge.streaming import ledger, picks
 WHOLE = "CAST(floor(value) AS BIGINT)"
 
 
-def events(spark, d, stream: bool = True):
-    path = f"{d}/events.parquet"
-    table = read(spark, d, "events")
-    source = picks.file_stream(spark, path, table.schema) if stream else table
+def events(spark, d):
     whole = F.floor("value").cast("bigint")
-    return source.select("event_id", "ts", "user_id", "event_type", (whole % 20).alias("place"), (whole % 6).alias("rating"), whole.alias("whole"))
+    return read(spark, d, "events").select("event_id", "ts", "user_id", "event_type", (whole % 20).alias("place"), (whole % 6).alias("rating"), whole.alias("whole"))
 
 
 @query(f"SELECT user_id, {WHOLE} % 20 AS place, arg_max({WHOLE} % 6, (ts, event_id)) AS rating, max(event_id) FILTER (k = 1) AS event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, {WHOLE} % 20 ORDER BY ts DESC, event_id DESC) AS k FROM events) GROUP BY 1, 2")
 def lww_state(spark, d):
     """O-ST1."""
-    parts = picks.arrivals(events(spark, d, stream=False).select("user_id", "place", "rating", "ts", "event_id"), "ts")
+    parts = picks.arrivals(events(spark, d).select("user_id", "place", "rating", "ts", "event_id"), "ts")
     plan = lambda stream: picks.last_write_wins(stream, ["user_id", "place"], ["ts", "event_id"])
     return picks.newest(picks.drain_arrivals(parts, plan, "update", "lww"), ["user_id", "place"]).select("user_id", "place", "rating", "event_id")
 
@@ -32,9 +29,9 @@ def lww_state(spark, d):
     SELECT coalesce(s.user_id, c.user_id) AS user_id, coalesce(s.place, c.place) AS place, coalesce(c.rating, s.rating) AS rating FROM s FULL JOIN c ON s.user_id = c.user_id AND s.place = c.place""")
 def snapshot_replay(spark, d):
     """O-ST2: changes arrive in three batches, the snapshot after the first of them."""
-    table = events(spark, d, stream=False).where("event_id % 4 <> 0")
+    table = events(spark, d).where("event_id % 4 <> 0")
     snapshot = picks.last_write_wins(table.select("user_id", "place", "rating", F.col("event_id").alias("seq")), ["user_id", "place"], ["seq"])
-    changes = events(spark, d, stream=False).where("event_id % 4 = 0").select("user_id", "place", "rating", F.col("event_id").alias("seq"), "ts")
+    changes = events(spark, d).where("event_id % 4 = 0").select("user_id", "place", "rating", F.col("event_id").alias("seq"), "ts")
     parts = [p.drop("ts") for p in picks.arrivals(changes, "ts")]
     return ledger.replay_arrivals(parts, snapshot.drop("seq"), ["user_id", "place"], "seq", "replay").drop("seq")
 
@@ -46,7 +43,7 @@ EDITS = f"edits AS (SELECT user_id, event_id AS seq, CASE WHEN event_type IN ('c
     SELECT user_id, CASE WHEN rs > 800 THEN rating ELSE -1 END AS rating, CASE WHEN ns > 800 THEN note ELSE -1 END AS note FROM m""")
 def field_merge(spark, d):
     """O-ST3: fields edited after the request override the stored row, each on its own."""
-    e = events(spark, d, stream=False)
+    e = events(spark, d)
     edits = e.select("user_id", F.col("event_id").alias("seq"), F.when(F.col("event_type").isin("click", "view"), F.col("rating")).alias("rating"), F.when(F.col("event_type").isin("view", "error"), F.col("whole")).alias("note"), "ts")
     plan = lambda stream: picks.merge_fields(stream, ["user_id"], ["rating", "note"], "seq")
     merged = picks.newest(picks.drain_arrivals(picks.arrivals(edits, "ts"), plan, "update", "fields"), ["user_id"])
@@ -57,7 +54,7 @@ def field_merge(spark, d):
 @query("SELECT DISTINCT event_id // 2 AS id FROM events")
 def echo_dedupe(spark, d):
     """O-ST4: two events carry one id, the write and its echo."""
-    e = events(spark, d, stream=False).select(F.floor(F.col("event_id") / 2).alias("id"), "ts")
+    e = events(spark, d).select(F.floor(F.col("event_id") / 2).alias("id"), "ts")
     plan = lambda stream: picks.without_echoes(stream, "id", "ts", "60 days").select("id")
     return picks.drain_arrivals(picks.arrivals(e, "ts"), plan, "append", "echo").select("id")
 
@@ -72,7 +69,7 @@ def echo_dedupe(spark, d):
 def pending_fields(spark, d):
     """O-ST4 with O-ST3 and O-ST5: edits of two fields wait for what becomes of them. Sign-ups settle a field's first edit,
     purchases are echoes of the last note, errors fail the last review; an edit's value is its own number."""
-    e = events(spark, d, stream=False)
+    e = events(spark, d)
     own = F.when(F.col("event_type") == "click", "note").when(F.col("event_type") == "view", "reviewed")
     each = e.withColumn("own", own).withColumn("field", F.explode(F.array(F.lit("note"), F.lit("reviewed"))))
     kind = F.when(F.col("own") == F.col("field"), "edit").when(F.col("event_type") == "signup", "settle").when((F.col("event_type") == "purchase") & (F.col("field") == "note"), "echo").when((F.col("event_type") == "error") & (F.col("field") == "reviewed"), "fail")
@@ -96,7 +93,7 @@ def rollback(spark, d):
     kind = F.when(own.isNotNull(), "edit").when(F.col("event_type") == "purchase", "confirm").otherwise("fail")
     w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ref = F.when(own.isNotNull(), own).when(F.col("event_type") == "signup", F.first(own, True).over(w)).otherwise(F.last(own, True).over(w))
-    e = events(spark, d, stream=False).select(F.col("user_id").alias("key"), kind.alias("kind"), ref.alias("mutation"), F.col("whole").alias("value"), "ts", "event_id")
+    e = events(spark, d).select(F.col("user_id").alias("key"), kind.alias("kind"), ref.alias("mutation"), F.col("whole").alias("value"), "ts", "event_id")
     return picks.newest(picks.drain_arrivals(picks.arrivals(e, "ts"), picks.rollback, "update", "rollback"), ["key"])
 
 
@@ -106,11 +103,11 @@ def rollback(spark, d):
         WHEN writer < 100 AND writer = c.owner THEN 'ok' WHEN writer < 100 THEN 'not-own' ELSE 'no-member' END AS verdict FROM c LEFT JOIN o USING (id)""")
 def admission(spark, d):
     """O-ST7, O-J14, O-J15: a stream of changes against tables of members, admins and owners."""
-    e = events(spark, d, stream=False)
+    e = events(spark, d)
     changes = e.select("ts", F.col("event_id").alias("id"), F.col("user_id").alias("writer"), F.when(F.col("event_id") % 3 == 0, F.col("user_id")).otherwise(F.col("whole") % 40).alias("owner"), "place")
     people = read(spark, d, "events").select("user_id").distinct()
     known = people.union(spark.range(40).select(F.col("id").alias("user_id"))).distinct()
-    owners = events(spark, d, stream=False).where("event_id % 7 = 0").select(F.col("event_id").alias("id"), F.col("user_id").alias("owner"), "place")
+    owners = events(spark, d).where("event_id % 7 = 0").select(F.col("event_id").alias("id"), F.col("user_id").alias("owner"), "place")
     plan = lambda stream: picks.admitted(stream, known.where("user_id < 100"), people.where("user_id % 15 = 0 and user_id < 120"), owners)
     return picks.drain_arrivals(picks.arrivals(changes, "ts"), plan, "append", "admission").drop("epoch")
 
@@ -118,7 +115,7 @@ def admission(spark, d):
 @query("SELECT user_id, arg_max(md5(event_type), (ts, event_id)) AS hash FROM events GROUP BY 1")
 def watch_increment(spark, d):
     """O-ST8: the incremental cycle over three arrivals; the newest result of each key."""
-    e = events(spark, d, stream=False).select("user_id", F.md5("event_type").alias("hash"), F.struct("ts", "event_id").alias("at_"), "ts")
+    e = events(spark, d).select("user_id", F.md5("event_type").alias("hash"), F.struct("ts", "event_id").alias("at_"), "ts")
     done = picks.watch(picks.arrivals(e, "ts"), lambda df: df, "user_id", "hash", "at_", "watch")
     return done.groupBy("user_id").agg(F.max_by("hash", "at").alias("hash"))
 
@@ -128,5 +125,5 @@ def watch_increment(spark, d):
     f AS (SELECT user_id, place, CASE WHEN arg_max(k, run) % 2 = 1 THEN arg_max(rating, run) ELSE 0 END AS rating FROM s GROUP BY 1, 2) SELECT * FROM f WHERE rating <> 0""")
 def vote_prune(spark, d):
     """O-ST9: toggled votes clear, empty records go; the votes are state of a stream of three batches."""
-    parts = picks.arrivals(events(spark, d, stream=False).select("user_id", "place", "rating", "ts", "event_id"), "ts")
+    parts = picks.arrivals(events(spark, d).select("user_id", "place", "rating", "ts", "event_id"), "ts")
     return picks.newest(ledger.drain_keyed(parts, ledger.toggled_votes, "votes"), ["user_id", "place"]).where("rating <> 0")

@@ -92,6 +92,19 @@ def availability_text(spark, d):
     return priced(spark, d).select("doc_id", T.availability(F.col("text")).alias("state"))
 
 
+#: What a package's text says besides its title, its title, whether it can be booked, and its state.
+PACKAGES = [("Reserve now.", "Sold out museum tour", False, "available"), ("Sold out.", "City walk", True, "sold-out"), ("Not available today.", "City walk", False, "unavailable"), ("", "Unavailable treasures", True, "available"), ("Closed now.", "City walk", False, "unknown")]
+
+
+@query(f"SELECT doc_id, state FROM documents JOIN (VALUES {', '.join(f"({i}, '{x[3]}')" for i, x in enumerate(PACKAGES))}) AS v(i, state) ON doc_id % {len(PACKAGES)} = i")
+def package_states(spark, d):
+    """O-X9: packages whose descriptions are whole documents; what they say themselves is no state."""
+    pick = lambda n: F.coalesce(*(F.when(F.col("doc_id") % len(PACKAGES) == i, F.lit(x[n])) for i, x in enumerate(PACKAGES)))
+    docs = read(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), pick(1).alias("title"))
+    raw = F.concat_ws(" ", "title", "text", pick(0))
+    return docs.select("doc_id", T.package_availability(raw, F.array("title", "text"), pick(2)).alias("state"))
+
+
 @query("SELECT doc_id, text IS NOT NULL AND doc_id % 10 = 4 AS closed FROM documents")
 def closed_flag(spark, d):
     """O-P7."""

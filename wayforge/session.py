@@ -39,6 +39,20 @@ def shared_folder(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_made: list[str] = []
+
+
 def work_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_folder(spark)}/wayforge/{name}-{uuid.uuid4().hex[:12]}"
+    """A new path in the shared folder, for tables that a plan reads until its result is written; see clear_work."""
+    _made.append(f"{shared_folder(spark)}/wayforge/{name}-{uuid.uuid4().hex[:12]}")
+    return _made[-1]
+
+
+def clear_work(spark: SparkSession) -> int:
+    """Deletes what this process has written to paths of work_path; to be called when no result that reads them is needed
+    any more. The number of paths."""
+    jvm, n = spark.sparkContext._jvm, len(_made)
+    while _made:
+        at = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    return n
