@@ -1,7 +1,7 @@
 import itertools
 import random
 
-from wayforge.llm.resharding import equal_capacities, layout, min_cost_transfers, op2_resharding, reshard, rewrite_affected
+from wayforge.llm.resharding import equal_capacities, layout, min_cost_transfers, op2_resharding, read_shards, reshard, rewrite_affected, rewrite_documents, shard_documents
 
 
 def test_flow_moves_fewest_bytes():
@@ -63,6 +63,33 @@ def test_rewrite_only_affected(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "new")).count() == placed.where("shard in (0, 1)").count()
 
 
+def test_files_by_key_hold_every_row_once(spark, tmp_path, monkeypatch):
+    """A shard that nothing leaves keeps its files; all others are rewritten from the old files, several files a shard."""
+    from wayforge.llm import resharding
+
+    monkeypatch.setattr(resharding, "ROWS_A_FILE", 7)
+    old_root, new_root = str(tmp_path / "old"), str(tmp_path / "new")
+    data = spark.createDataFrame([(i, f"text {i}" if i % 5 else None, i % 3) for i in range(60)], "row long, text string, shard int")
+    data.write.partitionBy("shard").parquet(old_root)
+    for capacities, moved in (({0: 200, 1: 200, 2: 200}, set()), ({0: 150, 1: 250, 2: 200}, {0, 1}), ({0: 100, 3: 500}, {0, 1, 2, 3})):
+        placed = reshard(data.selectExpr("row", "shard old_shard", "10L size"), capacities).cache()
+        files = rewrite_affected(placed, old_root, new_root, "row").cache()
+        assert {r.shard for r in files.collect() if r.rewritten} == moved & {r.shard for r in placed.collect()}
+        got = sorted((r.row, r.text, r.shard) for r in read_shards(files, old_root, new_root).collect())
+        texts = {r.row: r.text for r in data.collect()}
+        assert got == sorted((r.row, texts[r.row], r.shard) for r in placed.collect())
+
+
+def test_rewritten_documents_equal_the_placement(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    files, placed = op2_resharding(spark, sf_dir).collect(), shard_documents(spark, docs).collect()
+    assert sorted((r.doc_id, r.size, r.text_crc32, r.old_shard) for r in files) == sorted((r.doc_id, r.size, r.text_crc32, r.old_shard) for r in placed)
+    odd = spark.createDataFrame([(1, "x", "a", 5), (1, "x", "a", 5), (None, None, None, None), (2, "", "b", 1), (3, "é" * 100_000, "a", 2)], "doc_id long, text string, source string, row int")
+    rows = rewrite_documents(spark, odd, 3).collect()
+    check(rows, 3)
+    assert sorted(r.size for r in rows) == [8, 8, 9, 9, 200_008] and rewrite_documents(spark, odd.limit(0), 3).count() == 0
+
+
 def test_size_crc_and_law_from_the_texts(spark, sf_dir):
     """Sizes, checksums and the law of equal bytes, computed from the texts once more."""
     import zlib

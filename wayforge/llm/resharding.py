@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import deque
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayforge.llm.common import Staging, columns_of, row_hash
@@ -12,6 +12,8 @@ from wayforge.llm.common import Staging, columns_of, row_hash
 #: Blocks of a size class in an old shard: at most this many, so that the table of blocks is bounded.
 MAX_SUBS = 1 << 16
 ROWS_A_SUB = 1000
+#: Rows of a shard that go to one file.
+ROWS_A_FILE = 100_000
 
 
 def min_cost_transfers(sizes: dict[int, int], capacities: dict[int, int], cost=None) -> list[tuple[int, int, int]]:
@@ -122,31 +124,82 @@ def reshard(rows: DataFrame, capacities: dict[int, int] | int, cost=None) -> Dat
     return placed.join(parts, ["shard", *block]).select("_row.*", "shard", (F.col("_ahead") + F.col("_rn")).cast("long").alias("slot"))
 
 
-def rewrite_affected(placed: DataFrame, old_root: str, new_root: str) -> DataFrame:
+def rewrite_affected(placed: DataFrame, old_root: str, new_root: str, key: str | None = None, schema=None) -> DataFrame:
     """Writes the shards whose rows changed to new_root/shard=K; returns (shard, path, rewritten) for all shards.
 
     placed has old_shard and shard beside the data. A shard that neither lost nor got rows keeps its files in
-    old_root/shard=K. Nothing is deleted: readers switch by the returned table."""
+    old_root/shard=K. Nothing is deleted: readers switch by the returned table (see ``read_shards``).
+    With a key, placed holds no data but the key of each row and its slot, and the data come from the files in old_root. A
+    changed shard gets its rows only from shards that changed as well, so no other files are read. The rows travel by key to
+    their places, then by shard and slot, so that a file holds ROWS_A_FILE consecutive slots, however many tasks write.
+    schema is that of the files, shard included; without one it is read from them, which takes at least one file."""
     moved = placed.where("not (old_shard <=> shard)")
     touched = moved.select(F.explode(F.array("old_shard", "shard")).alias("shard")).where("shard is not null").distinct()
-    placed.join(F.broadcast(touched), "shard").write.mode("overwrite").partitionBy("shard").parquet(new_root)
+    rows = placed.join(F.broadcast(touched), "shard")  # touched: at most a row for each shard
+    if key:
+        data = _files(placed, old_root, schema).join(F.broadcast(touched), "shard").drop("shard")
+        rows = data.join(rows.select(key, "shard", "slot"), key).repartition("shard", F.floor(F.col("slot") / ROWS_A_FILE)).drop("slot")
+    rows.write.mode("overwrite").partitionBy("shard").option("compression", "zstd").parquet(new_root)
     mark = touched.withColumn("rewritten", F.lit(True))
     out = placed.select("shard").distinct().join(mark, "shard", "left").withColumn("rewritten", F.coalesce("rewritten", F.lit(False)))
     return out.select("shard", F.concat(F.when(F.col("rewritten"), F.lit(new_root)).otherwise(F.lit(old_root)), F.lit("/shard="), F.col("shard").cast("string")).alias("path"), "rewritten")
 
 
+def _files(like: DataFrame, root: str, schema) -> DataFrame:
+    reader = like.sparkSession.read
+    return (reader.schema(schema) if schema else reader).parquet(root)
+
+
+def read_shards(files: DataFrame, old_root: str, new_root: str, schema=None) -> DataFrame:
+    """The rows of all shards after ``rewrite_affected`` with a key: changed shards from new_root, all others from old_root."""
+    old = _files(files, old_root, schema)
+    kept = old.join(F.broadcast(files.where("not rewritten").select("shard")), "shard")  # at most a row for each shard
+    return kept.unionByName(_files(files, new_root, old.schema))
+
+
+def digest(text: str) -> tuple[Column, Column]:
+    """size: bytes of the text in UTF-8 and 8; text_crc32: its checksum; a null text has no bytes."""
+    data = F.coalesce(F.encode(text, "UTF-8"), F.lit(b""))
+    return (F.octet_length(data) + 8).cast("long").alias("size"), F.crc32(data).alias("text_crc32")
+
+
+def old_shard() -> Column:
+    """The old layout of documents: sixteen shards, two to every group of sources."""
+    return (F.pmod(F.xxhash64("source"), F.lit(8)) * 2 + F.pmod(F.xxhash64("doc_id"), F.lit(2))).cast("int")
+
+
 def layout(docs: DataFrame) -> DataFrame:
-    """The digest columns and the old layout of documents: sixteen shards, two to every group of sources."""
-    data = F.coalesce(F.encode("text", "UTF-8"), F.lit(b""))
-    old = F.pmod(F.xxhash64("source"), F.lit(8)) * 2 + F.pmod(F.xxhash64("doc_id"), F.lit(2))
-    return docs.select("doc_id", (F.octet_length(data) + 8).cast("long").alias("size"), F.crc32(data).alias("text_crc32"), old.cast("int").alias("old_shard"))
+    """The digest columns and the old shard of documents."""
+    return docs.select("doc_id", *digest("text"), old_shard().alias("old_shard"))
+
+
+def by_contract(placed: DataFrame) -> DataFrame:
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+
+
+def rewrite_documents(spark, docs: DataFrame, shards: int = 24) -> DataFrame:
+    """docs laid out as files of their old shards, resharded, changed files rewritten, and the files read back.
+
+    Sizes and checksums are those of the texts in the files after the move, and a row counts for the shard whose folder it
+    lies in: a row that the move lost, doubled or changed would show. Null ids and texts stay null, repeated rows are files'
+    rows of their own, an empty table gives no rows; other columns are not carried."""
+    staging = Staging(spark, "shards")
+    old_root, new_root = staging.path("old"), staging.path("new")
+    # written once, so a row keeps its number whatever is computed again
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", old_shard().alias("shard"))
+    numbered.write.partitionBy("shard").option("compression", "zstd").parquet(old_root)
+    placed = reshard(_files(docs, old_root, numbered.schema).select("row", F.col("shard").alias("old_shard"), digest("text")[0]), shards)
+    placed = staging.keep(placed.select("row", "old_shard", "shard", "slot"), "placed")
+    files = staging.keep(rewrite_affected(placed, old_root, new_root, "row", numbered.schema), "files")
+    rows = read_shards(files, old_root, new_root, numbered.schema).select("row", "doc_id", *digest("text"), "shard")
+    return rows.join(placed, ["row", "shard"]).drop("row")
 
 
 def op2_resharding(spark, sf_dir: str) -> DataFrame:
-    """All documents into 24 shards of nearly equal bytes, moving the fewest bytes from sixteen old ones."""
-    return shard_documents(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    """All documents into 24 shards of nearly equal bytes, moving the fewest bytes from sixteen old ones, as files."""
+    return by_contract(rewrite_documents(spark, spark.read.parquet(f"{sf_dir}/documents.parquet")))
 
 
 def shard_documents(spark, docs: DataFrame, shards: int = 24) -> DataFrame:
-    placed = reshard(layout(docs), shards)
-    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+    """Pipeline stage: the placement of the documents; what follows it writes them."""
+    return by_contract(reshard(layout(docs), shards))
