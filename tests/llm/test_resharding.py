@@ -1,7 +1,7 @@
 import itertools
 import random
 
-from wayforge.llm.resharding import equal_capacities, layout, min_cost_transfers, op2_resharding, read_shards, reshard, rewrite_affected, rewrite_documents, shard_documents
+from wayforge.llm.resharding import equal_capacities, layout, min_cost_transfers, op2_resharding, read_shards, reshard, rewrite_affected, rewrite_documents, rewrite_files, shard_documents
 
 
 def test_flow_moves_fewest_bytes():
@@ -63,20 +63,24 @@ def test_rewrite_only_affected(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "new")).count() == placed.where("shard in (0, 1)").count()
 
 
-def test_files_by_key_hold_every_row_once(spark, tmp_path, monkeypatch):
+def test_files_hold_every_row_once(spark, tmp_path, monkeypatch):
     """A shard that nothing leaves keeps its files; all others are rewritten from the old files, several files a shard."""
     from wayforge.llm import resharding
 
     monkeypatch.setattr(resharding, "ROWS_A_FILE", 7)
+    monkeypatch.setattr(resharding, "ROWS_A_SUB", 5)
     old_root, new_root = str(tmp_path / "old"), str(tmp_path / "new")
-    data = spark.createDataFrame([(i, f"text {i}" if i % 5 else None, i % 3) for i in range(60)], "row long, text string, shard int")
+    data = spark.createDataFrame([(i, f"text {i}" * (1 + i % 7) if i % 5 else None, i % 3) for i in range(90)], "row long, text string, shard int")
     data.write.partitionBy("shard").parquet(old_root)
-    for capacities, moved in (({0: 200, 1: 200, 2: 200}, set()), ({0: 150, 1: 250, 2: 200}, {0, 1}), ({0: 100, 3: 500}, {0, 1, 2, 3})):
-        placed = reshard(data.selectExpr("row", "shard old_shard", "10L size"), capacities).cache()
-        files = rewrite_affected(placed, old_root, new_root, "row").cache()
+    texts = {r.row: r.text for r in data.collect()}
+    size = resharding.digest("text")[0]
+    sizes = {k: sum(len(texts[i] or "") + 8 for i in texts if i % 3 == k) for k in range(3)}
+    total = sum(sizes.values())
+    for capacities, moved in ((sizes, set()), (sizes | {0: sizes[0] - 99, 1: sizes[1] + 99}, {0, 1}), ({0: 99, 3: total - 99}, {0, 1, 2, 3}), ({7: total}, {7, 0, 1, 2})):
+        placed = reshard(data.select("row", resharding.F.col("shard").alias("old_shard"), size), capacities, key="row").cache()
+        files = rewrite_files(placed, old_root, new_root, data.schema, "row", size).cache()
         assert {r.shard for r in files.collect() if r.rewritten} == moved & {r.shard for r in placed.collect()}
-        got = sorted((r.row, r.text, r.shard) for r in read_shards(files, old_root, new_root).collect())
-        texts = {r.row: r.text for r in data.collect()}
+        got = sorted((r.row, r.text, r.shard) for r in read_shards(files, old_root, new_root, data.schema).collect())
         assert got == sorted((r.row, texts[r.row], r.shard) for r in placed.collect())
 
 

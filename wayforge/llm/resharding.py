@@ -13,7 +13,7 @@ from wayforge.llm.common import Staging, columns_of, row_hash
 MAX_SUBS = 1 << 16
 ROWS_A_SUB = 1000
 #: Rows of a shard that go to one file.
-ROWS_A_FILE = 100_000
+ROWS_A_FILE = 25_000
 
 
 def min_cost_transfers(sizes: dict[int, int], capacities: dict[int, int], cost=None) -> list[tuple[int, int, int]]:
@@ -78,7 +78,12 @@ def equal_capacities(total: int, shards: int) -> dict[int, int]:
     return {k: total // shards + (k < total % shards) for k in range(shards)}
 
 
-def reshard(rows: DataFrame, capacities: dict[int, int] | int, cost=None) -> DataFrame:
+def _place(size: Column, hashed: Column, n: int) -> tuple[Column, Column]:
+    """Class and part of a row of n rows, by which an old shard is laid out."""
+    return F.floor(F.log2(size + 1)).cast("int"), F.pmod(hashed, F.lit(max(1, min(MAX_SUBS, n // ROWS_A_SUB)))).cast("int")
+
+
+def reshard(rows: DataFrame, capacities: dict[int, int] | int, cost=None, key: str | None = None) -> DataFrame:
     """rows (any columns, among them ``size`` long and ``old_shard`` int) with ``shard`` and ``slot``.
 
     Sizes of the old shards and of their blocks are summed, the flow is solved on the shards alone, and its transfers
@@ -87,15 +92,16 @@ def reshard(rows: DataFrame, capacities: dict[int, int] | int, cost=None) -> Dat
     number of shards of equal sizes. Rows are placed by the middle of their own range; a shard differs from its capacity by
     a few small rows. slot counts from 0 in each shard without gaps. A null old_shard counts as -1 and a null size as
     0; repeated rows each get a slot; an empty table gives no rows. A column named shard or slot is replaced; others may
-    have any names. Rows of equal sizes are taken by a hash of the row, which also breaks ties."""
+    have any names. Rows of equal sizes are taken by a hash of the row, which also breaks ties, or
+    by key, a column without nulls or repeats; then ``rewrite_files`` can tell a row's shard without its placement."""
     spark = rows.sparkSession
     staging = Staging(spark, "reshard")
     rows = rows.drop("shard", "slot")
     n = rows.count()
-    subs = max(1, min(MAX_SUBS, n // ROWS_A_SUB))
-    keyed = rows.select(F.struct(*columns_of(rows)).alias("_row"), F.coalesce("old_shard", F.lit(-1)).alias("_old"), F.coalesce("size", F.lit(0)).cast("long").alias("_size"), row_hash(rows).alias("_tie")).withColumns(
-        {"_class": F.floor(F.log2(F.col("_size") + 1)).cast("int"), "_sub": F.pmod(F.col("_tie"), F.lit(subs)).cast("int")}
-    )
+    size, tie = F.coalesce("size", F.lit(0)).cast("long"), F.col(key) if key else row_hash(rows)
+    keyed = rows.select(F.struct(*columns_of(rows)).alias("_row"), F.coalesce("old_shard", F.lit(-1)).alias("_old"), size.alias("_size"), tie.alias("_tie"))
+    classed = _place(F.col("_size"), F.xxhash64("_tie") if key else F.col("_tie"), n)
+    keyed = keyed.withColumns(dict(zip(("_class", "_sub"), classed)))
     keyed = staging.keep(keyed, "keyed")
     block = ["_old", "_class", "_sub"]
     blocks = keyed.groupBy(*block).agg(F.sum("_size").alias("_bytes"))
@@ -124,37 +130,55 @@ def reshard(rows: DataFrame, capacities: dict[int, int] | int, cost=None) -> Dat
     return placed.join(parts, ["shard", *block]).select("_row.*", "shard", (F.col("_ahead") + F.col("_rn")).cast("long").alias("slot"))
 
 
-def rewrite_affected(placed: DataFrame, old_root: str, new_root: str, key: str | None = None, schema=None) -> DataFrame:
-    """Writes the shards whose rows changed to new_root/shard=K; returns (shard, path, rewritten) for all shards.
-
-    placed has old_shard and shard beside the data. A shard that neither lost nor got rows keeps its files in
-    old_root/shard=K. Nothing is deleted: readers switch by the returned table (see ``read_shards``).
-    With a key, placed holds no data but the key of each row and its slot, and the data come from the files in old_root. A
-    changed shard gets its rows only from shards that changed as well, so no other files are read. The rows travel by key to
-    their places, then by shard and slot, so that a file holds ROWS_A_FILE consecutive slots, however many tasks write.
-    schema is that of the files, shard included; without one it is read from them, which takes at least one file."""
+def _touched(placed: DataFrame) -> DataFrame:
+    """Shards that lost or got rows."""
     moved = placed.where("not (old_shard <=> shard)")
-    touched = moved.select(F.explode(F.array("old_shard", "shard")).alias("shard")).where("shard is not null").distinct()
-    rows = placed.join(F.broadcast(touched), "shard")  # touched: at most a row for each shard
-    if key:
-        data = _files(placed, old_root, schema).join(F.broadcast(touched), "shard").drop("shard")
-        rows = data.join(rows.select(key, "shard", "slot"), key).repartition("shard", F.floor(F.col("slot") / ROWS_A_FILE)).drop("slot")
-    rows.write.mode("overwrite").partitionBy("shard").option("compression", "zstd").parquet(new_root)
+    return moved.select(F.explode(F.array("old_shard", "shard")).alias("shard")).where("shard is not null").distinct()
+
+
+def _paths(placed: DataFrame, touched: DataFrame, old_root: str, new_root: str) -> DataFrame:
     mark = touched.withColumn("rewritten", F.lit(True))
     out = placed.select("shard").distinct().join(mark, "shard", "left").withColumn("rewritten", F.coalesce("rewritten", F.lit(False)))
     return out.select("shard", F.concat(F.when(F.col("rewritten"), F.lit(new_root)).otherwise(F.lit(old_root)), F.lit("/shard="), F.col("shard").cast("string")).alias("path"), "rewritten")
 
 
-def _files(like: DataFrame, root: str, schema) -> DataFrame:
-    reader = like.sparkSession.read
-    return (reader.schema(schema) if schema else reader).parquet(root)
+def rewrite_affected(placed: DataFrame, old_root: str, new_root: str) -> DataFrame:
+    """Writes the shards whose rows changed to new_root/shard=K; returns (shard, path, rewritten) for all shards.
+
+    placed has old_shard and shard beside the data. A shard that neither lost nor got rows keeps its files in
+    old_root/shard=K. Nothing is deleted: readers switch by the returned table."""
+    touched = _touched(placed)
+    placed.join(F.broadcast(touched), "shard").write.mode("overwrite").partitionBy("shard").parquet(new_root)
+    return _paths(placed, touched, old_root, new_root)
+
+
+def rewrite_files(placed: DataFrame, old_root: str, new_root: str, schema, key: str, size: Column) -> DataFrame:
+    """As ``rewrite_affected``, but the data are read from old_root, whose files hold key and have the schema (with shard).
+
+    placed comes from ``reshard`` by the same key: key, old_shard (no nulls), size and shard. size tells the size of a row of
+    the files. What an old shard ships to a new one is a stretch of its layout, so the first row of each stretch, at
+    most a table of old and new shards, says where a row goes: the data meet no placement and travel once, to the
+    files of their shard, which hold about ROWS_A_FILE rows. A changed shard gets its rows only from changed shards, so the
+    files of others are not read. An empty table gives no files."""
+    n = placed.count()
+    touched = _touched(placed)
+    ordered = lambda size: F.struct((-(c := _place(size, F.xxhash64(key), n))[0]).alias("a"), c[1].alias("b"), F.col(key).alias("c"))
+    first = placed.groupBy("old_shard", "shard").agg(F.min(ordered(F.col("size"))).alias("_from"), F.count("*").alias("_n"))
+    first = first.withColumn("_to", F.lead("_from").over(Window.partitionBy("old_shard").orderBy("_from")))
+    first = first.withColumn("_files", F.ceil(F.sum("_n").over(Window.partitionBy("shard")) / ROWS_A_FILE))
+    stretches = F.broadcast(first.select(F.col("old_shard").alias("_old"), F.col("shard").alias("_new"), "_from", "_to", "_files"))
+    data = placed.sparkSession.read.schema(schema).parquet(old_root).join(F.broadcast(touched), "shard").withColumn("_at", ordered(size))
+    data = data.join(stretches, (F.col("shard") == F.col("_old")) & (F.col("_at") >= F.col("_from")) & (F.col("_to").isNull() | (F.col("_at") < F.col("_to"))))
+    rows = data.repartition("_new", F.pmod(F.xxhash64(key), F.col("_files"))).drop("shard", "_old", "_at", "_from", "_to", "_files").withColumnRenamed("_new", "shard")
+    rows.write.mode("overwrite").partitionBy("shard").option("compression", "zstd").parquet(new_root)
+    return _paths(placed, touched, old_root, new_root)
 
 
-def read_shards(files: DataFrame, old_root: str, new_root: str, schema=None) -> DataFrame:
-    """The rows of all shards after ``rewrite_affected`` with a key: changed shards from new_root, all others from old_root."""
-    old = _files(files, old_root, schema)
+def read_shards(files: DataFrame, old_root: str, new_root: str, schema) -> DataFrame:
+    """The rows of all shards after ``rewrite_files``: changed shards from new_root, all others from old_root."""
+    old, new = (files.sparkSession.read.schema(schema).parquet(root) for root in (old_root, new_root))
     kept = old.join(F.broadcast(files.where("not rewritten").select("shard")), "shard")  # at most a row for each shard
-    return kept.unionByName(_files(files, new_root, old.schema))
+    return kept.unionByName(new)
 
 
 def digest(text: str) -> tuple[Column, Column]:
@@ -188,11 +212,11 @@ def rewrite_documents(spark, docs: DataFrame, shards: int = 24) -> DataFrame:
     # written once, so a row keeps its number whatever is computed again
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", old_shard().alias("shard"))
     numbered.write.partitionBy("shard").option("compression", "zstd").parquet(old_root)
-    placed = reshard(_files(docs, old_root, numbered.schema).select("row", F.col("shard").alias("old_shard"), digest("text")[0]), shards)
-    placed = staging.keep(placed.select("row", "old_shard", "shard", "slot"), "placed")
-    files = staging.keep(rewrite_affected(placed, old_root, new_root, "row", numbered.schema), "files")
+    old = spark.read.schema(numbered.schema).parquet(old_root).select("row", F.col("shard").alias("old_shard"), digest("text")[0])
+    placed = staging.keep(reshard(old, shards, key="row"), "placed")
+    files = staging.keep(rewrite_files(placed, old_root, new_root, numbered.schema, "row", digest("text")[0]), "files")
     rows = read_shards(files, old_root, new_root, numbered.schema).select("row", "doc_id", *digest("text"), "shard")
-    return rows.join(placed, ["row", "shard"]).drop("row")
+    return rows.join(placed.drop("size"), ["row", "shard"]).drop("row")
 
 
 def op2_resharding(spark, sf_dir: str) -> DataFrame:
