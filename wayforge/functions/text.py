@@ -44,12 +44,14 @@ CURRENCIES = {
     "JPY": r"¥",
     "HUF": r"\b(?:HUF|Ft|forints?)\b",
 }
-#: What may stand before or after an amount. Codes never touch a letter.
-_MARK = r"(?:US\$|CA\$|NZ\$|A\$|C\$|\$|€|£|¥|(?<![A-Za-z])(?:USD|EUR|GBP|HUF|NZD|AUD|CAD|Ft)(?![A-Za-z]))"
+#: What may stand before or after an amount. Codes never touch a letter, nor a digit but their own amount's, which
+#: is then no part of a longer word either: hashes and keys hold "cad" between digits.
+_SIGN, _CODE = r"US\$|CA\$|NZ\$|A\$|C\$|\$|€|£|¥", "(?:USD|EUR|GBP|HUF|NZD|AUD|CAD|Ft)"
 #: Groups of three after blanks, or digits with any dots and commas inside.
 _NUMBER = r"(?:[0-9]{1,3}(?:[ \u00a0][0-9]{3})+(?:[.,][0-9]{1,2})?(?![0-9])|[0-9](?:[0-9.,]*[0-9])?)"
-#: A mark before an amount, or after one that is not the end of a longer number.
-MONEY = rf"(?i)({_MARK}[ \u00a0]*{_NUMBER}|(?<![0-9.,]){_NUMBER}[ \u00a0]*{_MARK})"
+_BEFORE = rf"(?:{_SIGN}|(?<![\p{{L}}0-9]){_CODE}(?!\p{{L}}|[0-9](?:[0-9.,]*[0-9])?\p{{L}}))"
+#: A mark before an amount, or after one that is not the end of a longer number or, with a code, of a word.
+MONEY = rf"(?i)({_BEFORE}[ \u00a0]*{_NUMBER}|(?<![0-9.,])(?:{_NUMBER}[ \u00a0]*(?:{_SIGN})|(?<!\p{{L}}){_NUMBER}[ \u00a0]*{_CODE}(?![\p{{L}}0-9])))"
 
 
 def money_mentions(c: Column) -> Column:
