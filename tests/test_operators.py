@@ -357,3 +357,8 @@ def test_long_groups_in_blocks(spark):
         a = ranking.adjacent(df, ["g"], "pos", F.col("v"), True, size).withColumnsRenamed({"previous": "rp", "next": "rn"})
         b = ranking.adjacent(a, ["g"], "pos", F.col("v"), False, size)
         assert {(r.g, r.pos): (r.rp, r.rn, r.previous, r.next) for r in b.collect()} == ring
+
+
+def test_hashes_are_not_redacted(spark):
+    df = spark.createDataFrame([(t,) for t in HASHES], "t string").select("t", F.regexp_replace("t", T.MONEY, "[price]").alias("r"))
+    assert all(r.t == r.r for r in df.collect())
