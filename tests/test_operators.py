@@ -84,6 +84,14 @@ def test_aliases(spark):
     }
 
 
+def test_owners_broadcast_nothing_but_parameters(spark, sf_dir):
+    """The tables of names have small files, whatever their rows; only the explicit targets may pass the driver whole."""
+    from wayforge.plans.join_queries import alias_ownership, ordinal_pair
+
+    plan = lambda df: df._jdf.queryExecution().sparkPlan().toString()
+    assert plan(alias_ownership(spark, sf_dir)).count("BroadcastHashJoin") <= 1 and "Broadcast" not in plan(ordinal_pair(spark, sf_dir))
+
+
 def test_containment_guards(spark):
     new = spark.createDataFrame([(1, "museum of fine arts tour", "venue"), (2, "museum of fine arts tour", "experience"), (3, "fine arts", "venue"), (4, "old castle", "venue")], "id long, norm string, kind string")
     old = spark.createDataFrame([("Museum of Fine Arts", "museum of fine arts", 1, "venue", False), ("Castle", "castle", 2, "venue", False), ("Old castle", "old castle", 3, "experience", True)], "orig string, norm string, ordinal int, kind string, is_generic boolean")

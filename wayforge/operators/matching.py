@@ -41,6 +41,12 @@ def guarded_containment(new: DataFrame, existing: DataFrame, least_chars: int =
     return rows.select("id", F.least("m", "e").alias("m")).where("m is not null").groupBy("id").agg(F.min("m").alias("m")).select("id", "m.orig", "m.ordinal")
 
 
+def _large(df: DataFrame) -> DataFrame:
+    """A side that grows with the input, to be shuffled: files of repeated names are small, so by their size plans would
+    broadcast all of it through the driver."""
+    return df.hint("merge")
+
+
 def legacy_owner(df: DataFrame, city: str, name: str, id_: str) -> DataFrame:
     """The smallest id of a (city, name) owns the bare key; the others get their id as a suffix."""
     rn = F.row_number().over(Window.partitionBy(city, name).orderBy(id_))
@@ -52,7 +58,7 @@ def ordinal_pairs(old: DataFrame, new: DataFrame, group: list[str], id_: str) ->
     w = Window.partitionBy(*group)
     a = old.select(*group, F.col(id_).alias("old_id"), F.row_number().over(w.orderBy(id_)).alias("rn"), F.count("*").over(w).alias("_n"))
     b = new.select(*group, F.col(id_).alias("new_id"), F.row_number().over(w.orderBy(id_)).alias("rn"), F.count("*").over(w).alias("_m"))
-    return a.join(b, [*group, "rn"]).where("_n = _m").select(*group, "old_id", "new_id")
+    return a.join(_large(b), [*group, "rn"]).where("_n = _m").select(*group, "old_id", "new_id")
 
 
 def snapshot_owners(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -63,11 +69,11 @@ def snapshot_owners(old: DataFrame, new: DataFrame) -> DataFrame:
     a = old.select("city", "name", "id")
     per = new.groupBy("city", "name").agg(F.count("*").alias("_n"), F.min("id").alias("_only"))
     mine = new.select("city", "name", "id", F.lit(True).alias("_same"))
-    step = a.join(per, ["city", "name"], "left").join(mine, ["city", "name", "id"], "left").withColumn("_many", F.coalesce(F.col("_n") > 1, F.lit(False)))
+    step = a.join(_large(per), ["city", "name"], "left").join(_large(mine), ["city", "name", "id"], "left").withColumn("_many", F.coalesce(F.col("_n") > 1, F.lit(False)))
     left = step.where("_many and _same is null").select("city", "name", "id")
-    free = new.select("city", "name", "id").join(per.where("_n > 1").select("city", "name"), ["city", "name"], "left_semi").join(a, ["city", "name", "id"], "left_anti")
+    free = new.select("city", "name", "id").join(_large(per.where("_n > 1").select("city", "name")), ["city", "name"], "left_semi").join(_large(a), ["city", "name", "id"], "left_anti")
     pairs = ordinal_pairs(left, free, ["city", "name"], "id").select("city", "name", F.col("old_id").alias("id"), F.col("new_id").alias("_paired"))
-    out = step.join(pairs, ["city", "name", "id"], "left")
+    out = step.join(_large(pairs), ["city", "name", "id"], "left")
     single = F.when(F.col("_n") == 1, F.col("_only"))
     same = F.col("_many") & F.coalesce("_same", F.lit(False))
     how = F.when(single.isNotNull(), "name").when(same, "identity").when(F.col("_paired").isNotNull(), "order").otherwise("self")
@@ -82,14 +88,14 @@ def alias_owners(snapshots: list[DataFrame], new: DataFrame, explicit: DataFrame
     claims = []
     for n, old in enumerate(snapshots, 1):
         keys = legacy_owner(old, "city", "name", "id").select("id", F.col("key").alias("_key"))
-        rows = snapshot_owners(old, new).join(old.select("city", "name", "id", "aliases"), ["city", "name", "id"]).join(keys, "id")
+        rows = snapshot_owners(old, new).join(_large(old.select("city", "name", "id", "aliases")), ["city", "name", "id"]).join(_large(keys), "id")
         claims.append(rows.select("id", "owner", "how", F.explode(F.array_append(F.coalesce("aliases", F.array().cast("array<string>")), F.col("_key"))).alias("alias"), F.lit(n).alias("snapshot")))
     first = functools.reduce(DataFrame.union, claims).groupBy("alias").agg(F.min_by(F.struct("owner", "how", "snapshot"), F.struct("snapshot", "id")).alias("f")).select("alias", "f.*")
-    told = explicit.join(new.select(F.col("id").alias("target")).distinct(), "target", "left_semi")
+    told = explicit.join(_large(new.select(F.col("id").alias("target")).distinct()), "target", "left_semi")
     out = first.join(told, "alias", "left")
     return out.select("alias", F.coalesce("target", "owner").alias("owner"), F.when(F.col("target").isNotNull(), "explicit").otherwise(F.col("how")).alias("how"), "snapshot")
 
 
 def unowned(expected: DataFrame, emitted: DataFrame, key: list[str]) -> DataFrame:
     """Keys that old snapshots had and that no current row owns."""
-    return expected.select(*key).distinct().join(emitted, key, "left_anti")
+    return expected.select(*key).distinct().join(_large(emitted), key, "left_anti")
