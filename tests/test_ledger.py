@@ -124,6 +124,21 @@ def test_votes_leave_no_state(spark):
     assert {(r.user_id, r.rating) for r in picks.newest(still, ["user_id", "place"]).where("rating <> 0").collect()} == {(2, 2)}
 
 
+def test_votes_of_a_group_go_together(spark, monkeypatch):
+    """Thousands of votes lie in a few groups of the state, and end as those that are toggled one by one."""
+    monkeypatch.setattr(ledger, "VOTE_GROUPS", 2)
+    random = lambda seed, n: F.floor(F.rand(seed) * n).cast("long")
+    votes = spark.range(3000).select(F.when(F.col("id") % 9 > 0, random(1, 150)).alias("user_id"), random(2, 2).alias("place"), random(3, 3).alias("rating"), F.floor(F.col("id") / 2).alias("ts"), F.col("id").alias("event_id")).localCheckpoint()
+    out = ledger.drain_keyed([votes.where(f"ts % 1500 >= {i * 500} and ts % 1500 < {i * 500 + 500}") for i in range(3)], ledger.toggled_votes, "test-groups")
+    key = lambda r: (r.user_id is None, r.user_id, r.place, r.rating)
+    got = sorted(map(key, picks.newest(out, ["user_id", "place"]).where("rating <> 0").collect()), key=str)
+    assert got == sorted(map(key, picks.votes_kept(votes).collect()), key=str) and len(got) > 50
+    assert out.select("user_id", "place").distinct().count() > 200
+    with ledger.keyed_state(spark):
+        state = spark.read.format("statestore").option("stateVarName", "vote").load(out.inputFiles()[0].split("/rows/")[0] + "/checkpoint")
+        assert state.select("key").distinct().count() <= 2 < state.count()
+
+
 def test_fingerprint_of_changes(spark):
     one = lambda rows: {(r.g, r.n, r.digest) for r in publish.fingerprint(spark.createDataFrame(rows, "g int, k int, s int"), ["g"], F.col("k"), F.col("s")).collect()}
     assert one([(1, 5, 1), (1, 6, 1), (1, 5, -1), (1, 8, 1), (1, 6, -1), (1, 9, 1)]) == one([(1, 9, 1), (1, 8, 1)])

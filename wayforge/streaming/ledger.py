@@ -180,21 +180,42 @@ def pending_fields(events: DataFrame) -> DataFrame:
     return events.groupBy("lane").transformWithStateInPandas(PendingFields(), "lane long, field string, value string, waiting long", "Update", "None")
 
 
+#: Votes lie in so many groups by key; one call of the processor works on a group, whose votes are a list in the state.
+VOTE_GROUPS = 1024
+
+
 class Votes(StatefulProcessor):
-    """A vote that a second one of the same rating clears; a cleared vote, or one for nothing, leaves no state."""
+    """A vote that a second one of the same rating clears; a cleared vote, or one for nothing, leaves no state.
+
+    A rating other than the one before it sets, and repeated it clears and sets in turn; so what a vote shows after a batch
+    follows from its last run of equal ratings, and from the vote before only where the whole batch is that run."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.vote = handle.getValueState("vote", "rating bigint")
+        self.votes = handle.getListState("vote", "user_id bigint, place bigint, rating bigint")
 
     def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
-        now = self.vote.get()[0] if self.vote.exists() else 0
-        for rating in in_order(rows, ["ts", "event_id"])["rating"]:
-            now = 0 if rating == now else int(rating)
-        if now:
-            self.vote.update((now,))
+        new = in_order(rows, ["ts", "event_id"])
+        new["vote"] = new.groupby(["user_id", "place"], dropna=False, sort=False).ngroup()
+        new = new.sort_values("vote", kind="stable")
+        own = new["vote"] != new["vote"].shift()
+        run = (own | (new["rating"] != new["rating"].shift())).cumsum()
+        new = new.assign(size=new.groupby(run)["rating"].transform("size"), first=run == run.where(own).ffill())
+        last = new[new["vote"] != new["vote"].shift(-1)]
+        votes = {(u, p): r for u, p, r in self.votes.get()}
+        shown = []
+        for u, p, rating, size, first in last[["user_id", "place", "rating", "size", "first"]].itertuples(index=False):
+            key = tuple(None if pd.isna(x) else int(x) for x in (u, p))
+            clears = (size + (first and votes.get(key) == rating)) % 2 == 0
+            now = 0 if clears else int(rating)
+            votes.pop(key, None)
+            if now:
+                votes[key] = now
+            shown.append((*key, now))
+        if votes:
+            self.votes.put([(*key, now) for key, now in votes.items()])
         else:
-            self.vote.clear()
-        yield pd.DataFrame([(*key, now)], columns=["user_id", "place", "rating"])
+            self.votes.clear()
+        yield pd.DataFrame(shown, columns=["user_id", "place", "rating"]).astype({"user_id": "Int64", "place": "Int64"})
 
     def close(self) -> None:
         pass
@@ -202,7 +223,9 @@ class Votes(StatefulProcessor):
 
 def toggled_votes(changes: DataFrame) -> DataFrame:
     """(user_id, place, rating) after each batch for the votes that it touches, 0 for cleared ones."""
-    return changes.groupBy("user_id", "place").transformWithStateInPandas(Votes(), "user_id long, place long, rating long", "Update", "None")
+    group = F.pmod(F.xxhash64("user_id", "place"), F.lit(VOTE_GROUPS)).alias("_group")
+    rows = changes.select("user_id", "place", "rating", "ts", "event_id", group)
+    return rows.groupBy("_group").transformWithStateInPandas(Votes(), "user_id long, place long, rating long", "Update", "None")
 
 
 def drain_keyed(parts: list[DataFrame], plan: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
