@@ -226,22 +226,28 @@ def conditional_prices(df: DataFrame, key: str, text: str, rules: list[PriceRule
     """(key, kind, pos, amount, currency, other, unit, scope, least, condition): every place where a rule's wording stands, from 0
     in each rule; amounts without a number are left out. Texts are squeezed first."""
     df = df.select(key, T.squeezed(F.col(text)).alias("_t"))
-
-    def rows(r: PriceRule) -> Column:
-        group = lambda n, i: F.get(F.regexp_extract_all("_t", F.lit(r.pattern), n), i) if n else F.lit(None).cast("string")
-
-        def row(whole: Column, i: Column) -> Column:
-            money, other, unit = group(r.amount, i), group(r.other, i), F.lower(group(r.unit_group, i)) if r.unit_group else F.lit(r.unit)
-            label = lambda m: F.concat_ws(" ", T.currency(m), T.amount(m).cast("string"))
-            words = F.lit(r.condition)
-            for name, value in (("amount", label(money)), ("other", label(other)), ("least", F.coalesce(group(r.least, i), F.lit(""))), ("unit", unit)):
-                words = F.replace(words, F.lit("{" + name + "}"), value) if "{" + name + "}" in r.condition else words
-            return F.struct(F.lit(r.kind).alias("kind"), i.alias("pos"), T.amount(money).alias("amount"), T.currency(money).alias("currency"), T.amount(other).alias("other"), unit.alias("unit"), F.lit(r.scope).alias("scope"), group(r.least, i).try_cast("int").alias("least"), words.alias("condition"), F.lit(r.amount > 0).alias("priced"))
-
-        return F.transform(F.regexp_extract_all("_t", F.lit(r.pattern), 0), row)
-
-    found = df.select(key, F.explode(F.flatten(F.array(*map(rows, rules)))).alias("_r")).select(key, "_r.*")
-    return found.where("amount is not null or not priced").drop("priced")
+    places = lambda n, r: F.transform(F.regexp_extract_all("_t", F.lit(r.pattern), 0), lambda t, i: F.struct(F.lit(n).alias("rule"), i.alias("pos"), t.alias("whole")))
+    # one search of a text a rule; what a place says is read off the place's own text, in steps that are made once
+    rows = df.select(key, F.explode(F.flatten(F.array(*(places(n, r) for n, r in enumerate(rules))))).alias("_r")).select(key, "_r.*")
+
+    def by_rule(value) -> Column:
+        return F.coalesce(*(F.when(F.col("rule") == n, value(r)) for n, r in enumerate(rules)))
+
+    group = lambda n, r: F.regexp_extract("whole", r.pattern, n) if n else F.lit(None).cast("string")
+    texts = {"_money": lambda r: group(r.amount, r), "_other": lambda r: group(r.other, r), "_least": lambda r: group(r.least, r), "unit": lambda r: F.lower(group(r.unit_group, r)) if r.unit_group else F.lit(r.unit)}
+    rows = rows.select(key, "rule", "pos", F.explode(F.array(F.struct(*(by_rule(f).alias(c) for c, f in texts.items())))).alias("_g")).select(key, "rule", "pos", "_g.*")
+    money = {f"{c}{of}": F.col(f) for of, f in (("", "_money"), ("_other", "_other")) for c in ("amount", "currency")}
+    money = {c: (T.amount if c.startswith("amount") else T.currency)(f) for c, f in money.items()}
+    rows = rows.withColumns(money).where("amount is not null or _money is null")
+
+    def words(r: PriceRule) -> Column:
+        label = lambda of: F.concat_ws(" ", F.col(f"currency{of}"), F.col(f"amount{of}").cast("string"))
+        out = F.lit(r.condition)
+        for name, value in (("amount", label("")), ("other", label("_other")), ("least", F.coalesce("_least", F.lit(""))), ("unit", F.col("unit"))):
+            out = F.replace(out, F.lit("{" + name + "}"), value) if "{" + name + "}" in r.condition else out
+        return out
+
+    return rows.select(key, by_rule(lambda r: F.lit(r.kind)).alias("kind"), "pos", "amount", "currency", F.col("amount_other").alias("other"), "unit", by_rule(lambda r: F.lit(r.scope)).alias("scope"), F.col("_least").try_cast("int").alias("least"), by_rule(words).alias("condition"))
 
 
 def weak_evidence(description: Column, reviews: Column, least_words: int = 8, least_reviews: int = 3, review_words: int = 12) -> Column:
