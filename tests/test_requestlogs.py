@@ -22,3 +22,13 @@ def test_broken_logs_do_not_crash(spark):
     logs = spark.createDataFrame([(i, r, "1", x, None) for i, x in enumerate(odd) for r in ("venue", "product")], "k int, route string, detail_id string, evidence string, stored string")
     codes = {(r.k, r.code) for r in log_issues(logs, "k", DENIED).collect()}
     assert (6, "graphql-price-query-missing") in codes and (4, "graphql-query-missing") in codes
+
+
+def test_logs_of_one_file_are_worked_on_by_all_cores(spark, sf_dir):
+    from wayforge.plans.log_queries import request_log_derived
+    from wayforge.plans.registry import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    sizes = spread(spark.range(50_000).coalesce(1), 1000).rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert len(sizes) == max(2 * cores, 50) and max(sizes) <= 1500
+    assert "REPARTITION_BY_NUM" in request_log_derived(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from wayforge.operators import requestlogs
-from wayforge.plans.registry import query, read
+from wayforge.plans.registry import query, read, spread
 from wayforge.sources.pages import identity
 
 ID = "@ID@"
@@ -111,7 +111,7 @@ def request_log_derived(spark, d):
     """O-Q9: a log for each order, with one change or none; what a query must have follows from the answers before it."""
     changes = spark.createDataFrame([(i, *changed(i)) for i in range(len(CHANGES))], "i long, route string, evidence string, stored string")
     orders = read(spark, d, "orders").select("o_orderkey", (F.col("o_orderkey") % len(CHANGES)).alias("i"))
-    logs = orders.join(F.broadcast(changes), "i")  # one row a change
+    logs = spread(orders).join(F.broadcast(changes), "i")  # one row a change
     own = F.col("o_orderkey").cast("string")
     logs = logs.select("o_orderkey", "route", own.alias("detail_id"), F.replace("evidence", F.lit(ID), own).alias("evidence"), "stored")
     return requestlogs.log_issues(logs, "o_orderkey", DENIED)
