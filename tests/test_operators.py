@@ -381,3 +381,11 @@ def test_conditional_prices_search_a_text_once_a_rule(spark):
     assert sorted((r.kind, r.pos, str(r.amount), r.currency, r.unit, r.least, r.condition) for r in found.collect()) == [
         ("group", 0, "15.00", "EUR", "person", 10, "Groups of 10 or more: minimum EUR 15.00 per person."), ("group", 1, "12.00", "EUR", "adult", 20, "Groups of 20 or more: minimum EUR 12.00 per adult."), ("storage", 0, "3.00", "USD", "hour", 2, "Minimum 2 hours"),
     ]
+
+
+def test_phrases_take_no_objects():
+    import pyarrow as pa
+
+    automaton, sizes = textjobs._automaton(pa.chunked_array([[f"phrase {i}" for i in range(15_000)], ["last"]]))
+    assert len(sizes) == 15_001 and sizes.itemsize <= 8 and automaton.store == 10  # STORE_INTS
+    assert list(automaton.iter("the last phrase 7")) == [(7, 15_000), (16, 7)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -126,6 +127,20 @@ def matched_rule(rules: list[tuple]) -> Column:
     return F.coalesce(*parts, F.lit(None).cast("struct<priority:bigint,label:string>"))
 
 
+def _automaton(phrases: pa.ChunkedArray) -> tuple:
+    """An automaton that knows phrases by their places, and the length of each; a Python object for each phrase's rule
+    would take several times as much."""
+    import ahocorasick
+
+    automaton, sizes = ahocorasick.Automaton(ahocorasick.STORE_INTS), array("i")
+    for i in range(0, len(phrases), 10_000):
+        for phrase in phrases.slice(i, 10_000).to_pylist():
+            automaton.add_word(phrase, len(sizes))
+            sizes.append(len(phrase))
+    automaton.make_automaton()
+    return automaton, sizes
+
+
 def matched_phrases(df: DataFrame, text: str, rules: DataFrame, name: str = "_phrase") -> DataFrame:
     """df with ``name``: (priority, label) of the first rule, by priority and label, whose phrase stands in the text, or null.
 
@@ -143,26 +158,24 @@ def matched_phrases(df: DataFrame, text: str, rules: DataFrame, name: str = "_ph
     schema = out.schema
     for part in range(parts):
         own = rules.where(F.pmod(F.xxhash64("phrase"), F.lit(parts)) == part).groupBy("phrase").agg(F.min(F.struct("priority", "label")).alias("r"))
-        held = spark.sparkContext.broadcast([(r["phrase"], r["r"]["priority"], r["r"]["label"]) for r in own.toLocalIterator()])
+        rows = own.select("phrase", "r.priority", "r.label").toArrow().sort_by([("priority", "ascending"), ("label", "ascending")])
+        held = spark.sparkContext.broadcast(rows.set_column(2, "label", rows["label"].dictionary_encode()).combine_chunks())
 
         def run(batches, held=held):
-            import ahocorasick
-
-            automaton = ahocorasick.Automaton()
-            for phrase, priority, label in held.value:
-                automaton.add_word(phrase, (priority, label, len(phrase)))
-            automaton.make_automaton()
+            automaton, sizes = _automaton(held.value["phrase"])
+            priorities, labels = held.value["priority"], held.value["label"]
 
             def first(value: str | None, best):
                 if not value or not len(automaton):
                     return best
-                value = value.lower()
-                for end, (priority, label, size) in automaton.iter(value):
-                    start = end - size + 1
+                value, place = value.lower(), None
+                for end, at_rule in automaton.iter(value):
+                    start = end - sizes[at_rule] + 1
                     inside = (start > 0 and value[start - 1].isalnum() and value[start].isalnum()) or (value[end].isalnum() and value[end + 1 : end + 2].isalnum())
-                    if not inside and (best is None or (priority, label) < best):
-                        best = (priority, label)
-                return best
+                    if not inside and (place is None or at_rule < place):
+                        place = at_rule
+                found = None if place is None else (priorities[place].as_py(), labels[place].as_py())
+                return found if best is None or (found is not None and found < best) else best
 
             for batch in batches:
                 old = [x and (x["priority"], x["label"]) for x in batch.column(batch.num_columns - 1).to_pylist()]
