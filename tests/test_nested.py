@@ -115,3 +115,15 @@ def test_stale_files_are_not_opened(spark, tmp_path):
     assert P.scan_files(spark, str(tmp_path), modified_after="2023-11-14T20:00:00").count() == 2
     listed = P.scan_files(spark, str(tmp_path)).select("path", "fetched_at")._jdf.queryExecution().executedPlan().toString()
     assert "content" not in listed.split("ReadSchema")[-1]
+
+
+def test_percent_replaced_sends_escapes_only(spark):
+    """Equal to decoding whole texts, of which pages of any size would lie in a worker by the thousand."""
+    from wayforge.functions import nested
+
+    rows = ["100% fun %2F", "%zzA%", "%C3%A9 + %FF", "plain", None, "", "%20", "%C3x%A9%E2%82", "a%250A%0Ab", "%41" * 50 + "%4", "é%c3%a9%"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(rows)], "i int, x string")
+    want = {r.i: r.d for r in df.select("i", percent_decoded("x").alias("d")).collect()}
+    assert {r.i: r.x for r in nested.percent_replaced(df, "x").collect()} == want
+    plan = nested.percent_replaced(df, "x")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_unquoted(" in plan and "percent_decoded(" not in plan

@@ -8,7 +8,7 @@ import urllib.parse
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, MapType, StringType, StructField, StructType
 
@@ -105,6 +105,22 @@ def percent_decoded(text: pa.Array) -> pa.Array:
     return pa.array([x if x is None or "%" not in x else urllib.parse.unquote(x) for x in text.to_pylist()], pa.string())
 
 
+@F.arrow_udf(ArrayType(_TEXT))
+def _unquoted(runs: pa.Array) -> pa.Array:
+    return pa.array([None if r is None else [urllib.parse.unquote(x) for x in r] for r in runs.to_pylist()], pa.list_(pa.string()))
+
+
+#: Escapes that follow one another, which together may be one character.
+_ESCAPES = "(?:%[0-9A-Fa-f]{2})+"
+
+
+def percent_replaced(df: DataFrame, text: str) -> DataFrame:
+    """df with percent_decoded of a column: only the escapes leave the JVM, however long the texts are."""
+    decoded = df.withColumn("_runs", _unquoted(F.regexp_extract_all(text, F.lit(_ESCAPES), 0)))
+    pieces = F.zip_with(F.split(text, _ESCAPES), "_runs", lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    return decoded.withColumn(text, F.array_join(pieces, "")).drop("_runs")
+
+
 @F.arrow_udf(_TEXT)
 def unescaped(text: pa.Array) -> pa.Array:
     """Text with all named and numbered character references replaced."""

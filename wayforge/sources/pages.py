@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayforge.functions.nested import described_nodes, percent_decoded, unescaped
+from wayforge.functions.nested import described_nodes, percent_replaced, unescaped
 from wayforge.session import work_path
 
 
@@ -195,12 +195,13 @@ def cards(pages: DataFrame, key: str, html: str, marker: str, escapes: bool = Fa
     A page is decoded three times: valid %XX escapes, one by one, and the references of <, > and &; with ``escapes`` also
     \\\\, \\" and \\/ of scripts. The first link is the identity; names and texts have all their references replaced; at
     most two photos, from before the reviews; a text of over 170 characters ends at a word, with an ellipsis."""
-    decoded = F.col(html)
+    pages = pages.select(key, F.col(html).alias("_d"))
     for _ in range(3):
-        decoded = percent_decoded(decoded)
+        pages, decoded = percent_replaced(pages, "_d"), F.col("_d")
         for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"), *((("\\\\", "\\"), ('\\"', '"'), ("\\/", "/")) if escapes else ())):
             decoded = F.replace(decoded, F.lit(a), F.lit(b))
-    part = pages.select(key, F.posexplode(F.split(decoded, F.lit(marker))).alias("pos", "card")).where("pos > 0")
+        pages = pages.withColumn("_d", decoded)
+    part = pages.select(key, F.posexplode(F.split("_d", F.lit(marker))).alias("pos", "card")).where("pos > 0")
     before = F.split("card", "class=\"review")[0]
     photos = F.slice(F.array_distinct(F.regexp_extract_all(before, F.lit(r'src="([^"]+)"'), 1)), 1, 2)
     out = part.select(key, "pos", F.regexp_extract("card", r'href="([^"]+)"', 1).alias("link"), F.regexp_extract("card", r">([^<>]{3,})<", 1).alias("_name"), photos.alias("photos"), F.regexp_replace(F.concat(F.lit("" if marker.endswith(">") else "<"), F.col("card")), "<[^>]*>?", " ").alias("_text"))
