@@ -1,6 +1,6 @@
 import numpy as np
 
-from wayforge.llm.local_descriptors import _box, consensus, describe, edited, from_image, image_copies, media_of, op9_local_descriptors, render, to_image
+from wayforge.llm.local_descriptors import _box, candidates, consensus, describe, describe_media, edited, from_image, image_copies, media_of, op9_local_descriptors, render, to_image
 
 
 def vector(seed):
@@ -103,3 +103,28 @@ def test_large_ids_and_odd_vectors(spark):
     rows = [(1 << 62, [0.1, None, 0.5]), (-(1 << 62) - 1, []), (None, [1.0]), (7, None), (8, [float("nan")])]
     media = media_of(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
     assert media.count() == 10 and image_copies(media).count() == 10
+
+
+def test_all_links_among_copies_are_counted(spark):
+    """Four edits of each picture are linked with each other, not only with the smallest."""
+    rows, want = [], {}
+    for i in range(12):
+        x = render(vector(300 + i))
+        noise = np.random.default_rng(i).integers(-4, 5, x.shape)
+        some = [x, np.clip(x.astype(int) + 3, 0, 255).astype(np.uint8), np.rot90(x), np.clip(x + noise, 0, 255).astype(np.uint8)]
+        rows += [(10 * i + k, to_image(y)) for k, y in enumerate(some)]
+        found = [describe(y.astype(np.float32)) for y in some]
+        for k, (p, a) in enumerate(found):
+            near = [np.argwhere(np.bitwise_count(a[:, None] ^ b[None]).sum(-1) <= 28) for _, b in found]
+            want[10 * i + k] = sum(j != k and consensus(p, found[j][0], near[j]) >= 5 for j in range(4))
+    got = {r.media_id: r.n_links for r in image_copies(spark.createDataFrame(rows, "media_id long, image binary")).collect()}
+    assert sum(want.values()) >= 130 and got == want
+
+
+def test_cut_slices_give_the_same_pairs(spark):
+    rows = [(3 * i + k, to_image(render(vector(400 + i))[k : 70 + k, : 80 - k])) for i in range(20) for k in range(3)]
+    features = describe_media(spark.createDataFrame(rows, "media_id long, image binary").repartition(6)).cache()
+    whole = {tuple(r) for r in candidates(features, 28).collect()}
+    assert {(3 * i + a, 3 * i + b) for i in range(20) for a, b in ((0, 1), (0, 2), (1, 2))} <= whole
+    assert {tuple(r) for r in candidates(features, 28, slice_size=100, most=60).collect()} == whole
+    features.unpersist()

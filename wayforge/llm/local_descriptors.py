@@ -22,6 +22,8 @@ LEVELS, SPACE = (1.0, 0.75, 0.5), 5
 RADIUS, TURNS, TESTS = 9, 36, 256
 #: Bits of a table's key, and so 256 / 32 tables: copies whose descriptors agree on one run of so many bits meet.
 TABLE_BITS = 32
+#: Corners of a slice of a table, the most that one task holds at once, and those compared or packed at once.
+SLICE, MOST_SPOTS, BLOCK = 200_000, 1_000_000, 1 << 16
 
 
 # -- images: binary grey maps ("P5") ---------------------------------------------------------------------------------
@@ -138,26 +140,110 @@ def describe_media(media: DataFrame) -> DataFrame:
     return media.select("media_id", "image").mapInArrow(run, "media_id long, digest binary, points binary, descriptors binary")
 
 
-def table_keys(features: DataFrame) -> DataFrame:
-    """(rep, key): for each corner, the hash of each run of TABLE_BITS of its descriptor, with the run's place."""
-    width = TABLE_BITS // 8
+def _spots(features: DataFrame, slices: int) -> DataFrame:
+    """(slice, reps, descriptors): the corners of each of the 256 / TABLE_BITS tables, packed by slices of equal runs; reps are
+    ascending and each is the difference from the one before, which compresses well.
+
+    Corners that agree on a run lie in one slice of its table; table t has the slices t * slices and on."""
+    tables = TESTS // TABLE_BITS
 
     def run(batches):
         for batch in batches:
-            reps, keys = [], []
-            for rep, d in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                runs = np.frombuffer(d, np.uint8).reshape(-1, TESTS // TABLE_BITS, width)
-                if len(runs):
-                    value = np.zeros(runs.shape[:2], np.uint64)
-                    for i in range(width):
-                        value = value << np.uint64(8) | runs[..., i]
-                    own = np.unique(mix(value + mix(np.arange(runs.shape[1], dtype=np.uint64) + np.uint64(77))))
-                    keys.append(own)
-                    reps.append(np.full(len(own), rep, np.int64))
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(reps)), pa.array(np.concatenate(keys).view(np.int64))], ["rep", "key"])
-
-    return features.select("media_id", "descriptors").mapInArrow(run, "rep long, key long")
+            ids, packed = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            ids, packed = zip(*sorted(zip(ids, packed))) if ids else ((), ())
+            reps = np.repeat(np.asarray(ids, np.int64), [len(d) // (TESTS // 8) for d in packed])
+            rows = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, TESTS // 8)
+            where, left, right = [], [], []
+            for t in range(tables if len(rows) else 0):
+                at = (mix(_run_of(rows, t)) % np.uint64(slices)).astype(np.int64)
+                order = np.argsort(at, kind="stable")
+                cuts = np.flatnonzero(np.diff(at[order])) + 1
+                for part in np.split(order, cuts):
+                    for i in range(0, len(part), BLOCK):
+                        some = part[i : i + BLOCK]
+                        where.append(t * slices + int(at[some[0]]))
+                        left.append(np.diff(reps[some], prepend=0).tobytes())
+                        right.append(rows[some].tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(where, pa.int64()), pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["slice", "reps", "descriptors"])
+
+    return features.select("media_id", "descriptors").mapInArrow(run, "slice long, reps binary, descriptors binary")
+
+
+def _run_of(rows: np.ndarray, table: int) -> np.ndarray:
+    """Each descriptor's run of TABLE_BITS in a table."""
+    value, width = np.zeros(len(rows), np.uint64), TABLE_BITS // 8
+    for i in range(table * width, (table + 1) * width):
+        value = value << np.uint64(8) | rows[:, i]
+    return value
+
+
+def _near(reps: np.ndarray, rows: np.ndarray, table: int, most_bits: int):
+    """Rows (u, v, corners), u < v, in parts: images with corners that agree on the table's run and differ in at most most_bits,
+    and 16 bits of a hash of either corner. Each corner meets all others of its run, first those next to it, and so on."""
+    order = np.argsort(_run_of(rows, table), kind="stable")
+    reps, rows = reps[order], rows[order]
+    runs, words = _run_of(rows, table), np.ascontiguousarray(rows).view(np.uint64)
+    ends = np.searchsorted(runs, runs, side="right")
+    corner = (mix(words[:, 0] ^ mix(words[:, 1] ^ mix(words[:, 2] ^ mix(words[:, 3])))) >> np.uint64(48)).astype(np.int64)
+    at, step, found, n = np.arange(len(runs)), 1, [], 0
+    while len(at := at[at + step < ends[at]]):
+        for i in range(0, len(at), BLOCK):
+            x = at[i : i + BLOCK]
+            y = x + step
+            x, y = x[near := np.bitwise_count(words[x] ^ words[y]).sum(1) <= most_bits], y[near]
+            x, y = np.where(less := reps[x] < reps[y], x, y), np.where(less, y, x)
+            found.append(np.stack([reps[x], reps[y], corner[x] << 16 | corner[y]], 1)[reps[x] != reps[y]])
+            n += len(found[-1])
+            if n > 1 << 20 or len(found) > 4096:
+                found = [np.unique(np.concatenate(found), axis=0)]
+                if len(found[0]) > 1 << 19:
+                    yield found.pop()
+                n = sum(map(len, found))
+        step += 1
+    if n:
+        yield np.unique(np.concatenate(found), axis=0)
+
+
+def candidates(features: DataFrame, most_bits: int, slice_size: int = SLICE, most: int = MOST_SPOTS) -> DataFrame:
+    """(u, v): all pairs of images, u < v, of which two corners of each are within most_bits of one of the other's and agree
+    with it on a whole run.
+
+    A slice has about slice_size corners; one of over ``most`` is cut into blocks, and each two of them meet in one task."""
+    spark = features.sparkSession
+    n = features.agg(F.sum(F.length("descriptors"))).first()[0] or 0
+    slices = max(1, -(-n // (TESTS // 8) // slice_size))
+    spots = _spots(features, slices)
+    size = F.sum(F.length("reps") / 8)
+    large = spots.groupBy("slice").agg(size.alias("n")).where(F.col("n") > most).select("slice", F.ceil(F.col("n") / (most / 2)).cast("long").alias("blocks"))
+    # one row for each million corners of a hot slice at most
+    rows = spots.join(F.broadcast(large), "slice", "left").withColumn("own", F.pmod(F.xxhash64("reps", "descriptors"), F.col("blocks")))
+    others = F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).alias("other")
+    rows = rows.select("slice", F.coalesce("own", F.lit(0)).alias("own"), "reps", "descriptors", others)
+    rows = rows.select("slice", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "reps", "descriptors")
+    tasks = max(slices * TESTS // TABLE_BITS, 2 * spark.sparkContext.defaultParallelism)
+
+    def meet(batches):
+        place, kept = None, []
+
+        def pairs():
+            reps = np.concatenate([np.frombuffer(r, np.int64).cumsum() for r, _ in kept])
+            rows = np.frombuffer(b"".join(d for _, d in kept), np.uint8).reshape(-1, TESTS // 8)
+            for part in _near(reps, rows, place[0] // slices, most_bits):
+                yield pa.RecordBatch.from_arrays([pa.array(part[:, i]) for i in range(3)], ["u", "v", "corners"])
+
+        for batch in batches:
+            for *now, reps, descriptors in zip(*(c.to_pylist() for c in batch.columns)):
+                if now != place:
+                    if kept:
+                        yield from pairs()
+                    place, kept = now, []
+                kept.append((reps, descriptors))
+        if kept:
+            yield from pairs()
+
+    met = rows.repartition(tasks, "slice", "i", "j").sortWithinPartitions("slice", "i", "j").mapInArrow(meet, "u long, v long, corners long")
+    met = met.groupBy("u", "v").agg(F.bit_or("corners").bitwiseXOR(F.bit_and("corners")).alias("d"))
+    return met.where(f"shiftright(d, 16) <> 0 and d % {1 << 16} <> 0").select("u", "v")
 
 
 # -- pairs -----------------------------------------------------------------------------------------------------------
@@ -185,7 +271,7 @@ def _verify(pairs: DataFrame, least: int, most_bits: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             u, v, n = [], [], []
-            for rep, pivot, _, pa_, da, pb, db in zip(*(c.to_pylist() for c in batch.columns)):
+            for rep, pivot, pa_, da, pb, db in zip(*(c.to_pylist() for c in batch.columns)):
                 a, b = np.frombuffer(pa_, np.float32).reshape(-1, 4), np.frombuffer(pb, np.float32).reshape(-1, 4)
                 x, y = np.frombuffer(da, np.uint8).reshape(len(a), -1), np.frombuffer(db, np.uint8).reshape(len(b), -1)
                 far = np.bitwise_count(x[:, None] ^ y[None]).sum(-1)
@@ -200,28 +286,26 @@ def _verify(pairs: DataFrame, least: int, most_bits: int) -> DataFrame:
     return pairs.mapInArrow(run, "u long, v long, inliers long")
 
 
-def image_copies(media: DataFrame, least: int = 5, most_bits: int = 28, least_matches: int = 2) -> DataFrame:
+def image_copies(media: DataFrame, least: int = 5, most_bits: int = 28) -> DataFrame:
     """(media_id, class_id, n_links) for each row of media (media_id long, image binary).
 
-    Equal images are one node. Images that share least_matches keys of corners with the smallest image that has these keys
-    are compared: all their corners within most_bits, then the largest set of them that one shift, turn and scale
-    explains; with ``least`` such places they are linked. Two copies all of whose common keys have an unrelated smaller
-    image are not compared with each other; they share dozens of keys, so one without such an image is enough. class_id is the smallest media_id of the linked images and
-    n_links the number of an image's verified links; pairs within a class are not listed. A null, damaged or featureless
-    image is alone, but for equal ones; nulls are all alone. Rows may repeat; a null media_id gets a null class."""
+    Equal images are one node. All images of which two corners each are within most_bits of one of the other's and agree with it
+    on a run of TABLE_BITS are compared: all their corners within most_bits, then the largest set of them that one shift, turn and scale explains;
+    with ``least`` such places they are linked. class_id is the smallest media_id of the linked images and n_links the
+    number of other different images that an image is linked with; pairs within a class are not listed. A null, damaged or
+    featureless image is alone, but for equal ones; nulls are all alone. Rows may repeat; a null media_id gets a null class."""
     spark = media.sparkSession
     staging = Staging(spark, "media")
-    every = staging.keep(describe_media(media), "features")
+    described = staging.keep(describe_media(media), "described")
+    every = staging.keep(described.select("media_id", "digest"), "every")
     reps = staging.keep(every.where("digest is not null and media_id is not null").groupBy("digest").agg(F.min("media_id").alias("rep")), "reps")
-    features = staging.keep(every.join(reps.select(F.col("rep").alias("media_id")), "media_id", "left_semi").groupBy("media_id").agg(F.min("points").alias("points"), F.min("descriptors").alias("descriptors")), "first")
-    spots = table_keys(features)
-    shared = spots.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).where("pivot < last").select("key", "pivot")
-    shared = staging.keep(shared, "shared")
-    matches = spots.join(shared, "key").where("rep <> pivot").groupBy("rep", "pivot").agg(F.count("*").alias("n")).where(F.col("n") >= least_matches)
+    features = staging.keep(described.join(reps.select(F.col("rep").alias("media_id")), "media_id", "left_semi").groupBy("media_id").agg(F.min("points").alias("points"), F.min("descriptors").alias("descriptors")), "first")
+    staging.drop(described)
+    matches = staging.keep(candidates(features, most_bits), "candidates").select(F.col("v").alias("rep"), F.col("u").alias("pivot"))
     side = features.select("media_id", "points", "descriptors")
     pairs = matches.join(side, F.col("rep") == F.col("media_id")).drop("media_id")
     other = side.select(F.col("media_id").alias("_id"), F.col("points").alias("_points"), F.col("descriptors").alias("_descriptors"))
-    pairs = pairs.join(other, F.col("pivot") == F.col("_id")).select("rep", "pivot", "n", "points", "descriptors", "_points", "_descriptors")
+    pairs = pairs.join(other, F.col("pivot") == F.col("_id")).select("rep", "pivot", "points", "descriptors", "_points", "_descriptors")
     links = staging.keep(_verify(pairs, least, most_bits), "links")
     found = connected_components(links.select("u", "v"), staging)
     counts = links.select(F.explode(F.array("u", "v")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
