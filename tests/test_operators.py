@@ -389,3 +389,20 @@ def test_phrases_take_no_objects():
     automaton, sizes = textjobs._automaton(pa.chunked_array([[f"phrase {i}" for i in range(15_000)], ["last"]]))
     assert len(sizes) == 15_001 and sizes.itemsize <= 8 and automaton.store == 10  # STORE_INTS
     assert list(automaton.iter("the last phrase 7")) == [(7, 15_000), (16, 7)]
+
+
+def test_disagreements_within_a_group(spark):
+    """Tables that lie by the group are joined without another shuffle, with the same result as by the key alone."""
+    a = spark.createDataFrame([(1, (1, "x"), 5, None), (1, (2, None), 6, "q"), (2, (1, "x"), 7, "r"), (2, (1, "x"), 8, "r")], "g long, k struct<n: long, t: string>, u long, v string")
+    b = spark.createDataFrame([(1, (1, "x"), 5, "p"), (1, (2, None), 7, "q"), (2, (1, "x"), 7, None), (3, (1, "x"), 0, "")], "g long, k struct<n: long, t: string>, u long, v string")
+    got = sorted((r.g, r.k.n, r.field) for r in publish.disagreements(a, b, "k", ["u", "v"], group="g").collect())
+    assert got == [(1, 1, "v"), (1, 2, "u"), (2, 1, "u"), (2, 1, "v"), (2, 1, "v")]
+    plain = publish.disagreements(*(x.withColumn("k", F.struct("g", "k")) for x in (a, b)), "k", ["u", "v"])
+    assert sorted((r.k.g, r.k.k.n, r.field) for r in plain.collect()) == got
+
+
+def test_lines_are_shuffled_by_their_order_alone(spark, sf_dir):
+    from wayforge.plans import catalog
+
+    plan = catalog.QUERIES["metadata_agreement"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 4 and "named_struct" not in "".join(line for line in plan.splitlines() if "Exchange" in line)

@@ -94,11 +94,20 @@ def report(issues: DataFrame, expected: DataFrame, present: DataFrame, key: str,
     return summary.select(F.lit("count").alias("part"), "name", "n").union(named).union(ok)
 
 
-def disagreements(a: DataFrame, b: DataFrame, key: str, fields: list[str], code: str = "metadata") -> DataFrame:
-    """(key, code, field) of the fields in which two tables differ for a key, nulls being equal."""
-    both = a.select(key, *fields).join(b.select(key, *(F.col(f).alias(f"_{f}") for f in fields)), key)
+def disagreements(a: DataFrame, b: DataFrame, key: str, fields: list[str], code: str = "metadata", group: str | None = None) -> DataFrame:
+    """(key, code, field) of the fields in which two tables differ for a key, nulls being equal; with ``group`` also that.
+
+    group: a column of both tables that the key's rows share and of which each value has a few rows. The tables are then
+    joined by it, so those that already lie by it are not shuffled again."""
+    theirs = [F.col(f).alias(f"_{f}") for f in fields]
+    if group:
+        rows = b.select(group, F.struct(F.col(key).alias("_key"), *theirs).alias("_b")).groupBy(group).agg(F.collect_list("_b").alias("_b"))
+        both = a.select(group, key, *fields).join(rows, group)
+        both = both.withColumn("_b", F.explode(F.filter("_b", lambda x: x["_key"] == F.col(key)))).select(group, key, *fields, "_b.*")
+    else:
+        both = a.select(key, *fields).join(b.select(key, *theirs), key)
     found = F.array_compact(F.array(*(F.when(~F.col(f).eqNullSafe(F.col(f"_{f}")), F.lit(f)) for f in fields)))
-    return both.select(key, F.lit(code).alias("code"), F.explode(found).alias("field"))
+    return both.select(*([group] if group else []), key, F.lit(code).alias("code"), F.explode(found).alias("field"))
 
 
 def nested_keys(df: DataFrame, key: str, document: str, denied: list[str]) -> DataFrame:
