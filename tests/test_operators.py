@@ -406,3 +406,13 @@ def test_lines_are_shuffled_by_their_order_alone(spark, sf_dir):
 
     plan = catalog.QUERIES["metadata_agreement"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(") == 4 and "named_struct" not in "".join(line for line in plan.splitlines() if "Exchange" in line)
+
+
+def test_states_are_joined_once(spark, sf_dir):
+    """The plan of the packages and the result reads the states as written, not the joins that they come from."""
+    from wayforge.plans import catalog
+
+    df = catalog.QUERIES["price_state"](spark, sf_dir)
+    files = [f.rsplit("/", 2)[-2] for f in df.inputFiles()]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "part.parquet" not in files and plan.count("Join") == 2

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wayforge.session import work_path
+
 #: Currencies without small coins, whose sums may be off by one.
 WHOLE_CURRENCIES = ("HUF", "JPY")
 NEGATIVE_RANK = {"closed": 1, "sold-out": 2, "unavailable": 3}
@@ -125,7 +127,7 @@ def price_states(facts: DataFrame, packages: DataFrame, key: str) -> tuple[DataF
     lookup failed; priced by a base, or by a package with a number unless the lookup failed; date-required if it failed;
     an explicit free, date-required or not-published; date-required for products; free by evidence; not-published.
     Free evidence puts a general admission first; a state that is not published has no packages; if unavailable, no
-    package is available."""
+    package is available. The states lie in the shared folder until session.clear_work is called."""
     normal = normal_packages(packages)
     numbers = normal.groupBy(key).agg(F.bool_or(F.col("kind") == "exact").alias("_numeric"))
     base, status = F.when(F.col("base") > 0, F.col("base")), F.lower(F.trim(F.coalesce("status", F.lit(""))))
@@ -135,6 +137,10 @@ def price_states(facts: DataFrame, packages: DataFrame, key: str) -> tuple[DataF
         .when(status.isin("free", "date-required", "not-published"), status).when(F.col("is_product"), "date-required").when(free, "free").otherwise("not-published")
     )
     states = facts.join(numbers, key, "left").select(key, state.alias("state"), base.alias("base"), failed.alias("failed"), free.alias("_free"))
+    # written once: states go into the packages, the admissions and the result, and three copies of their joins in one task hold three times the memory
+    path = work_path(facts.sparkSession, "price-states")
+    states.write.parquet(path)
+    states = facts.sparkSession.read.schema(states.schema).parquet(path)
     shown = normal.join(states.select(key, "state"), key).where("state <> 'not-published'")
     shown = shown.withColumn("availability", F.when((F.col("state") == "unavailable") & ~F.col("availability").isin("sold-out", "unavailable"), "unavailable").otherwise(F.col("availability")))
     admission = states.where("_free and state <> 'unavailable'").select(key, F.lit(-1).cast("long").alias("ord"), F.lit("General admission").alias("name"), F.lit("available").alias("availability"), F.lit("free").alias("kind"), F.lit(None).cast("decimal(18,2)").alias("amount"), F.lit(None).cast("string").alias("unit"))
