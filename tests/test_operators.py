@@ -416,3 +416,11 @@ def test_states_are_joined_once(spark, sf_dir):
     files = [f.rsplit("/", 2)[-2] for f in df.inputFiles()]
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "part.parquet" not in files and plan.count("Join") == 2
+
+
+def test_review_texts_are_made_once(spark, sf_dir):
+    """A lambda makes anew what it names twice, so each text is cleaned in a step of its own."""
+    from wayforge.plans import catalog
+
+    plan = catalog.QUERIES["evidence_prepare"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count("[price listed separately]") <= 8

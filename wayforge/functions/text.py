@@ -186,7 +186,11 @@ def cut(c: Column, limit: int) -> Column:
 def clipped(c: Column, limit: int) -> Column:
     """A squeezed text; over the limit up to the last end of a sentence (a mark before a blank or the limit) that is at half
     of the limit or later, else up to a word, with an ellipsis inside the limit; a text without blanks is cut anywhere."""
-    text = squeezed(c)
+    return clipped_squeezed(squeezed(c), limit)
+
+
+def clipped_squeezed(text: Column, limit: int) -> Column:
+    """What clipped does after squeezing; it names the text many times, so it should be a column or a variable."""
     head = F.substring(text, 1, limit)
     sentence = F.regexp_extract(head, r"(?s)^(.*[.!?…])(?= |\z)", 1)
     words = F.regexp_replace(F.regexp_replace(head, r"(?s) [^ ]*\z", ""), r"[ ,;:\-]+\z", "")

@@ -30,11 +30,18 @@ def prepared(inventory: DataFrame, contexts: DataFrame, key: str) -> DataFrame:
     times>>) as fallback; texts without money and clipped at a sentence, or names cut, ten reviews, bodies that stand in a title moved, packages with ids."""
     fields = ("name", "category", "subtype", "rating", "review_count", "url")
     c = contexts.select(key, *(F.col(f).alias(f"_{f}") for f in fields), "description", "checked_at", "reviews", "packages")
-    clip = lambda x, most: T.clipped(redacted(x), most)
+    clean = lambda x: T.squeezed(redacted(x))
     plain = lambda x, most: T.cut(redacted(x), most)
 
-    def review(r: Column) -> Column:
-        title, text = clip(r["title"], REVIEW_CHARS), clip(r["text"], REVIEW_CHARS)
+    # each step is bound to a variable of its own: a lambda makes anew whatever it names twice
+    def clean_review(r: Column) -> Column:
+        return F.struct(clean(r["title"]).alias("title"), clean(r["text"]).alias("text"), r["rating"].alias("rating"))
+
+    def clip_review(r: Column) -> Column:
+        return F.struct(T.clipped_squeezed(r["title"], REVIEW_CHARS).alias("title"), T.clipped_squeezed(r["text"], REVIEW_CHARS).alias("text"), r["rating"].alias("rating"))
+
+    def place_review(r: Column) -> Column:
+        title, text = r["title"], r["text"]
         moved = (text == "") & ((F.length(title) > 120) | (F.size(F.split(title, " ")) >= 20))
         return F.struct(F.when(moved, "").otherwise(T.cut(title, 300)).alias("title"), F.when(moved, title).otherwise(text).alias("text"), r["rating"].alias("rating"))
 
@@ -45,7 +52,8 @@ def prepared(inventory: DataFrame, contexts: DataFrame, key: str) -> DataFrame:
     out = inventory.join(c, key)
     most = {"name": 300, "category": 200, "subtype": 300}
     own = lambda f: F.coalesce(F.col(f), F.col(f"_{f}"))
-    return out.select(key, *((T.cut(own(f), most[f]) if f in most else own(f)).alias(f) for f in fields), "checked_at", clip(F.col("description"), DESCRIPTION_CHARS).alias("description"), F.transform(F.slice("reviews", 1, REVIEWS), review).alias("reviews"), F.transform("packages", package).alias("packages"))
+    reviews = F.transform(F.transform(F.transform(F.slice("reviews", 1, REVIEWS), clean_review), clip_review), place_review)
+    return out.select(key, *((T.cut(own(f), most[f]) if f in most else own(f)).alias(f) for f in fields), "checked_at", F.get(F.transform(F.array(clean(F.col("description"))), lambda x: T.clipped_squeezed(x, DESCRIPTION_CHARS)), F.lit(0)).alias("description"), reviews.alias("reviews"), F.transform("packages", package).alias("packages"))
 
 
 def contexts(listings: DataFrame, details: DataFrame, key: str) -> DataFrame:
