@@ -424,3 +424,40 @@ def test_review_texts_are_made_once(spark, sf_dir):
 
     plan = catalog.QUERIES["evidence_prepare"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert 0 < plan.count("[price listed separately]") <= 8
+
+
+def test_prices_are_projected_inside_of_their_documents(spark):
+    """Nothing is joined or shuffled, a price is cast once a level, and documents that share a key keep their own packages."""
+    docs = [
+        (1, '{"travelDate":"d","calendar":[null,{"date":"c","price":9},{"date":"d","price":{"amount":{"value":null},"total":"12.505","currencyCode":"gbp"}}],"grades":[null,{"title":"A","price":{"value":{"total":3,"currency":"eur"},"price":5}},{"status":"Sold out","pricing":7}]}'),
+        (1, '{"travelDate":"d","grades":[{"price":{"amount":0,"currency":"huf"}},{"totalPrice":{"displayPrice":"0.00"}}]}'),
+        (2, '{"travelDate":"d","grades":[{"price":{"other":1}},{"status":"closed","price":{"amount":{"amount":{"amount":1}}}}]}'),
+        (3, '{"travelDate":"d","grades":[]}'),
+        (4, '{"grades":[{"price":1}]}'),
+        (5, '{"travelDate":"d","grades":[{"status":"not available","price":1}]}'),
+        (6, "no JSON"),
+    ]
+    prices, packages = pricing.price_projection(spark.createDataFrame(docs, "key long, doc string"), "key", "doc")
+    plan = prices._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan and plan.count("from_json(") == 1 and plan.count("try_variant_get(") == 6
+    got = [(r.key, r.base, r.currency, r.packages, r.state) for r in prices.collect()]
+    assert sorted(got, key=str) == sorted([
+        (1, Decimal("12.51"), "GBP", 3, "available"), (1, None, None, 2, "free"), (2, None, None, 2, "not-published"), (3, None, None, 0, "unknown"),
+        (4, None, None, 1, "date-required"), (5, None, None, 1, "unavailable"), (6, None, None, 0, "date-required"),
+    ], key=str)
+    shown = [(r.at, r.title, str(r.amount), r.currency, r.availability) for r in packages.where("key <= 2").collect()]
+    assert sorted(shown, key=str) == sorted([
+        (0, None, "None", None, "available"), (1, "A", "3.00", "EUR", "available"), (2, None, "7.00", "GBP", "sold-out"),
+        (0, None, "0.00", "HUF", "available"), (1, None, "0.00", "USD", "available"),
+        (0, None, "None", None, "available"), (1, None, "None", None, "closed"),
+    ], key=str)
+
+
+def test_price_documents_are_made_once_on_all_cores(spark, sf_dir):
+    """The documents of a small file are made once, in as many tasks as their number asks for."""
+    from wayforge.plans import catalog
+
+    df = catalog.QUERIES["price_projection"](spark, sf_dir)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 and plan.count("Join ") == 1
+    assert df.rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism

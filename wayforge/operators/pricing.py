@@ -152,22 +152,30 @@ def price_states(facts: DataFrame, packages: DataFrame, key: str) -> tuple[DataF
 AMOUNT_NAMES = ("amount", "value", "total", "price", "totalPrice", "displayPrice", "pricing")
 
 
-def price_parts(v: Column, fallback: Column) -> Column:
-    """Struct (amount, currency) of a price given as a VARIANT: a number, or an object with one under the first of the names
-    that has one, itself or an object's; the currency is the inner object's, else the outer one's, else the fallback.
-
-    A name is looked into only where the object has it, so most prices take a few steps. Use the struct from a column of
-    its own, lest it be made once for each part."""
-    number = lambda x, path: F.try_variant_get(x, path, "decimal(18,2)")
-    code = lambda x: F.coalesce(F.try_variant_get(x, "$.currency", "string"), F.try_variant_get(x, "$.currencyCode", "string"))
-    part = lambda amount, currency: F.struct(amount.alias("amount"), F.upper(currency).alias("currency"))
-    found = [F.when(F.is_variant_null(v), None).otherwise(part(number(v, "$"), fallback))]
-    for x in AMOUNT_NAMES:
-        own = F.try_variant_get(v, f"$.{x}", "variant")
-        inner = F.coalesce(*(number(own, f"$.{y}") for y in AMOUNT_NAMES))
-        currency = F.coalesce(F.when(number(own, "$").isNull(), code(own)), code(v), fallback)
-        found.append(F.when(own.isNotNull(), part(F.coalesce(number(own, "$"), inner), currency)))
-    return F.get(F.filter(F.array(*found), lambda p: p["amount"].isNotNull()), F.lit(0))
+#: What an object of evidence may hold of a price, and what the objects inside of it may.
+_LEVEL = f"struct<{', '.join(f'{x}: decimal(18,2)' for x in AMOUNT_NAMES)}, currency: string, currencyCode: string>"
+_INNER = f"struct<{', '.join(f'{x}: {_LEVEL}' for x in AMOUNT_NAMES)}>"
+
+
+def price_parts(prices: Column, fallback: Column) -> Column:
+    """Of an array of prices given as VARIANTs an array of structs (amount, currency): of a number, or of an object with one
+    under the first of the names that has one, itself or an object's; the currency is the inner object's, else the outer
+    one's, else the fallback. Null for a price without an amount.
+
+    A price is cast once to each of its levels, not searched once for each path."""
+    code = lambda x: F.coalesce(x["currency"], x["currencyCode"])
+    part = lambda amount, *currency: F.when(amount.isNotNull(), F.struct(amount.alias("amount"), F.upper(F.coalesce(*currency)).alias("currency")))
+    level = lambda v, kind: F.try_variant_get(v, "$", kind)
+    cast = F.transform(prices, lambda v: F.struct(level(v, "decimal(18,2)").alias("number"), level(v, _LEVEL).alias("own"), level(v, _INNER).alias("inner")))
+
+    def first(p: Column) -> Column:
+        found, own = [part(p["number"], fallback)], p["own"]
+        for x in AMOUNT_NAMES:
+            inner = p["inner"][x]
+            found += [part(own[x], code(own), fallback), F.when(inner.isNotNull(), part(F.coalesce(*(inner[y] for y in AMOUNT_NAMES)), code(inner), code(own), fallback))]
+        return F.coalesce(*found)
+
+    return F.transform(cast, first)
 
 
 EVIDENCE = "travelDate string, calendar array<struct<date: string, price: variant>>, grades array<struct<title: string, status: string, price: variant, totalPrice: variant, pricing: variant>>"
@@ -176,23 +184,26 @@ EVIDENCE = "travelDate string, calendar array<struct<date: string, price: varian
 def price_projection(documents: DataFrame, key: str, document: str) -> tuple[DataFrame, DataFrame]:
     """(prices, packages) of evidence documents in JSON (EVIDENCE).
 
-    prices: (key, base, currency, packages, state): the base price of the chosen date's calendar row; state is
-    date-required without a date, unknown without packages, else unavailable, free (all amounts zero), not-published (no
-    amount) or available. packages: (key, at, title, amount, currency, availability), the currency inherited from the base."""
+    prices: (key, base, currency, packages, state), a row for each document: the base price of the chosen date's calendar
+    row; state is date-required without a date, unknown without packages, else unavailable, free (all amounts zero),
+    not-published (no amount) or available. packages: (key, at, title, amount, currency, availability), the currency
+    inherited from the base. A document's packages are judged inside of its row, so nothing is shuffled."""
     e = documents.select(key, F.from_json(document, EVIDENCE).alias("e")).select(key, "e.*")
     row = F.get(F.filter("calendar", lambda r: r["date"] == F.col("travelDate")), F.lit(0))
-    e = e.select(key, "travelDate", price_parts(row["price"], F.lit("USD")).alias("_p"), "grades")
+    e = e.select(key, "travelDate", F.get(price_parts(F.array(row["price"]), F.lit("USD")), F.lit(0)).alias("_p"), "grades")
     e = e.select(key, "travelDate", F.col("_p.amount").alias("base"), F.coalesce("_p.currency", F.lit("USD")).alias("base_currency"), "grades")
-    g = e.select(key, "base_currency", F.posexplode("grades").alias("at", "g"))
-    given = F.coalesce("g.price", "g.totalPrice", "g.pricing")
-    g = g.withColumn("_p", price_parts(given, F.col("base_currency")))
-    text = F.coalesce("g.status", F.lit(""))
-    state = F.when(text.rlike("(?i)sold[ -]?out"), "sold-out").when(text.rlike("(?i)unavailable|not available|failed"), "unavailable").when(text.rlike("(?i)closed"), "closed").otherwise("available")
-    packages = g.select(key, "at", "g.title", "_p.amount", "_p.currency", state.alias("availability"))
-    per = packages.groupBy(key).agg(F.count("*").alias("packages"), F.bool_and(F.col("availability") != "available").alias("_neg"), F.max("amount").alias("_most"))
-    out = e.join(per, key, "left")
-    overall = F.when(F.col("travelDate").isNull(), "date-required").when(F.col("packages").isNull(), "unknown").when(F.col("_neg"), "unavailable").when(F.col("_most") == 0, "free").when(F.col("_most").isNull(), "not-published").otherwise("available")
-    return out.select(key, "base", F.when(F.col("base").isNotNull(), F.col("base_currency")).alias("currency"), F.coalesce("packages", F.lit(0)).alias("packages"), overall.alias("state")), packages
+    parts = price_parts(F.transform("grades", lambda g: F.coalesce(g["price"], g["totalPrice"], g["pricing"])), F.col("base_currency"))
+
+    def state(g: Column) -> Column:
+        text = F.coalesce(g["status"], F.lit(""))
+        return F.when(text.rlike("(?i)sold[ -]?out"), "sold-out").when(text.rlike("(?i)unavailable|not available|failed"), "unavailable").when(text.rlike("(?i)closed"), "closed").otherwise("available")
+
+    count, most = F.when(F.col("grades").isNull(), 0).otherwise(F.size("grades")).cast("long"), F.array_max(F.transform(parts, lambda p: p["amount"]))
+    out = e.select(key, "travelDate", "base", "base_currency", count.alias("packages"), F.forall("grades", lambda g: state(g) != "available").alias("_neg"), most.alias("_most"))
+    overall = F.when(F.col("travelDate").isNull(), "date-required").when(F.col("packages") == 0, "unknown").when(F.col("_neg"), "unavailable").when(F.col("_most") == 0, "free").when(F.col("_most").isNull(), "not-published").otherwise("available")
+    prices = out.select(key, "base", F.when(F.col("base").isNotNull(), F.col("base_currency")).alias("currency"), "packages", overall.alias("state"))
+    package = F.zip_with("grades", parts, lambda g, p: F.struct(g["title"].alias("title"), p["amount"].alias("amount"), p["currency"].alias("currency"), state(g).alias("availability")))
+    return prices, e.select(key, F.posexplode(package).alias("at", "g")).select(key, "at", "g.*")
 
 
 #: States of availability, the negative ones, and what a price's status is for each.

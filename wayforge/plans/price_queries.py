@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wayforge.operators import audits, pricing
-from wayforge.plans.registry import query, read
+from wayforge.plans.registry import query, read, tasks_for
 
 PACKAGES = """packages AS (SELECT l_partkey AS key, CASE WHEN l_quantity = 1 THEN 'free' WHEN l_quantity = 2 THEN 'date' ELSE 'numeric' END AS kind, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount,
     CASE WHEN l_partkey % 5 = 0 AND l_suppkey % 2 = 0 THEN 'HUF' ELSE 'EUR' END AS currency, CASE WHEN l_partkey % 3 = 0 AND l_linestatus = 'F' THEN 'group' ELSE 'adult' END AS unit, 'admission' AS scope,
@@ -213,17 +213,26 @@ def review_set_audit(spark, d):
     SELECT key, CASE WHEN c <> 0 THEN CAST(base AS DOUBLE) END AS base, CASE c WHEN 1 THEN 'USD' WHEN 2 THEN 'EUR' WHEN 3 THEN 'GBP' END AS currency, coalesce(n, 0) AS packages, CASE WHEN c = 0 THEN 'date-required' WHEN n IS NULL THEN 'unknown' WHEN neg THEN 'unavailable' WHEN most = 0 THEN 'free' WHEN most IS NULL THEN 'not-published' ELSE 'available' END AS state FROM o LEFT JOIN a USING (key)""")
 def price_projection(spark, d):
     """O-P8: nested evidence; the base price of the chosen date, amounts under different names, inherited currencies."""
-    n = F.col("l_linenumber") % 4
-    value = F.when(F.col("l_orderkey") % 9 == 8, F.lit(0.0)).otherwise(F.col("l_extendedprice"))
-    price = lambda c: F.parse_json(F.to_json(c))
-    deep = F.when(n == 3, price(F.struct(F.struct(value.alias("value"), F.lit("huf").alias("currencyCode")).alias("displayPrice"))))
-    given = F.when(n == 1, price(F.struct(value.alias("amount")))).when((n == 0) & (F.col("l_orderkey") % 9 == 8), price(F.struct(F.lit(0).alias("total"))))
-    grades = read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(F.concat(F.lit("Option "), F.col("l_linenumber").cast("string")).alias("title"), F.when(F.col("l_returnflag") == "R", "Sold out").alias("status"), given.alias("price"), F.when(n == 2, price(F.struct(value.alias("price")))).alias("totalPrice"), deep.alias("pricing"))).alias("grades"))  # an order has a few lines
+    nothing = F.col("o_orderkey") % 9 == 8
+
+    def grade(line):
+        n, value = line["l_linenumber"] % 4, F.when(nothing, F.lit(0.0)).otherwise(line["l_extendedprice"])
+        given = lambda amount, total: F.struct(amount.cast("double").alias("amount"), total.cast("int").alias("total"))
+        first = F.when(n == 1, given(value, F.lit(None))).when((n == 0) & nothing, given(F.lit(None), F.lit(0)))  # JSON leaves out what is null
+        deep = F.when(n == 3, F.struct(F.struct(value.alias("value"), F.lit("huf").alias("currencyCode")).alias("displayPrice")))
+        title = F.concat(F.lit("Option "), line["l_linenumber"].cast("string"))
+        return F.struct(title.alias("title"), F.when(line["l_returnflag"] == "R", "Sold out").alias("status"), first.alias("price"), F.when(n == 2, F.struct(value.alias("price"))).alias("totalPrice"), deep.alias("pricing"))
+
+    orders = read(spark, d, "orders")
+    tasks = tasks_for(orders, 100_000)  # by rows: documents are far larger than the rows that they are made of, and take long
+    lines = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag").repartition(tasks, "l_orderkey")
+    lines = lines.groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", "l_extendedprice", "l_returnflag")).alias("lines"))  # an order has a few lines
     c, base = F.col("o_custkey") % 4, F.col("o_totalprice").cast("decimal(18,2)")
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    row = F.when(c == 1, F.parse_json(base.cast("string"))).when(c == 2, price(F.struct(F.struct(base.alias("value"), F.lit("eur").alias("currency")).alias("price")))).otherwise(price(F.struct(base.alias("amount"), F.lit("GBP").alias("currencyCode"))))
+    row = F.when(c == 1, base.cast("variant")).when(c == 2, F.to_variant_object(F.struct(F.struct(base.alias("value"), F.lit("eur").alias("currency")).alias("price")))).otherwise(F.to_variant_object(F.struct(base.alias("amount"), F.lit("GBP").alias("currencyCode"))))
     calendar = F.array(F.struct(F.lit("1990-01-01").alias("date"), F.parse_json(F.lit("1")).alias("price")), F.struct(day.alias("date"), row.alias("price")))
-    docs = read(spark, d, "orders").join(grades, F.col("l_orderkey") == F.col("o_orderkey"), "left").select(F.col("o_orderkey").alias("key"), F.to_json(F.struct(F.when(c != 0, day).alias("travelDate"), calendar.alias("calendar"), "grades")).alias("doc"))
+    grades = F.transform("lines", grade).alias("grades")
+    docs = orders.repartition(tasks, "o_orderkey").join(lines.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"), "left").select(F.col("o_orderkey").alias("key"), F.to_json(F.struct(F.when(c != 0, day).alias("travelDate"), calendar.alias("calendar"), grades)).alias("doc"))
     prices, _ = pricing.price_projection(docs, "key", "doc")
     return prices.withColumn("base", F.col("base").cast("double"))
 

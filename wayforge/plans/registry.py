@@ -25,11 +25,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tasks_for(rows: DataFrame, most: int = 20_000) -> int:
+    """So many tasks that all cores have work, and none more than so many rows."""
+    return max(2 * rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // most))
+
+
 def spread(rows: DataFrame, most: int = 20_000) -> DataFrame:
     """Narrow rows for work that takes long for each: over all cores, and at most so many in a task. A small file is one task
     whatever its rows, and adaptive execution would put a small shuffle together again if it had no number."""
-    n, cores = rows.count(), rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(max(2 * cores, -(-n // most)))
+    return rows.repartition(tasks_for(rows, most))
 
 
 def rounded(c: Column, digits: int = 3) -> Column:
