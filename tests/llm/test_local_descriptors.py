@@ -1,6 +1,6 @@
 import numpy as np
 
-from wayforge.llm.local_descriptors import _box, candidates, consensus, describe, describe_media, edited, from_image, image_copies, media_of, op9_local_descriptors, render, to_image
+from wayforge.llm.local_descriptors import _agreeing, _Block, _box, candidates, consensus, describe, describe_all, describe_media, edited, from_image, image_copies, media_of, op9_local_descriptors, render, to_image
 
 
 def vector(seed):
@@ -128,3 +128,72 @@ def test_cut_slices_give_the_same_pairs(spark):
     assert {(3 * i + a, 3 * i + b) for i in range(20) for a, b in ((0, 1), (0, 2), (1, 2))} <= whole
     assert {tuple(r) for r in candidates(features, 28, slice_size=100, most=60).collect()} == whole
     features.unpersist()
+
+
+def test_images_described_together_are_as_alone():
+    images = [render(vector(i)).astype(np.float32)[: 80 - i % 3, : 80 - i % 2] for i in range(30)]
+    images += [None, np.zeros((1, 1), np.float32), np.zeros((60, 200), np.float32)]
+    for x, (p, d) in zip(images, describe_all(images)):
+        q, e = describe(x) if x is not None else (np.zeros((0, 4)), np.zeros((0, 32)))
+        assert (p == q).all() and (d == e).all() and len(p) == len(d)
+
+
+def _blocks(seed):
+    """Two blocks of pictures whose corners crowd in a few runs, and all their pairs by comparison of every corner with every other."""
+    rng = np.random.default_rng(seed)
+    kinds = rng.integers(0, 256, (6, 32), np.uint8)
+    out = []
+    for first in (0, 40):
+        rows = []
+        for i in range(first, first + 40):
+            flips = np.packbits(rng.random((int(rng.integers(1, 9)), 256)) < 0.05, axis=1)
+            rows.append((i, kinds[rng.integers(0, 6, len(flips))] ^ flips))
+        out.append(rows)
+    return out
+
+
+def _packed(rows):
+    return _Block([(np.asarray([i]).tobytes(), np.asarray([len(d)]).tobytes(), d.tobytes()) for i, d in rows])
+
+
+def test_blocks_meet_as_all_pairs_do():
+    """Every pair of which two corners each agree on a run and are near, whatever is held at once, comes once."""
+    for seed in range(3):
+        left, right = _blocks(seed)
+        for some, other in ((left, right), (left, left)):
+            want = set()
+            for i, a in some:
+                for j, b in other:
+                    runs = (a.view(np.uint32)[:, None] == b.view(np.uint32)[None]).any(-1)
+                    x, y = np.nonzero(runs & (np.bitwise_count(a[:, None] ^ b[None]).sum(-1) <= 28))
+                    if len(np.unique(a[x], axis=0)) > 1 and len(np.unique(b[y], axis=0)) > 1 and (some is not other or i < j):
+                        want.add((i, j))
+            u = _packed(some)
+            v = u if some is other else _packed(other)
+            for part, most in ((10_000, 1 << 20), (10, 1 << 20), (10_000, 5)):
+                got = [(int(u.ids[x]), int(v.ids[y])) for at in _agreeing(u, v, 28, part, most) for x, y in zip(*at)]
+                assert len(got) == len(set(got)) and set(got) == want and len(want) > 20
+
+
+def test_runs_of_many_corners_meet_as_small_ones_do(spark):
+    """Hundreds of near corners of one run in each of two blocks: tables of differences, cut by their size."""
+    rng = np.random.default_rng(5)
+    kind = rng.integers(0, 256, 32, np.uint8)
+    rows = [(i, kind ^ np.packbits((rng.random((2, 256)) < 0.06) & (np.arange(256) >= 32), axis=1)) for i in range(600)]
+    want = set()
+    for i, a in rows:
+        for j, b in rows[i + 1 :]:
+            x, y = np.nonzero(np.bitwise_count(a[:, None] ^ b[None]).sum(-1) <= 28)
+            if len(set(x)) == 2 and len(set(y)) == 2:
+                want.add((i, j))
+    table = spark.createDataFrame([(i, d.tobytes()) for i, d in rows], "media_id long, descriptors binary")
+    for sizes in ({}, {"slice_size": 300, "most": 500}):
+        got = [tuple(r) for r in candidates(table, 28, **sizes).collect()]
+        assert len(want) > 10_000 and len(got) == len(want) and set(got) == want
+
+
+def test_only_pairs_leave_the_tasks_in_which_corners_meet(spark):
+    """Corners are shuffled once, to where their blocks meet: near corners of pairs are not sent on to be counted."""
+    rows = [(i, to_image(render(vector(800 + i)))) for i in range(6)]
+    plan = candidates(describe_media(spark.createDataFrame(rows, "media_id long, image binary")), 28)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "HashAggregate" not in plan
