@@ -27,6 +27,11 @@ class _Number(str):
     """A number as it is written."""
 
 
+#: Made once: json.loads and json.dumps with options make theirs anew for each call.
+_DECODER = json.JSONDecoder(parse_int=_Number, parse_float=_Number, parse_constant=_Number)
+_PLAIN = json.JSONDecoder(parse_int=str)  # where no value is shown; an int of many digits would be refused
+
+
 def walk(value) -> Iterator[tuple]:
     """(path, name, value, parent) of every value of a parsed document, in its order; parent is the place of a value's
     holder in the walk, -1 for the document. A list's values have no name. Depth is bounded by memory alone."""
@@ -41,10 +46,16 @@ def walk(value) -> Iterator[tuple]:
         place += 1
 
 
-def parsed(text: str):
+def parsed(text: str, decoder: json.JSONDecoder = _DECODER):
     """A parsed document with numbers as they are written; ValueError if it is none, or nested too deep to be parsed."""
     try:
-        return json.loads(text, parse_int=_Number, parse_float=_Number, parse_constant=_Number)
+        try:
+            value, end = decoder.scan_once(text, 0)
+            if end == len(text):
+                return value
+        except StopIteration:
+            pass
+        return decoder.decode(text)  # blanks around it, or no document
     except RecursionError as e:
         raise ValueError("nested too deep") from e
 
@@ -74,6 +85,33 @@ def json_nodes(documents: pa.Array) -> pa.Array:
     return pa.array([None if texts is None else _nodes_of(texts) for texts in documents.to_pylist()], pa.list_(_NODE))
 
 
+def _names(texts: list[str | None]) -> list[str]:
+    found = set()
+    for text in texts:
+        if text is None:
+            continue
+        try:
+            stack = [parsed(text, _PLAIN)]
+        except ValueError:
+            continue
+        while stack:
+            value = stack.pop()
+            if isinstance(value, dict):
+                found.update(value)
+                value = value.values()
+            elif not isinstance(value, list):
+                continue
+            stack += [v for v in value if isinstance(v, (dict, list))]
+    return sorted(found)
+
+
+@F.arrow_udf(ArrayType(_TEXT))
+def json_names(documents: pa.Array) -> pa.Array:
+    """The names of all fields at any depth of an array of JSON documents, each once; those of json_nodes without its other
+    columns, which take most of its time. What is no JSON has none; a null array gives null."""
+    return pa.array([None if texts is None else _names(texts) for texts in documents.to_pylist()], pa.list_(pa.string()))
+
+
 def _described(texts: list[str | None]) -> list[dict]:
     out = []
     for text in texts:
@@ -144,15 +182,22 @@ def _fields(texts: list[str | None]) -> list[list[tuple[str, str]] | None]:
     return out
 
 
+#: json.dumps of a text with ensure_ascii=False.
+_quoted = json.encoder.encode_basestring
+
+
 def _canonical(value) -> str:
     """JSON without blanks, names in order, numbers as they are written."""
-    if isinstance(value, _Number):
+    kind = type(value)
+    if kind is str:
+        return _quoted(value)
+    if kind is _Number:
         return str(value)
-    if isinstance(value, dict):
-        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{_canonical(value[k])}" for k in sorted(value)) + "}"
-    if isinstance(value, list):
-        return "[" + ",".join(map(_canonical, value)) + "]"
-    return json.dumps(value, ensure_ascii=False)
+    if kind is dict:
+        return "{" + ",".join([f"{_quoted(k)}:{_canonical(value[k])}" for k in sorted(value)]) + "}"
+    if kind is list:
+        return "[" + ",".join([_canonical(v) for v in value]) + "]"
+    return "null" if value is None else "true" if value else "false"
 
 
 @F.arrow_udf(ArrayType(MapType(_TEXT, _TEXT)))

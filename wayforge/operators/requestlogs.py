@@ -12,7 +12,7 @@ import functools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayforge.functions.nested import json_fields, json_nodes
+from wayforge.functions.nested import json_fields, json_names
 from wayforge.sources.pages import identity
 
 _ATTEMPTS = "array<struct<variables: string, evidenceResponse: string>>"
@@ -65,9 +65,9 @@ def log_issues(logs: DataFrame, key: str, denied: list[str]) -> DataFrame:
     calendar = F.from_json(F.get_json_object(F.get("_priceCalendar", F.lit(0))["evidenceResponse"], "$.data.priceCalendar[0].datesAndPrices"), "array<struct<date: string, price: decimal(18,2)>>")
     status = lambda q, path: F.transform(f"_{q}", lambda x: F.get_json_object(x["evidenceResponse"], path))
     df = df.withColumns({
-        "_nodes": json_nodes(answers), "_mix": json_fields(F.array(F.concat(F.lit('{"x":'), F.col("_e.selection.passengerMix"), F.lit("}")))), "_block": block, "_product": product, "_calendar": F.coalesce(calendar, F.array().cast("array<struct<date: string, price: decimal(18,2)>>")),
+        "_names": json_names(_may_hold(answers, denied)), "_mix": json_fields(F.array(F.concat(F.lit('{"x":'), F.col("_e.selection.passengerMix"), F.lit("}")))), "_block": block, "_product": product, "_calendar": F.coalesce(calendar, F.array().cast("array<struct<date: string, price: decimal(18,2)>>")),
         "_pax_states": status("pax", "$.data.paxMix.resultStatus"), "_pack_states": status("packages", "$.data.tourGrades.resultStatus"),
-        "_pax_dates": F.transform("_pax_v", lambda m: m["travelDate"]), "_sel": F.col("_e.selection"), "_chosen": json_fields(F.array("_e.reviewSelection")),
+        "_failed": _failed(product), "_pax_dates": F.transform("_pax_v", lambda m: m["travelDate"]), "_sel": F.col("_e.selection"), "_chosen": json_fields(F.array("_e.reviewSelection")),
     })
     reviews = F.from_json(F.get_json_object("_block", "$.reviews"), "array<string>")
     grades = F.from_json(F.get_json_object(F.try_element_at("_packages", F.lit(-1))["evidenceResponse"], "$.data.tourGrades.result.tourGrades"), "array<struct<title: string, price: string>>")
@@ -79,17 +79,37 @@ def log_issues(logs: DataFrame, key: str, denied: list[str]) -> DataFrame:
     })
     df = df.withColumn("_ids", F.transform("_rows", lambda m: m["id"])).withColumn("_polls", F.transform("_pax_dates", lambda d, i: F.struct(d.alias("d"), F.get("_pax_states", i).alias("s"))))
     df = df.withColumn("_date_rows", F.transform("_tried", lambda d: F.filter("_polls", lambda x: x["d"] == _quoted(d))))
+    df = df.withColumns({"_tried_json": F.transform("_tried", _quoted), "_language": F.coalesce(_quoted(F.get_json_object("_product", "$.languages[0]")), F.lit("null")), "_package_want": _package_want(), "_priced": _priced()})
     rules = {**_review_rules(denied), **_detail_rules(), **_date_rules(), **_package_rules()}
-    found = F.array_compact(F.array(*(F.when(F.coalesce(rule, F.lit(False)), F.lit(code)) for code, rule in rules.items())))
-    return df.select(key, F.explode(found).alias("code"))
+    found = F.array(*(F.when(F.coalesce(rule, F.lit(False)), F.lit(code)) for code, rule in rules.items()))
+    # as a column of its own: what explode is given is interpreted for each row, a projection is compiled
+    return df.select(key, found.alias("_found")).select(key, F.explode(F.array_compact("_found")).alias("code"))
+
+
+def _may_hold(answers: Column, denied: list[str]) -> Column:
+    """The answers in whose text a name of ``denied`` stands in whatever letters, or an escape that may be a part of one: all
+    others have no such field, whatever else they hold."""
+    if not all(n.isascii() and n.isalnum() for n in denied):
+        return answers  # such a name may be written with other escapes
+    plain = lambda x: F.lower(F.replace(x, F.lit("_"), F.lit("")))
+    held = lambda x: functools.reduce(lambda a, n: a | F.contains(plain(x), F.lit(n)), denied, F.contains(x, F.lit("\\u")))
+    return F.filter(answers, held)
+
+
+def _failed(product: Column) -> Column:
+    """Whether an answer has errors; those of a product's detail may lie in PARTIAL. Only texts that hold the field's name, or an
+    escape that may be in it, are parsed for it."""
+    named = lambda x: F.contains(x, F.lit("errors")) | F.contains(x, F.lit("\\u"))
+    texts = lambda q: F.filter(F.transform(f"_{q}", lambda x: x["evidenceResponse"]), named)
+    errors = lambda x: F.from_json(F.get_json_object(x, "$.errors"), "array<struct<path: array<string>>>")
+    partial = lambda r: (F.slice(r["path"], 1, 3) == F.array(*map(F.lit, PARTIAL))) & product.isNotNull()
+    detail = F.exists(texts("detail"), lambda x: F.coalesce(F.exists(errors(x), lambda r: ~F.coalesce(partial(r), F.lit(False))), F.lit(False)))
+    return detail | F.exists(F.concat(*(texts(q) for q in QUERIES if q != "detail")), lambda x: F.coalesce(F.size(errors(x)) > 0, F.lit(False)))
 
 
 def _review_rules(denied: list[str]) -> dict[str, Column]:
-    """Answers that failed in part, personal fields, and the reviews against their query and selection."""
+    """Personal fields, and the reviews against their query and selection."""
     venue, own = F.col("route") == "venue", F.col("detail_id").cast("string")
-    failed = lambda q, fine: F.exists(f"_{q}", lambda x: F.coalesce(F.exists(F.from_json(F.get_json_object(x["evidenceResponse"], "$.errors"), "array<struct<path: array<string>>>"), lambda r: ~F.coalesce(fine(r), F.lit(False))), F.lit(False)))
-    partial = lambda r: F.slice(r["path"], 1, 3) == F.array(*map(F.lit, PARTIAL))
-    errors = functools.reduce(lambda x, y: x | y, [failed(q, lambda r: F.lit(False)) for q in QUERIES if q != "detail"], failed("detail", lambda r: partial(r) & F.col("_product").isNotNull()))
     v, rows = F.col("_reviews_v1"), F.col("_rows")
     plain = lambda m, name: F.regexp_replace(m[name], '^"|"$', "")
     wrong = functools.reduce(lambda x, y: x | y, [~F.coalesce(v[n] == want, F.lit(False)) for n, want in REVIEW_VARIABLES.items()])
@@ -104,7 +124,7 @@ def _review_rules(denied: list[str]) -> dict[str, Column]:
     unique = F.size(F.array_distinct(F.filter("_ids", lambda x: x.isNotNull() & (x != "null"))))
     asked = F.size("_reviews") > 0
     return {
-        "graphql-errors": errors, "graphql-privacy": F.exists("_nodes", lambda x: F.lower(F.replace(x["name"], F.lit("_"), F.lit(""))).isin(*denied)),
+        "graphql-errors": F.col("_failed"), "graphql-privacy": F.exists("_names", lambda x: F.lower(F.replace(x, F.lit("_"), F.lit(""))).isin(*denied)),
         "graphql-query-missing": ~asked | (F.size("_detail") == 0), "graphql-review-attempts": F.size("_reviews") > 1, "graphql-review-variables": asked & wrong,
         "graphql-review-identity": asked & (~plain(v, "locationId").eqNullSafe(own) | F.coalesce(of_other, F.lit(False))),
         "graphql-review-projection": asked & ((venue & ~F.coalesce(v["photosPerReviewLimit"] == "7", F.lit(False))) | F.coalesce(F.exists(rows, lambda m: F.size(F.array_except(F.map_keys(m), F.array(*map(F.lit, REVIEW_FIELDS)))) > 0), F.lit(False))),
@@ -114,16 +134,28 @@ def _review_rules(denied: list[str]) -> dict[str, Column]:
     }
 
 
+def _sorted(m: Column) -> Column:
+    return F.array_sort(F.map_entries(m))
+
+
+def _priced() -> Column:
+    """The variables of queries for a product's prices."""
+    return _sorted(F.create_map(F.lit("currency"), F.lit('"USD"'), F.lit("productCode"), _quoted(F.col("_code"))))
+
+
+def _package_want() -> Column:
+    """The variables of the package query."""
+    return _sorted(F.create_map(F.lit("productCode"), _quoted(F.col("_code")), F.lit("travelDate"), _quoted(F.col("_sel.travelDate")), F.lit("passengerMix"), F.get("_mix", F.lit(0))["x"], F.lit("currencies"), F.lit('["USD"]'), F.lit("locale"), F.lit('"en-US"')))
+
+
 def _detail_rules() -> dict[str, Column]:
     """The product of the detail answer, and the queries that name it."""
     product, own = (F.col("route") == "product") & (F.size("_detail") > 0), F.col("detail_id").cast("string")
     expected = F.create_map(F.lit("activityId"), own, F.lit("currency"), F.lit('"USD"'), F.lit("language"), F.lit('"en"'))
-    same = lambda m, want: F.array_sort(F.map_entries(m)) == F.array_sort(F.map_entries(want))
-    priced = F.create_map(F.lit("currency"), F.lit('"USD"'), F.lit("productCode"), _quoted(F.col("_code")))
     coded = product & F.col("_code").isNotNull()
-    once = lambda q: ~F.coalesce((F.size(f"_{q}") == 1) & same(F.get(f"_{q}_v", F.lit(0)), priced), F.lit(False)) & (F.size(f"_{q}") > 0)
+    once = lambda q: ~F.coalesce((F.size(f"_{q}") == 1) & (_sorted(F.get(f"_{q}_v", F.lit(0))) == F.col("_priced")), F.lit(False)) & (F.size(f"_{q}") > 0)
     return {
-        "graphql-detail-variables": product & ~F.coalesce(same(F.get("_detail_v", F.lit(0)), expected), F.lit(False)), "graphql-detail-identity": product & ~F.get_json_object("_product", "$.activityId").eqNullSafe(own),
+        "graphql-detail-variables": product & ~F.coalesce(_sorted(F.get("_detail_v", F.lit(0))) == _sorted(expected), F.lit(False)), "graphql-detail-identity": product & ~F.get_json_object("_product", "$.activityId").eqNullSafe(own),
         "graphql-selection": product & ~F.col("_sel.travelDateSource").eqNullSafe(F.lit(DATE_SOURCE)), "graphql-price-variables": coded & (once("priceCalendar") | once("cancellation")),
         "graphql-price-query-missing": coded & ((F.size("_priceCalendar") == 0) | (F.size("_cancellation") == 0)),
     }
@@ -141,7 +173,7 @@ def _date_rules() -> dict[str, Column]:
     every = F.col("_pax_dates")
     changes = F.filter(F.transform(every, lambda d, i: F.when((i == 0) | ~d.eqNullSafe(F.get(every, i - 1)), F.coalesce(d, F.lit("null")))), lambda d: d.isNotNull())
     fixed = F.exists("_pax_v", lambda m: ~F.coalesce((m["currencies"] == '["USD"]') & (m["locale"] == '"en-US"') & (m["productCode"] == _quoted(F.col("_code"))), F.lit(False)))
-    language = F.coalesce(_quoted(F.get_json_object("_product", "$.languages[0]")), F.lit("null"))
+    language = F.col("_language")
     groups, own = F.col("_date_rows"), lambda g: F.transform(g, lambda x: x["s"])
     last = F.try_element_at(states, F.lit(-1))
     failed = asked & (last == "FAILED")
@@ -150,8 +182,8 @@ def _date_rules() -> dict[str, Column]:
     return {
         "graphql-price-date": coded & day.isNotNull() & F.col("_row").isNull(), "graphql-base-price": coded & F.col("_row").isNotNull() & ~(failed & (F.coalesce("_s.base_price", F.lit("")) == "")) & ~F.col("_row.price").eqNullSafe(_amount(F.col("_s.base_price"))),
         "graphql-booking-date": coded & ~F.col("_s.booking_date").eqNullSafe(F.coalesce(day, F.lit(""))),
-        "graphql-pax-variables": asked & (fixed | F.exists(every, lambda d: ~F.coalesce(F.array_contains(F.transform(tried, _quoted), d), F.lit(False)))),
-        "graphql-pax-dates": asked & (~F.coalesce(usable, F.lit(False)) | (usable & ~F.exists(every, lambda d: ~F.coalesce(F.array_contains(F.transform(tried, _quoted), d), F.lit(False))) & (F.size(F.array_distinct(changes)) == F.size(changes)) & (changes != F.transform(tried, _quoted)))),
+        "graphql-pax-variables": asked & (fixed | F.exists(every, lambda d: ~F.coalesce(F.array_contains("_tried_json", d), F.lit(False)))),
+        "graphql-pax-dates": asked & (~F.coalesce(usable, F.lit(False)) | (usable & ~F.exists(every, lambda d: ~F.coalesce(F.array_contains("_tried_json", d), F.lit(False))) & (F.size(F.array_distinct(changes)) == F.size(changes)) & (changes != F.col("_tried_json")))),
         "graphql-pax-date-order": asked & (F.size(F.array_distinct(changes)) < F.size(changes)), "graphql-pax-date-policy": asked & ~F.col("_sel.paxDatePolicy").eqNullSafe(F.lit(DATE_POLICY)),
         "graphql-pax-date-prefix": asked & usable & (tried != F.slice("_dates", F.lit(1), F.size(tried))),
         "graphql-pax-language-provenance": asked & (~F.coalesce(_quoted(F.col("_sel.selectedLanguage")), F.lit("null")).eqNullSafe(language) | F.exists("_pax_v", lambda m: ~F.coalesce(m["selectedLanguage"], F.lit("null")).eqNullSafe(language))),
@@ -167,14 +199,13 @@ def _date_rules() -> dict[str, Column]:
 def _package_rules() -> dict[str, Column]:
     """The package query against the selection, and the stored packages against its answer."""
     asked = (F.col("route") == "product") & F.col("_code").isNotNull() & (F.size("_packages") > 0)
-    want = F.create_map(F.lit("productCode"), _quoted(F.col("_code")), F.lit("travelDate"), _quoted(F.col("_sel.travelDate")), F.lit("passengerMix"), F.get("_mix", F.lit(0))["x"], F.lit("currencies"), F.lit('["USD"]'), F.lit("locale"), F.lit('"en-US"'))
     states, grades, kept = F.col("_pack_states"), F.col("_grades"), F.coalesce(F.col("_s.packages"), F.array().cast("array<struct<name: string, total_price: string>>"))
     rows = F.size(grades) > 0
     reason = F.when((F.try_element_at(states, F.lit(-1)) == "SUCCESS") & rows, None).when(F.try_element_at(states, F.lit(-1)) == "SUCCESS", "tour_grades_empty").otherwise("tour_grades_failed")
     ok = F.when((F.try_element_at(states, F.lit(-1)) == "SUCCESS") & rows, "AVAILABLE").otherwise("UNKNOWN")
     both = F.filter(F.transform(grades, lambda g, i: F.struct(g.alias("g"), F.get(kept, i).alias("k"))), lambda x: x["g"].isNotNull() & x["k"].isNotNull())
     return {
-        "graphql-package-poll-bound": asked & (F.size("_packages") > POLLS), "graphql-package-variables": asked & F.exists("_packages_v", lambda m: ~F.coalesce(F.array_sort(F.map_entries(m)) == F.array_sort(F.map_entries(want)), F.lit(False))),
+        "graphql-package-poll-bound": asked & (F.size("_packages") > POLLS), "graphql-package-variables": asked & F.exists("_packages_v", lambda m: ~F.coalesce(_sorted(m) == F.col("_package_want"), F.lit(False))),
         "graphql-package-after-settle": asked & _settles(states), "graphql-package-provenance": asked & ~(F.col("_sel.packageOptionsStatus").eqNullSafe(ok) & F.col("_sel.packageOptionsUnavailableReason").eqNullSafe(reason)),
         "graphql-package-count": asked & (F.size(grades) != F.size(kept)), "graphql-package-name": asked & F.exists(both, lambda x: (F.coalesce(x["g"]["title"], F.lit("")) != "") & ~F.trim(F.regexp_replace(x["g"]["title"], r"\s+", " ")).eqNullSafe(x["k"]["name"])),
         "graphql-package-price": asked & F.exists(both, lambda x: ~_amount(x["g"]["price"]).eqNullSafe(_amount(x["k"]["total_price"]))),
