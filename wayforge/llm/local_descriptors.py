@@ -168,18 +168,19 @@ def _describe(pixels: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return [*zip(np.split(np.concatenate(points).astype(np.float32)[order], cuts), np.split(np.concatenate(descriptors)[order], cuts))]
 
 
+def _pieces(batches, rows: int = 500):
+    """The batches in pieces of a few rows, as images are large."""
+    return (batch.slice(i, rows) for batch in batches for i in range(0, batch.num_rows, rows))
+
+
 def describe_media(media: DataFrame) -> DataFrame:
     """(media_id, digest, points, descriptors): the image's hash and its packed features; the image itself goes no further."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _pieces(batches):
             images = batch.column(1).to_pylist()
             digests = [None if data is None else hashlib.sha256(data).digest()[:16] for data in images]
-            points, descriptors = [], []
-            for i in range(0, len(images), 1000):
-                for p, d in describe_all([from_image(data) for data in images[i : i + 1000]]):
-                    points.append(p.tobytes())
-                    descriptors.append(d.tobytes())
+            points, descriptors = zip(*((p.tobytes(), d.tobytes()) for p, d in describe_all([from_image(data) for data in images])))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.binary()) for x in (digests, points, descriptors))], ["media_id", "digest", "points", "descriptors"])
 
     return media.select("media_id", "image").mapInArrow(run, "media_id long, digest binary, points binary, descriptors binary")
@@ -498,7 +499,7 @@ def media_of(embeddings: DataFrame) -> DataFrame:
     """(media_id, image): for each vector its picture (2 * vec_id) and an edited copy of it (2 * vec_id + 1); ids wrap in 64 bits."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _pieces(batches):
             ids, images = [], []
             for i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 picture = render(v or [])
